@@ -103,11 +103,8 @@ def _grid(
     left_blocks, right_blocks = layout
 
     def blocks(df: DataFrame, prefix: str, own: str, n_own: int, other: str, n_other: int):
-        group = [F.col(by).alias(f"{prefix}{by}")] if by else []
         rows = df.select(
-            *group,
-            F.col("id").alias(f"{prefix}id"),
-            F.col("vec").alias(f"{prefix}vec"),
+            *[F.col(c).alias(f"{prefix}{c}") for c in df.columns],
             F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other),
         )
@@ -126,9 +123,25 @@ def _grid(
     return cells.cogroup(others).applyInArrow(run, schema)
 
 
-def _side(df: DataFrame, id_col: str, vec: str, by: str | None) -> DataFrame:
+def _side(df: DataFrame, id_col: str, vec: str, by: str | None, **extra: str | None) -> DataFrame:
     group = [F.col(by)] if by else []
-    return df.select(*group, F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
+    more = [F.col(c).alias(name) for name, c in extra.items() if c]
+    return df.select(*group, F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("vec"), *more)
+
+
+def _hidden(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray] | None:
+    """Per left row, which label codes its ``hidden`` list names, and the code of each right row."""
+    if "hidden" not in left.column_names:
+        return None
+    labels, codes = np.unique(right.column("label").to_numpy(), return_inverse=True)
+    lists = left.column("hidden").combine_chunks()
+    owner = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
+    named = lists.flatten().to_numpy(zero_copy_only=False)
+    spot = np.minimum(np.searchsorted(labels, named), len(labels) - 1)
+    hit = labels[spot] == named
+    table = np.zeros((len(lists), len(labels)), dtype=bool)
+    table[owner[hit], spot[hit]] = True
+    return table, codes
 
 
 def _field(df: DataFrame, col: str, name: str) -> T.StructField:
@@ -153,17 +166,20 @@ def topk_pairs(
     score: ScoreFn = cosine_scores,
     exclude_self: bool = False,
     by: str | None = None,
+    hidden: str | None = None,
+    label: str | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Exact top ``k`` right rows for each left row: (id, rank, match_id, score).
 
     Ties go to the smaller ``match_id``. ``by`` names a column, such as a model name, that both
-    sides must share. Each task returns at most ``k`` rows per left row, so the merge moves
+    sides must share. A left row's short ``hidden`` list names right ``label`` values that score -1
+    for it, so that they rank last. Each task returns at most ``k`` rows per left row, so the merge moves
     ``k`` rows per left row and right block.
     """
-    x = _side(left, id_col, vec, by)
-    same = right is left and right_id in (None, id_col) and right_vec in (None, vec)
-    y = x if same else _side(right, right_id or id_col, right_vec or vec, by)
+    x = _side(left, id_col, vec, by, hidden=hidden)
+    same = not hidden and right is left and right_id in (None, id_col) and right_vec in (None, vec)
+    y = x if same else _side(right, right_id or id_col, right_vec or vec, by, label=label)
     fields = [_field(left, by, by)] if by else []
     schema = T.StructType([*fields, _field(left, id_col, "id"), T.StructField("rank", T.IntegerType()),
                            _field(right, right_id or id_col, "match_id"), T.StructField("score", T.DoubleType())])
@@ -171,9 +187,12 @@ def topk_pairs(
     def best(lt: pa.Table, rt: pa.Table) -> pa.Table:
         rt = rt.sort_by("id")  # columns in id order make a column number the tie break
         lid, rid = _ids(lt), _ids(rt)
+        masked = _hidden(lt, rt)
         rows, cols, values = [], [], []
         for at, s in _stripes(lt, rt, score):
             s = np.where(np.isnan(s), -np.inf, s)
+            if masked:
+                s = np.where(masked[0][at : at + len(s)][:, masked[1]], -1.0, s)
             own = np.zeros(s.shape, dtype=bool)
             if exclude_self:
                 mine = lid[at : at + len(s)]
