@@ -92,6 +92,6 @@ def title_embeddings(titles: DataFrame, vectors: DataFrame, title: str = "title"
 def lookup_title_vectors(titles: DataFrame, table: DataFrame, title: str = "title") -> DataFrame:
     """Title vectors with the row-0 vector for titles the table lacks."""
     known = table.where("row > 0").select(F.col(title).alias("_title"), F.col("vec").alias("_vec"))
-    default = table.where("row = 0").select(F.lit(1).alias("_one"), F.col("vec").alias("_default")).limit(1)
-    joined = titles.join(known, F.col(title) == F.col("_title"), "left").withColumn("_one", F.lit(1))
-    return joined.join(F.broadcast(default), "_one").select(*titles.columns, F.coalesce("_vec", "_default").alias("vec"))
+    default = table.where("row = 0").select("vec").scalar()
+    joined = titles.join(known, F.col(title) == F.col("_title"), "left")
+    return joined.select(*titles.columns, F.coalesce(F.col("_vec"), default).alias("vec"))

@@ -33,14 +33,12 @@ def apply_vocab(
 
     Unknown members get the index ``size``, one past the vocabulary. ``key`` is unique per row. Only
     keys and members are shuffled; join the result back on ``key`` when other columns are needed.
-    ``size`` is counted (a driver-side action) when it is not given.
     """
-    if size is None:
-        size = vocab.count()
+    unknown = F.lit(size) if size is not None else vocab.agg(F.count(F.lit(1))).scalar()
     known = vocab.select(F.col("token").alias("_token"), F.col("idx").alias("_idx"))
     members = df.select(key, F.posexplode(col).alias("_pos", "_member"))
     found = members.join(known, F.col("_member") == F.col("_token"), "inner" if drop_unknown else "left")
-    index = F.coalesce("_idx", F.lit(size)).cast("int")
+    index = F.coalesce(F.col("_idx"), unknown).cast("int")
     grouped = found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", index.alias("i")))).alias("_pairs"))
     arrays = grouped.select(F.col(key).alias("_key"), F.transform("_pairs", lambda p: p["i"]).alias("_found"))
     empty = F.array().cast("array<int>")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tagloom.functions.vectors import focal_terms
 from tagloom.operators.ordering import running_totals
+from tagloom.operators.relational import side_by_side
 from tagloom.session import cut_lineage
 
 THRESHOLD = 0.5
@@ -89,10 +89,8 @@ def _pr_auc(df: DataFrame, steps: int) -> DataFrame:
     Between two thresholds true positives are taken as linear in the number of predictions.
     """
     last = steps - 1
-    # the number of inner thresholds i / last that lie below p; the outer ones are open ends
-    guess = F.greatest(F.lit(0), F.least(F.lit(last), F.ceil(F.col("p") * last).cast("int")))
-    below = F.when(F.col("p") <= (guess - 1) / F.lit(float(last)), guess - 1).otherwise(guess)
-    level = F.greatest(F.lit(1), F.least(F.lit(last), below))
+    # rows of level i are predicted at the thresholds 0 .. i - 1
+    level = F.greatest(F.lit(1), F.ceil(F.col("p") * last).cast("int"))
     bins = df.groupBy("tag", level.alias("level")).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
     counts = bins.groupBy("tag").agg(
         F.map_from_entries(F.collect_list(F.struct("level", "n"))).alias("n"),
@@ -119,8 +117,6 @@ def _small_suffix_sums(rows: DataFrame) -> DataFrame:
 
     A window per tag is safe here: a tag has one row per threshold.
     """
-    from pyspark.sql import Window as W
-
     above = W.partitionBy("tag").orderBy(F.desc("level")).rowsBetween(W.unboundedPreceding, -1)
     n_next = F.coalesce(F.sum("dn").over(above), F.lit(0))
     tp_next = F.coalesce(F.sum("dtp").over(above), F.lit(0))
@@ -141,8 +137,7 @@ def multilabel_metrics(df: DataFrame, key: str = "id", threshold: float = THRESH
     )
     cosine = F.col("yp") / (F.sqrt(F.greatest(F.col("yy").cast("double"), tiny)) * F.sqrt(F.greatest("pp", tiny)))
     parts = [over_tags, _pr_auc(df, steps).agg(F.avg("pr_auc").alias("pr_auc")), example.agg(F.avg(cosine).alias("cosine_similarity"))]
-    one = [p.withColumn("_one", F.lit(1)) for p in parts]
-    return one[0].join(one[1], "_one").join(one[2], "_one").drop("_one")
+    return side_by_side(*parts)
 
 
 def mean_focal_loss(df: DataFrame, labels: str, scores: str, alpha: float = 0.25, gamma: float = 3.0) -> DataFrame:
@@ -166,7 +161,7 @@ def threshold_gate(metrics: DataFrame, precision: float = MIN_PRECISION, recall:
 
 def publish_if(gate: DataFrame, df: DataFrame, path: str, version: str) -> bool:
     """Write ``df`` under ``path/version`` when the gate's one row is blessed (C4). Runs jobs."""
-    row: Sequence | None = gate.select("blessed").first()
+    row = gate.select("blessed").first()
     if not row or row[0] != 1:
         return False
     df.write.mode("errorifexists").parquet(f"{path.rstrip('/')}/{version}")

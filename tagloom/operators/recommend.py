@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators import similarity
 from tagloom.operators.ordering import head_per_group
-from tagloom.operators.relational import share_matching, sum_vectors
+from tagloom.operators.relational import share_matching, side_by_side, sum_vectors
 
 # Fixed values of the evaluation: plays in a profile, plays to predict, list lengths, sampled users.
 HISTORY = 10
@@ -159,7 +159,7 @@ def ranking_metrics(
     # distinct contents with their best rank first: every list length is then one count
     reached = recs.join(counted, user, "left_semi").groupBy("content").agg(F.min("rank").alias("rank"))
     covered = reached.agg(*[F.count_if(F.col("rank") <= n).alias(f"c_{n}") for n in ns])
-    row = _beside(_beside(_beside(sums, total), seen), covered)
+    row = side_by_side(sums, total, seen, covered)
     per_user = [
         F.try_divide(F.col(f"{short}_{n}"), F.col("total")).cast("double").alias(f"{name}@{n}")
         for name, short in (("Precision", "p"), ("Recall", "r"), ("Accuracy", "a"))
@@ -169,11 +169,6 @@ def ranking_metrics(
     return row.select("total", *per_user, *coverage)
 
 
-def _beside(one: DataFrame, other: DataFrame) -> DataFrame:
-    """Two one-row results side by side."""
-    return one.withColumn("_one", F.lit(1)).join(other.withColumn("_one", F.lit(1)), "_one").drop("_one")
-
-
 def metrics_long(metrics: DataFrame, model_name: str, model_path: str = "", date: Column | None = None) -> DataFrame:
     """Metric rows (model_name, date, metric_name, value, model_path)."""
     names = [c for c in metrics.columns if "@" in c]

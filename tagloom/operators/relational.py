@@ -131,3 +131,9 @@ def keep_top_values(df: DataFrame, col: str, n: int = 100) -> DataFrame:
 def share_matching(df: DataFrame, keys: Sequence[str], left: str, right: str, out: str) -> DataFrame:
     """Share of a key's rows where two columns agree."""
     return df.groupBy(*keys).agg(F.avg((F.col(left) == F.col(right)).cast("double")).alias(out))
+
+
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """One-row results with different column names as one row."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return stacked.agg(*[F.max(F.col(f"`{c}`")).alias(c) for c in stacked.columns])
