@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.operators.relational import side_by_side
+from tagloom.operators.ordering import topk_per_group
 from tagloom.sources.spec import Feature, FeatureSpec
 
 _RESULT = "feature string, check string, observed double, limit double, passed boolean"
@@ -58,7 +58,7 @@ def feature_stats(df: DataFrame, features: Sequence[str], by: str | None = None)
     values = counts.groupBy(*keys).agg(
         F.sum("n").alias("num_values"),
         F.count(F.lit(1)).alias("num_distinct"),
-        F.min(F.struct(-F.col("n"), "value")).alias("_top"),
+        F.min(F.struct((-F.col("n")).alias("minus"), "value")).alias("_top"),
         F.min(chars).alias("min_length"),
         F.max(chars).alias("max_length"),
         (F.sum(chars * F.col("n")) / F.sum("n")).alias("mean_length"),
@@ -69,15 +69,13 @@ def feature_stats(df: DataFrame, features: Sequence[str], by: str | None = None)
         (F.col("present") / F.col("num_rows")).alias("presence"),
         "min_values", "max_values", "mean_values",
         F.coalesce("num_values", F.lit(0)).alias("num_values"), F.coalesce("num_distinct", F.lit(0)).alias("num_distinct"),
-        F.col("_top.value").alias("top_value"), (-F.col("_top")["col1"]).alias("top_count"),
+        F.col("_top.value").alias("top_value"), (-F.col("_top.minus")).alias("top_count"),
         "min_length", "max_length", "mean_length",
     )
 
 
 def top_value_table(df: DataFrame, features: Sequence[str], n: int = 20) -> DataFrame:
     """(feature, rank, value, n): the most frequent values per feature (V1)."""
-    from tagloom.operators.ordering import topk_per_group
-
     counts = _long(df, features, None).select("feature", F.explode("vals").alias("value"))
     return topk_per_group(counts.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")), "feature", "n", n, "value")
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagloom.operators.ordering import with_row_id
+
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalogue table, or a parquet path when the name has a slash."""
@@ -48,14 +50,17 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_vocab_text(spark: SparkSession, path: str) -> DataFrame:
-    """A plain-text vocabulary, one token per line, blank lines dropped, the line number as index.
+    """A plain-text vocabulary, one token per line, blank lines dropped, line order as index.
 
-    A distributed text read has no line numbers, so the lines of this one file are numbered as one
-    value. Use it to import a small list once; keep vocabularies in parquet.
+    Line order is the start of a row's file block and the row's place in it, whichever task reads
+    the block. Runs a job; keep vocabularies in parquet.
     """
-    whole = spark.read.text(path, wholetext=True)
-    lines = F.filter(F.split("value", "\r?\n"), lambda x: x != "")
-    return whole.select(F.posexplode(lines).alias("idx", "token")).select("token", F.col("idx").cast("bigint").alias("idx"))
+    lines = spark.read.text(path).where(F.col("value") != "").select(
+        F.col("value").alias("token"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    return with_row_id(lines, F.col("_block"), F.col("_row")).select("token", "idx")
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
