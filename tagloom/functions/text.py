@@ -43,7 +43,7 @@ def strip_to_array(col: Column, drop: Sequence[str] = ("",)) -> Column:
     Members equal to a ``drop`` value go before trimming, so ``" "`` stays and becomes ``""``.
     """
     kept = F.filter(col, lambda x: x.isNotNull() & ~x.isin(*drop))
-    out = F.array_sort(F.array_distinct(F.transform(kept, trim_ws)))
+    out = F.sort_array(F.array_distinct(F.transform(kept, trim_ws)))
     return F.when(F.array_size(out) > 0, out)
 
 

@@ -38,8 +38,8 @@ def apply_vocab(
     known = vocab.select(F.col("token").alias("_token"), F.col("idx").alias("_idx"))
     members = df.select(key, F.posexplode(col).alias("_pos", "_member"))
     found = members.join(known, F.col("_member") == F.col("_token"), "inner" if drop_unknown else "left")
-    index = F.coalesce(F.col("_idx"), unknown).cast("int")
-    grouped = found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", index.alias("i")))).alias("_pairs"))
+    indexed = found.select(key, "_pos", F.coalesce(F.col("_idx"), unknown).cast("int").alias("i"))
+    grouped = indexed.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "i"))).alias("_pairs"))
     arrays = grouped.select(F.col(key).alias("_key"), F.transform("_pairs", lambda p: p["i"]).alias("_found"))
     empty = F.array().cast("array<int>")
     joined = df.select(key).join(arrays, F.col(key) == F.col("_key"), "left")
@@ -51,14 +51,14 @@ def filter_to_vocab(df: DataFrame, key: str, col: str, vocab: DataFrame, token:
     allowed = vocab.select(F.col(token).alias("_member")).distinct()
     members = df.select(key, F.explode(F.array_distinct(col)).alias("_member")).distinct()
     kept = members.join(allowed, "_member", "left_semi")
-    return kept.groupBy(key).agg(F.array_sort(F.collect_list("_member")).alias(col))
+    return kept.groupBy(key).agg(F.sort_array(F.collect_list("_member")).alias(col))
 
 
 def decode_labels(df: DataFrame, key: str, vector: str, vocab: DataFrame, out: str = "tags") -> DataFrame:
     """(key, tags) of the set positions of a 0/1 vector, in index order."""
     hits = df.select(key, F.posexplode(vector).alias("_pos", "_value")).where(F.col("_value") > 0)
     named = hits.join(vocab.select(F.col("idx").alias("_idx"), "token"), F.col("_pos") == F.col("_idx"))
-    grouped = named.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", "token"))).alias("_pairs"))
+    grouped = named.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "token"))).alias("_pairs"))
     return grouped.select(key, F.transform("_pairs", lambda p: p["token"]).alias(out))
 
 

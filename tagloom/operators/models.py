@@ -127,7 +127,7 @@ def top_tags(df: DataFrame, key: str, scores: str, vocab: DataFrame, k: int = 5)
     The ranking is a sort inside each row's array, so no shuffle is needed before the name lookup.
     """
     pairs = F.transform(F.col(scores), lambda p, i: F.struct((-p.cast("double")).alias("minus"), i.alias("idx")))
-    best = F.slice(F.array_sort(pairs), 1, k)
+    best = F.slice(F.sort_array(pairs), 1, k)
     rows = df.select(key, F.posexplode(best).alias("_pos", "_best"))
     named = rows.select(key, (F.col("_pos") + 1).alias("rank"), F.col("_best.idx").alias("idx"), (-F.col("_best.minus")).alias("score"))
     return named.join(vocab.select("idx", F.col("token").alias("tag")), "idx").select(key, "rank", "tag", "score")

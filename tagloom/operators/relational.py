@@ -52,9 +52,8 @@ def string_agg(df: DataFrame, keys: Sequence[str], col: str, sep: str, distinct:
     Equal texts are counted first, so copies cross the shuffle once per task. A group without any
     text gives NULL.
     """
-    # an empty text joins like any other, so NULL groups are told apart by the count below
-    counted = df.groupBy(*keys, F.col(col).alias("_v")).agg(F.count("_v").alias("_n"))
-    pairs = F.array_sort(F.collect_list(F.when(F.col("_v").isNotNull(), F.struct("_v", "_n"))))
+    counted = df.select(*keys, F.col(col).alias("_v")).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = F.sort_array(F.collect_list(F.when(F.col("_v").isNotNull(), F.struct("_v", "_n"))))
     grouped = counted.groupBy(*keys).agg(pairs.alias("_pairs"))
     if distinct:
         members = F.transform("_pairs", lambda p: p["_v"])
@@ -70,31 +69,32 @@ def distinct_array(col: str) -> Column:
     Spark plans the DISTINCT in two levels, first by (key, value) and then by key, so a hot key is
     reduced to its distinct values before one task builds the array.
     """
-    return F.expr(f"array_sort(collect_list(DISTINCT {col}))")
+    return F.expr(f"sort_array(collect_list(DISTINCT {col}))")
 
 
 def distinct_text(col: str, sep: str) -> Column:
-    """A group's distinct texts joined in ascending order (A4); two-level like :func:`distinct_array`."""
-    return F.expr(f"listagg(DISTINCT {col}, '{sep}') WITHIN GROUP (ORDER BY {col})")
+    """A group's distinct texts joined in ascending order, NULL for none (A4); two-level like :func:`distinct_array`."""
+    return F.when(F.count(col) > 0, F.array_join(distinct_array(col), sep))
 
 
 def array_histogram(df: DataFrame, keys: Sequence[str], col: str, out: str = "stats") -> DataFrame:
     """Per key, how often each array member occurs, as sorted (value, count) structs."""
     counted = df.select(*keys, F.explode(col).alias("value")).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("count"))
-    return counted.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("value", "count"))).alias(out))
+    return counted.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("value", "count"))).alias(out))
 
 
 def union_arrays(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Per key, the set union of each array column (A14), in one pass over the rows."""
-    tagged = F.flatten(F.array(*[
-        F.transform(F.coalesce(F.col(c).cast("array<string>"), F.array().cast("array<string>")),
-                    lambda v, name=c: F.struct(F.lit(name).alias("c"), v.alias("v")))
-        for c in cols
-    ]))
-    members = df.select(*keys, F.explode_outer(tagged).alias("_m")).select(*keys, "_m.c", "_m.v").distinct()
+
+    def tagged(c: str) -> Column:
+        values = F.coalesce(F.col(c).cast("array<string>"), F.array().cast("array<string>"))
+        return F.transform(values, lambda v: F.struct(F.lit(c).alias("c"), v.alias("v")))
+
+    pairs = F.flatten(F.array(*[tagged(c) for c in cols]))
+    members = df.select(*keys, F.explode_outer(pairs).alias("_m")).select(*keys, "_m.c", "_m.v").distinct()
     types = {f.name: f.dataType for f in df.schema.fields}
     return members.groupBy(*keys).agg(*[
-        F.array_sort(F.collect_list(F.when(F.col("c") == c, F.col("v"))).cast(types[c])).alias(c) for c in cols
+        F.sort_array(F.collect_list(F.when(F.col("c") == c, F.col("v"))).cast(types[c])).alias(c) for c in cols
     ])
 
 

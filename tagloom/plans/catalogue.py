@@ -87,7 +87,7 @@ def training_rows(df: DataFrame, token_limit: int = TOKEN_LIMIT, test_limit: int
     )
     groups = rows.groupBy("_key").agg(F.min("synopsis").alias("synopsis"), F.min("tags").alias("tags"))
     counts = rows.select("_key", F.explode("keywords").alias("v")).groupBy("_key", "v").agg(F.count("v").alias("n"))
-    pairs = F.array_sort(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("v", "n"))))
+    pairs = F.sort_array(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("v", "n"))))
     keywords = counts.groupBy("_key").agg(_repeat_join(pairs, " ").alias("keywords"))
     out = groups.join(keywords, "_key").select("synopsis", "keywords", "tags")
     return out.limit(test_limit) if test_limit else out
@@ -123,7 +123,7 @@ def tag_training_rows(programs: DataFrame, program_tags: DataFrame, top_genres:
     tags = kept.groupBy("program_id").agg(distinct_array("tag_value").alias("_tags"))
     mine = F.array_compact(F.array(*[F.col(f"_own{i}") for i in range(len(own))]))
     out = grouped.join(tags, "program_id").select(
-        "program_title", "program_id", "synopsis", F.array_sort(F.array_distinct(F.concat(mine, F.col("_tags")))).alias("tags")
+        "program_title", "program_id", "synopsis", F.sort_array(F.array_distinct(F.concat(mine, F.col("_tags")))).alias("tags")
     )
     return out.limit(test_limit) if test_limit else out
 
@@ -251,7 +251,7 @@ def catalogue_tags(catalogue: DataFrame, content_ids: DataFrame | None = None) -
     counted = chosen.groupBy(*keys, F.col(SYNOPSIS).alias("v"), "_words").agg(
         F.min("TitleDetails_title").alias("title"), F.count(F.lit(1)).alias("n")
     )
-    texts = F.array_sort(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("v", "n"))))
+    texts = F.sort_array(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("v", "n"))))
     grouped = counted.groupBy(*keys).agg(F.min("title").alias("title"), texts.alias("_texts"), F.collect_set("_words").alias("_words"))
     out = grouped.select(
         "title", F.col("TitleType").alias("type"), F.col("LANGUAGE").alias("language"), _repeat_join(F.col("_texts"), " ").alias("synopsis"),
@@ -284,7 +284,7 @@ def full_tags(programs: DataFrame, program_tags: DataFrame, token_vocab: DataFra
         members = rows.select("_key", "program_val").join(tag_rows, F.col("program_val") == F.col("program_id")).select("_key", "tag", "genre")
         words = members.groupBy("_key").agg(distinct_array("tag").alias("_tags"), distinct_array("genre").alias("_genre"))
         own = F.array("program_type", "program_language")
-        everything = F.array_sort(F.array_distinct(F.concat(F.coalesce("_tags", F.array().cast("array<string>")), own)))
+        everything = F.sort_array(F.array_distinct(F.concat(F.coalesce("_tags", F.array().cast("array<string>")), own)))
         genres = F.when(F.array_size("_genre") > 0, F.col("_genre"))
         return shown.join(words, "_key", "left").select(
             "program_type", "program_title", "program_longsynopsis", "program_language",
@@ -337,8 +337,8 @@ def cluster_stats(training: DataFrame, clusters: DataFrame, word: str = "word")
     mapped = labels.join(clusters.select(F.col(word).alias("_label"), "centroid_word", "cluster"), "_label")
     counted = mapped.groupBy("_key", "centroid_word").agg(F.count(F.lit(1)).alias("count"), F.collect_set("cluster").alias("_clusters"))
     stats = counted.groupBy("_key").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_clusters")))).alias("cluster"),
-        F.array_sort(F.collect_list(F.struct(F.col("centroid_word").alias("tags"), "count"))).alias("stats"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("_clusters")))).alias("cluster"),
+        F.sort_array(F.collect_list(F.struct(F.col("centroid_word").alias("tags"), "count"))).alias("stats"),
     )
     return shown.join(stats, "_key").select("program_title", "program_type", "program_longsynopsis", "cluster", "stats")
 

@@ -109,14 +109,14 @@ def play_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     plays = events(spark, sf_dir).withColumn("session_date", F.to_date("ts"))
     return plays.groupBy(F.col("user_id").cast("string").alias("user_ordinal_id"), "session_date").agg(
         F.min("ts").alias("session_timestamp"),
-        F.transform(F.array_sort(F.collect_list(F.struct("ts", "content_id"))), lambda s: F.struct(s["content_id"].alias("content_id"))).alias("session_sequence"),
+        F.transform(F.sort_array(F.collect_list(F.struct("ts", "content_id"))), lambda s: F.struct(s["content_id"].alias("content_id"))).alias("session_sequence"),
     )
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item vectors: (item, content_id, vec, type). Content ids repeat, so some items share one."""
+    """Item vectors: (item, content_id, vec, type)."""
     return load(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("item"), F.pmod("vec_id", F.lit(100)).alias("content_id"), F.col("embedding").alias("vec"),
+        F.col("vec_id").alias("item"), F.col("vec_id").alias("content_id"), F.col("embedding").alias("vec"),
         F.col("label").cast("string").alias("type"),
     )
 
@@ -185,7 +185,7 @@ SQL = {
         SELECT DISTINCT tokens FROM (SELECT unnest(string_split(p_name, ' ')) AS tokens FROM part UNION ALL SELECT p_brand FROM part
         UNION ALL SELECT lang FROM documents UNION ALL SELECT source FROM documents))""",
     "plays": "plays AS (SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS content_id, ts FROM events)",
-    "items": "items AS (SELECT vec_id AS item, vec_id % 100 AS content_id, CAST(embedding AS DOUBLE[]) AS vec, CAST(label AS VARCHAR) AS type FROM embeddings)",
+    "items": "items AS (SELECT vec_id AS item, vec_id AS content_id, CAST(embedding AS DOUBLE[]) AS vec, CAST(label AS VARCHAR) AS type FROM embeddings)",
     "words": "words AS (SELECT 'word ' || vec_id AS word, CAST(embedding AS DOUBLE[]) AS vec, label AS cluster FROM embeddings)",
     "long_scores": f"""long_scores AS (
         SELECT vec_id AS id, t AS tag, CAST(label = t AS INT) AS y, round(1.0 / (1.0 + exp(-8.0 * CAST(embedding[t + 1] AS DOUBLE))), 2) AS p
