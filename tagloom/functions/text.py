@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 # The letters the text cleaner keeps, the pattern for runs of one-letter words,
 # the token limits, and the defaults for empty lists.
 LETTERS = "äÄöÖüÜßa-zA-Z"
-NOT_LETTERS = f"[^{LETTERS}]"
 SHORT_WORDS = rf"((^|\s)[{LETTERS}]{{%s}})+\s"
 TOKEN_LIMIT = 256
 KEYWORD_LIMIT = 64
 TEXT_LENGTH = 277
 NO_VALUE = ("", "und")
 
+# Runs of other characters, a single blank left as it is: most matches would only replace a blank by itself.
+_OTHER_RUNS = f" [^{LETTERS}]+|[^{LETTERS} ][^{LETTERS}]*"
+
 
 def _literal_pattern(sep: str) -> str:
     return "".join("\\" + ch if ch in r"\^$.|?*+()[]{}" else ch for ch in sep)
@@ -86,12 +88,11 @@ def clean_text(col: Column, strip_first: bool = True) -> Column:
     ``strip_first`` strips before the one-letter step, so a leading or trailing letter is judged
     without its outer blank; ``False`` strips after it (T1b).
     """
-    letters = F.regexp_replace(F.lower(col), NOT_LETTERS, " ")
+    letters = F.regexp_replace(F.lower(col), _OTHER_RUNS, " ")
+    # blanks come one at a time from here on, and a dropped run of words leaves one blank behind
     if strip_first:
-        body = drop_short_words(F.trim(letters))
-    else:
-        body = F.trim(drop_short_words(letters))
-    return F.regexp_replace(body, " +", " ")
+        return drop_short_words(F.trim(letters))
+    return F.trim(drop_short_words(letters))
 
 
 def words(col: Column) -> Column:

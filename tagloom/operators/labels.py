@@ -20,7 +20,8 @@ def build_vocab(df: DataFrame, col: str) -> DataFrame:
     out. The index comes from a distributed sort, so it also works when tokens do not fit one task.
     """
     is_array = df.schema[col].dataType.typeName() == "array"
-    tokens = df.select((F.explode(col) if is_array else F.col(col)).alias("token"))
+    # the outer form keeps Spark from testing the array's size first, which would compute it twice
+    tokens = df.select((F.explode_outer(col) if is_array else F.col(col)).alias("token"))
     usable = tokens.where((F.col("token") != "") & ~F.col("token").rlike(r"[\r\n]"))
     counts = usable.groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
     return with_row_id(counts, F.desc("freq"), F.desc("token")).select("token", "freq", "idx")
@@ -36,7 +37,7 @@ def apply_vocab(
     """
     unknown = F.lit(size) if size is not None else vocab.agg(F.count(F.lit(1))).scalar()
     known = vocab.select(F.col("token").alias("_token"), F.col("idx").alias("_idx"))
-    members = df.select(key, F.posexplode(col).alias("_pos", "_member"))
+    members = df.select(key, F.posexplode_outer(col).alias("_pos", "_member")).where(F.col("_pos").isNotNull())
     found = members.join(known, F.col("_member") == F.col("_token"), "inner" if drop_unknown else "left")
     indexed = found.select(key, "_pos", F.coalesce(F.col("_idx"), unknown).cast("int").alias("i"))
     grouped = indexed.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "i"))).alias("_pairs"))
@@ -49,7 +50,7 @@ def apply_vocab(
 def filter_to_vocab(df: DataFrame, key: str, col: str, vocab: DataFrame, token: str = "token") -> DataFrame:
     """(key, distinct members that the vocabulary holds, ascending) (T11); rows without any are left out."""
     allowed = vocab.select(F.col(token).alias("_member")).distinct()
-    members = df.select(key, F.explode(F.array_distinct(col)).alias("_member")).distinct()
+    members = df.select(key, F.explode_outer(F.array_distinct(col)).alias("_member")).where(F.col("_member").isNotNull()).distinct()
     kept = members.join(allowed, "_member", "left_semi")
     return kept.groupBy(key).agg(F.sort_array(F.collect_list("_member")).alias(col))
 

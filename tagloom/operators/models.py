@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, VectorAssembler, Word2Vec
+from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,18 +38,26 @@ def embed_text(df: DataFrame, col: str, load_encoder: Callable[[], Encoder], out
     return df.mapInPandas(encode, schema)
 
 
-def fit_word_vectors(df: DataFrame, col: str, dim: int = 32, seed: int = 42, min_count: int = 1) -> PipelineModel:
-    """A text encoder learnt from the data: mean word vectors in column ``vec``. Fitting runs jobs."""
-    steps = [
-        RegexTokenizer(inputCol=col, outputCol="_words", pattern=r"\s+"),
-        Word2Vec(inputCol="_words", outputCol="_vec", vectorSize=dim, minCount=min_count, seed=seed, maxIter=1),
+def _word_weights(col: str, features: int, prefix: str) -> list:
+    """Stages from a text column to hashed, frequency-weighted word counts; the model is ``features`` numbers."""
+    return [
+        RegexTokenizer(inputCol=col, outputCol=f"{prefix}_words", pattern=r"\s+"),
+        HashingTF(inputCol=f"{prefix}_words", outputCol=f"{prefix}_counts", numFeatures=features),
+        IDF(inputCol=f"{prefix}_counts", outputCol=f"{prefix}_weights"),
     ]
-    return Pipeline(stages=steps).fit(df)
 
 
-def apply_word_vectors(model: PipelineModel, df: DataFrame, out: str = "vec") -> DataFrame:
+def fit_text_vectors(df: DataFrame, col: str, dim: int = 256) -> PipelineModel:
+    """A text encoder learnt from the data in one pass (M1): hashed word weights of unit length.
+
+    It stands in when no encoder is given. Its size does not grow with the words in the data.
+    """
+    return Pipeline(stages=[*_word_weights(col, dim, "_text"), Normalizer(inputCol="_text_weights", outputCol="_vec")]).fit(df)
+
+
+def apply_text_vectors(model: PipelineModel, df: DataFrame, out: str = "vec") -> DataFrame:
     """Add the encoder's vector as an array."""
-    return model.transform(df).withColumn(out, vector_to_array("_vec")).drop("_words", "_vec")
+    return model.transform(df).select(*df.columns, vector_to_array("_vec").alias(out))
 
 
 @dataclass(frozen=True)
@@ -94,11 +102,7 @@ def train_tagger(
     """
     steps = []
     for name in texts:
-        steps += [
-            RegexTokenizer(inputCol=name, outputCol=f"_{name}_words", pattern=r"\s+"),
-            HashingTF(inputCol=f"_{name}_words", outputCol=f"_{name}_counts", numFeatures=features),
-            IDF(inputCol=f"_{name}_counts", outputCol=f"_{name}_weights"),
-        ]
+        steps += _word_weights(name, features, f"_{name}")
     steps.append(VectorAssembler(inputCols=[f"_{name}_weights" for name in texts], outputCol="_features"))
     pipeline = Pipeline(stages=steps).fit(df)
     rows = pipeline.transform(df).select("_features", F.col(labels).alias("_labels")).persist()

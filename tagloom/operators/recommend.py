@@ -138,12 +138,12 @@ def user_results(recs: DataFrame, test: DataFrame, ns: Sequence[int] = TOP, user
 
 
 def ranking_metrics(
-    recs: DataFrame, test: DataFrame, plays: DataFrame, ns: Sequence[int] = TOP, user: str = "user_id", content: str = "content_id",
+    recs: DataFrame, test: DataFrame, users: DataFrame, ns: Sequence[int] = TOP, user: str = "user_id", content: str = "content_id",
 ) -> DataFrame:
     """One row with ``total`` and Precision/Recall/Accuracy/Coverage at each list length.
 
-    The first three divide by all users with plays; users without test items count in that number
-    only. Coverage is the number of distinct recommended contents over that of distinct test
+    ``users`` has rows for every user with plays; the histories do, and are small. The first three
+    metrics divide by their number; users without test items count in that number only. Coverage is the number of distinct recommended contents over that of distinct test
     contents, both over users with test items, and may exceed 1. Every user's recall is divided by
     the user's test size.
     """
@@ -153,7 +153,7 @@ def ranking_metrics(
         *[F.coalesce(F.sum(f"recall_{n}"), F.lit(0.0)).alias(f"r_{n}") for n in ns],
         *[F.count_if(F.col(f"hits_{n}") > 0).alias(f"a_{n}") for n in ns],
     )
-    total = plays.agg(F.count_distinct(user).alias("total"))
+    total = users.agg(F.count_distinct(user).alias("total"))
     counted = results.select(user)
     seen = test.join(counted, user, "left_semi").agg(F.count_distinct(content).alias("seen"))
     # distinct contents with their best rank first: every list length is then one count

@@ -10,10 +10,12 @@ is broadcast.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tagloom.operators.ordering import head_per_group
 from tagloom.session import cut_lineage
 
+# the block functions travel to the tasks by value, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ROWS = 8192
 _STRIPE_CELLS = 1 << 22  # scores held at once inside a task (32 MB)
 _DIGITS = 12  # scores are rounded before ranking, so that equal vectors tie whatever the block layout

@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import (
-    KEYWORD_LIMIT, TOKEN_LIMIT, default_array, first_tokens, in_dates, offset_window, split_on, strip_to_array, strip_to_string,
+    KEYWORD_LIMIT, NO_VALUE, TOKEN_LIMIT, default_array, first_tokens, in_dates, offset_window, split_on, strip_to_array, trim_ws,
 )
 from tagloom.functions.vectors import multi_hot
 from tagloom.operators.clusters import SPECIAL_LABELS
 from tagloom.operators.labels import apply_vocab, build_vocab, filter_to_vocab
-from tagloom.operators.ordering import sample_keys, with_row_id
+from tagloom.operators.ordering import head_per_group, sample_keys, with_row_id
 from tagloom.operators.relational import distinct_array, distinct_text, flag_members, join_ci, keep_top_values, remap_values, union_arrays, when_or_null
 
 # Fixed values of the tag build.
@@ -105,13 +105,12 @@ def tag_training_rows(programs: DataFrame, program_tags: DataFrame, top_genres:
         & F.col("program_type").isin(*PROGRAM_TYPES)
         & ~F.col("program_title").isin(*GENERIC_TITLES)
     )
-    keys = ["program_title", "program_val", "program_longsynopsis"]
+    keyed = chosen.withColumn("_key", _digest("program_title", "program_val", "program_longsynopsis"))
     own = [*[("program_type", v) for v in PROGRAM_TYPES], *[("program_language", v) for v in LANGUAGES]]
     # types and languages come from short fixed lists, so "which occur" is a handful of flags
     flags = [F.max(F.when(F.col(c) == v, F.lit(v))).alias(f"_own{i}") for i, (c, v) in enumerate(own)]
-    grouped = (
-        chosen.groupBy(F.col("program_val").alias("program_id"), "program_title", _digest(*keys).alias("_key"))
-        .agg(F.min("program_longsynopsis").alias("synopsis"), *flags)
+    shown = keyed.groupBy("_key").agg(
+        F.min("program_title").alias("program_title"), F.min("program_val").alias("program_id"), F.min("program_longsynopsis").alias("synopsis"), *flags
     )
     genres = (
         program_tags.where(F.col("tag_type") == "Genre")
@@ -121,8 +120,11 @@ def tag_training_rows(programs: DataFrame, program_tags: DataFrame, top_genres:
     ages = program_tags.where(F.col("tag_value").isin(*AGE_TAGS)).select("program_id", remap_values(F.col("tag_value"), AGE_REMAP).alias("tag_value"))
     kept = keep_top_values(genres, "tag_value", top_genres).select("program_id", "tag_value").union(ages)
     tags = kept.groupBy("program_id").agg(distinct_array("tag_value").alias("_tags"))
+    # ids meet tags without the text; the text side is already arranged by the digest
+    ids = keyed.select("_key", F.col("program_val").alias("program_id")).distinct()
+    tagged = ids.join(tags, "program_id").select("_key", "_tags")
     mine = F.array_compact(F.array(*[F.col(f"_own{i}") for i in range(len(own))]))
-    out = grouped.join(tags, "program_id").select(
+    out = shown.join(tagged, "_key").select(
         "program_title", "program_id", "synopsis", F.sort_array(F.array_distinct(F.concat(mine, F.col("_tags")))).alias("tags")
     )
     return out.limit(test_limit) if test_limit else out
@@ -171,14 +173,27 @@ def _catalogue_words() -> Column:
 
 
 def titles_keywords(catalogue: DataFrame, content_ids: DataFrame, limit: int = TOKEN_LIMIT) -> DataFrame:
-    """Titles with genre, subgenre, tag and language words as one keyword text (Q-TITLES-KW)."""
-    worded = catalogue.withColumn("_words", _catalogue_words())
-    base = _title_texts(worded, distinct_array("_words").alias("_words"))
-    pieces = F.flatten(F.transform("_words", lambda w: split_on(w, ",")))
-    short = base.select(
+    """Titles with genre, subgenre, tag and language words as one keyword text (Q-TITLES-KW).
+
+    Both texts end after ``limit`` tokens. Every synopsis and every word has at least one token, so the
+    first ``limit`` of each, in order, decide the result; a title with very many rows sends no more.
+    """
+    described = catalogue.where(F.col(SYNOPSIS).isNotNull())
+    texts = head_per_group(described.select(*TITLE_KEYS, SYNOPSIS).distinct(), TITLE_KEYS, [F.col(SYNOPSIS)], limit)
+    openings = texts.groupBy(*TITLE_KEYS).agg(
+        F.sort_array(F.collect_list(F.struct(SYNOPSIS, first_tokens(F.col(SYNOPSIS), limit).alias("v")))).alias("_texts")
+    )
+    pieces = described.select(*TITLE_KEYS, F.explode(split_on(_catalogue_words(), ",")).alias("w"))
+    usable = pieces.where(~F.col("w").isin(*NO_VALUE)).select(*TITLE_KEYS, trim_ws(F.col("w")).alias("w")).distinct()
+    words = head_per_group(usable, TITLE_KEYS, [F.col("w")], limit).groupBy(*TITLE_KEYS).agg(
+        F.array_join(F.sort_array(F.collect_list("w")), " ").alias("keywords")
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in TITLE_KEYS]
+    named = words.withColumnsRenamed({k: f"_{k}" for k in TITLE_KEYS})
+    short = openings.join(named, same[0] & same[1], "left").select(
         *TITLE_KEYS,
-        first_tokens(strip_to_string(pieces), limit).alias("keywords"),
-        first_tokens(F.col(SYNOPSIS), limit).alias(SYNOPSIS),
+        first_tokens(F.col("keywords"), limit).alias("keywords"),
+        first_tokens(F.array_join(F.transform("_texts", lambda p: p["v"]), " "), limit).alias(SYNOPSIS),
     )
     return _with_content_ids(short, content_ids)
 

@@ -15,7 +15,7 @@ from tagloom.sources.tables import append_metrics, write_report
 
 @dataclass(frozen=True)
 class Evaluation:
-    """Intermediate and final tables of one run; all are lazy but the ranked lists."""
+    """Intermediate and final tables of one run."""
 
     plays: DataFrame
     history: DataFrame
@@ -40,13 +40,16 @@ def evaluate(
     """Profiles, recommendations and ranking metrics.
 
     ``plays`` holds (user, content_id, order columns), ``items`` holds (item, content_id, vec). The
-    ranked lists, a few rows per user, are stored before the metrics read them several times.
+    plays are read twice, for the first plays and for the later items. What follows works on a few
+    rows per user, which are stored because each is read several times. Every user with plays has a
+    history, so the histories also give the number of users.
     """
     known = recommend.plays_of_items(plays, items)
     first, later = recommend.history_and_test(known, history, test, user=user, order=order)
-    profiles = recommend.user_profiles(first, items, history, user=user)
+    first, later = cut_lineage(first), cut_lineage(later)
+    profiles = cut_lineage(recommend.user_profiles(first, items, history, user=user))
     ranked = cut_lineage(recommend.recommend_unseen(profiles, items, first, max(ns), user=user, block_rows=block_rows))
-    metrics = recommend.ranking_metrics(ranked, later, known, ns, user=user)
+    metrics = recommend.ranking_metrics(ranked, later, first, ns, user=user)
     return Evaluation(known, first, later, profiles, ranked, metrics)
 
 

@@ -27,6 +27,15 @@ def read_parquet(spark: SparkSession, *paths: str, schema: T.StructType | str |
     return reader.parquet(*paths)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash rows by a unique key over all cores when the input has fewer parts than cores.
+
+    Only small inputs in few files are moved; a large scan has more parts than cores and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_splits(spark: SparkSession, folder: str, patterns: Mapping[str, str], out: str = "split") -> DataFrame:
     """File patterns such as ``{"train": "train*", "eval": "eval*"}`` as one table with a split column (S3)."""
     parts = [spark.read.parquet(f"{folder.rstrip('/')}/{glob}").withColumn(out, F.lit(name)) for name, glob in patterns.items()]

@@ -19,12 +19,12 @@ CLEAN_B = r"""regexp_replace(trim(regexp_replace(regexp_replace(lower(text), '[^
 
 @query("clean_text_a", f"SELECT doc_id, {CLEAN_A} AS cleaned FROM documents")
 def clean_text_a(spark, sf):
-    return t.load(spark, sf, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
+    return t.documents(spark, sf).select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
 @query("clean_text_b", f"SELECT doc_id, {CLEAN_B} AS cleaned FROM documents")
 def clean_text_b(spark, sf):
-    return t.load(spark, sf, "documents").select("doc_id", text.clean_text(F.col("text"), strip_first=False).alias("cleaned"))
+    return t.documents(spark, sf).select("doc_id", text.clean_text(F.col("text"), strip_first=False).alias("cleaned"))
 
 
 @query("tokenize_pad", f"""
@@ -32,12 +32,12 @@ def clean_text_b(spark, sf):
     FROM (SELECT doc_id, list_filter(string_split({CLEAN_B}, ' '), lambda x: x <> '') AS w FROM documents)""")
 def tokenize_pad(spark, sf):
     tokens = text.tokenize_pad(text.clean_text(F.col("text"), strip_first=False))
-    return t.load(spark, sf, "documents").select("doc_id", tokens.alias("tokens")).withColumn("tokens", shown("tokens"))
+    return t.documents(spark, sf).select("doc_id", tokens.alias("tokens")).withColumn("tokens", shown("tokens"))
 
 
 def _tokens(spark, sf):
     cleaned = text.clean_text(F.col("text"), strip_first=False)
-    return t.load(spark, sf, "documents").select("doc_id", text.words(cleaned).alias("tokens"))
+    return t.documents(spark, sf).select("doc_id", text.words(cleaned).alias("tokens"))
 
 
 DOC_TOKENS = f"tokens AS (SELECT doc_id, list_filter(string_split({CLEAN_B}, ' '), lambda x: x <> '') AS w FROM documents)"

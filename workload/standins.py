@@ -8,13 +8,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.plans.catalogue import SPECIAL_LABELS  # noqa: F401  (re-exported for the queries)
+from tagloom.sources.tables import spread
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents spread over the cores, for steps that work hard on each text."""
+    return spread(load(spark, sf_dir, "documents"), "doc_id")
+
+
 def program(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as programmes: the source as title, the size as type, the language with its three-letter code."""
     kind = F.when(F.col("n_chars") < 1500, "Movie").when(F.col("n_chars") < 5000, "Episode").otherwise("SeriesMaster")

@@ -310,10 +310,10 @@ def embed_text(spark, sf):
     return out.select("doc_id", F.col("vec")[0].cast("bigint").alias("chars"), F.col("vec")[1].cast("bigint").alias("blanks"))
 
 
-@query("word_vectors")
-def word_vectors(spark, sf):
+@query("text_vectors")
+def text_vectors(spark, sf):
     docs = t.load(spark, sf, "documents").select("doc_id", "text")
-    return models.apply_word_vectors(models.fit_word_vectors(docs, "text", dim=8), docs).select("doc_id", "vec")
+    return models.apply_text_vectors(models.fit_text_vectors(docs, "text", dim=64), docs).select("doc_id", "vec")
 
 
 @query("train_tagger")
