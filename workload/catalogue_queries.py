@@ -250,12 +250,12 @@ def titles_union(spark, sf):
 
 @query("title_pieces", with_tables("catalogue", f"""
     SELECT title AS "TitleDetails_title", min(synopsis) AS synopsis,
-           array_to_string(list_sort({TRIMMED.format("flatten(list(string_split(subgenres, ',')))", "NULL").replace("x NOT IN (NULL)", "x IS NOT NULL")}), '|') AS subgenres,
-           array_to_string(list_sort({TRIMMED.format("flatten(list(string_split(tags, ',')))", "NULL").replace("x NOT IN (NULL)", "x IS NOT NULL")}), '|') AS title_tags
+           coalesce(array_to_string(list_sort({TRIMMED.format("flatten(list(string_split(subgenres, ',')))", "NULL").replace("x NOT IN (NULL)", "x IS NOT NULL")}), '|'), '') AS subgenres,
+           coalesce(array_to_string(list_sort({TRIMMED.format("flatten(list(string_split(tags, ',')))", "NULL").replace("x NOT IN (NULL)", "x IS NOT NULL")}), '|'), '') AS title_tags
     FROM catalogue GROUP BY title"""))
 def title_pieces(spark, sf):
     out = plans.title_pieces(t.catalogue_view(spark, sf))
-    return out.withColumn("subgenres", shown("subgenres")).withColumn("title_tags", shown("title_tags"))
+    return out.withColumns({c: F.coalesce(shown(c), F.lit("")) for c in ("subgenres", "title_tags")})
 
 
 @query("title_keyword_index", with_tables("training catalogue content_id content_vocab", f"""{TITLES},
