@@ -83,6 +83,21 @@ def array_histogram(df: DataFrame, keys: Sequence[str], col: str, out: str = "st
     return counted.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("value", "count"))).alias(out))
 
 
+def first_and_list(df: DataFrame, keys: Sequence[str], firsts: Sequence[str], lists: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Per key, some columns from its first row and others as sorted lists.
+
+    Equal list values are counted before the group is put together, so copies add counts, not rows.
+    """
+    head = df.groupBy(*keys).agg(F.min(F.struct(*order, *firsts)).alias("_first"))
+    out = head.select(*keys, *[F.col("_first")[c].alias(c) for c in firsts])
+    for c in lists:
+        counted = df.where(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).cast("int").alias("_n"))
+        pairs = F.sort_array(F.collect_list(F.struct(F.col(c).alias("v"), "_n")))
+        members = counted.groupBy(*keys).agg(F.flatten(F.transform(pairs, lambda p: F.array_repeat(p["v"], p["_n"]))).alias(c))
+        out = out.join(members, list(keys), "left")
+    return out
+
+
 def union_arrays(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Per key, the set union of each array column (A14), in one pass over the rows."""
 

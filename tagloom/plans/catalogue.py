@@ -21,7 +21,9 @@ from tagloom.functions.vectors import multi_hot
 from tagloom.operators.clusters import SPECIAL_LABELS
 from tagloom.operators.labels import apply_vocab, build_vocab, filter_to_vocab
 from tagloom.operators.ordering import head_per_group, sample_keys, with_row_id
+from tagloom.operators.recommend import content_to_content, type_match
 from tagloom.operators.relational import distinct_array, distinct_text, flag_members, join_ci, keep_top_values, remap_values, union_arrays, when_or_null
+from tagloom.session import cut_lineage
 
 # Fixed values of the tag build.
 LANGUAGES = ["eng", "spa"]
@@ -140,22 +142,25 @@ def titles_lower(catalogue: DataFrame, content_ids: DataFrame) -> DataFrame:
     return titles_merged(catalogue, content_ids).withColumn("title", F.lower("TitleDetails_title"))
 
 
-def _with_vocab_tokens(titles: DataFrame, token_vocab: DataFrame, skip_first: bool) -> DataFrame:
-    """Add up to 64 distinct vocabulary tokens from a title's first 256 synopsis tokens.
+def _with_vocab_tokens(texts: DataFrame, token_vocab: DataFrame, skip_first: bool) -> DataFrame:
+    """Add up to 64 distinct vocabulary tokens from the first 256 synopsis tokens of a title's rows.
 
     Offsets start at 1, so the first token of each list is skipped; a title whose only entry is the
     default then has no token left and disappears. ``skip_first=False`` keeps both.
     """
-    opening = titles.select("TitleDetails_title", offset_window(split_on(F.col(SYNOPSIS), " "), TOKEN_LIMIT, skip_first).alias("tokens"))
+    opening = texts.select("TitleDetails_title", offset_window(split_on(F.col(SYNOPSIS), " "), TOKEN_LIMIT, skip_first).alias("tokens"))
     found = filter_to_vocab(opening, "TitleDetails_title", "tokens", token_vocab, "tokens")
-    joined = titles.join(found, "TitleDetails_title", "left")
+    joined = texts.join(found, "TitleDetails_title", "left")
     tokens = offset_window(default_array(F.col("tokens"), ["TV"]), KEYWORD_LIMIT, skip_first)
     return joined.withColumn("tokens", tokens).where(F.array_size("tokens") > 0)
 
 
 def titles_tokens(catalogue: DataFrame, content_ids: DataFrame, token_vocab: DataFrame, skip_first: bool = True) -> DataFrame:
-    """Titles with synopsis tokens that the vocabulary holds (Q-TITLES-TOK)."""
-    return _with_vocab_tokens(titles_merged(catalogue, content_ids), token_vocab, skip_first)
+    """Titles with synopsis tokens that the vocabulary holds (Q-TITLES-TOK).
+
+    Content ids belong to whole titles, so they are joined last.
+    """
+    return _with_content_ids(_with_vocab_tokens(_title_texts(catalogue), token_vocab, skip_first), content_ids)
 
 
 def titles_tokens_keywords(catalogue: DataFrame, content_ids: DataFrame, token_vocab: DataFrame, skip_first: bool = True) -> DataFrame:
@@ -163,9 +168,10 @@ def titles_tokens_keywords(catalogue: DataFrame, content_ids: DataFrame, token_v
 
     Titles match exactly here, and a title without tags has NULL keywords.
     """
-    base = _with_content_ids(_title_texts(catalogue, distinct_text("TitleTags", ",").alias("TitleTags")), content_ids, ignore_case=False)
+    texts = _title_texts(catalogue, distinct_text("TitleTags", ",").alias("TitleTags"))
     keywords = strip_to_array(split_on(F.concat(F.lit("movie,"), F.col("TitleTags")), ","))
-    return _with_vocab_tokens(base, token_vocab, skip_first).withColumn("keywords", keywords).drop("TitleTags")
+    worded = _with_vocab_tokens(texts, token_vocab, skip_first).withColumn("keywords", keywords).drop("TitleTags")
+    return _with_content_ids(worded, content_ids, ignore_case=False)
 
 
 def _catalogue_words() -> Column:
@@ -290,9 +296,10 @@ def full_tags(programs: DataFrame, program_tags: DataFrame, token_vocab: DataFra
     tag_rows = in_vocab.select("program_id", F.col("tag_value").alias("tag"), genre.alias("genre"))
 
     def collect(rows: DataFrame, own_type: Column, key: Column, synopsis: Column) -> DataFrame:
-        rows = rows.join(tagged, F.col("program_val") == F.col("program_id"), "left_semi").withColumn("_key", key)
+        rows = rows.withColumn("_key", key)
         # per group: the descriptive columns once, and its tags by id alone
-        shown = rows.groupBy("_key").agg(
+        with_tags = rows.join(tagged, F.col("program_val") == F.col("program_id"), "left_semi")
+        shown = with_tags.groupBy("_key").agg(
             F.min(own_type).alias("program_type"), F.min("program_title").alias("program_title"),
             synopsis.alias("program_longsynopsis"), F.min("program_language").alias("program_language"),
         )
@@ -382,6 +389,17 @@ def tag_vectors(titles: DataFrame, key: str, tags: str = "tags", vocab: DataFram
     return indices.select(key, multi_hot(F.col("_indices"), size).alias("vec"))
 
 
+def tag_recommendations(titles: DataFrame, key: str, title_type: str, n: int = 15, tags: str = "tags", **options) -> DataFrame:
+    """(id, rank, match_id, score, type_match): similar titles by tags (Q-RAW-C2C). Runs jobs.
+
+    The titles, their vectors and the ranked lists are stored, as each is read several times.
+    """
+    titles = cut_lineage(titles.select(key, title_type, tags))
+    vectors = cut_lineage(tag_vectors(titles, key, tags))
+    recs = cut_lineage(content_to_content(vectors, n, id_col=key, **options))
+    return recs.join(type_match(recs, titles, key, title_type), "id")
+
+
 def titles_union(training: DataFrame) -> DataFrame:
     """One row per lower-cased title: any title, any synopsis, distinct tags (Q-TITLE-UNION)."""
     keyed = training.withColumn("_key", F.lower("program_title")).where(F.array_size("tags") > 0)

@@ -43,7 +43,7 @@ def test_first_per_key_uses_the_stated_order(spark):
 def test_samples_do_not_depend_on_partitioning(spark, rows):
     df = spark.range(1000).withColumn("k", F.col("id").cast("string"))
     assert rows(ordering.sample_keys(df, "k", 20)) == rows(ordering.sample_keys(df.repartition(9), "k", 20))
-    assert rows(ordering.sample_rows(df, 20)) == rows(ordering.sample_rows(df.repartition(3), 20))
+    assert rows(ordering.sample_rows(df, 20, ["id"])) == rows(ordering.sample_rows(df.repartition(3), 20, ["id"]))
 
 
 def test_string_agg_keeps_or_drops_duplicates(spark, rows):

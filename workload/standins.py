@@ -147,7 +147,7 @@ def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A label-to-cluster table over the training labels: languages, sources and quality marks."""
     docs = load(spark, sf_dir, "documents")
     found = docs.select(F.col("lang").alias("word")).union(docs.select("source")).distinct()
-    return found.select("word", F.upper(F.substring("word", 1, 4)).alias("centroid_word"), F.char_length("word").alias("cluster"))
+    return found.select("word", F.upper(F.substring("word", 1, 4)).alias("centroid_word"), F.char_length("word").cast("bigint").alias("cluster"))
 
 
 SQL = {

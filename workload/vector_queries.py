@@ -224,11 +224,9 @@ def raw_tag_recommendations(spark, sf):
     parts = t.load(spark, sf, "part")
     training = parts.select(F.upper("p_name").alias("program_title"), F.concat(F.split("p_name", " "), F.array("p_brand", "p_type")).alias("tags"))
     titles = plans.titles_with_tags(t.catalogue_view(spark, sf), t.content_id(spark, sf), training)
-    titles = titles.withColumn("id", F.concat("TitleDetails_title", F.lit("/"), "TitleType")).select("id", F.col("TitleType").alias("type"), "tags")
-    items = plans.tag_vectors(titles, "id").join(titles.select("id", "type"), "id")
-    recs = recommend.content_to_content(items, 15)
-    matched = recs.join(recommend.type_match(recs, items), "id")
-    return matched.select("id", "rank", "match_id", F.round("score", 6).alias("score"), F.round("type_match", 6).alias("type_match"))
+    titles = titles.withColumn("id", F.concat("TitleDetails_title", F.lit("/"), "TitleType"))
+    out = plans.tag_recommendations(titles, "id", "TitleType")
+    return out.select("id", "rank", "match_id", F.round("score", 6).alias("score"), F.round("type_match", 6).alias("type_match"))
 
 
 @query("mean_pooled_titles", with_tables("items", """,
