@@ -44,13 +44,11 @@ def centroid_word(df: DataFrame, word: str = "word", vec: str = "vec", cluster:
     gap = F.aggregate(
         F.zip_with(F.col(vec).cast("array<double>"), "_mean", lambda x, m: (x - m) * (x - m)), F.lit(0.0), lambda acc, x: acc + x
     )
-    nearest = (
-        df.join(means, cluster)
-        .select(cluster, word, F.round(gap, 12).alias("_gap"))
-        .groupBy(F.col(cluster).alias("_cluster"))
-        .agg(F.min(F.struct("_gap", word)).alias("_best"), F.count(F.lit(1)).alias("num_words"))
-    )
-    named = nearest.select("_cluster", F.col("_best")[word].alias("centroid_word"), "num_words")
+    gaps = df.join(means, cluster).select(F.struct(F.col(cluster).alias("_cluster")).alias("_group"), word, F.round(gap, 12).alias("_gap"))
+    # the grouping value differs from the join key on purpose: a large cluster is then combined in the
+    # tasks that joined it, where reusing the join's arrangement would keep it in one task
+    nearest = gaps.groupBy("_group").agg(F.min(F.struct("_gap", word)).alias("_best"), F.count(F.lit(1)).alias("num_words"))
+    named = nearest.select("_group._cluster", F.col("_best")[word].alias("centroid_word"), "num_words")
     return df.join(named, F.col(cluster) == F.col("_cluster")).drop("_cluster")
 
 

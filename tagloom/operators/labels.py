@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.text import hash_slot
 from tagloom.functions.vectors import multi_hot
 from tagloom.operators.ordering import with_row_id
+from tagloom.operators.relational import distinct_apart
 
 
 def build_vocab(df: DataFrame, col: str) -> DataFrame:
@@ -49,7 +50,7 @@ def apply_vocab(
 
 def filter_to_vocab(df: DataFrame, key: str, col: str, vocab: DataFrame, token: str = "token") -> DataFrame:
     """(key, distinct members that the vocabulary holds, ascending) (T11); rows without any are left out."""
-    allowed = vocab.select(F.col(token).alias("_member")).distinct()
+    allowed = distinct_apart(vocab, F.col(token).alias("_member"))
     members = df.select(key, F.explode_outer(F.array_distinct(col)).alias("_member")).where(F.col("_member").isNotNull()).distinct()
     kept = members.join(allowed, "_member", "left_semi")
     return kept.groupBy(key).agg(F.sort_array(F.collect_list("_member")).alias(col))
@@ -77,7 +78,7 @@ def pivot_predictions(df: DataFrame, keys: Sequence[str], label: str, value: str
 def pretrained_hits(vocab: DataFrame, pretrained: DataFrame) -> DataFrame:
     """Vocabulary rows with ``is_covered``: the pretrained set has the token with a non-zero vector."""
     nonzero = F.exists("vec", lambda x: x != 0)
-    known = pretrained.where(nonzero).select(F.col("token").alias("_token")).distinct().withColumn("_hit", F.lit(True))
+    known = distinct_apart(pretrained.where(nonzero), F.col("token").alias("_token")).withColumn("_hit", F.lit(True))
     joined = vocab.join(known, F.col("token") == F.col("_token"), "left")
     return joined.select(*vocab.columns, F.col("_hit").isNotNull().alias("is_covered"))
 

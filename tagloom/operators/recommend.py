@@ -84,10 +84,14 @@ def history_and_test(
     ties = [F.col(c) for c in (content, "item") if c in plays.columns]
     first = head_per_group(plays, user, [*sequence, *ties], history)
     seen = first.select(F.col(user).alias("_user"), F.col(content).alias("_content")).distinct()
-    earliest = plays.groupBy(user, content).agg(F.min(F.struct(*sequence)).alias("_first"))
-    unseen = earliest.join(seen, (F.col(user) == F.col("_user")) & (F.col(content) == F.col("_content")), "left_anti")
-    later = head_per_group(unseen, user, [F.col("_first"), F.col(content)], test)
-    return first, later.select(user, content, *[F.col("_first")[c].alias(c) for c in order])
+    # grouped by the pair as one value: plays that come from a join on the content are arranged by it, and
+    # Spark would then leave a popular content's plays in one task instead of combining and spreading them
+    pair = F.struct(F.col(user).alias("_user"), F.col(content).alias("_content")).alias("_pair")
+    earliest = plays.groupBy(pair).agg(F.min(sequence[0] if len(order) == 1 else F.struct(*sequence)).alias("_first"))
+    unseen = earliest.select("_pair.*", "_first").join(seen, ["_user", "_content"], "left_anti")
+    later = head_per_group(unseen, "_user", [F.col("_first"), F.col("_content")], test)
+    times = [F.col("_first").alias(order[0])] if len(order) == 1 else [F.col("_first")[c].alias(c) for c in order]
+    return first, later.select(F.col("_user").alias(user), F.col("_content").alias(content), *times)
 
 
 def user_profiles(

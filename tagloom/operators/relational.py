@@ -11,6 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def distinct_apart(df: DataFrame, *cols: str | Column) -> DataFrame:
+    """Distinct rows for the small side of a join whose other side may have a hot key.
+
+    The distinct runs on the columns as one value, so its result is not arranged by the join key.
+    Spark then shuffles it once more for the join, and can split a hot key of the other side; it
+    cannot when an aggregate feeds the join directly.
+    """
+    return df.select(F.struct(*cols).alias("_row")).distinct().select("_row.*")
+
+
 def remap_values(col: Column, mapping: Mapping[str, str]) -> Column:
     """Replace listed values, keep the others (P5)."""
     if not mapping:
@@ -26,7 +36,7 @@ def when_or_null(condition: Column, col: Column) -> Column:
 
 def flag_members(df: DataFrame, col: str, reference: DataFrame, ref_col: str, flag: str = "is_member") -> DataFrame:
     """Mark the rows whose value occurs in another list."""
-    known = reference.select(F.col(ref_col).alias("_ref")).distinct().withColumn("_hit", F.lit(True))
+    known = distinct_apart(reference, F.col(ref_col).alias("_ref")).withColumn("_hit", F.lit(True))
     joined = df.join(known, F.col(col) == F.col("_ref"), "left")
     return joined.select(*df.columns, F.col("_hit").isNotNull().alias(flag))
 
@@ -114,7 +124,9 @@ def union_arrays(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> Dat
 
 
 def _by_key(df: DataFrame, keys: Sequence[str], vec: str, pick: Column, out: str) -> DataFrame:
-    return df.groupBy(*keys).agg(pick.alias("_v")).select(*keys, vector_to_array("_v").alias(out))
+    # the keys as one value, for the reason given at distinct_apart: results are often joined back
+    grouped = df.groupBy(F.struct(*keys).alias("_keys")).agg(pick.alias("_v"))
+    return grouped.select("_keys.*", vector_to_array("_v").alias(out))
 
 
 def sum_vectors(df: DataFrame, keys: Sequence[str], vec: str, out: str | None = None) -> DataFrame:

@@ -27,7 +27,7 @@ from tagloom.session import cut_lineage
 # the block functions travel to the tasks by value, so executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_ROWS = 8192
+BLOCK_BYTES = 32 << 20  # one side's block inside a task, as doubles
 _STRIPE_CELLS = 1 << 22  # scores held at once inside a task (32 MB)
 _DIGITS = 12  # scores are rounded before ranking, so that equal vectors tie whatever the block layout
 
@@ -80,16 +80,22 @@ def _stripes(left: pa.Table, right: pa.Table, score: ScoreFn):
         yield at, np.round(score(x[at : at + step], y), _DIGITS)
 
 
-def _layout(left: DataFrame, right: DataFrame, block_rows: int, by: str | None = None) -> tuple[int, int]:
-    """Blocks per side. Counts the rows of both sides (a driver-side action that returns two numbers)."""
+def _layout(left: DataFrame, right: DataFrame, block_rows: int | None, by: str | None = None) -> tuple[int, int]:
+    """Blocks per side. Counts the rows of both sides (a driver-side action that returns a few numbers).
+
+    With blocks of b rows, every left row is sent once per right block and the other way round:
+    2 * N * N / b rows for N rows on each side. Blocks are therefore as large as a task can hold.
+    """
     group = [F.col(by)] if by else []
 
-    def largest(df: DataFrame) -> int:
-        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-        return sizes.agg(F.max("n")).first()[0] or 0
+    def largest(df: DataFrame) -> tuple[int, int]:
+        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.max(F.array_size("vec")).alias("dim"))
+        n, dim = sizes.agg(F.max("n"), F.max("dim")).first()
+        return n or 0, dim or 1
 
-    n_left = largest(left)
-    n_right = n_left if right is left else largest(right)
+    n_left, dim = largest(left)
+    n_right = n_left if right is left else largest(right)[0]
+    block_rows = block_rows or max(1024, BLOCK_BYTES // (8 * dim))
     right_blocks = max(1, math.ceil(n_right / block_rows))
     # small inputs still use every core; large ones are cut by the block size alone
     spread = min(left.sparkSession.sparkContext.defaultParallelism, math.ceil(n_left / 64))
@@ -173,7 +179,7 @@ def topk_pairs(
     by: str | None = None,
     hidden: str | None = None,
     label: str | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Exact top ``k`` right rows for each left row: (id, rank, match_id, score).
 
@@ -303,7 +309,7 @@ def _binned_pairs(x, y, score, drop_self, layout, lo: float, hi: float, bins: in
 
 def score_histogram(
     df: DataFrame, bins: int = 100, id_col: str = "id", vec: str = "vec",
-    score: ScoreFn = cosine_scores, block_rows: int = BLOCK_ROWS,
+    score: ScoreFn = cosine_scores, block_rows: int | None = None,
 ) -> DataFrame:
     """Equal-width histogram of all pair scores of a set, self pairs removed (A20): (bin, lo, hi, n).
 
@@ -329,7 +335,7 @@ def score_histogram(
 def score_summary(
     left: DataFrame, right: DataFrame, left_id: str = "id", left_vec: str = "vec",
     right_id: str = "id", right_vec: str = "vec", score: ScoreFn = cosine_scores,
-    block_rows: int = BLOCK_ROWS, gather: int = 100_000, bins: int = 1 << 16,
+    block_rows: int | None = None, gather: int = 100_000, bins: int = 1 << 16,
 ) -> DataFrame:
     """One row (n, mean, std, median) over all scores of two sets.
 

@@ -22,7 +22,7 @@ from tagloom.operators.clusters import SPECIAL_LABELS
 from tagloom.operators.labels import apply_vocab, build_vocab, filter_to_vocab
 from tagloom.operators.ordering import head_per_group, sample_keys, with_row_id
 from tagloom.operators.recommend import content_to_content, type_match
-from tagloom.operators.relational import distinct_array, distinct_text, flag_members, join_ci, keep_top_values, remap_values, union_arrays, when_or_null
+from tagloom.operators.relational import distinct_apart, distinct_array, distinct_text, flag_members, join_ci, keep_top_values, remap_values, union_arrays, when_or_null
 from tagloom.session import cut_lineage
 
 # Fixed values of the tag build.
@@ -289,10 +289,10 @@ def full_tags(programs: DataFrame, program_tags: DataFrame, token_vocab: DataFra
     Only programmes with at least one tag row count. Columns: program_type, program_title,
     program_longsynopsis, program_language, [genre,] tags.
     """
-    tagged = program_tags.select("program_id").distinct()
+    tagged = distinct_apart(program_tags, "program_id")
     usable = programs.where(F.col("program_language").isin(*LANGUAGES) & F.col("program_longsynopsis").isNotNull())
     genre = when_or_null(F.col("tag_type").isin(*GENRE_TYPES) | (F.col("tag_value") == ADULT_TAG), F.col("tag_value"))
-    in_vocab = program_tags.join(token_vocab.select(F.col("tokens").alias("tag_value")).distinct(), "tag_value", "left_semi")
+    in_vocab = program_tags.join(distinct_apart(token_vocab, F.col("tokens").alias("tag_value")), "tag_value", "left_semi")
     tag_rows = in_vocab.select("program_id", F.col("tag_value").alias("tag"), genre.alias("genre"))
 
     def collect(rows: DataFrame, own_type: Column, key: Column, synopsis: Column) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.operators import recommend, similarity
+from tagloom.operators import recommend
 from tagloom.operators.ordering import first_per_key
 from tagloom.session import cut_lineage
 from tagloom.sources.tables import append_metrics, write_report
@@ -35,7 +35,7 @@ def one_item_per_title(items: DataFrame, title: str, order: str) -> DataFrame:
 
 def evaluate(
     plays: DataFrame, items: DataFrame, history: int = recommend.HISTORY, test: int = recommend.TEST,
-    ns: tuple[int, ...] = recommend.TOP, user: str = "user_id", order: tuple[str, ...] = ("ts",), block_rows: int = similarity.BLOCK_ROWS,
+    ns: tuple[int, ...] = recommend.TOP, user: str = "user_id", order: tuple[str, ...] = ("ts",), block_rows: int | None = None,
 ) -> Evaluation:
     """Profiles, recommendations and ranking metrics.
 
