@@ -335,7 +335,7 @@ def score_histogram(
 def score_summary(
     left: DataFrame, right: DataFrame, left_id: str = "id", left_vec: str = "vec",
     right_id: str = "id", right_vec: str = "vec", score: ScoreFn = cosine_scores,
-    block_rows: int | None = None, gather: int = 100_000, bins: int = 1 << 16,
+    block_rows: int | None = None, gather: int = 100_000, bins: int = 1 << 13,
 ) -> DataFrame:
     """One row (n, mean, std, median) over all scores of two sets.
 
