@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tagloom.functions.vectors import focal_terms
 from tagloom.operators.ordering import running_totals
 from tagloom.operators.relational import side_by_side
-from tagloom.session import cut_lineage
 
 THRESHOLD = 0.5
 # The marks for labels that cannot be scored, and the gate's limits.
@@ -38,15 +37,13 @@ def per_tag_metrics(df: DataFrame, threshold: float = THRESHOLD, compat: bool =
     ``status``; ``compat`` gives -1 and 10 instead. Runs a job.
     """
     points = df.groupBy("tag", "p").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
-    # read twice below (totals and running counts); far smaller than the input when scores repeat
-    points = cut_lineage(points)
     run = running_totals(points, ["tag"], [F.desc("p")], {"cum_n": F.col("n"), "cum_pos": F.col("pos")})
     hit = F.when(F.col("p") > threshold, F.col("pos")).otherwise(F.col("n") - F.col("pos"))
-    totals = points.groupBy("tag").agg(F.sum("n").alias("rows"), F.sum("pos").alias("positives"), F.sum(hit).alias("hits"))
     precision = F.col("pos") * F.try_divide(F.col("cum_pos"), F.col("cum_n"))
     above = F.col("cum_pos") - F.col("pos") / F.lit(2.0)  # positives ranked above, a tie counting half
-    curves = run.groupBy("tag").agg(
-        F.sum(precision).alias("ap"), F.sum((F.col("n") - F.col("pos")) * above).alias("wins")
+    totals = run.groupBy("tag").agg(
+        F.sum("n").alias("rows"), F.sum("pos").alias("positives"), F.sum(hit).alias("hits"),
+        F.sum(precision).alias("ap"), F.sum((F.col("n") - F.col("pos")) * above).alias("wins"),
     )
     negatives = F.col("rows") - F.col("positives")
     status = F.when(F.col("positives") == 0, "no_positives").when(negatives == 0, "only_positives").otherwise("ok")
@@ -56,7 +53,7 @@ def per_tag_metrics(df: DataFrame, threshold: float = THRESHOLD, compat: bool =
     def scored(value: Column, name: str) -> Column:
         return F.when(F.col("status") == "ok", value).otherwise(other).alias(name)
 
-    return totals.join(curves, "tag").withColumn("status", status).select(
+    return totals.withColumn("status", status).select(
         "tag", "status", "rows", "positives",
         (F.col("positives") / F.col("rows")).alias("prevalence"),
         scored(F.col("hits") / F.col("rows"), "accuracy"),

@@ -77,10 +77,15 @@ def head_per_group(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Col
     return ranked if name else ranked.drop(rank)
 
 
+def with_rank(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Column], name: str = "rank") -> DataFrame:
+    """The 1-based place of every row in its key (W7), balanced for hot keys. Runs a job."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return running_totals(df, keys, order, {name: F.lit(1)})
+
+
 def tail_per_group(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Column], n: int) -> DataFrame:
     """All rows after the first ``n`` per key (W4), balanced for hot keys. Runs a job."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    return running_totals(df, keys, order, {"_rank": F.lit(1)}).where(F.col("_rank") > n).drop("_rank")
+    return with_rank(df, keys, order, "_rank").where(F.col("_rank") > n).drop("_rank")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Column]) -> DataFrame:

@@ -140,19 +140,25 @@ def _side(df: DataFrame, id_col: str, vec: str, by: str | None, **extra: str | N
     return df.select(*group, F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("vec"), *more)
 
 
-def _hidden(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray] | None:
-    """Per left row, which label codes its ``hidden`` list names, and the code of each right row."""
+def _hider(left: pa.Table, right: pa.Table) -> Callable[[int, np.ndarray], np.ndarray]:
+    """A function that sets a stripe's scores to -1 where the left row's ``hidden`` list names the right label."""
     if "hidden" not in left.column_names:
-        return None
+        return lambda at, scores: scores
     labels, codes = np.unique(right.column("label").to_numpy(), return_inverse=True)
     lists = left.column("hidden").combine_chunks()
     owner = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
     named = lists.flatten().to_numpy(zero_copy_only=False)
     spot = np.minimum(np.searchsorted(labels, named), len(labels) - 1)
     hit = labels[spot] == named
-    table = np.zeros((len(lists), len(labels)), dtype=bool)
-    table[owner[hit], spot[hit]] = True
-    return table, codes
+    owner, spot = owner[hit], spot[hit]
+
+    def hide(at: int, scores: np.ndarray) -> np.ndarray:
+        first, last = np.searchsorted(owner, [at, at + len(scores)])
+        table = np.zeros((len(scores), len(labels)), dtype=bool)
+        table[owner[first:last] - at, spot[first:last]] = True
+        return np.where(table[:, codes], -1.0, scores)
+
+    return hide
 
 
 def _field(df: DataFrame, col: str, name: str) -> T.StructField:
@@ -198,12 +204,10 @@ def topk_pairs(
     def best(lt: pa.Table, rt: pa.Table) -> pa.Table:
         rt = rt.sort_by("id")  # columns in id order make a column number the tie break
         lid, rid = _ids(lt), _ids(rt)
-        masked = _hidden(lt, rt)
+        hide = _hider(lt, rt)
         rows, cols, values = [], [], []
         for at, s in _stripes(lt, rt, score):
-            s = np.where(np.isnan(s), -np.inf, s)
-            if masked:
-                s = np.where(masked[0][at : at + len(s)][:, masked[1]], -1.0, s)
+            s = hide(at, np.where(np.isnan(s), -np.inf, s))
             own = np.zeros(s.shape, dtype=bool)
             if exclude_self:
                 mine = lid[at : at + len(s)]
