@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tagloom.operators import similarity
 from tagloom.operators.ordering import head_per_group
-from tagloom.operators.relational import share_matching, side_by_side, sum_vectors
+from tagloom.operators.relational import distinct_apart, share_matching, side_by_side, sum_vectors
+from tagloom.session import cut_lineage
 
 # Fixed values of the evaluation: plays in a profile, plays to predict, list lengths, sampled users.
 HISTORY = 10
@@ -64,25 +65,55 @@ def plays_of_items(
     """Plays joined to the items they refer to, with the item's id as ``item``.
 
     Vectors are joined later, to the few plays that need them. Items that share a content id multiply
-    its plays.
+    its plays; :func:`history_and_test` reaches the same histories without that.
     """
     ids = items.select(F.col(item).alias("item"), F.col(item_content).alias("_item_content"))
     return plays.join(ids, F.col(content) == F.col("_item_content")).drop("_item_content")
 
 
+def plays_with_items(plays: DataFrame, items: DataFrame, content: str = "content_id", item_content: str = "content_id") -> DataFrame:
+    """Plays that refer to at least one item."""
+    return plays.join(distinct_apart(items, F.col(item_content).alias("_known")), F.col(content) == F.col("_known"), "left_semi")
+
+
+def first_rows_with_items(
+    first: DataFrame, items: DataFrame, history: int = HISTORY, user: str = "user_id", content: str = "content_id",
+    order: Sequence[str] = ("ts",), item: str = "item", item_content: str = "content_id",
+) -> DataFrame:
+    """The first ``history`` (play, item) rows per user, from each user's first plays.
+
+    A content's first ``history`` items are all that can be reached, so items that share a content id
+    multiply a play by at most that many.
+    """
+    ids = items.select(F.col(item).alias("item"), F.col(item_content).alias("_item_content"))
+    reachable = head_per_group(ids, "_item_content", [F.col("item")], history)
+    rows = first.join(reachable, F.col(content) == F.col("_item_content")).drop("_item_content")
+    return head_per_group(rows, user, [*[F.col(c) for c in order], F.col(content), F.col("item")], history)
+
+
 def history_and_test(
-    plays: DataFrame, history: int = HISTORY, test: int = TEST,
-    user: str = "user_id", content: str = "content_id", order: Sequence[str] = ("ts",),
+    plays: DataFrame, history: int = HISTORY, test: int = TEST, user: str = "user_id", content: str = "content_id",
+    order: Sequence[str] = ("ts",), items: DataFrame | None = None, store: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Each user's first ``history`` plays, and the next ``test`` distinct items outside them.
+    """Each user's first ``history`` plays, and the next ``test`` distinct contents outside them.
+
+    With ``items``, the history is the first ``history`` rows of the plays joined to their items, with
+    the item's id as ``item``; the large plays are only filtered, never multiplied. ``store`` writes
+    the history to the checkpoint folder, as it is used twice.
 
-    A later item's place is its first play after the history. An item outside the history was never
-    played in it, so that first play is simply the item's first play: one combined minimum per
-    (user, item) replaces a window over all plays of a user, which a heavy user would put into one task.
+    A later content's place is its first play after the history. A content outside the history was
+    never played in it, so that first play is simply the content's first play: one combined minimum
+    per (user, content) replaces a window over all plays of a user, which a heavy user would put into
+    one task.
     """
     sequence = [F.col(c) for c in order]
-    ties = [F.col(c) for c in (content, "item") if c in plays.columns]
-    first = head_per_group(plays, user, [*sequence, *ties], history)
+    if items is not None:
+        plays = plays_with_items(plays, items, content)
+    first = head_per_group(plays, user, [*sequence, F.col(content)], history)
+    if items is not None:
+        first = first_rows_with_items(first, items, history, user, content, order)
+    if store:
+        first = cut_lineage(first)
     seen = first.select(F.col(user).alias("_user"), F.col(content).alias("_content")).distinct()
     # grouped by the pair as one value: plays that come from a join on the content are arranged by it, and
     # Spark would then leave a popular content's plays in one task instead of combining and spreading them

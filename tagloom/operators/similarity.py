@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -86,15 +87,14 @@ def _layout(left: DataFrame, right: DataFrame, block_rows: int | None, by: str |
     With blocks of b rows, every left row is sent once per right block and the other way round:
     2 * N * N / b rows for N rows on each side. Blocks are therefore as large as a task can hold.
     """
-    group = [F.col(by)] if by else []
-
-    def largest(df: DataFrame) -> tuple[int, int]:
-        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.max(F.array_size("vec")).alias("dim"))
-        n, dim = sizes.agg(F.max("n"), F.max("dim")).first()
-        return n or 0, dim or 1
-
-    n_left, dim = largest(left)
-    n_right = n_left if right is left else largest(right)[0]
+    group = F.col(by) if by else F.lit(0)
+    sides = [left] if right is left else [left, right]
+    sized = [d.select(F.lit(i).alias("side"), group.alias("g"), F.array_size("vec").alias("dim")) for i, d in enumerate(sides)]
+    counts = reduce(DataFrame.union, sized).groupBy("side", "g").agg(F.count(F.lit(1)).alias("n"), F.max("dim").alias("dim"))
+    found = {r["side"]: r for r in counts.groupBy("side").agg(F.max("n").alias("n"), F.max("dim").alias("dim")).collect()}
+    n_left = found[0]["n"] if 0 in found else 0
+    n_right = n_left if right is left else found[1]["n"] if 1 in found else 0
+    dim = max([1, *[r["dim"] or 1 for r in found.values()]])
     block_rows = block_rows or max(1024, BLOCK_BYTES // (8 * dim))
     right_blocks = max(1, math.ceil(n_right / block_rows))
     # small inputs still use every core; large ones are cut by the block size alone

@@ -293,7 +293,8 @@ def full_tags(programs: DataFrame, program_tags: DataFrame, token_vocab: DataFra
     usable = programs.where(F.col("program_language").isin(*LANGUAGES) & F.col("program_longsynopsis").isNotNull())
     genre = when_or_null(F.col("tag_type").isin(*GENRE_TYPES) | (F.col("tag_value") == ADULT_TAG), F.col("tag_value"))
     in_vocab = program_tags.join(distinct_apart(token_vocab, F.col("tokens").alias("tag_value")), "tag_value", "left_semi")
-    tag_rows = in_vocab.select("program_id", F.col("tag_value").alias("tag"), genre.alias("genre"))
+    # both sides of the tag join are made distinct, or copies of one programme would meet all copies of its tags
+    tag_rows = in_vocab.select("program_id", F.col("tag_value").alias("tag"), genre.alias("genre")).distinct()
 
     def collect(rows: DataFrame, own_type: Column, key: Column, synopsis: Column) -> DataFrame:
         rows = rows.withColumn("_key", key)
@@ -303,7 +304,7 @@ def full_tags(programs: DataFrame, program_tags: DataFrame, token_vocab: DataFra
             F.min(own_type).alias("program_type"), F.min("program_title").alias("program_title"),
             synopsis.alias("program_longsynopsis"), F.min("program_language").alias("program_language"),
         )
-        members = rows.select("_key", "program_val").join(tag_rows, F.col("program_val") == F.col("program_id")).select("_key", "tag", "genre")
+        members = rows.select("_key", "program_val").distinct().join(tag_rows, F.col("program_val") == F.col("program_id")).select("_key", "tag", "genre")
         words = members.groupBy("_key").agg(distinct_array("tag").alias("_tags"), distinct_array("genre").alias("_genre"))
         own = F.array("program_type", "program_language")
         everything = F.sort_array(F.array_distinct(F.concat(F.coalesce("_tags", F.array().cast("array<string>")), own)))
@@ -340,8 +341,8 @@ def cluster_map(
     keyed = rows.withColumn("_key", _digest(*keys))
     empty = F.array().cast("array<string>")
     pooled = F.array_distinct(F.concat(*[F.coalesce(F.col(a), empty) for a in arrays]))
-    labels = keyed.select("_key", F.explode(pooled).alias("_label"))
-    mapped = labels.join(clusters.select(F.col(word).alias("_label"), "centroid_word"), "_label")
+    labels = keyed.select("_key", F.explode(pooled).alias("_label")).distinct()
+    mapped = labels.join(distinct_apart(clusters, F.col(word).alias("_label"), "centroid_word"), "_label")
     tags = mapped.groupBy("_key").agg(distinct_array("centroid_word").alias("_new"))
     shown = keyed.groupBy("_key").agg(*[F.min(c).alias(c) for c in (*keys, *keep)])
     if guard:
@@ -356,8 +357,11 @@ def cluster_stats(training: DataFrame, clusters: DataFrame, word: str = "word")
     keyed = training.withColumn("_key", F.lower("program_title")).withColumn("_labels", pooled).where(F.array_size("_labels") > 0)
     shown = keyed.groupBy("_key").agg(*[F.min(c).alias(c) for c in ("program_title", "program_type", "program_longsynopsis")])
     labels = keyed.select("_key", F.explode("_labels").alias("_label")).distinct()
-    mapped = labels.join(clusters.select(F.col(word).alias("_label"), "centroid_word", "cluster"), "_label")
-    counted = mapped.groupBy("_key", "centroid_word").agg(F.count(F.lit(1)).alias("count"), F.collect_set("cluster").alias("_clusters"))
+    # equal mapping rows count as often as they occur
+    entry = F.struct(F.col(word).alias("_label"), "centroid_word", "cluster").alias("_entry")
+    mapping = clusters.groupBy(entry).agg(F.count(F.lit(1)).alias("_n")).select("_entry.*", "_n")
+    mapped = labels.join(mapping, "_label")
+    counted = mapped.groupBy("_key", "centroid_word").agg(F.sum("_n").alias("count"), F.collect_set("cluster").alias("_clusters"))
     stats = counted.groupBy("_key").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("_clusters")))).alias("cluster"),
         F.sort_array(F.collect_list(F.struct(F.col("centroid_word").alias("tags"), "count"))).alias("stats"),

@@ -17,7 +17,6 @@ from tagloom.sources.tables import append_metrics, write_report
 class Evaluation:
     """Intermediate and final tables of one run."""
 
-    plays: DataFrame
     history: DataFrame
     test: DataFrame
     profiles: DataFrame
@@ -44,13 +43,12 @@ def evaluate(
     rows per user, which are stored because each is read several times. Every user with plays has a
     history, so the histories also give the number of users.
     """
-    known = recommend.plays_of_items(plays, items)
-    first, later = recommend.history_and_test(known, history, test, user=user, order=order)
-    first, later = cut_lineage(first), cut_lineage(later)
+    first, later = recommend.history_and_test(plays, history, test, user=user, order=order, items=items, store=True)
+    later = cut_lineage(later)
     profiles = cut_lineage(recommend.user_profiles(first, items, history, user=user))
     ranked = cut_lineage(recommend.recommend_unseen(profiles, items, first, max(ns), user=user, block_rows=block_rows))
     metrics = recommend.ranking_metrics(ranked, later, first, ns, user=user)
-    return Evaluation(known, first, later, profiles, ranked, metrics)
+    return Evaluation(first, later, profiles, ranked, metrics)
 
 
 def publish(evaluation: Evaluation, model_name: str, model_path: str, metrics_path: str, report_path: str, user: str = "user_id") -> None:

@@ -134,3 +134,13 @@ def test_metric_rows_are_appended(spark, tmp_path):
 def test_one_item_per_title(spark):
     df = spark.createDataFrame([("t", 2), ("t", 1), ("s", 9)], "title string, item int")
     assert {tuple(r) for r in evaluation.one_item_per_title(df, "title", "item").collect()} == {("t", 1), ("s", 9)}
+
+
+def test_items_of_one_content_do_not_multiply_the_plays(spark):
+    plays = spark.range(2000).select(F.lit("u").alias("user_id"), (F.col("id") % 2).alias("content_id"), F.col("id").alias("ts"))
+    items = spark.range(3000).select(F.col("id").alias("item"), F.lit(0).cast("bigint").alias("content_id"))
+    history, test = recommend.history_and_test(plays, items=items)
+    assert [(r.ts, r.item) for r in history.orderBy("ts", "item").collect()] == [(0, i) for i in range(10)]
+    assert test.count() == 0
+    joined = recommend.plays_of_items(plays.where("ts < 4"), items.where("item < 3"))
+    assert joined.count() == 6

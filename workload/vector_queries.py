@@ -130,8 +130,7 @@ def _evaluation(spark, sf):
 
 
 def _split(spark, sf):
-    known = recommend.plays_of_items(t.events(spark, sf), t.items(spark, sf))
-    return recommend.history_and_test(known)
+    return recommend.history_and_test(t.events(spark, sf), items=t.items(spark, sf))
 
 
 @query("history_test_split", with_tables("plays items", HISTORY + """
