@@ -8,6 +8,7 @@ from tagloom.functions import vectors
 from tagloom.operators import clusters, models, recommend, similarity
 from tagloom.plans import catalogue as plans
 from tagloom.plans import evaluation
+from tagloom.sources.tables import spread
 from workload import standins as t
 from workload.registry import query
 from workload.standins import with_tables
@@ -309,7 +310,7 @@ def embed_text(spark, sf):
 
 @query("text_vectors")
 def text_vectors(spark, sf):
-    docs = t.load(spark, sf, "documents").select("doc_id", "text")
+    docs = t.documents(spark, sf).select("doc_id", "text")
     return models.apply_text_vectors(models.fit_text_vectors(docs, "text", dim=64), docs).select("doc_id", "vec")
 
 
@@ -320,6 +321,6 @@ def train_tagger(spark, sf):
     rows = t.training_table(spark, sf).select(
         "doc_id", F.col("program_longsynopsis").alias("synopsis"), F.concat_ws(" ", "keywords").alias("keywords"), "tags")
     fitted = labels.fit_preprocess(rows)
-    prepared = fitted.transform(rows, "doc_id")
+    prepared = spread(fitted.transform(rows, "doc_id"), "doc_id")
     tagger = models.train_tagger(prepared, features=256, max_iter=5)
     return models.top_tags(tagger.score(prepared), "doc_id", "scores", fitted.vocab, 5)
