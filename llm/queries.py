@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from llm import token_counts
+from llm import quality, token_counts
 from llm.common import table
 
 QUERIES = {}
@@ -26,3 +26,8 @@ def query(name: str, sql: str | None = None):
 def op7_token_counts(spark, sf):
     counted = token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@query("op4_quality_rules", quality.SQL)
+def op4_quality_rules(spark, sf):
+    return quality.judge(table(spark, sf, "documents"))
