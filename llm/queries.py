@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from llm import quality, token_counts
+from llm import pii, quality, token_counts
 from llm.common import table
 
 QUERIES = {}
@@ -31,3 +31,8 @@ def op7_token_counts(spark, sf):
 @query("op4_quality_rules", quality.SQL)
 def op4_quality_rules(spark, sf):
     return quality.judge(table(spark, sf, "documents"))
+
+
+@query("op10_pii")
+def op10_pii(spark, sf):
+    return pii.find_pii(table(spark, sf, "documents"))
