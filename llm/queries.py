@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from llm import pii, quality, token_counts
+from llm import pii, quality, secret_scan, token_counts, url_filter
 from llm.common import table
 
 QUERIES = {}
@@ -36,3 +36,16 @@ def op4_quality_rules(spark, sf):
 @query("op10_pii")
 def op10_pii(spark, sf):
     return pii.find_pii(table(spark, sf, "documents"))
+
+
+@query("op5_secret_scan")
+def op5_secret_scan(spark, sf):
+    return secret_scan.scan(table(spark, sf, "documents"))
+
+
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+@query("op9_url_filter")
+def op9_url_filter(spark, sf):
+    return url_filter.judge(table(spark, sf, "pages"), URL_RULES)
