@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from llm import pii, quality, secret_scan, token_counts, url_filter
+from llm import mixing, pii, quality, secret_scan, token_counts, url_filter
 from llm.common import table
 
 QUERIES = {}
@@ -49,3 +49,11 @@ URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow",
 @query("op9_url_filter")
 def op9_url_filter(spark, sf):
     return url_filter.judge(table(spark, sf, "pages"), URL_RULES)
+
+
+WEIGHTS = (5, 2, 1)
+
+
+@query("op2_source_mix")
+def op2_source_mix(spark, sf):
+    return mixing.mix(table(spark, sf, "documents"), WEIGHTS)
