@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from llm import mixing, pii, quality, secret_scan, token_counts, url_filter
+from llm import mixing, packing, pii, quality, secret_scan, token_counts, url_filter
 from llm.common import table
 
 QUERIES = {}
@@ -57,3 +57,8 @@ WEIGHTS = (5, 2, 1)
 @query("op2_source_mix")
 def op2_source_mix(spark, sf):
     return mixing.mix(table(spark, sf, "documents"), WEIGHTS)
+
+
+@query("op1_best_fit_packing")
+def op1_best_fit_packing(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
