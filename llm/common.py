@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,36 @@ def n_words(column: str | Column = "text") -> Column:
     return F.regexp_count(plain_text(column), F.lit(WORD)).cast("long")
 
 
+def bounded(batches: Iterator[pa.RecordBatch], text: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where the bytes of their column ``text`` go beyond ``limit`` (a longer text is a batch alone)."""
+    for batch in batches:
+        size = pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)
+        start, held = 0, 0
+        for k, n in enumerate(size):
+            if held and held + n > limit:
+                yield batch.slice(start, k - start)
+                start, held = k, 0
+            held += n
+        if start < len(size):
+            yield batch.slice(start)
+
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """The words of all texts as indices into a list of distinct words, and the offsets where each text's begin.
+
+    The list may hold an empty string, which white space at a text's ends leaves; it is no word and no index points to it.
+    """
+    split = pc.ascii_split_whitespace(texts)
+    coded = split.values.dictionary_encode()
+    words = coded.dictionary.to_pylist()
+    at, ends = coded.indices.to_numpy(), split.offsets.to_numpy()
+    if "" in words:
+        real = at != words.index("")
+        ends = np.concatenate([[0], np.cumsum(real)])[ends]
+        at = at[real]
+    return at, words, ends
+
+
 def arrow_map(df: DataFrame, fn: Callable[..., Sequence[Sequence]], schema: str, arrow: pa.Schema) -> DataFrame:
     """Map batches: ``fn`` gets one Python list per column of ``df`` and returns one sequence per output column."""
 

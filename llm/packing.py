@@ -24,12 +24,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from llm.common import plain_text
+from llm.common import bounded, plain_text, words_of
 from tagloom.operators.ordering import running_totals
 from tagloom.session import cut_lineage
 
@@ -78,18 +77,16 @@ class WordIds:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, unsigned 32-bit, and the offsets where each text's begin."""
-        split = pc.ascii_split_whitespace(texts)
-        coded = split.values.dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words_at, words, offsets = words_of(texts)
         if len(self.index) > KNOWN_LIMIT:
             self._start()
         self._learn([w for w in words if w not in self.index])
         known = np.fromiter((self.index[w] for w in words), dtype=np.int64, count=len(words))
-        at = known[coded.indices.to_numpy()]
+        at = known[words_at]
         counts = self.counts[at]
         ends = np.concatenate([[0], np.cumsum(counts)])
         take = np.repeat(self.starts[at] - ends[:-1], counts) + np.arange(ends[-1])
-        return self.flat[take], ends[split.offsets.to_numpy()]
+        return self.flat[take], ends[offsets]
 
 
 @lru_cache(maxsize=2)
@@ -105,7 +102,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
     def run(batches):
         encoder = load(tokenizer)
-        for batch in batches:
+        for batch in bounded(batches, 1):
             rows = []
             flat, ends = encoder.encode(batch.column(1))
             for k, key in enumerate(batch.column(0).to_pylist()):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from llm import mixing, packing, pii, quality, secret_scan, token_counts, url_filter
+from llm import jaccard_join, mixing, packing, pii, quality, secret_scan, token_counts, url_filter
 from llm.common import table
 
 QUERIES = {}
@@ -62,3 +62,8 @@ def op2_source_mix(spark, sf):
 @query("op1_best_fit_packing")
 def op1_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op8_ngram_jaccard_join")
+def op8_ngram_jaccard_join(spark, sf):
+    return jaccard_join.join(table(spark, sf, "documents"), 4, 85, 100)
