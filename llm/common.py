@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -10,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.session import ensure_checkpoint_dir
+
 #: A word of the contracts: a run of anything but the six ASCII white-space characters. ``bytes.split()`` cuts the same way.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -59,6 +62,15 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     return at, words, ends
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write a frame as Parquet under the checkpoint folder and read it back: column by column, and smaller than a checkpoint."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def arrow_map(df: DataFrame, fn: Callable[..., Sequence[Sequence]], schema: str, arrow: pa.Schema) -> DataFrame:
     """Map batches: ``fn`` gets one Python list per column of ``df`` and returns one sequence per output column."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from llm import jaccard_join, mixing, packing, pii, quality, secret_scan, token_counts, url_filter
+from llm import jaccard_join, mixing, packing, pii, quality, secret_scan, suffix_dedup, token_counts, url_filter
 from llm.common import table
 
 QUERIES = {}
@@ -67,3 +67,8 @@ def op1_best_fit_packing(spark, sf):
 @query("op8_ngram_jaccard_join")
 def op8_ngram_jaccard_join(spark, sf):
     return jaccard_join.join(table(spark, sf, "documents"), 4, 85, 100)
+
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark, sf):
+    return suffix_dedup.remove_repeats(table(spark, sf, "documents")).drop("spans")
