@@ -306,7 +306,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return numbered.mapInArrow(run, schema + ", sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """(id, piece, start, length, ids_crc32, sequence_id, offset[, ids]) of every piece."""
-    packed = pack(pieces(docs, tokenizer, capacity, id_col=id_col, text_col=text_col, with_ids=with_ids), capacity)
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, piece, start, length, ids_crc32, sequence_id, offset) of every piece; ``pieces`` gives the ids themselves."""
+    packed = pack(pieces(docs, tokenizer, capacity, id_col=id_col, text_col=text_col), capacity)
     return packed.withColumnRenamed("_id", id_col)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from llm import jaccard_join, mixing, packing, pii, quality, secret_scan, suffix_dedup, token_counts, url_filter
+from llm import jaccard_join, mixing, packing, pii, quality, secret_scan, suffix_dedup, syncmers, token_counts, url_filter
 from llm.common import table
 
 QUERIES = {}
@@ -72,3 +73,13 @@ def op8_ngram_jaccard_join(spark, sf):
 @query("op3_suffix_dedup")
 def op3_suffix_dedup(spark, sf):
     return suffix_dedup.remove_repeats(table(spark, sf, "documents")).drop("spans")
+
+
+@query("op6_syncmer_fingerprints")
+def op6_syncmer_fingerprints(spark, sf):
+    return syncmers.with_next(table(spark, sf, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)
