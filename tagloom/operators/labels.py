@@ -38,14 +38,13 @@ def apply_vocab(
     """
     unknown = F.lit(size) if size is not None else vocab.agg(F.count(F.lit(1))).scalar()
     known = vocab.select(F.col("token").alias("_token"), F.col("idx").alias("_idx"))
-    members = df.select(key, F.posexplode_outer(col).alias("_pos", "_member")).where(F.col("_pos").isNotNull())
-    found = members.join(known, F.col("_member") == F.col("_token"), "inner" if drop_unknown else "left")
-    indexed = found.select(key, "_pos", F.coalesce(F.col("_idx"), unknown).cast("int").alias("i"))
-    grouped = indexed.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_pos", "i"))).alias("_pairs"))
-    arrays = grouped.select(F.col(key).alias("_key"), F.transform("_pairs", lambda p: p["i"]).alias("_found"))
-    empty = F.array().cast("array<int>")
-    joined = df.select(key).join(arrays, F.col(key) == F.col("_key"), "left")
-    return joined.select(key, F.coalesce("_found", empty).alias(out or f"{col}_idx"))
+    # the outer form keeps rows without members, so the grouping gives every key its array and nothing is joined back
+    members = df.select(key, F.posexplode_outer(col).alias("_pos", "_member"))
+    found = members.join(known, F.col("_member") == F.col("_token"), "left")
+    index = F.col("_idx") if drop_unknown else F.coalesce(F.col("_idx"), unknown)
+    pair = F.when(F.col("_pos").isNotNull() & index.isNotNull(), F.struct("_pos", index.cast("int").alias("i")))
+    grouped = found.groupBy(key).agg(F.sort_array(F.collect_list(pair)).alias("_pairs"))
+    return grouped.select(key, F.transform("_pairs", lambda p: p["i"]).alias(out or f"{col}_idx"))
 
 
 def filter_to_vocab(df: DataFrame, key: str, col: str, vocab: DataFrame, token: str = "token") -> DataFrame:
@@ -69,10 +68,17 @@ def unpivot_labels(df: DataFrame, keys: Sequence[str], labels: Sequence[str]) ->
     return df.unpivot(list(keys), list(labels), "label", "value").where(F.col("value") > 0)
 
 
-def pivot_predictions(df: DataFrame, keys: Sequence[str], label: str, value: str, labels: Sequence[str]) -> DataFrame:
-    """Long predictions to one column per label (T6b); a fixed label list saves the extra pass."""
-    wide = df.groupBy(*keys).pivot(label, list(labels)).agg(F.first(value))
-    return wide.withColumnsRenamed({name: f"{name}_pred" for name in labels})
+def pivot_predictions(df: DataFrame, keys: Sequence[str], label: str, value: str, labels: Sequence[str], rows: DataFrame | None = None) -> DataFrame:
+    """Long predictions to one column per label (T6b), 0 where a label is absent.
+
+    A fixed label list saves the extra pass; of repeated predictions the greatest counts. ``rows`` has all keys,
+    also those without any prediction.
+    """
+    wide = df.groupBy(*keys).agg(*[F.coalesce(F.max(F.when(F.col(label) == name, F.col(value))), F.lit(0)).alias(f"{name}_pred") for name in labels])
+    if rows is None:
+        return wide
+    joined = rows.select(*keys).distinct().join(wide, list(keys), "left")
+    return joined.select(*keys, *[F.coalesce(f"{name}_pred", F.lit(0)).alias(f"{name}_pred") for name in labels])
 
 
 def pretrained_hits(vocab: DataFrame, pretrained: DataFrame) -> DataFrame:

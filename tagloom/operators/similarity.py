@@ -35,25 +35,38 @@ _DIGITS = 12  # scores are rounded before ranking, so that equal vectors tie wha
 ScoreFn = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
-def cosine_scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Cosine matrix, -1 where a vector has no direction."""
+def raw_cosine(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Cosine matrix, NaN where a vector has no direction; summaries leave those pairs out."""
     with np.errstate(divide="ignore", invalid="ignore"):
         lengths = np.sqrt((left * left).sum(axis=1))[:, None] * np.sqrt((right * right).sum(axis=1))[None, :]
         scores = (left @ right.T) / lengths
-    return np.where(np.isfinite(scores), scores, -1.0)
+    return np.where(np.isfinite(scores), scores, np.nan)
+
+
+def cosine_scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Cosine matrix for ranking, -1 where a vector has no direction."""
+    scores = raw_cosine(left, right)
+    return np.where(np.isnan(scores), -1.0, scores)
 
 
 def _distributions(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows scaled to sum 1 and their logarithms, 0 where the share is 0."""
     p = rows / rows.sum(axis=1, keepdims=True)
-    return p, np.log(p)
+    return p, np.log(np.where(p > 0, p, 1.0))
 
 
 def negative_kl(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Minus the Kullback-Leibler divergence of left rows from right rows."""
+    """Minus the Kullback-Leibler divergence of left rows from right rows.
+
+    A share of 0 on the left adds nothing (0 log 0 = 0); one of 0 on the right that the left has makes the divergence
+    infinite. A row without any share gives NaN, which ranks last.
+    """
     with np.errstate(divide="ignore", invalid="ignore"):
         p, log_p = _distributions(left)
-        _, log_q = _distributions(right)
-        return (p @ log_q.T) - (p * log_p).sum(axis=1)[:, None]
+        q, log_q = _distributions(right)
+        finite = (p @ log_q.T) - (p * log_p).sum(axis=1)[:, None]
+        missing = (p > 0).astype(float) @ (q == 0).astype(float).T > 0
+        return np.where(missing, -np.inf, finite)
 
 
 def negative_symmetric_kl(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -95,11 +108,8 @@ def _layout(left: DataFrame, right: DataFrame, block_rows: int | None, by: str |
     n_left = found[0]["n"] if 0 in found else 0
     n_right = n_left if right is left else found[1]["n"] if 1 in found else 0
     dim = max([1, *[r["dim"] or 1 for r in found.values()]])
-    block_rows = block_rows or max(1024, BLOCK_BYTES // (8 * dim))
-    right_blocks = max(1, math.ceil(n_right / block_rows))
-    # small inputs still use every core; large ones are cut by the block size alone
-    spread = min(left.sparkSession.sparkContext.defaultParallelism, math.ceil(n_left / 64))
-    return max(1, math.ceil(n_left / block_rows), math.ceil(spread / right_blocks)), right_blocks
+    block_rows = block_rows or max(1, BLOCK_BYTES // (8 * dim))
+    return max(1, math.ceil(n_left / block_rows)), max(1, math.ceil(n_right / block_rows))
 
 
 def _grid(
@@ -241,8 +251,6 @@ def topk_pairs(
 
     layout = _layout(x, y, block_rows, by)
     found = _grid(x, y, best, schema, layout, by)
-    if layout[1] == 1:
-        return found
     keys = [*([by] if by else []), "id"]
     merged = found.drop("rank")
     return head_per_group(merged, keys, [F.desc("score"), F.asc("match_id")], k, "rank").select(*[f.name for f in schema])
@@ -263,52 +271,44 @@ def kl_nearest(df: DataFrame, k: int, symmetric: bool = False, **options) -> Dat
     return out.withColumn("divergence", -F.col("score")).drop("score")
 
 
-_COUNTS = T.StructType([T.StructField("bin", T.LongType()), T.StructField("n", T.LongType())])
-
-
 def _pair_values(lt: pa.Table, rt: pa.Table, score: ScoreFn, drop_self: bool):
-    """Score stripes with the self pairs taken out, flattened, NaN dropped."""
+    """Score stripes with the self pairs taken out, flattened, only finite scores."""
     lid, rid = _ids(lt), _ids(rt)
     for at, s in _stripes(lt, rt, score):
         if drop_self:
             s = s[lid[at : at + len(s), None] != rid[None, :]]
         s = s.ravel()
-        yield s[~np.isnan(s)]
-
+        yield s[np.isfinite(s)]
 
-def _range_of_pairs(x: DataFrame, y: DataFrame, score: ScoreFn, drop_self: bool, layout):
-    schema = T.StructType([T.StructField(c, t) for c, t in
-                           [("n", T.LongType()), ("s", T.DoubleType()), ("ss", T.DoubleType()),
-                            ("lo", T.DoubleType()), ("hi", T.DoubleType())]])
 
-    def moments(lt: pa.Table, rt: pa.Table) -> pa.Table:
-        rows = [(len(v), v.sum(), (v * v).sum(), v.min(), v.max())
-                for v in _pair_values(lt, rt, score, drop_self) if len(v)]
-        types = [pa.int64(), *[pa.float64()] * 4]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types)], names=schema.names)
-
-    parts = _grid(x, y, moments, schema, layout)
-    return parts.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"),
-                     F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+_BINS = T.StructType([T.StructField("bin", T.LongType()), T.StructField("n", T.LongType()),
+                      *[T.StructField(c, T.DoubleType()) for c in ("s", "ss", "lo", "hi")]])
 
 
 def _slots(values: np.ndarray, lo: float, hi: float, bins: int) -> np.ndarray:
     """Equal-width bin of each value in [lo, hi], the upper end in the last bin."""
+    if bins == 1 or lo == hi:
+        return np.zeros(len(values), dtype=np.int64)
     return np.minimum(np.floor((values - lo) / (hi - lo) * bins).astype(np.int64), bins - 1)
 
 
 def _binned_pairs(x, y, score, drop_self, layout, lo: float, hi: float, bins: int) -> DataFrame:
-    """Pair counts per bin; scores outside [lo, hi] are left out."""
+    """Per bin of the scores in [lo, hi]: number, sum, sum of squares, least and greatest score."""
 
     def count(lt: pa.Table, rt: pa.Table) -> pa.Table:
-        sums = np.zeros(bins, dtype=np.int64)
+        found = []
         for v in _pair_values(lt, rt, score, drop_self):
-            v = v[(v >= lo) & (v <= hi)]
-            sums += np.bincount(_slots(v, lo, hi, bins), minlength=bins)
-        used = np.nonzero(sums)[0]
-        return pa.table({"bin": pa.array(used, pa.int64()), "n": pa.array(sums[used], pa.int64())})
+            v = np.sort(v[(v >= lo) & (v <= hi)])
+            slots = _slots(v, lo, hi, bins)
+            first = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]])) if len(v) else np.empty(0, dtype=np.int64)
+            if len(first):
+                last = np.concatenate([first[1:], [len(v)]])
+                found.append([slots[first], last - first, np.add.reduceat(v, first), np.add.reduceat(v * v, first), v[first], v[last - 1]])
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0)] * 6
+        return pa.table([pa.array(c, t) for c, t in zip(columns, to_arrow_schema(_BINS).types)], names=_BINS.names)
 
-    return _grid(x, y, count, _COUNTS, layout).groupBy("bin").agg(F.sum("n").alias("n"))
+    merged = _grid(x, y, count, _BINS, layout).groupBy("bin")
+    return merged.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
 def score_histogram(
@@ -321,14 +321,14 @@ def score_histogram(
     """
     side = _side(df, id_col, vec, None)
     layout = _layout(side, side, block_rows)
-    span = _range_of_pairs(side, side, score, True, layout)
-    lo, hi = (span["lo"], span["hi"]) if span["n"] else (0.0, 1.0)
+    span = _binned_pairs(side, side, score, True, layout, -math.inf, math.inf, 1).first()
+    lo, hi = (span["lo"], span["hi"]) if span else (0.0, 1.0)
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     width = (hi - lo) / bins
     counts = _binned_pairs(side, side, score, True, layout, lo, hi, bins)
     every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
-    return every.join(counts, "bin", "left").select(
+    return every.join(counts.select("bin", "n"), "bin", "left").select(
         "bin",
         (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lo"),
         (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("hi"),
@@ -338,77 +338,40 @@ def score_histogram(
 
 def score_summary(
     left: DataFrame, right: DataFrame, left_id: str = "id", left_vec: str = "vec",
-    right_id: str = "id", right_vec: str = "vec", score: ScoreFn = cosine_scores,
-    block_rows: int | None = None, gather: int = 100_000, bins: int = 1 << 13,
+    right_id: str = "id", right_vec: str = "vec", score: ScoreFn = raw_cosine,
+    span: tuple[float, float] | None = (-1.0, 1.0), block_rows: int | None = None, bins: int = 1 << 16,
 ) -> DataFrame:
-    """One row (n, mean, std, median) over all scores of two sets.
+    """One row (n, mean, std, median) over all finite scores of two sets.
 
-    The median is exact: the interval that holds it is cut into ``bins`` again and again until at
-    most ``gather`` scores lie in it, or it is one value wide. Only bin counts and at most ``gather``
-    distinct scores leave the tasks. Both sides are written to the checkpoint folder first, as every
-    pass reads them again.
+    ``span`` holds all scores; without it a pass finds it. Every pass cuts an interval into ``bins`` and brings at most
+    that many rows to the driver. The first gives count, mean and deviation too; the next ones narrow to the bin
+    that holds the median until it is one value wide, so the median is exact. Both sides are written to the
+    checkpoint folder first, as every pass reads them again.
     """
     x = cut_lineage(_side(left, left_id, left_vec, None))
     y = cut_lineage(_side(right, right_id, right_vec, None))
     layout = _layout(x, y, block_rows)
-    span = _range_of_pairs(x, y, score, False, layout)
     schema = "n bigint, mean double, std double, median double"
-    if not span["n"]:
+    if span is None:
+        whole = _binned_pairs(x, y, score, False, layout, -math.inf, math.inf, 1).first()
+        span = (whole["lo"], whole["hi"]) if whole else (0.0, 0.0)
+    found = _binned_pairs(x, y, score, False, layout, *span, bins).orderBy("bin").collect()
+    n = sum(r["n"] for r in found)
+    if not n:
         return left.sparkSession.createDataFrame([(0, None, None, None)], schema)
-    n, mean = span["n"], span["s"] / span["n"]
-    std = math.sqrt(max(0.0, span["ss"] / n - mean * mean))
-    places = sorted({(n - 1) // 2, n // 2})
-    middle = _scores_at(x, y, score, layout, span["lo"], span["hi"], places, gather, bins)
-    return left.sparkSession.createDataFrame([(n, mean, std, sum(middle) / len(middle))], schema)
-
-
-def _scores_at(x, y, score, layout, lo, hi, places, gather, bins) -> list[float]:
-    """The scores at one or two adjacent 0-based positions in ascending order."""
-    while lo < hi:
-        found = _binned_pairs(x, y, score, False, layout, lo, hi, bins).orderBy("bin").collect()
+    mean = math.fsum(r["s"] for r in found) / n
+    std = math.sqrt(max(0.0, math.fsum(r["ss"] for r in found) / n - mean * mean))
+    places = [(n - 1) // 2, n // 2]
+    while True:
         ends = np.cumsum([r["n"] for r in found])
-        hits = [int(np.searchsorted(ends, p, side="right")) for p in places]
-        first, last = found[hits[0]]["bin"], found[hits[-1]]["bin"]
-        below = int(ends[hits[0]] - found[hits[0]]["n"])
-        if int(ends[hits[-1]]) - below <= gather:
-            return _pick(x, y, score, layout, lo, hi, bins, (first, last), [p - below for p in places])
-        span = _ends_of_bins(x, y, score, layout, lo, hi, bins, (first, last))
-        if first != last:  # neighbours on both sides of a bin edge
-            return [span[first][1], span[last][0]]
+        first, last = (found[int(np.searchsorted(ends, p, side="right"))] for p in places)
+        if first["bin"] != last["bin"]:  # neighbours on both sides of a bin's edge
+            median = (first["hi"] + last["lo"]) / 2
+            break
+        if first["lo"] == first["hi"]:
+            median = first["lo"]
+            break
+        below = int(ends[int(np.searchsorted(ends, places[0], side="right"))] - first["n"])
         places = [p - below for p in places]
-        lo, hi = span[first]
-    return [lo] * len(places)
-
-
-def _pick(x, y, score, layout, lo, hi, bins, wanted, places) -> list[float]:
-    """Scores at positions among the values of the wanted bins (few by construction)."""
-    schema = T.StructType([T.StructField("value", T.DoubleType()), T.StructField("n", T.LongType())])
-
-    def values(lt: pa.Table, rt: pa.Table) -> pa.Table:
-        kept = [v[np.isin(_slots(v, lo, hi, bins), wanted)]
-                for v in (v[(v >= lo) & (v <= hi)] for v in _pair_values(lt, rt, score, False))]
-        value, n = np.unique(np.concatenate(kept) if kept else np.empty(0), return_counts=True)
-        return pa.table({"value": pa.array(value, pa.float64()), "n": pa.array(n, pa.int64())})
-
-    parts = _grid(x, y, values, schema, layout)
-    rows = parts.groupBy("value").agg(F.sum("n").alias("n")).orderBy("value").collect()
-    ends = np.cumsum([r["n"] for r in rows])
-    return [rows[int(np.searchsorted(ends, p, side="right"))]["value"] for p in places]
-
-
-def _ends_of_bins(x, y, score, layout, lo, hi, bins, wanted) -> dict[int, tuple[float, float]]:
-    """Smallest and largest score in each wanted bin."""
-    schema = T.StructType([T.StructField("bin", T.LongType()), T.StructField("lo", T.DoubleType()),
-                           T.StructField("hi", T.DoubleType())])
-
-    def ends(lt: pa.Table, rt: pa.Table) -> pa.Table:
-        rows = []
-        for v in _pair_values(lt, rt, score, False):
-            v = v[(v >= lo) & (v <= hi)]
-            slots = _slots(v, lo, hi, bins)
-            rows += [(b, v[slots == b].min(), v[slots == b].max()) for b in set(wanted) if (slots == b).any()]
-        types = [pa.int64(), pa.float64(), pa.float64()]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 3, types)], names=schema.names)
-
-    parts = _grid(x, y, ends, schema, layout)
-    return {r["bin"]: (r["lo"], r["hi"]) for r in parts.groupBy("bin").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()}
+        found = _binned_pairs(x, y, score, False, layout, first["lo"], first["hi"], bins).orderBy("bin").collect()
+    return left.sparkSession.createDataFrame([(n, mean, std, median)], schema)

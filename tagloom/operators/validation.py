@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.operators.ordering import topk_per_group
+from tagloom.operators.ordering import running_totals, topk_per_group
 from tagloom.sources.spec import Feature, FeatureSpec
 
 _RESULT = "feature string, check string, observed double, limit double, passed boolean"
@@ -80,20 +80,26 @@ def top_value_table(df: DataFrame, features: Sequence[str], n: int = 20) -> Data
     return topk_per_group(counts.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")), "feature", "n", n, "value")
 
 
-def numeric_stats(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.1, 0.25, 0.5, 0.75, 0.9), accuracy: int = 100_000) -> DataFrame:
-    """Per numeric column: count, mean, population deviation, range, zeros and quantiles (V1).
+def numeric_stats(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
+    """Per numeric column: count, mean, population deviation, range, zeros and exact quantiles (V1). Runs a job.
 
-    Quantiles come from a mergeable summary of bounded size, exact while a column has fewer rows
-    than ``accuracy``.
+    Values are counted first; running totals over the sorted values then tell which value holds a quantile's rank (the
+    rank is the share of the count, rounded up), spread over tasks however many values a column has.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols])
     rows = df.select(F.inline(pairs))
     stats = rows.groupBy("feature").agg(
         F.count("v").alias("num_values"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max"), F.count_if(F.col("v") == 0).alias("zeros"),
-        F.percentile_approx("v", list(quantiles), accuracy).alias("_q"),
     )
-    return stats.select("*", *[F.col("_q")[i].alias(f"q{round(q * 100)}") for i, q in enumerate(quantiles)]).drop("_q")
+    counts = rows.where(F.col("v").isNotNull()).groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
+    totals = running_totals(counts, ["feature"], [F.col("v")], {"upto": F.col("n")})
+    # one row per column, so the broadcast has a fixed small size
+    placed = totals.join(F.broadcast(stats.select("feature", "num_values")), "feature")
+    names = [f"q{round(q * 100)}" for q in quantiles]
+    ranks = [F.greatest(F.ceil(F.lit(float(q)) * F.col("num_values")), F.lit(1)) for q in quantiles]
+    found = placed.groupBy("feature").agg(*[F.min(F.when(F.col("upto") >= r, F.col("v"))).alias(n) for n, r in zip(names, ranks)])
+    return stats.join(found, "feature", "left").select(*stats.columns, *names)
 
 
 def compare_stats(a: DataFrame, b: DataFrame, names: tuple[str, str] = ("train", "eval")) -> DataFrame:

@@ -27,15 +27,6 @@ def read_parquet(spark: SparkSession, *paths: str, schema: T.StructType | str |
     return reader.parquet(*paths)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash rows by a unique key over all cores when the input has fewer parts than cores.
-
-    Only small inputs in few files are moved; a large scan has more parts than cores and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_splits(spark: SparkSession, folder: str, patterns: Mapping[str, str], out: str = "split") -> DataFrame:
     """File patterns such as ``{"train": "train*", "eval": "eval*"}`` as one table with a split column (S3)."""
     parts = [spark.read.parquet(f"{folder.rstrip('/')}/{glob}").withColumn(out, F.lit(name)) for name, glob in patterns.items()]
@@ -61,15 +52,16 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
 def read_vocab_text(spark: SparkSession, path: str) -> DataFrame:
     """A plain-text vocabulary, one token per line, blank lines dropped, line order as index.
 
-    Line order is the start of a row's file block and the row's place in it, whichever task reads
-    the block. Runs a job; keep vocabularies in parquet.
+    Line order is the file's path, the start of a row's file block and the row's place in it, whichever task
+    reads the block. Runs a job; keep vocabularies in parquet.
     """
     lines = spark.read.text(path).where(F.col("value") != "").select(
         F.col("value").alias("token"),
+        F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    return with_row_id(lines, F.col("_block"), F.col("_row")).select("token", "idx")
+    return with_row_id(lines, F.col("_file"), F.col("_block"), F.col("_row")).select("token", "idx")
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:

@@ -22,8 +22,10 @@ CURVES = """, points AS (SELECT tag, p, count(*) AS n, sum(y) AS pos FROM long_s
 
 
 @query("per_tag_metrics", with_tables("long_scores", CURVES + """
-    SELECT tag, 'ok' AS status, rows, positives, round(positives / rows, 6) AS prevalence, round(accuracy, 6) AS accuracy,
-           round(ap / positives, 6) AS average_precision, round(wins / (positives * (rows - positives)), 6) AS roc_auc FROM totals JOIN curves USING (tag)"""))
+    SELECT tag, CASE WHEN positives = 0 THEN 'no_positives' WHEN positives = rows THEN 'no_negatives' ELSE 'ok' END AS status, rows, positives,
+           round(positives / rows, 6) AS prevalence, CASE WHEN positives NOT IN (0, rows) THEN round(accuracy, 6) END AS accuracy,
+           CASE WHEN positives NOT IN (0, rows) THEN round(ap / positives, 6) END AS average_precision,
+           CASE WHEN positives NOT IN (0, rows) THEN round(wins / (positives * (rows - positives)), 6) END AS roc_auc FROM totals JOIN curves USING (tag)"""))
 def per_tag_metrics(spark, sf):
     out = metrics.per_tag_metrics(_long(spark, sf))
     return out.withColumn("tag", F.col("tag").cast("bigint")).withColumns({c: F.round(c, 6) for c in ("prevalence", "accuracy", "average_precision", "roc_auc")})
@@ -36,7 +38,7 @@ def per_tag_metrics(spark, sf):
            FROM long_scores, range(0, 200) r(i) GROUP BY tag, i),
     steps AS (SELECT a.tag, a.positives, a.tp - b.tp AS dtp, a.n - b.n AS dn, a.n AS n0, b.n AS n1, b.tp AS tp1 FROM cuts a JOIN cuts b ON a.tag = b.tag AND b.i = a.i + 1),
     slopes AS (SELECT *, CASE WHEN dn = 0 THEN 0 ELSE dtp / dn END AS slope, CASE WHEN n0 > 0 AND n1 > 0 THEN n0 / n1 ELSE 1 END AS grow FROM steps),
-    areas AS (SELECT tag, sum(slope * (dtp + (tp1 - slope * n1) * ln(grow)) / positives) AS area FROM slopes GROUP BY tag),
+    areas AS (SELECT tag, sum(CASE WHEN positives = 0 THEN 0 ELSE slope * (dtp + (tp1 - slope * n1) * ln(grow)) / positives END) AS area FROM slopes GROUP BY tag),
     rows AS (SELECT id, sum(y * p) / (sqrt(sum(y * y)) * sqrt(sum(p * p))) AS c FROM long_scores GROUP BY id)
     SELECT round((SELECT sum(tp + tn) / sum(tp + tn + fp + fn) FROM per_tag), 6) AS binary_accuracy,
            round((SELECT avg(CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END) FROM per_tag), 6) AS macro_f1,
@@ -147,7 +149,7 @@ def top_value_table(spark, sf):
     SELECT 'user_id', count(v), round(avg(v), 6), round(stddev_pop(v), 6), min(v), max(v), count(*) FILTER (v = 0), quantile_disc(v, 0.1), quantile_disc(v, 0.25),
            quantile_disc(v, 0.5), quantile_disc(v, 0.75), quantile_disc(v, 0.9) FROM (SELECT CAST(user_id AS DOUBLE) AS v FROM events)""")
 def numeric_stats(spark, sf):
-    out = validation.numeric_stats(t.load(spark, sf, "events"), ["value", "user_id"], accuracy=1_000_000)
+    out = validation.numeric_stats(t.load(spark, sf, "events"), ["value", "user_id"])
     return out.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
 
 

@@ -50,14 +50,15 @@ def vocab_build(spark, sf):
     return labels.build_vocab(_tokens(spark, sf), "tokens")
 
 
-@query("vocab_apply", f"""WITH {DOC_TOKENS}, {DOC_VOCAB}, known AS (SELECT token, idx FROM vocab WHERE freq >= 5),
+@query("vocab_apply", f"""WITH {DOC_TOKENS}, known AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token DESC) - 1 AS idx
+        FROM (SELECT unnest(string_split(lower(text), ' ')) AS token FROM benchmark) WHERE token <> '' AND NOT regexp_matches(token, '[\r\n]') GROUP BY token),
     placed AS (SELECT doc_id, unnest(w) AS token, unnest(range(len(w))) AS pos FROM tokens),
     found AS (SELECT doc_id, string_agg(coalesce(idx, (SELECT count(*) FROM known)), ' ' ORDER BY pos) AS indices
               FROM placed LEFT JOIN known USING (token) GROUP BY doc_id)
     SELECT doc_id, coalesce(indices, '') AS indices FROM tokens LEFT JOIN found USING (doc_id)""")
 def vocab_apply(spark, sf):
     rows = _tokens(spark, sf)
-    known = labels.build_vocab(rows, "tokens").where(F.col("freq") >= 5)
+    known = labels.build_vocab(t.load(spark, sf, "benchmark").select(F.split(F.lower("text"), " ").alias("tokens")), "tokens")
     out = labels.apply_vocab(rows, "doc_id", "tokens", known, out="indices")
     return out.select("doc_id", F.array_join(F.col("indices").cast("array<string>"), " ").alias("indices"))
 
@@ -120,10 +121,11 @@ def label_columns(spark, sf):
     return labels.unpivot_labels(t.load(spark, sf, "labels"), ["doc_id"], ["quality", "toxic"])
 
 
-@query("label_columns_back", "SELECT doc_id, quality AS quality_pred, toxic AS toxic_pred FROM labels WHERE quality + toxic > 0")
+@query("label_columns_back", "SELECT doc_id, quality AS quality_pred, toxic AS toxic_pred FROM labels")
 def label_columns_back(spark, sf):
-    long = labels.unpivot_labels(t.load(spark, sf, "labels"), ["doc_id"], ["quality", "toxic"])
-    return labels.pivot_predictions(long, ["doc_id"], "label", "value", ["quality", "toxic"]).fillna(0)
+    rows = t.load(spark, sf, "labels")
+    long = labels.unpivot_labels(rows, ["doc_id"], ["quality", "toxic"])
+    return labels.pivot_predictions(long, ["doc_id"], "label", "value", ["quality", "toxic"], rows)
 
 
 PRETRAINED = """pretrained AS (SELECT word AS token, [length(word) * 1.0, strpos(word, 'a') * 1.0] AS vec
@@ -182,7 +184,8 @@ def split_buckets(spark, sf):
 def top_tags(spark, sf):
     from tagloom.operators.models import top_tags as best
 
-    vocab = t.load(spark, sf, "embeddings").select(F.col("label").alias("idx")).distinct().withColumn("token", F.concat(F.lit("tag "), F.col("idx").cast("string")))
+    scores = t.tag_scores(spark, sf)
+    vocab = scores.select(F.posexplode("scores").alias("idx", "_p")).select("idx", F.concat(F.lit("tag "), F.col("idx").cast("string")).alias("token")).distinct()
     return best(t.tag_scores(spark, sf), "id", "scores", vocab)
 
 

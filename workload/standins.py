@@ -8,16 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.sources.tables import spread
-
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents spread over the cores, for steps that work hard on each text."""
-    return spread(load(spark, sf_dir, "documents"), "doc_id")
+    """Documents dealt out by their id, for steps that work hard on each text; the supplied files are one row group each."""
+    return load(spark, sf_dir, "documents").repartition("doc_id")
 
 
 def program(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +31,7 @@ def program(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def program_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tag rows per document: its opening word and a source name as genres, label values as age bands and themes."""
+    """Tag rows per document: its distinct words and a source name as genres, label values as age bands and themes."""
     docs = load(spark, sf_dir, "documents").join(load(spark, sf_dir, "labels"), "doc_id", "left")
     genre = (
         F.when(F.col("source") == "src3", "Docudrama").when(F.col("source") == "src4", "Historical drama")
@@ -41,11 +39,11 @@ def program_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     age = F.when(F.col("quality") == 1, "little kids (ages 5-7)").when(F.col("quality") == 0, "big kids (ages 8-9)")
     adult = F.when(F.col("toxic") == 1, "not for kids")
-    opening = F.substring_index("text", " ", 1)
-    rows = F.array(*[
+    single = F.array(*[
         F.struct(F.lit(kind).alias("tag_type"), value.alias("tag_value"))
-        for kind, value in [("Genre", genre), ("Genre", opening), ("Audience", age), ("Audience", adult), ("KidsTheme", F.col("lang"))]
+        for kind, value in [("Genre", genre), ("Audience", age), ("Audience", adult), ("KidsTheme", F.col("lang"))]
     ])
+    rows = F.concat(single, F.transform(F.array_distinct(F.split("text", " ")), lambda w: F.struct(F.lit("Genre").alias("tag_type"), w.alias("tag_value"))))
     return docs.select(F.col("doc_id").cast("string").alias("program_id"), F.inline(rows)).where(F.col("tag_value").isNotNull())
 
 
@@ -58,7 +56,7 @@ def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         "doc_id", F.initcap("source").alias("program_title"), kind.alias("program_type"), F.col("lang").alias("program_language"),
         F.col("text").alias("program_longsynopsis"),
-        F.array_compact(F.array("lang", "source", F.substring_index("text", " ", 1))).alias("keywords"),
+        F.concat(F.array("lang", "source"), F.array_sort(F.array_distinct(F.split("text", " ")))).alias("keywords"),
         F.array_compact(F.array("lang", quality, toxic)).alias("tags"),
     )
 
@@ -133,16 +131,18 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-TAGS = 10
-
-
 def tag_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per vector a 0/1 label array and a score array: the label is the class, the score a rounded sigmoid."""
-    label = F.transform(F.sequence(F.lit(0), F.lit(TAGS - 1)), lambda t: (F.col("label") == t).cast("int"))
-    score = F.transform(F.slice("embedding", 1, TAGS), lambda x: F.round(1.0 / (1.0 + F.exp(-8.0 * x.cast("double"))), 2))
+    """Per vector a 0/1 label array and a score array over all components: the label is the class, the score a rounded sigmoid."""
+    label = F.transform("embedding", lambda _, i: (F.col("label") == i).cast("int"))
+    score = F.transform("embedding", lambda x: F.round(1.0 / (1.0 + F.exp(-8.0 * x.cast("double"))), 2))
     return load(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), label.alias("labels"), score.alias("scores"))
 
 
+def second_vector(vec: str = "vec"):
+    """A second model's vector of an item, as long as the first: every component times its size."""
+    return F.transform(F.col(vec).cast("array<double>"), lambda x: x * F.abs(x))
+
+
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A label-to-cluster table over the training labels: languages, sources and quality marks."""
     docs = load(spark, sf_dir, "documents")
@@ -163,7 +163,7 @@ SQL = {
             SELECT CAST(doc_id AS VARCHAR) AS program_id, 'Genre' AS tag_type,
                    CASE source WHEN 'src3' THEN 'Docudrama' WHEN 'src4' THEN 'Historical drama' WHEN 'src5' THEN 'Romantic comedy'
                         ELSE 'genre ' || source END AS tag_value FROM documents
-            UNION ALL SELECT CAST(doc_id AS VARCHAR), 'Genre', string_split(text, ' ')[1] FROM documents
+            UNION ALL SELECT CAST(doc_id AS VARCHAR), 'Genre', unnest(list_distinct(string_split(text, ' '))) FROM documents
             UNION ALL SELECT CAST(doc_id AS VARCHAR), 'Audience',
                    CASE quality WHEN 1 THEN 'little kids (ages 5-7)' WHEN 0 THEN 'big kids (ages 8-9)' END
                    FROM documents LEFT JOIN labels USING (doc_id)
@@ -172,7 +172,7 @@ SQL = {
             UNION ALL SELECT CAST(doc_id AS VARCHAR), 'KidsTheme', lang FROM documents) WHERE tag_value IS NOT NULL)""",
     "training": """training AS (
         SELECT d.doc_id, upper(source[1]) || lower(source[2:]) AS program_title, CASE WHEN n_chars < 1500 THEN 'Movie' ELSE 'Episode' END AS program_type,
-               lang AS program_language, text AS program_longsynopsis, [lang, source, string_split(text, ' ')[1]] AS keywords,
+               lang AS program_language, text AS program_longsynopsis, [lang, source] || list_sort(list_distinct(string_split(text, ' '))) AS keywords,
                list_filter([lang, CASE WHEN quality IS NOT NULL THEN 'quality ' || quality END, CASE WHEN toxic = 1 THEN 'not for kids' END],
                            lambda x: x IS NOT NULL) AS tags
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)""",
@@ -192,9 +192,9 @@ SQL = {
     "plays": "plays AS (SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS content_id, ts FROM events)",
     "items": "items AS (SELECT vec_id AS item, vec_id AS content_id, CAST(embedding AS DOUBLE[]) AS vec, CAST(label AS VARCHAR) AS type FROM embeddings)",
     "words": "words AS (SELECT 'word ' || vec_id AS word, CAST(embedding AS DOUBLE[]) AS vec, label AS cluster FROM embeddings)",
-    "long_scores": f"""long_scores AS (
+    "long_scores": """long_scores AS (
         SELECT vec_id AS id, t AS tag, CAST(label = t AS INT) AS y, round(1.0 / (1.0 + exp(-8.0 * CAST(embedding[t + 1] AS DOUBLE))), 2) AS p
-        FROM embeddings, range(0, {TAGS}) r(t))""",
+        FROM (SELECT *, unnest(range(len(embedding))) AS t FROM embeddings))""",
     "mapping": """mapping AS (
         SELECT word, upper(word[1:4]) AS centroid_word, length(word) AS cluster
         FROM (SELECT lang AS word FROM documents UNION SELECT source FROM documents))""",

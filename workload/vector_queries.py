@@ -8,7 +8,6 @@ from tagloom.functions import vectors
 from tagloom.operators import clusters, models, recommend, similarity
 from tagloom.plans import catalogue as plans
 from tagloom.plans import evaluation
-from tagloom.sources.tables import spread
 from workload import standins as t
 from workload.registry import query
 from workload.standins import with_tables
@@ -32,15 +31,15 @@ def cosine_top10_blocked(spark, sf):
 
 
 @query("two_model_top5", with_tables(ITEMS, """,
-    pair AS (SELECT 'full' AS model, item, vec FROM items UNION ALL SELECT 'half', item, list_slice(vec, 1, 32) || list_transform(range(32), lambda i: 0.0) FROM items),
+    pair AS (SELECT 'first' AS model, item, vec FROM items UNION ALL SELECT 'second', item, list_transform(vec, lambda x: x * abs(x)) FROM items),
     ranked AS (SELECT model, a.item AS id, b.item AS match_id, round(list_cosine_similarity(a.vec, b.vec), 12) AS score,
                       row_number() OVER (PARTITION BY model, a.item ORDER BY round(list_cosine_similarity(a.vec, b.vec), 12) DESC, b.item) AS rank
                FROM pair a JOIN pair b USING (model) WHERE a.item <> b.item)
     SELECT model, id, CAST(rank AS INT) AS rank, match_id, round(score, 6) AS score FROM ranked WHERE rank <= 5"""))
 def two_model_top5(spark, sf):
     items = t.items(spark, sf)
-    half = F.concat(F.slice("vec", 1, 32), F.array_repeat(F.lit(0.0).cast("float"), 32))
-    both = items.withColumn("model", F.lit("full")).unionByName(items.withColumn("vec", half).withColumn("model", F.lit("half")))
+    items = items.withColumn("vec", F.col("vec").cast("array<double>"))
+    both = items.withColumn("model", F.lit("first")).unionByName(items.withColumn("vec", t.second_vector()).withColumn("model", F.lit("second")))
     return recommend.content_to_content(both, 5, id_col="item", by="model").withColumn("score", F.round("score", 6))
 
 
@@ -100,16 +99,20 @@ def symmetric_kl_pairs(spark, sf):
     return out.withColumn("divergence", F.round("divergence", 6))
 
 
-@query("neighbour_distances", with_tables(ITEMS, """, a AS (SELECT item, list_transform(vec, lambda x: exp(x)) AS p, vec FROM items),
-    b AS (SELECT a.item, a.p, a.vec, n.p AS q, n.vec AS w FROM a JOIN a n ON n.item = a.item + 1)
-    SELECT item, round(list_sum(list_transform(list_zip(p, q), lambda z: z[1] * ln((z[1] + 1e-12) / (z[2] + 1e-12)))), 6) AS kl,
-           round(list_cosine_similarity(vec, w), 6) AS cosine FROM b"""))
+@query("neighbour_distances", with_tables(ITEMS, DISTRIBUTIONS + """,
+    near AS (SELECT id, match_id FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, match_id) AS rank FROM kl) WHERE rank <= 5)
+    SELECT near.id, match_id, round(list_sum(list_transform(list_zip(a.p, b.p), lambda z: z[1] * ln((z[1] + 1e-12) / (z[2] + 1e-12)))), 6) AS kl,
+           round(list_cosine_similarity(x.vec, y.vec), 6) AS cosine
+    FROM near JOIN p a ON a.item = id JOIN p b ON b.item = match_id JOIN items x ON x.item = id JOIN items y ON y.item = match_id"""))
 def neighbour_distances(spark, sf):
-    rows = t.items(spark, sf).select("item", "vec", F.transform("vec", lambda x: F.exp(x.cast("double"))).alias("p"))
-    after = rows.select((F.col("item") - 1).alias("item"), F.col("vec").alias("w"), F.col("p").alias("q"))
-    joined = rows.join(after, "item")
-    return joined.select("item", F.round(vectors.kl_distance(F.col("p"), F.col("q")), 6).alias("kl"),
-                         F.round(vectors.cosine(F.col("vec"), F.col("w")), 6).alias("cosine"))
+    pairs = similarity.kl_nearest(_positive(spark, sf), 5, id_col="item").select("id", "match_id")
+    share = vectors.to_distribution(F.transform("vec", lambda x: F.exp(x.cast("double"))))
+    rows = t.items(spark, sf).select("item", "vec", share.alias("p"))
+    left = rows.select(F.col("item").alias("id"), "vec", "p")
+    right = rows.select(F.col("item").alias("match_id"), F.col("vec").alias("w"), F.col("p").alias("q"))
+    return pairs.join(left, "id").join(right, "match_id").select(
+        "id", "match_id", F.round(vectors.kl_distance(F.col("p"), F.col("q")), 6).alias("kl"),
+        F.round(vectors.cosine(F.col("vec"), F.col("w")), 6).alias("cosine"))
 
 
 HISTORY = """, known AS (SELECT user_id, plays.content_id, ts, item FROM plays JOIN items ON plays.content_id = items.content_id),
@@ -200,13 +203,17 @@ def metrics_long(spark, sf):
     return out.withColumn("value", F.round("value", 6))
 
 
-@query("score_summary", with_tables("plays items", HISTORY + PROFILES + RANKED + """
+# every seventh item loses its direction: such pairs have no score and are left out
+@query("score_summary", with_tables("plays items", HISTORY + PROFILES + """,
+    user_scores AS (SELECT round(list_cosine_similarity(p.vec, i.vec), 12) AS raw FROM profiles p, items i WHERE item % 7 <> 0)
     SELECT count(*) AS n, round(avg(raw), 6) AS mean, round(stddev_pop(raw), 6) AS std, round(median(raw), 6) AS median FROM user_scores"""))
 def score_summary(spark, sf):
     history, _ = _split(spark, sf)
     items = t.items(spark, sf)
     profiles = recommend.user_profiles(history, items)
-    out = similarity.score_summary(profiles, items, left_id="user_id", right_id="item")
+    zero = F.transform("vec", lambda x: x * 0)
+    some = items.withColumn("vec", F.when(F.col("item") % 7 == 0, zero).otherwise(F.col("vec")))
+    out = similarity.score_summary(profiles, some, left_id="user_id", right_id="item")
     return out.select("n", *[F.round(c, 6).alias(c) for c in ("mean", "std", "median")])
 
 
@@ -262,11 +269,11 @@ def title_vector_lookup(spark, sf):
 
 
 @query("concat_vectors", with_tables("items", """
-    SELECT item, i - 1 AS pos, round((vec || list_slice(vec, 1, 8))[i], 6) AS value FROM items, range(1, 73) r(i)"""))
+    SELECT item, i - 1 AS pos, round((vec || list_transform(vec, lambda x: x * abs(x)))[i], 6) + 0.0 AS value FROM items, range(1, 129) r(i)"""))
 def concat_vectors(spark, sf):
-    joined = vectors.concat_vectors(F.col("vec"), F.slice("vec", 1, 8))
+    joined = vectors.concat_vectors(F.col("vec"), t.second_vector())
     out = t.items(spark, sf).select("item", F.posexplode(joined).alias("pos", "value"))
-    return out.select("item", F.col("pos").cast("bigint").alias("pos"), F.round("value", 6).alias("value"))
+    return out.select("item", F.col("pos").cast("bigint").alias("pos"), (F.round("value", 6) + F.lit(0.0)).alias("value"))
 
 
 @query("centroid_words", with_tables("words", """, member AS (SELECT word, cluster, unnest(vec) AS x, unnest(range(len(vec))) AS pos FROM words),
@@ -321,6 +328,6 @@ def train_tagger(spark, sf):
     rows = t.training_table(spark, sf).select(
         "doc_id", F.col("program_longsynopsis").alias("synopsis"), F.concat_ws(" ", "keywords").alias("keywords"), "tags")
     fitted = labels.fit_preprocess(rows)
-    prepared = spread(fitted.transform(rows, "doc_id"), "doc_id")
+    prepared = fitted.transform(rows, "doc_id")
     tagger = models.train_tagger(prepared, features=256, max_iter=5)
     return models.top_tags(tagger.score(prepared), "doc_id", "scores", fitted.vocab, 5)
