@@ -62,14 +62,18 @@ def concat_vectors(*cols: Column) -> Column:
 def multi_hot(indices: Column, n: int, oov_slot: bool = False) -> Column:
     """0/1 vector of length ``n`` (``n + 1`` with an unknown-label slot).
 
-    An index outside the vector is an error, as a silent drop would hide unknown labels.
+    Built from the sorted indices as runs of zeros between ones, one pass over the result. An index outside the
+    vector is an error, as a silent drop would hide unknown labels.
     """
     size = n + 1 if oov_slot else n
     bad = F.exists(indices, lambda i: (i < 0) | (i >= size))
-    vector = F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda i: F.array_contains(indices.cast("array<int>"), i).cast("float"),
-    )
+    at = F.array_sort(F.array_distinct(F.filter(indices.cast("array<int>"), lambda i: i.isNotNull())))
+    zeros = lambda count: F.array_repeat(F.lit(0.0).cast("float"), count.cast("int"))
+    one = F.array(F.lit(1.0).cast("float"))
+    ends = F.concat(F.slice(at, 2, F.greatest(F.size(at), F.lit(1))), F.array(F.lit(size)))  # where the zeros behind each one end
+    runs = F.zip_with(at, ends, lambda i, end: F.concat(one, zeros(end - i - 1)))
+    lead = zeros(F.coalesce(F.try_element_at(at, F.lit(1)), F.lit(size)))
+    vector = F.concat(lead, F.flatten(F.when(F.size(at) > 0, runs).otherwise(F.array(F.array().cast("array<float>")))))
     return F.when(bad, F.raise_error(F.lit(f"label index outside 0..{size - 1}"))).otherwise(vector)
 
 

@@ -29,9 +29,20 @@ KEPT_LABELS = [
 
 def cluster_labels(df: DataFrame, vec: str = "vec", k: int = CLUSTERS, seed: int = SEED, out: str = "cluster") -> DataFrame:
     """Add a KMeans cluster number per row (R22). Fitting runs jobs; the model is ``k`` vectors."""
+    return cluster_with_centers(df, vec, k, seed, out)[0]
+
+
+def cluster_with_centers(df: DataFrame, vec: str = "vec", k: int = CLUSTERS, seed: int = SEED, out: str = "cluster") -> tuple[DataFrame, DataFrame]:
+    """The rows with their cluster number, and the centres (cluster, center)."""
     features = df.withColumn("_features", array_to_vector(F.col(vec).cast("array<double>")))
     model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol=out).fit(features)
-    return model.transform(features).drop("_features")
+    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    return model.transform(features).drop("_features"), df.sparkSession.createDataFrame(centers, f"{out} int, center array<double>")
+
+
+def in_cluster_order(df: DataFrame, cluster: str = "cluster", word: str = "word") -> DataFrame:
+    """Rows sorted by cluster and word."""
+    return df.orderBy(cluster, word)
 
 
 def centroid_word(df: DataFrame, word: str = "word", vec: str = "vec", cluster: str = "cluster") -> DataFrame:
@@ -68,10 +79,15 @@ def append_special_labels(df: DataFrame, labels: Sequence[str] = SPECIAL_LABELS,
     return df.select(*schema.names).unionByName(df.sparkSession.createDataFrame(rows, schema))
 
 
-def keyword_clusters(words: DataFrame, k: int = CLUSTERS, seed: int = SEED, kept: Sequence[str] = KEPT_LABELS, special: Sequence[str] = SPECIAL_LABELS) -> DataFrame:
-    """The full label-to-cluster table from (word, vec) rows: cluster, name, override, special labels."""
+def keyword_clusters(
+    words: DataFrame, k: int = CLUSTERS, seed: int = SEED, kept: Sequence[str] = KEPT_LABELS, special: Sequence[str] = SPECIAL_LABELS, given: bool = False,
+) -> DataFrame:
+    """The full label-to-cluster table from (word, vec) rows: cluster, name, override, special labels.
+
+    ``given`` takes the clusters that the rows already have in ``cluster``, 0 to ``k - 1``.
+    """
     ordinary = words.where(~F.col("word").isin(*special))
-    named = centroid_word(cluster_labels(ordinary, k=k, seed=seed))
+    named = centroid_word(ordinary if given else cluster_labels(ordinary, k=k, seed=seed))
     return append_special_labels(override_by_prefix(named, kept=kept), special, k)
 
 

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagloom.operators.relational import sum_vectors
+from tagloom.session import cut_lineage
+
 BATCH = 50
+DENSE_ROWS = 256  # rows of a dense block in a task
+MOST_WEIGHTS = 50_000_000  # 400 MB of doubles
 Encoder = Callable[[Sequence[str]], np.ndarray]
 
 
@@ -60,69 +64,129 @@ def apply_text_vectors(model: PipelineModel, df: DataFrame, out: str = "vec") ->
     return model.transform(df).select(*df.columns, vector_to_array("_vec").alias(out))
 
 
+def _sparse_rows(df: DataFrame, vector: str = "_features") -> list:
+    """The set positions of a feature vector and their values; hashed text is sparse."""
+    dense = vector_to_array(vector)
+    spots = F.filter(F.transform(dense, lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull())
+    return [spots.alias("_spots"), F.filter(dense, lambda x: x != 0).alias("_values")]
+
+
+def _dense_batches(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(first row, rows as a dense matrix with a column of ones) of a batch with ``_spots`` and ``_values`` first."""
+    spots, values = (batch.column(i) for i in (0, 1))
+    for start in range(0, len(spots), DENSE_ROWS):
+        at, some = spots.slice(start, DENSE_ROWS), values.slice(start, DENSE_ROWS)
+        rows = np.zeros((len(at), width + 1))
+        rows[:, width] = 1.0
+        rows[np.repeat(np.arange(len(at)), at.value_lengths().to_numpy()), at.flatten().to_numpy()] = some.flatten().to_numpy()
+        yield start, rows
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(x, -30.0, 30.0)))
+
+
 @dataclass(frozen=True)
 class Tagger:
-    """Text features and one linear scorer per label; the weights are labels x features numbers."""
+    """Text features and one linear scorer per label; the weights are labels x (features + 1) numbers."""
 
     features: PipelineModel
     weights: np.ndarray
-    offsets: np.ndarray
 
     def score(self, df: DataFrame, out: str = "scores") -> DataFrame:
         """Add label probabilities to rows with the raw text columns (M3).
 
-        The feature steps are the fitted ones, so training and scoring cannot differ.
+        The feature steps are the fitted ones, so training and scoring cannot differ. A batch of rows meets the broadcast
+        weights in one matrix product.
         """
-        weights, offsets = self.weights, self.offsets
+        weights = df.sparkSession.sparkContext.broadcast(self.weights)
+        kept = [f for f in df.schema.fields if f.name != out]
+        schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.DoubleType()))])
 
-        @F.pandas_udf("array<double>")
-        def sigmoid(at: pd.Series, value: pd.Series) -> pd.Series:
-            rows = np.empty((len(at), len(offsets)))
-            for i, (spots, values) in enumerate(zip(at, value)):
-                rows[i] = weights[:, spots] @ values if len(spots) else 0.0
-            return pd.Series(list(1.0 / (1.0 + np.exp(-(rows + offsets)))))
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            w = weights.value.T
+            for batch in batches:
+                parts = [_sigmoid(rows @ w) for _, rows in _dense_batches(batch, len(w) - 1)]
+                flat = np.concatenate(parts).ravel() if parts else np.empty(0)
+                scores = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1) * w.shape[1], pa.int32()), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([*batch.columns[2:], scores], names=schema.names)
 
-        # only the set positions travel to the workers; hashed text is sparse
-        dense = vector_to_array("_features")
-        spots = F.filter(F.transform(dense, lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull())
-        scored = self.features.transform(df)
-        scored = scored.withColumn(out, sigmoid(spots, F.filter(dense, lambda x: x != 0)))
-        return scored.select(*df.columns, out)
+        rows = self.features.transform(df).select(*_sparse_rows(df), *[f.name for f in kept])
+        return rows.mapInArrow(run, schema)
 
 
 def train_tagger(
     df: DataFrame, labels: str = "tags_xf", texts: Sequence[str] = ("synopsis", "keywords"),
-    features: int = 1 << 10, max_iter: int = 20, reg: float = 0.01, at_once: int = 4,
+    features: int = 1 << 10, max_iter: int = 20, reg: float = 0.01, most_weights: int = MOST_WEIGHTS,
 ) -> Tagger:
-    """Fit a tagger on text columns and a 0/1 label array (M2). Runs jobs.
+    """Fit a tagger on text columns and a 0/1 label array (M2). Runs a job per iteration.
 
-    The texts become hashed word weights, joined to one vector; each label gets a logistic scorer
-    fitted over the stored features, ``at_once`` labels at a time. A label without both classes gets
-    a constant score.
+    The texts become hashed word weights, joined to one unit vector; all labels get logistic scorers in one accelerated
+    gradient descent that starts from the constant predictor. A pass multiplies batches of rows with all weights; tasks
+    send sums per label. Weights and sums are labels x features numbers, at most ``most_weights``.
     """
     steps = []
     for name in texts:
         steps += _word_weights(name, features, f"_{name}")
-    steps.append(VectorAssembler(inputCols=[f"_{name}_weights" for name in texts], outputCol="_features"))
+    steps.append(VectorAssembler(inputCols=[f"_{name}_weights" for name in texts], outputCol="_joined"))
+    steps.append(Normalizer(inputCol="_joined", outputCol="_features"))
     pipeline = Pipeline(stages=steps).fit(df)
-    rows = pipeline.transform(df).select("_features", F.col(labels).alias("_labels")).persist()
-    try:
-        size = rows.select(F.array_size("_labels")).first()[0]
-        shares = rows.agg(*[F.avg(F.col("_labels")[i]).alias(str(i)) for i in range(size)]).first()
-
-        def fit(i: int) -> tuple[np.ndarray, float]:
-            share = float(shares[i])
-            if share in (0.0, 1.0):
-                return np.zeros(features * len(texts)), 20.0 if share else -20.0
-            target = rows.select("_features", F.col("_labels")[i].cast("double").alias("_label"))
-            model = LogisticRegression(featuresCol="_features", labelCol="_label", maxIter=max_iter, regParam=reg).fit(target)
-            return model.coefficients.toArray(), float(model.intercept)
-
-        with ThreadPool(at_once) as pool:
-            fitted = pool.map(fit, range(size))
-    finally:
-        rows.unpersist()
-    return Tagger(pipeline, np.stack([w for w, _ in fitted]), np.array([b for _, b in fitted]))
+    hits = F.filter(F.transform(labels, lambda y, i: F.when(y > 0, i)), lambda i: i.isNotNull())
+    rows = cut_lineage(pipeline.transform(df).select(*_sparse_rows(df), hits.alias("_hits"), F.array_size(labels).alias("_size")))
+    size, n = rows.agg(F.max("_size"), F.count(F.lit(1))).first()
+    width = features * len(texts)
+    if not n:
+        raise ValueError("there are no rows to learn from")
+    if size * (width + 1) > most_weights:
+        raise ValueError(f"{size} labels x {width} features are more than {most_weights} weights; use fewer features")
+    counts = np.zeros(size)
+    for r in rows.select(F.explode("_hits").alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[r["i"]] = r["n"]
+    share = np.clip(counts / n, 1e-9, 1 - 1e-9)
+    weights = np.zeros((size, width + 1))
+    weights[:, width] = np.log(share / (1 - share))
+
+    def gradient(at: np.ndarray) -> np.ndarray:
+        sent = df.sparkSession.sparkContext.broadcast(at)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros_like(sent.value)
+            for batch in batches:
+                named = batch.column(2)
+                for start, x in _dense_batches(batch, width):
+                    error = _sigmoid(x @ sent.value.T)
+                    own = named.slice(start, len(x))
+                    error[np.repeat(np.arange(len(x)), own.value_lengths().to_numpy()), own.flatten().to_numpy()] -= 1.0
+                    total += error.T @ x
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(list(total))], names=["label", "g"])
+
+        parts = rows.mapInArrow(run, "label long, g array<double>")
+        sums = sum_vectors(parts, ["label"], "g").collect()
+        sent.destroy()
+        out = np.empty_like(at)
+        for r in sums:
+            out[r["label"]] = r["g"]
+        penalty = reg * at
+        penalty[:, width] = 0.0
+        return out / n + penalty
+
+    # rows have length 1 besides the one, so the loss curves by at most (1 + 1) / 4 + reg
+    step, ahead, momentum = 1.0 / (0.5 + reg), weights, 1.0
+    for _ in range(max_iter):
+        after = ahead - step * gradient(ahead)
+        grown = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        ahead = after + (momentum - 1) / grown * (after - weights)
+        weights, momentum = after, grown
+    return Tagger(pipeline, weights)
+
+
+def log_loss(df: DataFrame, labels: str, scores: str, eps: float = 1e-12) -> DataFrame:
+    """One row (model, constant): the mean loss per label of given scores, and that of each label's share."""
+    pairs = df.select(F.posexplode(F.arrays_zip(F.col(labels).alias("y"), F.col(scores).alias("p"))).alias("i", "x")).select("i", F.col("x.y").alias("y"), F.col("x.p").alias("p"))
+    entropy = lambda y, p: -(y * F.ln(F.greatest(p, F.lit(eps))) + (1 - y) * F.ln(F.greatest(1 - p, F.lit(eps))))
+    by_label = pairs.groupBy("i").agg(F.sum(entropy(F.col("y"), F.col("p"))).alias("model"), F.avg("y").alias("share"), F.count(F.lit(1)).alias("n"))
+    constant = F.col("n") * entropy(F.col("share"), F.col("share"))
+    return by_label.agg((F.sum("model") / F.sum("n")).alias("model"), (F.sum(constant) / F.sum("n")).alias("constant"))
 
 
 def top_tags(df: DataFrame, key: str, scores: str, vocab: DataFrame, k: int = 5) -> DataFrame:

@@ -12,11 +12,10 @@ from tagloom.operators.ordering import head_per_group
 from tagloom.operators.relational import distinct_apart, share_matching, side_by_side, sum_vectors
 from tagloom.session import cut_lineage
 
-# Fixed values of the evaluation: plays in a profile, plays to predict, list lengths, sampled users.
+# Fixed values of the evaluation: plays in a profile, plays to predict, list lengths.
 HISTORY = 10
 TEST = 5
 TOP = (1, 5, 10)
-SAMPLED_USERS = 50_000
 
 
 def content_to_content(items: DataFrame, n: int = 10, id_col: str = "id", vec: str = "vec", by: str | None = None, **options) -> DataFrame:
@@ -28,6 +27,11 @@ def content_to_content(items: DataFrame, n: int = 10, id_col: str = "id", vec: s
     return similarity.cosine_topk(items, items, n, id_col=id_col, vec=vec, exclude_self=True, by=by, **options)
 
 
+def recommendations_for(asked: DataFrame, items: DataFrame, n: int = 10, id_col: str = "id", vec: str = "vec", **options) -> DataFrame:
+    """As :func:`content_to_content` for some items only, ranked against all: what is not asked for is not scored."""
+    return similarity.cosine_topk(asked, items, n, id_col=id_col, vec=vec, right_id=id_col, right_vec=vec, exclude_self=True, **options)
+
+
 def describe_recommendations(recs: DataFrame, items: DataFrame, id_col: str, about: Sequence[str]) -> DataFrame:
     """Add the ``about`` columns of the query and the result item as ``query_*`` and ``result_*``."""
     query = items.select(F.col(id_col).alias("id"), *[F.col(c).alias(f"query_{c}") for c in about])
@@ -50,7 +54,7 @@ def export_recommendations(
     """
     if titles is not None:
         asked = items.where(F.col(title).isin(*titles)).select(F.col(id_col).alias("id"))
-        recs = recs.join(asked, "id", "left_semi")
+        recs = recs.join(asked.distinct(), "id", "left_semi")
     named = describe_recommendations(recs, items, id_col, [title, *about])
     order = [f"query_{c}" for c in (title, *about)]
     return named.select(

@@ -46,14 +46,31 @@ def join_ci(left: DataFrame, right: DataFrame, left_col: str, right_col: str, ho
     return left.join(right, F.lower(left[left_col]) == F.lower(right[right_col]), how)
 
 
-def join_on_membership(left: DataFrame, array_col: str, right: DataFrame, key: str) -> DataFrame:
+def join_on_membership(left: DataFrame, left_key: str, array_col: str, right: DataFrame, key: str) -> DataFrame:
     """Rows of ``left`` joined to each row of ``right`` whose key is a member of the array.
 
     Members are made distinct before the explode: the test is membership, not multiplicity. The
-    join is then an equi join on the member, where comparing every pair would be quadratic.
+    join is then an equi join on the member, where comparing every pair would be quadratic. Only ``left_key``, unique
+    per row, travels with a member; the other columns are joined to the pairs that are found.
     """
-    members = left.withColumn("_member", F.explode(F.array_distinct(array_col)))
-    return members.join(right, F.col("_member") == right[key]).drop("_member")
+    members = left.select(F.col(left_key).alias("_key"), F.explode(F.array_distinct(array_col)).alias("_member"))
+    pairs = members.join(right, F.col("_member") == right[key]).drop("_member")
+    return left.join(pairs, F.col(left_key) == F.col("_key")).drop("_key")
+
+
+def array_concat_agg(df: DataFrame, keys: Sequence[str], col: str, order: Sequence[str], out: str | None = None) -> DataFrame:
+    """Per key, the members of all arrays in row order, duplicates kept (A9); NULL arrays add nothing.
+
+    The result is one cell per key. Where a key's members may be too many for a cell, use the long form,
+    :func:`array_members`.
+    """
+    rows = df.where(F.col(col).isNotNull()).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order, F.col(col).alias("_v")))).alias("_rows"))
+    return rows.select(*keys, F.flatten(F.transform("_rows", lambda r: r["_v"])).alias(out or col))
+
+
+def array_members(df: DataFrame, keys: Sequence[str], col: str, order: Sequence[str], out: str = "value") -> DataFrame:
+    """(keys, order, pos, value): every array member as a row, in any number (the long form of A5, A8, A9, A13)."""
+    return df.select(*keys, *order, F.posexplode(col).alias("pos", out))
 
 
 def string_agg(df: DataFrame, keys: Sequence[str], col: str, sep: str, distinct: bool = False, out: str | None = None) -> DataFrame:

@@ -116,7 +116,7 @@ def infer_spec(df: DataFrame, features: Sequence[str] | None = None, domain_limi
     """A specification from the data (V2): types, presence, value counts, and small domains.
 
     One statistics row per feature, and at most ``domain_limit`` values of features with few distinct
-    values, reach the driver.
+    values, reach the driver. Text features with more values get no domain and are named in ``open_domains``.
     """
     features = list(features or df.columns)
     stats = {r["feature"]: r for r in feature_stats(df, features).collect()}
@@ -134,7 +134,7 @@ def infer_spec(df: DataFrame, features: Sequence[str] | None = None, domain_limi
             min_count=1, min_values=1 if single or (row["min_values"] or 0) >= 1 else 0,
             max_values=1 if single else None, domain=tuple(domains[name]) if name in domains else None,
         ))
-    return FeatureSpec(tuple(specs))
+    return FeatureSpec(tuple(specs), tuple(f for f in features if _is_text(df, f) and stats[f]["num_distinct"] > domain_limit))
 
 
 def _kind(df: DataFrame, col: str) -> str:

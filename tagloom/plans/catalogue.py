@@ -92,7 +92,8 @@ def training_rows(df: DataFrame, token_limit: int = TOKEN_LIMIT, test_limit: int
     pairs = F.sort_array(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("v", "n"))))
     keywords = counts.groupBy("_key").agg(_repeat_join(pairs, " ").alias("keywords"))
     out = groups.join(keywords, "_key").select("synopsis", "keywords", "tags")
-    return out.limit(test_limit) if test_limit else out
+    # a limit without an order would return other rows from run to run
+    return out.orderBy("synopsis", "keywords").limit(test_limit) if test_limit else out
 
 
 def tag_training_rows(programs: DataFrame, program_tags: DataFrame, top_genres: int = TOP_GENRES, test_limit: int | None = None) -> DataFrame:

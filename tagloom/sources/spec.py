@@ -29,16 +29,26 @@ class FeatureSpec:
     """A curated list of features (S12), kept as JSON next to the code that uses it."""
 
     features: tuple[Feature, ...]
+    #: Features whose values were too many to be listed as a domain when the specification was inferred.
+    open_domains: tuple[str, ...] = ()
+
+    @classmethod
+    def from_json(cls, text: str) -> FeatureSpec:
+        found = json.loads(text)
+        features = tuple(Feature(**{**row, "domain": tuple(row["domain"]) if row.get("domain") else None}) for row in found["features"])
+        return cls(features, tuple(found.get("open_domains", ())))
+
+    def to_json(self) -> str:
+        return json.dumps({"features": [asdict(f) for f in self.features], "open_domains": list(self.open_domains)}, indent=2, ensure_ascii=False)
 
     @classmethod
     def load(cls, path: str) -> FeatureSpec:
         with open(path, encoding="utf-8") as file:
-            rows = json.load(file)["features"]
-        return cls(tuple(Feature(**{**row, "domain": tuple(row["domain"]) if row.get("domain") else None}) for row in rows))
+            return cls.from_json(file.read())
 
     def save(self, path: str) -> None:
         with open(path, "w", encoding="utf-8") as file:
-            json.dump({"features": [asdict(f) for f in self.features]}, file, indent=2, ensure_ascii=False)
+            file.write(self.to_json())
 
     def schema(self) -> T.StructType:
         """The specification as a Spark schema."""

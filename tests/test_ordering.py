@@ -61,7 +61,7 @@ def test_distinct_aggregates_skip_nulls(spark):
 def test_membership_join_ignores_duplicates(spark, rows):
     left = spark.createDataFrame([(1, ["x", "x", "y"]), (2, []), (3, None)], "id int, tags array<string>")
     right = spark.createDataFrame([("x", 10), ("y", 20), ("z", 30)], "label string, c int")
-    out = relational.join_on_membership(left, "tags", right, "label").select("id", "c")
+    out = relational.join_on_membership(left, "id", "tags", right, "label").select("id", "c")
     assert rows(out) == [(1, 10), (1, 20)]
 
 

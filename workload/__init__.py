@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _registered():
-    from workload import catalogue_queries, check_queries, label_queries, registry, relational_queries, vector_queries  # noqa: F401
+    from workload import catalogue_queries, check_queries, label_queries, registry, relational_queries, source_queries, vector_queries  # noqa: F401
 
     return registry
 

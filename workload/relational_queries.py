@@ -29,7 +29,7 @@ def filtered_programs(spark, sf):
 @query("membership_join", with_tables("training mapping", """
     SELECT doc_id, word, cluster FROM training JOIN mapping ON list_contains(keywords, word)"""))
 def membership_join(spark, sf):
-    return relational.join_on_membership(t.training_table(spark, sf), "keywords", t.mapping(spark, sf), "word").select("doc_id", "word", "cluster")
+    return relational.join_on_membership(t.training_table(spark, sf), "doc_id", "keywords", t.mapping(spark, sf), "word").select("doc_id", "word", "cluster")
 
 
 @query("case_free_join", with_tables("catalogue content_id", """

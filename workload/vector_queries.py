@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.functions import vectors
-from tagloom.operators import clusters, models, recommend, similarity
+from tagloom.operators import clusters, labels, models, recommend, similarity
+from tagloom.operators.ordering import with_row_id
 from tagloom.plans import catalogue as plans
 from tagloom.plans import evaluation
 from workload import standins as t
@@ -55,8 +56,7 @@ def type_match(spark, sf):
            'title ' || match_id AS result_title, result_type, round(score, 6) AS score FROM ranked WHERE rank <= 15 AND query_type IN ('1', '2')"""))
 def recs_export(spark, sf):
     items = t.items(spark, sf).withColumn("title", F.concat(F.lit("title "), F.col("item").cast("string")))
-    asked = items.where(F.col("type").isin("1", "2"))
-    recs = recommend.content_to_content(items, 15, id_col="item").join(asked.select(F.col("item").alias("id")), "id", "left_semi")
+    recs = recommend.recommendations_for(items.where(F.col("type").isin("1", "2")), items, 15, id_col="item")
     out = recommend.export_recommendations(recs, items, "item", "title", ["type"])
     return out.withColumn("score", F.round("score", 6))
 
@@ -298,9 +298,35 @@ def cluster_override(spark, sf):
     return clusters.append_special_labels(changed).select("word", "centroid_word")
 
 
-@query("kmeans_labels")
+@query("kmeans_labels", "SELECT count(*) AS vectors, 10 AS clusters, 0 AS misplaced FROM embeddings")
 def kmeans_labels(spark, sf):
-    return clusters.cluster_labels(t.words(spark, sf).drop("cluster"), k=10).groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
+    """Every vector lies in the cluster of its nearest centre, and every cluster has one."""
+    words, centers = clusters.cluster_with_centers(t.words(spark, sf).drop("cluster"), k=10)
+    gap = F.aggregate(F.zip_with(F.col("vec").cast("array<double>"), "center", lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda acc, x: acc + x)
+    # ten rows of centres
+    gaps = words.crossJoin(F.broadcast(centers.withColumnRenamed("cluster", "other"))).select("word", "cluster", "other", gap.alias("gap"))
+    per_word = gaps.groupBy("word", "cluster").agg(F.min("gap").alias("least"), F.min(F.when(F.col("other") == F.col("cluster"), F.col("gap"))).alias("own"))
+    return per_word.agg(F.count(F.lit(1)).alias("vectors"), F.count_distinct("cluster").cast("int").alias("clusters"),
+                        F.count_if(F.col("own") > F.col("least") + 1e-9).cast("int").alias("misplaced"))
+
+
+@query("clusters_in_order", with_tables("words", """ SELECT row_number() OVER (ORDER BY cluster, word) AS place, cluster, word FROM words"""))
+def clusters_in_order(spark, sf):
+    """Cluster members in cluster order, numbered as they come."""
+    rows = clusters.in_cluster_order(t.words(spark, sf).select("cluster", "word"))
+    return with_row_id(rows, F.col("cluster"), F.col("word"), name="place", start=1).select("place", "cluster", "word")
+
+
+@query("keyword_clusters", with_tables("words", """, member AS (SELECT word, cluster, unnest(vec) AS x, unnest(range(len(vec))) AS pos FROM words),
+    means AS (SELECT cluster, pos, avg(x) AS m FROM member GROUP BY cluster, pos),
+    gaps AS (SELECT cluster, word, round(sum((x - m) * (x - m)), 12) AS gap FROM member JOIN means USING (cluster, pos) GROUP BY cluster, word),
+    best AS (SELECT cluster, word AS centroid_word, row_number() OVER (PARTITION BY cluster ORDER BY gap, word) AS rn, count(*) OVER (PARTITION BY cluster) AS num_words FROM gaps)
+    SELECT words.word, cluster, CASE WHEN contains(words.word, 'rd 1') THEN 'rd 1 and more' ELSE centroid_word END AS centroid_word, num_words
+    FROM words JOIN best USING (cluster) WHERE rn = 1
+    UNION ALL SELECT """ + f"unnest({clusters.SPECIAL_LABELS!r}), 10 + unnest(range({len(clusters.SPECIAL_LABELS)})), unnest({clusters.SPECIAL_LABELS!r}), 1".replace('"', "''" )))
+def keyword_clusters(spark, sf):
+    out = clusters.keyword_clusters(t.words(spark, sf), k=10, kept=["rd 1 and more"], given=True)
+    return out.select("word", F.col("cluster").cast("long").alias("cluster"), "centroid_word", F.col("num_words").cast("long").alias("num_words"))
 
 
 @query("embed_text", """
@@ -315,19 +341,40 @@ def embed_text(spark, sf):
     return out.select("doc_id", F.col("vec")[0].cast("bigint").alias("chars"), F.col("vec")[1].cast("bigint").alias("blanks"))
 
 
-@query("text_vectors")
+@query("text_vectors", "SELECT doc_id, 64 AS dim, 1 AS unit_or_zero FROM documents")
 def text_vectors(spark, sf):
+    """Every text has a vector of the asked size that has length 1, or 0 where no word tells it apart."""
     docs = t.documents(spark, sf).select("doc_id", "text")
-    return models.apply_text_vectors(models.fit_text_vectors(docs, "text", dim=64), docs).select("doc_id", "vec")
-
+    out = models.apply_text_vectors(models.fit_text_vectors(docs, "text", dim=64), docs)
+    norm = F.round(vectors.l2_norm(F.col("vec")), 9)
+    return out.select("doc_id", F.array_size("vec").alias("dim"), norm.isin(0.0, 1.0).cast("int").alias("unit_or_zero"))
 
-@query("train_tagger")
-def train_tagger(spark, sf):
-    from tagloom.operators import labels
 
+def _tagger(spark, sf):
     rows = t.training_table(spark, sf).select(
         "doc_id", F.col("program_longsynopsis").alias("synopsis"), F.concat_ws(" ", "keywords").alias("keywords"), "tags")
     fitted = labels.fit_preprocess(rows)
     prepared = fitted.transform(rows, "doc_id")
     tagger = models.train_tagger(prepared, features=256, max_iter=5)
-    return models.top_tags(tagger.score(prepared), "doc_id", "scores", fitted.vocab, 5)
+    return tagger.score(prepared), fitted.vocab
+
+
+@query("train_tagger", """
+    SELECT doc_id, least(5, (SELECT count(DISTINCT tag) FROM (SELECT lang AS tag FROM documents UNION ALL SELECT 'quality ' || quality FROM labels
+           UNION ALL SELECT 'not for kids' FROM labels WHERE toxic = 1))) AS tags, 1 AS in_range, 1 AS descending FROM documents""")
+def train_tagger(spark, sf):
+    """Every document has its five best tags, scores strictly between 0 and 1, best first."""
+    scored, vocab = _tagger(spark, sf)
+    best = models.top_tags(scored, "doc_id", "scores", vocab, 5)
+    per_doc = best.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("rank", "score"))).alias("r"))
+    inside = F.forall("r", lambda x: (x["score"] > 0) & (x["score"] < 1))
+    falls = F.forall(F.sequence(F.lit(1), F.array_size("r") - 1), lambda i: F.element_at("r", i)["score"] >= F.element_at("r", i + 1)["score"])
+    return per_doc.select("doc_id", F.array_size("r").cast("long").alias("tags"), inside.cast("int").alias("in_range"),
+                          F.when(F.array_size("r") < 2, True).otherwise(falls).cast("int").alias("descending"))
+
+
+@query("tagger_loss", "SELECT 1 AS better_than_constant")
+def tagger_loss(spark, sf):
+    """The fitted tagger's loss is below that of the labels' shares."""
+    scored, _ = _tagger(spark, sf)
+    return models.log_loss(scored, "tags_xf", "scores").select((F.col("model") < F.col("constant")).cast("int").alias("better_than_constant"))
