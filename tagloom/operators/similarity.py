@@ -182,34 +182,8 @@ def _group_column(by: str | None, left: pa.Table, n: int) -> dict[str, pa.Array]
     return {by: pa.array([value.as_py()] * n, type=left.schema.field(by).type)}
 
 
-def topk_pairs(
-    left: DataFrame,
-    right: DataFrame,
-    k: int,
-    id_col: str = "id",
-    vec: str = "vec",
-    right_id: str | None = None,
-    right_vec: str | None = None,
-    score: ScoreFn = cosine_scores,
-    exclude_self: bool = False,
-    by: str | None = None,
-    hidden: str | None = None,
-    label: str | None = None,
-    block_rows: int | None = None,
-) -> DataFrame:
-    """Exact top ``k`` right rows for each left row: (id, rank, match_id, score).
-
-    Ties go to the smaller ``match_id``. ``by`` names a column, such as a model name, that both
-    sides must share. A left row's short ``hidden`` list names right ``label`` values that score -1
-    for it, so that they rank last. Each task returns at most ``k`` rows per left row, so the merge moves
-    ``k`` rows per left row and right block.
-    """
-    x = _side(left, id_col, vec, by, hidden=hidden)
-    same = not hidden and right is left and right_id in (None, id_col) and right_vec in (None, vec)
-    y = x if same else _side(right, right_id or id_col, right_vec or vec, by, label=label)
-    fields = [_field(left, by, by)] if by else []
-    schema = T.StructType([*fields, _field(left, id_col, "id"), T.StructField("rank", T.IntegerType()),
-                           _field(right, right_id or id_col, "match_id"), T.StructField("score", T.DoubleType())])
+def _best_of_block(k: int, score: ScoreFn, exclude_self: bool, by: str | None) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The task that returns each left row's best ``k`` rows of a right block, ties to the smaller id."""
 
     def best(lt: pa.Table, rt: pa.Table) -> pa.Table:
         rt = rt.sort_by("id")  # columns in id order make a column number the tie break
@@ -249,6 +223,39 @@ def topk_pairs(
         }
         return pa.table(out)
 
+    return best
+
+
+def topk_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    k: int,
+    id_col: str = "id",
+    vec: str = "vec",
+    right_id: str | None = None,
+    right_vec: str | None = None,
+    score: ScoreFn = cosine_scores,
+    exclude_self: bool = False,
+    by: str | None = None,
+    hidden: str | None = None,
+    label: str | None = None,
+    block_rows: int | None = None,
+) -> DataFrame:
+    """Exact top ``k`` right rows for each left row: (id, rank, match_id, score).
+
+    Ties go to the smaller ``match_id``. ``by`` names a column, such as a model name, that both
+    sides must share. A left row's short ``hidden`` list names right ``label`` values that score -1
+    for it, so that they rank last. Each task returns at most ``k`` rows per left row, so the merge moves
+    ``k`` rows per left row and right block.
+    """
+    x = _side(left, id_col, vec, by, hidden=hidden)
+    same = not hidden and right is left and right_id in (None, id_col) and right_vec in (None, vec)
+    y = x if same else _side(right, right_id or id_col, right_vec or vec, by, label=label)
+    fields = [_field(left, by, by)] if by else []
+    schema = T.StructType([*fields, _field(left, id_col, "id"), T.StructField("rank", T.IntegerType()),
+                           _field(right, right_id or id_col, "match_id"), T.StructField("score", T.DoubleType())])
+
+    best = _best_of_block(k, score, exclude_self, by)
     layout = _layout(x, y, block_rows, by)
     found = _grid(x, y, best, schema, layout, by)
     keys = [*([by] if by else []), "id"]
@@ -256,6 +263,120 @@ def topk_pairs(
     return head_per_group(merged, keys, [F.desc("score"), F.asc("match_id")], k, "rank").select(*[f.name for f in schema])
 
 
+def _unit(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit rows, and which rows have a direction."""
+    size = np.sqrt((rows * rows).sum(axis=1))
+    return rows / np.where(size > 0, size, 1.0)[:, None], size > 0
+
+
+def _near_blocks(side: DataFrame, pivots: np.ndarray, block_rows: int, name: str) -> DataFrame:
+    """Add a block number: rows whose nearest pivot is the same, in parts of about ``block_rows``. Runs jobs.
+
+    Rows without a direction go to blocks of their own. One number per pivot comes to the driver.
+    """
+    sent = side.sparkSession.sparkContext.broadcast(pivots)
+
+    def nearest(batches):
+        for batch in batches:
+            rows, real = _unit(_matrix(pa.Table.from_batches([batch])))
+            found = np.where(real, (rows @ sent.value.T).argmax(axis=1) if len(rows) else 0, len(sent.value))
+            yield batch.append_column("_pivot", pa.array(found, pa.int32()))
+
+    marked = cut_lineage(side.mapInArrow(nearest, T.StructType([*side.schema.fields, T.StructField("_pivot", T.IntegerType())])))
+    counts = sorted((r["_pivot"], r["n"]) for r in marked.groupBy("_pivot").agg(F.count(F.lit(1)).alias("n")).collect())
+    table, first = [], 0
+    for pivot, n in counts:
+        parts = math.ceil(n / block_rows)
+        table.append((pivot, first, parts))
+        first += parts
+    starts = side.sparkSession.createDataFrame(table, "_pivot int, _first int, _parts int")
+    block = F.col("_first") + F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int")
+    return marked.join(F.broadcast(starts), "_pivot").withColumn(name, block).drop("_pivot", "_first", "_parts")
+
+
+def _block_shapes(blocked: DataFrame, name: str) -> list[tuple[int, int, np.ndarray, float]]:
+    """(block, rows, centre, radius) of every block: no row is further from the centre than the radius (an angle)."""
+
+    def shape(block: pa.Table) -> pa.Table:
+        rows, real = _unit(_matrix(block))
+        centre, some = _unit(rows.sum(axis=0, keepdims=True))
+        known = real.all() and some[0]
+        radius = float(np.arccos(np.clip(rows @ centre[0], -1, 1)).max()) if known else math.pi
+        return pa.table({"block": pa.array([block.column(name)[0].as_py()], pa.int32()), "n": pa.array([len(rows)], pa.int64()),
+                         "centre": pa.array([centre[0]], pa.list_(pa.float64())), "radius": [radius]})
+
+    found = blocked.select(name, "vec").groupBy(name).applyInArrow(shape, "block int, n long, centre array<double>, radius double")
+    return [(r["block"], r["n"], np.array(r["centre"]), r["radius"]) for r in found.collect()]
+
+
+def pruned_cosine_topk(
+    left: DataFrame, right: DataFrame, k: int, id_col: str = "id", vec: str = "vec", right_id: str | None = None, right_vec: str | None = None,
+    exclude_self: bool = False, block_rows: int | None = None, sent: list[int] | None = None,
+) -> DataFrame:
+    """Exact cosine top ``k`` as :func:`cosine_topk`, for item sets of many blocks that lie in groups. Runs jobs.
+
+    Blocks hold rows near one pivot. A block's centre and radius bound the best cosine of a pair of blocks. Each left
+    block first meets the right blocks with the best bounds that together have ``k`` rows to offer; its worst k-th score is
+    then what a further block's bound has to reach, or the block is not sent. Rows without a direction are met always.
+    Without groups in the data all pairs are sent, as in the full grid. One row per block comes to the driver; the pair
+    table stays distributed. ``sent`` collects the number of block pairs of the two rounds and of the full grid.
+    """
+    spark = left.sparkSession
+    x = _side(left, id_col, vec, None)
+    y = _side(right, right_id or id_col, right_vec or vec, None)
+    schema = T.StructType([_field(left, id_col, "id"), T.StructField("rank", T.IntegerType()), _field(right, right_id or id_col, "match_id"), T.StructField("score", T.DoubleType())])
+    sample = y.where(F.exists("vec", lambda v: v != 0))
+    dim, n_right = y.agg(F.max(F.array_size("vec")), F.count(F.lit(1))).first()
+    if not n_right:
+        return spark.createDataFrame([], schema)
+    block_rows = block_rows or max(1, BLOCK_BYTES // (8 * dim))
+    chosen = sample.orderBy(F.xxhash64("id"), "id").limit(math.ceil(n_right / block_rows)).select("vec").collect()
+    pivots = _unit(np.array([r["vec"] for r in chosen], dtype=float).reshape(-1, dim))[0] if chosen else np.eye(1, dim)
+    lb, rb = _near_blocks(x, pivots, block_rows, "lb"), _near_blocks(y, pivots, block_rows, "rb")
+    shapes = spark.sparkContext.broadcast((_block_shapes(lb, "lb"), _block_shapes(rb, "rb")))
+    if not shapes.value[0]:
+        return spark.createDataFrame([], schema)
+    need = k + int(exclude_self)
+
+    def bounds(batches):
+        blocks, others = shapes.value
+        known = {b: (c, r) for b, _, c, r in blocks}
+        ids, sizes = np.array([b for b, *_ in others]), np.array([n for _, n, *_ in others])
+        centres, radii = np.stack([c for *_, c, _ in others]), np.array([r for *_, r in others])
+        for batch in batches:
+            for b in batch.column(0).to_pylist():
+                centre, radius = known[b]
+                apart = np.arccos(np.clip(centres @ centre, -1, 1)) - radius - radii
+                bound = np.cos(np.maximum(apart, 0.0))
+                order = np.argsort(-bound, kind="stable")
+                before = np.cumsum(sizes[order]) - sizes[order]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), b), pa.int32()), pa.array(ids[order], pa.int32()), pa.array(bound[order]), pa.array(before < need)], names=["lb", "rb", "bound", "first"])
+
+    every = spark.createDataFrame([(b,) for b, *_ in shapes.value[0]], "lb int").repartition("lb")
+    pairs = cut_lineage(every.mapInArrow(bounds, "lb int, rb int, bound double, first boolean"))
+    task = _best_of_block(k, cosine_scores, exclude_self, None)
+    arrow_schema = to_arrow_schema(schema)
+
+    def meet(some: DataFrame) -> DataFrame:
+        mine = lb.join(some.select("lb", "rb"), "lb").groupBy("lb", "rb")
+        theirs = rb.withColumnRenamed("rb", "_rb").join(some.select(F.col("lb").alias("_lb"), F.col("rb").alias("_rb")), "_rb").groupBy("_lb", "_rb")
+
+        def run(lt: pa.Table, rt: pa.Table) -> pa.Table:
+            return task(lt, rt).cast(arrow_schema) if len(lt) and len(rt) else arrow_schema.empty_table()
+
+        return mine.cogroup(theirs).applyInArrow(run, schema)
+
+    found = cut_lineage(meet(pairs.where("first")))
+    kth = head_per_group(found.drop("rank"), "id", [F.desc("score"), F.asc("match_id")], k, "rank").groupBy("id").agg(F.count(F.lit(1)).alias("_n"), F.min("score").alias("_s"))
+    reached = F.when(F.col("_n") >= k, F.col("_s")).otherwise(F.lit(-math.inf))
+    worst = lb.select("id", "lb").join(kth, "id", "left").groupBy("lb").agg(F.min(reached).alias("worst"))
+    later = cut_lineage(pairs.where("NOT first").join(worst, "lb").where(F.col("bound") >= F.col("worst") - 1e-9))
+    if sent is not None:
+        sent += [pairs.where("first").count(), later.count(), pairs.count()]
+    merged = found.drop("rank").unionByName(meet(later).drop("rank"))
+    return head_per_group(merged, "id", [F.desc("score"), F.asc("match_id")], k, "rank").select(*schema.names)
+
+
 def cosine_topk(left: DataFrame, right: DataFrame, k: int, **options) -> DataFrame:
     """Exact cosine top ``k`` (R3); see :func:`topk_pairs`."""
     return topk_pairs(left, right, k, score=cosine_scores, **options)

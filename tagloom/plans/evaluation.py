@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.functions.text import join_texts
 from tagloom.operators import recommend
+from tagloom.operators.models import Encoder, embed_text
 from tagloom.operators.ordering import first_per_key
+from tagloom.plans.catalogue import SAMPLED_USERS, titles_keywords, users_plays
 from tagloom.session import cut_lineage
 from tagloom.sources.tables import append_metrics, write_report
 
@@ -51,6 +55,23 @@ def evaluate(
     return Evaluation(first, later, profiles, ranked, metrics)
 
 
+def evaluate_catalogue(
+    play_sequence: DataFrame, catalogue: DataFrame, content_ids: DataFrame, load_encoder: Callable[[], Encoder],
+    start: str, end: str, users: int = SAMPLED_USERS, **options,
+) -> Evaluation:
+    """The whole chain: sampled users' plays, titles with their keywords, one row per title, vectors from its text, evaluation.
+
+    A title's first row is that of its least type and content id; its text is title, keywords and synopsis.
+    """
+    plays = users_plays(play_sequence, start, end, users=users)
+    plays = plays.select(F.col("user_ordinal_id").alias("user_id"), "content_id", F.col("session_timestamp").alias("ts"))
+    titles = titles_keywords(catalogue, content_ids).withColumn("_order", F.struct("TitleType", "content_ordinal_id"))
+    chosen = one_item_per_title(titles, "TitleDetails_title", "_order")
+    texts = chosen.select(F.col("content_ordinal_id").alias("item"), join_texts(F.col("TitleDetails_title"), F.col("keywords"), F.col("TitleDetails_longsynopsis")).alias("text"))
+    items = cut_lineage(embed_text(texts, "text", load_encoder).select("item", F.col("item").alias("content_id"), "vec"))
+    return evaluate(cut_lineage(plays), items, **options)
+
+
 def publish(evaluation: Evaluation, model_name: str, model_path: str, metrics_path: str, report_path: str, user: str = "user_id") -> None:
     """Append the metric rows and write the per-user report."""
     append_metrics(recommend.metrics_long(evaluation.metrics, model_name, model_path), metrics_path)

@@ -113,6 +113,21 @@ def test_inferred_spec_survives_json(spark, good, tmp_path):
     assert spec.schema().simpleString() == "struct<synopsis:string,keywords:string,tags:array<string>>"
 
 
+def test_inferred_spec_names_open_domains(spark):
+    df = spark.createDataFrame([(f"v{i}", "a") for i in range(5)], "many string, few string")
+    spec = validation.infer_spec(df, domain_limit=4)
+    assert spec.open_domains == ("many",) and FeatureSpec.from_json(spec.to_json()) == spec
+
+
+def test_quantiles_are_exact_whatever_the_size(spark):
+    rows = spark.range(30_000).select((F.col("id") * 7919 % 30_011).cast("double").alias("v"), F.lit(None).cast("double").alias("none"))
+    values = sorted(r.v for r in rows.collect())
+    got = {r.feature: r for r in validation.numeric_stats(rows, ["v", "none"]).collect()}
+    for q in (0.1, 0.25, 0.5, 0.75, 0.9):
+        assert got["v"][f"q{round(q * 100)}"] == values[math.ceil(q * len(values)) - 1]
+    assert got["none"].num_values == 0 and got["none"].q50 is None
+
+
 def test_statistics(spark, good):
     got = {r.feature: r for r in validation.feature_stats(good, ["synopsis", "tags"]).collect()}
     assert (got["tags"].num_values, got["tags"].num_distinct, got["tags"].top_value, got["tags"].top_count, got["tags"].mean_values) == (3, 2, "a", 2, 1.5)

@@ -76,3 +76,19 @@ def test_filter_to_vocab(spark, rows):
     df = spark.createDataFrame([(1, ["b", "a", "a", "q"]), (2, ["q"])], "id int, t array<string>")
     vocab = spark.createDataFrame([("a",), ("b",), ("a",)], "token string")
     assert rows(labels.filter_to_vocab(df, "id", "t", vocab)) == [(1, ["a", "b"])]
+
+
+def test_predictions_keep_rows_without_any(spark):
+    rows = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 1)], "id int, a int, b int")
+    long = labels.unpivot_labels(rows, ["id"], ["a", "b"])
+    got = labels.pivot_predictions(long, ["id"], "label", "value", ["a", "b"], rows)
+    assert sorted(map(tuple, got.collect())) == [(1, 1, 0), (2, 0, 0), (3, 1, 1)]
+
+
+def test_vocabulary_drops_or_marks_unknown_members(spark):
+    df = spark.createDataFrame([(1, ["x", "q", "x"]), (2, []), (3, None), (4, ["q"])], "id int, t array<string>")
+    vocab = spark.createDataFrame([("x", 0)], "token string, idx bigint")
+    marked = {r.id: r.t_idx for r in labels.apply_vocab(df, "id", "t", vocab).collect()}
+    assert marked == {1: [0, 1, 0], 2: [], 3: [], 4: [1]}
+    dropped = {r.id: r.t_idx for r in labels.apply_vocab(df, "id", "t", vocab, drop_unknown=True).collect()}
+    assert dropped == {1: [0, 0], 2: [], 3: [], 4: []}

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tagloom.functions import text
@@ -81,6 +82,29 @@ def test_tagger_learns_a_plain_rule(spark):
     assert 0 < bounds[0] and bounds[1] < 1
 
 
+def test_tagger_refuses_more_weights_than_allowed(spark):
+    df = spark.createDataFrame([(1, "a", "k", ["x"])], "id int, synopsis string, keywords string, tags array<string>")
+    rows = labels.fit_preprocess(df).transform(df, "id")
+    with pytest.raises(ValueError, match="weights"):
+        models.train_tagger(rows, features=64, most_weights=10)
+
+
+def test_tagger_beats_the_constant_from_the_first_step(spark):
+    data = [(i, "alpha story" if i % 3 else "beta tale", "k", ["odd"] if i % 3 else ["even"]) for i in range(60)]
+    df = spark.createDataFrame(data, "id int, synopsis string, keywords string, tags array<string>")
+    rows = labels.fit_preprocess(df).transform(df, "id")
+    losses = [models.log_loss(models.train_tagger(rows, features=32, max_iter=n).score(rows), "tags_xf", "scores").first() for n in (1, 10)]
+    assert losses[1].model < losses[0].model < losses[0].constant == losses[1].constant
+
+
+def test_vocabulary_text_of_several_files_keeps_file_order(spark, tmp_path):
+    (tmp_path / "v").mkdir()
+    (tmp_path / "v" / "a.txt").write_text("one\ntwo\n")
+    (tmp_path / "v" / "b.txt").write_text("three\n\nfour\n")
+    got = tables.read_vocab_text(spark, str(tmp_path / "v")).orderBy("idx").collect()
+    assert [(r.token, r.idx) for r in got] == [("one", 0), ("two", 1), ("three", 2), ("four", 3)]
+
+
 def test_default_encoder_has_a_fixed_size(spark):
     df = spark.createDataFrame([(1, "a b"), (2, "c")], "id int, t string")
     out = models.apply_text_vectors(models.fit_text_vectors(df, "t", dim=16), df)

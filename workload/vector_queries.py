@@ -10,7 +10,8 @@ from tagloom.operators.ordering import with_row_id
 from tagloom.plans import catalogue as plans
 from tagloom.plans import evaluation
 from workload import standins as t
-from workload.registry import query
+from workload import catalogue_queries  # noqa: F401  its oracle texts are used here
+from workload.registry import ORACLES, query
 from workload.standins import with_tables
 
 ITEMS = "items"
@@ -31,6 +32,13 @@ def cosine_top10_blocked(spark, sf):
     return recs.withColumn("score", F.round("score", 6))
 
 
+@query("cosine_top10_pruned", with_tables(ITEMS, SCORES + " SELECT id, CAST(rank AS INT) AS rank, match_id, round(score, 6) AS score FROM ranked WHERE rank <= 10"))
+def cosine_top10_pruned(spark, sf):
+    items = t.items(spark, sf)
+    recs = similarity.pruned_cosine_topk(items, items, 10, id_col="item", exclude_self=True, block_rows=192)
+    return recs.withColumn("score", F.round("score", 6))
+
+
 @query("two_model_top5", with_tables(ITEMS, """,
     pair AS (SELECT 'first' AS model, item, vec FROM items UNION ALL SELECT 'second', item, list_transform(vec, lambda x: x * abs(x)) FROM items),
     ranked AS (SELECT model, a.item AS id, b.item AS match_id, round(list_cosine_similarity(a.vec, b.vec), 12) AS score,
@@ -195,6 +203,31 @@ def ranking_metrics(spark, sf):
     return out.select("total", *[F.round(F.col(f"`{c}`"), 6).alias(c) for c in out.columns if c != "total"])
 
 
+LETTERS = "abcdefghijklmnop"
+CATALOGUE_RUN = f"""WITH raw_plays AS (SELECT CAST(user_id AS VARCHAR) AS u, CAST(ts AS DATE) AS d, CAST(json_extract_string(props, '$.k') AS BIGINT) AS content_id, ts FROM events),
+    starts AS (SELECT u, d, min(ts) AS t FROM raw_plays GROUP BY u, d),
+    chosen AS (SELECT u FROM raw_plays WHERE d >= DATE '2024-01-05' AND d < DATE '2024-01-20' GROUP BY u HAVING count(DISTINCT content_id) > 15
+               ORDER BY md5(u || '3'), u LIMIT 100),
+    plays AS (SELECT u AS user_id, content_id, t AS ts FROM raw_plays JOIN starts USING (u, d) WHERE u IN (SELECT u FROM chosen)),
+    named AS ({ORACLES["titles_keywords"]}),
+    first_rows AS (SELECT *, row_number() OVER (PARTITION BY "TitleDetails_title" ORDER BY "TitleType", content_ordinal_id) AS rn FROM named),
+    texts AS (SELECT content_ordinal_id AS item, concat_ws(' ', "TitleDetails_title", coalesce(keywords, ''), "TitleDetails_longsynopsis") AS text FROM first_rows WHERE rn = 1),
+    items AS (SELECT item, item AS content_id, list_transform(string_split('{' '.join(LETTERS)}', ' '), lambda c: CAST(length(text) - length(replace(text, c, '')) AS DOUBLE)) AS vec FROM texts)"""
+
+
+@query("catalogue_evaluation", CATALOGUE_RUN + HISTORY + PROFILES + RANKED + METRICS + f" SELECT total, {RANKING} FROM total")
+def catalogue_evaluation(spark, sf):
+    """The evaluation from raw plays and catalogue rows, with an encoder that counts letters."""
+
+    def load_encoder():
+        import numpy as np
+
+        return lambda texts: np.array([[x.count(c) for c in LETTERS] for x in texts], dtype=float)
+
+    run = evaluation.evaluate_catalogue(t.play_sequence(spark, sf), t.catalogue_view(spark, sf), t.content_id(spark, sf), load_encoder, "2024-1-05", "2024-1-20", users=100)
+    return run.metrics.select("total", *[F.round(F.col(f"`{c}`"), 6).alias(c) for c in run.metrics.columns if c != "total"])
+
+
 @query("metrics_long", with_tables("plays items", HISTORY + PROFILES + RANKED + METRICS + f""", wide AS (SELECT {RANKING} FROM total)
     SELECT 'stand-in' AS model_name, '2024-02-01 00:00:00' AS date, metric_name, value, 'vectors' AS model_path
     FROM (UNPIVOT wide ON COLUMNS(*) INTO NAME metric_name VALUE value)"""))
