@@ -8,12 +8,14 @@ All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 import uuid
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import jaccard_join, mixing, packing, quality, secret_scan
+from llm.common import ship
 from tagloom.session import ensure_checkpoint_dir
 
 #: Weights of the sources in the order of their names, in turn.
@@ -48,12 +50,23 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _sent(stage):
+    """The stage with its code at the executors."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("quality_rules", quality_rules),
-    ("near_duplicates", near_duplicates),
-    ("secret_scans", secret_scans),
-    ("source_mix", source_mix),
-    ("best_fit_packing", best_fit_packing),
+    ("quality_rules", _sent(quality_rules)),
+    ("near_duplicates", _sent(near_duplicates)),
+    ("secret_scans", _sent(secret_scans)),
+    ("source_mix", _sent(source_mix)),
+    ("best_fit_packing", _sent(best_fit_packing)),
 ]
 
 #: Token ids and drawn samples are beyond SQL; tests hold the stages against brute force.

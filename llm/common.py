@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +36,28 @@ def n_words(column: str | Column = "text") -> Column:
     return F.regexp_count(plain_text(column), F.lit(WORD)).cast("long")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package and the one it uses to the executors, once per session, wherever the driver found them."""
+    context = spark.sparkContext
+    if getattr(context, "_corpus_operators_sent", False):
+        return
+    import llm
+    import tagloom
+
+    archive = os.path.join(tempfile.mkdtemp(prefix="corpus-operators-"), "corpus_operators.zip")  # on the driver; Spark's file server sends it
+    with zipfile.ZipFile(archive, "w") as packed:
+        for package in (llm, tagloom):
+            root = Path(package.__file__).parent
+            for file in sorted(root.rglob("*.py")):
+                packed.write(file, file.relative_to(root.parent))
+    context.addPyFile(archive)
+    context._corpus_operators_sent = True
+
+
 def bounded(batches: Iterator[pa.RecordBatch], text: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut where the bytes of their column ``text`` go beyond ``limit`` (a longer text is a batch alone)."""
     for batch in batches:
-        size = pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)
+        size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()
         start, held = 0, 0
         for k, n in enumerate(size):
             if held and held + n > limit:

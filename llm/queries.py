@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from llm import jaccard_join, mixing, packing, pii, quality, secret_scan, suffix_dedup, syncmers, token_counts, url_filter
-from llm.common import table
+from llm.common import ship, table
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -15,10 +17,15 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark, sf):
+            ship(spark)
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
-        return fn
+        return run
 
     return add
 

@@ -1,7 +1,8 @@
+import random
 from collections import Counter, defaultdict
 
 import pytest
-from corpora import documents, near_copies
+from corpora import documents, near_copies, words
 
 from llm import jaccard_join
 from llm.components import components
@@ -41,6 +42,25 @@ def test_components_as_brute_force(spark, k, num, den):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, k, num, den)
 
 
+@pytest.mark.parametrize("at_once", [16, 0])
+def test_copies_that_link_to_their_source_only(spark, monkeypatch, at_once):
+    """A family whose copies mostly do not link with each other, and pairs of copies of copies."""
+    monkeypatch.setattr(jaccard_join, "AT_ONCE", at_once)
+    rng = random.Random(at_once)
+    base = words(rng, 150, 5000)
+    rows = [(0, " ".join(base))]
+    for _ in range(60):
+        copy = list(base)
+        for _ in range(rng.randint(1, 7)):
+            copy[rng.randrange(len(copy))] = f"n{rng.randrange(10**6)}"
+        rows.append((len(rows), " ".join(copy)))
+        if rng.random() < 0.3:
+            copy[rng.randrange(len(copy))] = "again"
+            rows.append((len(rows), " ".join(copy[: rng.randint(130, 150)])))
+    got = jaccard_join.join(documents(spark, rows, parts=4), 4, 85, 100).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 4, 85, 100)
+
+
 def test_nulls_repeats_and_empty_tables(spark):
     text = "one two three four five six seven eight nine ten"
     rows = [(5, text), (None, text), (None, text), (5, text), (7, text.upper()), (8, None), (None, "other words"), (9, "")]
