@@ -21,9 +21,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("_near"))
         moved = cut_lineage(labels.join(near, "node").select("node", F.col("root").alias("_old"), F.least("root", "_near").alias("_new")))
-        jump = moved.select(F.col("node").alias("_at"), F.col("_new").alias("_jump"))
-        after = moved.join(jump, F.col("_new") == F.col("_at")).select("node", "_old", F.least("_new", "_jump").alias("root"))
-        after = cut_lineage(after)
-        labels = after.select("node", "root")
-        if not after.where("root <> _old").limit(1).count():
+        if not moved.where("_new <> _old").limit(1).count():
             return labels
+        jump = moved.select(F.col("node").alias("_at"), F.col("_new").alias("_jump"))
+        labels = cut_lineage(moved.join(jump, F.col("_new") == F.col("_at")).select("node", F.least("_new", "_jump").alias("root")))

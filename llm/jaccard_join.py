@@ -6,15 +6,21 @@ signature. Two sets that link differ in at most H tokens (H follows from the sma
 k - H are the same in both; i depends on the smaller size alone, so a set is cut for the one or two schemes that its
 partners can have. Every bound below is a bound on the overlap of a query set with a group's union of signatures:
 
-1. The group of all other sets. Of a set's signatures, the H + 1 with the least hashes must hold one that another set has.
-   Sets without such a signature have no partner; most end here. The union over all sets is never gathered:
-   signatures meet by key, in blocks that each task has already reduced to one entry per signature.
-2. The remaining sets' signatures are counted over all sets. A set must share at least k - H; of these all but the rarest
-   ``shared - (k - H) + 1`` are dropped, which takes common passages out of the matrix.
-3. Groups of similar sets: every set is compared with the least and the greatest set of each of its kept signatures.
+1. The group of all other sets. Of a set's signatures, the H + j with the least hashes must hold j that other sets have
+   (j is k - H, at most ``OVERLAP``). Sets without them have no partner; most end here. The union over all sets is
+   never gathered: signatures meet by key, in blocks that each task has already reduced to one entry per signature.
+2. The same group, with tokens: c of a set's tokens are in the union of the others. Sets with den * c < num * n have no
+   partner. For a pair, the smaller c bounds the overlap, so num * n of either set is at most the other's
+   ``room`` = (num + den) * c - num * n.
+3. The remaining sets' signatures are counted over all sets. A set must share at least k - H; of these all but the rarest
+   ``shared - (k - H) + 1`` are dropped, which takes common passages out of the matrix. A signature's sets stay only if its
+   least size and greatest room leave them a partner.
+4. Groups of similar sets: every set is compared with the roomiest and the least set of each of its kept signatures.
    Links found are closed to groups.
-4. A query set is held against another group that shares a kept signature: the group's union must hold k - H of the
-   query's signatures, else the group stays closed. Opened groups are compared set by set.
+5. Sets that share a kept signature with another group are held against the union of all other groups, as in step 2: tokens
+   that only the own group has give no room. A query that is left is held against each other group that shares a kept
+   signature: the group's union must hold so many of its tokens that the query has room for a member. Else the group stays
+   closed. Opened groups, and small ones at once, are compared set by set, where the rooms allow a link.
 
 Every link is decided on the sets themselves (``den * common >= num * union``). All links between different sets of
 one group need not be looked at: they cannot change the components.
@@ -34,14 +40,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from llm.common import bounded, plain_text, words_of
+from llm.common import bounded, plain_text, words_of, written
 from llm.components import components
 from tagloom.session import cut_lineage
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _SLACK = 0.94  # leaves some parts of a scheme for empty ones
 _ENTRIES = 1 << 20  # signature entries of one block task, about
-_ENTRY = np.dtype([("sig", "<u8"), ("own", "<u8"), ("shared", "u1")])
+_ENTRY = np.dtype([("high", "<u4"), ("low", "u1"), ("own", "<u8"), ("shared", "u1")])
+AT_ONCE = 16  # sets of a group that is opened without its own bound, as that costs less than the bound
+OVERLAP = 8  # shared signatures that the first bound asks for, at most
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -121,84 +129,125 @@ def signatures(tokens: np.ndarray, ends: np.ndarray, num: int, den: int) -> tupl
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def least_hashes(doc: np.ndarray, scheme: np.ndarray, sig: np.ndarray, required: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(set, signature) without the ``required - 1`` greatest signatures of each set and scheme."""
+def least_hashes(doc: np.ndarray, scheme: np.ndarray, sig: np.ndarray, required: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(set, scheme, signature, overlap) without the ``required - overlap`` greatest signatures of each set and scheme.
+
+    A pair that links shares ``required`` signatures. Those that one side drops are its greatest, so the least ``overlap``
+    common ones stay on both sides (a side with a smaller overlap drops none).
+    """
     key = doc * 64 + scheme
     order = np.lexsort((sig, key))
     key, sig, required = key[order], sig[order], required[order]
+    overlap = np.minimum(required, OVERLAP)
     if not len(key):
-        return doc, sig
+        return doc, scheme, sig, overlap
     new = np.concatenate([[True], key[1:] != key[:-1]])
     run = np.cumsum(new) - 1
     sizes = np.bincount(run)
     rank = np.arange(len(key)) - np.flatnonzero(new)[run]
-    keep = rank < sizes[run] - required + 1
-    return key[keep] // 64, sig[keep]
+    keep = rank < sizes[run] - required + overlap
+    return key[keep] // 64, key[keep] % 64, sig[keep], overlap[keep]
+
+
+def _packed(sig: np.ndarray, own: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Entries with 40 bits of the signature: a chance meeting only makes one more candidate."""
+    entry = np.empty(len(sig), dtype=_ENTRY)
+    entry["high"], entry["low"] = sig >> np.uint64(32), (sig >> np.uint64(24)) & np.uint64(255)
+    entry["own"], entry["shared"] = own, shared
+    return entry
+
+
+_ROW = "id long, n long, key binary, asks array<struct<own: long, overlap: long>>, own long, found long"
+_ASKS = pa.list_(pa.struct([("own", pa.int64()), ("overlap", pa.int64())]))
+
+
+def _entries_by_block(sig: np.ndarray, own: np.ndarray, blocks: int) -> tuple[np.ndarray, list[bytes]]:
+    """(blocks, payloads) of a batch's (signature, owner) pairs: one entry per signature, and reports of the hits besides.
+
+    An entry says whether another owner in the batch has its signature. All but one of a signature's owners are reported as
+    hits and do not travel as entries.
+    """
+    order = np.lexsort((own, sig))
+    sig, own = sig[order], own[order]
+    new = np.ones(len(sig), dtype=bool)  # one entry per signature and owner
+    new[1:] = (sig[1:] != sig[:-1]) | (own[1:] != own[:-1])
+    sig, own = sig[new], own[new]
+    again = np.zeros(len(sig), dtype=bool)
+    again[1:] = sig[1:] == sig[:-1]
+    shared = again.copy()
+    shared[:-1] |= again[1:]
+    block = np.where(again, own, sig) % np.uint64(blocks)
+    order = np.argsort(block, kind="stable")
+    entry, block = _packed(sig, own, np.where(again, 2, shared))[order], block[order].astype(np.int64)
+    cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.empty(0, dtype=np.int64)
+    return block[cuts], [entry[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(block)])]
+
+
+def _hits(payloads) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, hits) of a block: how many of an owner's signatures another owner has too."""
+    entry = np.concatenate([np.frombuffer(p.as_buffer(), dtype=_ENTRY) for p in payloads]) if len(payloads) else np.empty(0, dtype=_ENTRY)
+    reports, entry = entry["own"][entry["shared"] == 2], entry[entry["shared"] < 2]
+    sig = entry["high"].astype(np.uint64) << np.uint64(8) | entry["low"]
+    order = np.argsort(sig, kind="stable")
+    sig, entry = sig[order], entry[order]
+    hits = reports
+    if len(entry):
+        own = entry["own"]
+        new = np.concatenate([[True], sig[1:] != sig[:-1]])
+        begin = np.flatnonzero(new)
+        differs = np.minimum.reduceat(own, begin) != np.maximum.reduceat(own, begin)
+        hits = np.concatenate([reports, own[differs[np.cumsum(new) - 1] | (entry["shared"] == 1)]])
+    return np.unique(hits, return_counts=True)
 
 
 def _map_sets(docs: DataFrame, k: int, num: int, den: int, blocks: int) -> DataFrame:
-    """Rows of two kinds: (id, n, key) of every document, and (block, payload) with the signature entries of a batch.
+    """Rows of two kinds: (block, id, n, key, asks) of every document, and (block, payload) with the signature entries of a batch.
 
-    A payload is an array of (signature, class hash, shared) entries, one per signature of the batch; shared says that two
-    classes of the batch have it. All but one of those are written as entries of their own, already known as candidates.
+    ``asks`` has, for each scheme of the set, the hash that stands for it and the overlap that it needs. A payload is an
+    array of (signature, that hash, shared) entries, one per signature of the batch; shared says that two classes of the
+    batch have it. All but one of those report their hit without meeting others again.
     """
-    arrow = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("short", pa.int64()), ("block", pa.int32()), ("payload", pa.binary())])
+    arrow = pa.schema([("block", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("asks", _ASKS), ("payload", pa.binary())])
 
     def run(batches):
-        for batch in bounded(batches, 1):
+        for batch in bounded(batches, 1, 5 << 20):
             tokens, ends = shingle_sets(batch.column(1), k)
-            n = np.diff(ends)
+            n, ids = np.diff(ends), batch.column(0)
             keys = [xxhash.xxh3_128_digest(tokens[a:b].tobytes()) if b > a else None for a, b in zip(ends, ends[1:])]
-            doc, sig = least_hashes(*signatures(tokens, ends, num, den))
+            doc, scheme, sig, overlap = least_hashes(*signatures(tokens, ends, num, den))
             short = np.array([int.from_bytes(x[:8], "little") if x else 0 for x in keys], dtype=np.uint64)
-            own = short[doc]
-            order = np.lexsort((own, sig))
-            sig, own = sig[order], own[order]
-            new = np.ones(len(sig), dtype=bool)  # one entry per signature and class
-            new[1:] = (sig[1:] != sig[:-1]) | (own[1:] != own[:-1])
-            sig, own = sig[new], own[new]
-            again = np.zeros(len(sig), dtype=bool)
-            again[1:] = sig[1:] == sig[:-1]
-            shared = again.copy()
-            shared[:-1] |= again[1:]
-            extra = np.unique(own[again])  # known candidates that send no entry
-            entry = np.empty(len(sig) - again.sum(), dtype=_ENTRY)
-            entry["sig"], entry["own"], entry["shared"] = sig[~again], own[~again], shared[~again]
-            block = (entry["sig"] % np.uint64(blocks)).astype(np.int64)
-            order = np.argsort(block, kind="stable")
-            entry, block = entry[order], block[order]
-            cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.empty(0, dtype=np.int64)
-            payloads = [(int(block[a]), entry[a:b].tobytes()) for a, b in zip(cuts, [*cuts[1:], len(block)])]
-            if len(extra):
-                known = np.zeros(len(extra), dtype=entry.dtype)
-                known["own"], known["shared"] = extra, 2
-                payloads += [(j % blocks, known[j :: min(blocks, 64)].tobytes()) for j in range(min(blocks, 64, len(extra)))]
+            own = mixed(short[doc] + (scheme + 1).astype(np.uint64) * _GOLD)
+            asks: list[list] = [[] for _ in keys]
+            pair, first = np.unique(doc * 64 + scheme, return_index=True)
+            for d, o, j in zip((pair // 64).tolist(), own[first].view(np.int64).tolist(), overlap[first].tolist()):
+                asks[d].append({"own": o, "overlap": j})
+            block, payloads = _entries_by_block(sig, own, blocks)
             rows = len(payloads)
-            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(short.view(np.int64)), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], schema=arrow)
+            home = pa.array((ids.to_numpy().view(np.uint64) % np.uint64(blocks)).astype(np.int32))
+            yield pa.record_batch([home, ids, pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(asks, _ASKS), pa.nulls(len(n), pa.binary())], schema=arrow)
             if rows:
-                yield pa.record_batch([pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.int64()), pa.array([b for b, _ in payloads], pa.int32()), pa.array([p for _, p in payloads], pa.binary())], schema=arrow)
+                none = [pa.nulls(rows, f.type) for f in list(arrow)[1:5]]
+                yield pa.record_batch([pa.array(block, pa.int32()), *none, pa.array(payloads, pa.binary())], schema=arrow)
 
-    return docs.mapInArrow(run, "id long, n long, key binary, short long, block int, payload binary")
+    return docs.mapInArrow(run, "block int, id long, n long, key binary, asks array<struct<own: long, overlap: long>>, payload binary")
 
 
-def _candidates(blocks: DataFrame) -> DataFrame:
-    """(own): hashes of the classes that share one of their entries' signatures with another class."""
+def _meet(rows: DataFrame) -> DataFrame:
+    """The documents' rows as they are, and (own, found): how many of a set's entries another class has too.
+
+    A block's task holds its entries once; documents only pass, so that the map runs once and nothing large is stored.
+    """
 
     def run(block: pa.Table) -> pa.Table:
-        entry = np.concatenate([np.frombuffer(p.as_buffer(), dtype=_ENTRY) for p in block.column("payload")])
-        known = entry["own"][entry["shared"] > 0]
-        entry = entry[entry["shared"] < 2]
-        entry = entry[np.argsort(entry["sig"], kind="stable")]
-        found = known
-        if len(entry):
-            own = entry["own"]
-            new = np.concatenate([[True], entry["sig"][1:] != entry["sig"][:-1]])
-            begin = np.flatnonzero(new)
-            differs = np.minimum.reduceat(own, begin) != np.maximum.reduceat(own, begin)
-            found = np.concatenate([known, own[differs[np.cumsum(new) - 1]]])
-        return pa.table({"own": pa.array(np.unique(found).view(np.int64))})
-
-    return blocks.groupBy("block").applyInArrow(run, "own long").distinct()
+        is_entry = block.column("payload").is_valid()
+        payloads = block.column("payload").filter(is_entry)
+        own, found = _hits(payloads)
+        documents = block.filter(pc.invert(is_entry)).select(["id", "n", "key", "asks"])
+        documents = documents.append_column("own", pa.nulls(len(documents), pa.int64())).append_column("found", pa.nulls(len(documents), pa.int64()))
+        none = [pa.nulls(len(own), f.type) for f in list(documents.schema)[:4]]
+        return pa.concat_tables([documents, pa.table([*none, pa.array(own.view(np.int64)), pa.array(found)], names=documents.column_names)])
+
+    return rows.groupBy("block").applyInArrow(run, _ROW)
 
 
 def _with_tokens(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
@@ -217,21 +266,56 @@ def _with_tokens(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
 
 
 def _all_signatures(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(sid, n, scheme, sig, required) of the sets."""
-    arrow = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("scheme", pa.int32()), ("sig", pa.int64()), ("required", pa.int64())])
+    """(sid, n, room, scheme, sig, required) of the sets."""
+    arrow = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("room", pa.int64()), ("scheme", pa.int32()), ("sig", pa.int64()), ("required", pa.int64())])
 
     def run(batches):
         for batch in bounded(batches, 2, 4 << 20):
             sids, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             tokens = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype="<u8")
             doc, scheme, sig, required = signatures(tokens, np.concatenate([[0], np.cumsum(n)]), num, den)
-            yield pa.record_batch([pa.array(sids[doc]), pa.array(n[doc]), pa.array(scheme.astype(np.int32)), pa.array(sig.view(np.int64)), pa.array(required)], schema=arrow)
+            room = batch.column(3).to_numpy()
+            yield pa.record_batch([pa.array(sids[doc]), pa.array(n[doc]), pa.array(room[doc]), pa.array(scheme.astype(np.int32)), pa.array(sig.view(np.int64)), pa.array(required)], schema=arrow)
 
-    return sets.select("sid", "n", "tokens").mapInArrow(run, "sid long, n long, scheme int, sig long, required long")
+    return sets.select("sid", "n", "tokens", "room").mapInArrow(run, "sid long, n long, room long, scheme int, sig long, required long")
 
 
-def _sizes_fit(a: Column, b: Column, num: int, den: int) -> Column:
-    return den * F.least(a, b) >= num * F.greatest(a, b)
+def _with_shared(sets: DataFrame, blocks: int) -> DataFrame:
+    """Add ``c``: how many of a set's tokens another set has too. Tokens meet as signatures do, in blocks."""
+    arrow = pa.schema([("block", pa.int32()), ("payload", pa.binary())])
+
+    def run(batches):
+        for batch in bounded(batches, 2, 8 << 20):
+            n = batch.column(1).to_numpy()
+            tokens = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype="<u8")
+            block, payloads = _entries_by_block(tokens, np.repeat(batch.column(0).to_numpy().view(np.uint64), n), blocks)
+            yield pa.record_batch([pa.array(block, pa.int32()), pa.array(payloads, pa.binary())], schema=arrow)
+
+    def meet(block: pa.Table) -> pa.Table:
+        own, found = _hits(block.column("payload"))
+        return pa.table({"sid": pa.array(own.view(np.int64)), "found": pa.array(found)})
+
+    entries = sets.select("sid", "n", "tokens").mapInArrow(run, "block int, payload binary")
+    counts = entries.groupBy("block").applyInArrow(meet, "sid long, found long").groupBy("sid").agg(F.sum("found").alias("c"))
+    return sets.join(counts, "sid")
+
+
+def _token_rows(sets: DataFrame) -> DataFrame:
+    """(sid, g, token) of the sets (sid, g, tokens)."""
+
+    def run(batches):
+        for batch in bounded(batches, 2, 8 << 20):
+            n = pc.binary_length(batch.column(2)).to_numpy() // 8
+            tokens = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype="<i8")
+            sid, g = (pa.array(np.repeat(batch.column(i).to_numpy(), n)) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([sid, g, pa.array(tokens)], names=["sid", "g", "token"])
+
+    return sets.select("sid", "g", "tokens").mapInArrow(run, "sid long, g long, token long")
+
+
+def _fit(n: Column, room: Column, m: Column, other: Column, num: int) -> Column:
+    """Whether two sets of sizes n, m can link by what they share with any other set."""
+    return (num * m <= room) & (num * n <= other)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -253,39 +337,56 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return both.mapInArrow(run, "a long, b long")
 
 
-def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) between the sets that give all components (steps 2 to 4)."""
-    every = cut_lineage(_all_signatures(sets, num, den))
+def _links(sets: DataFrame, num: int, den: int, blocks: int) -> DataFrame:
+    """Links (a, b) between the sets that give all components (steps 2 to 5)."""
+    sets = _with_shared(sets, blocks).withColumn("room", (num + den) * F.col("c") - num * F.col("n"))
+    sets = written(sets.where(den * F.col("c") >= num * F.col("n")))
+    every = written(_all_signatures(sets, num, den))
     counted = cut_lineage(every.groupBy("sig").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
     shared = every.join(counted, "sig")
     per_set = W.partitionBy("sid", "scheme")
     placed = shared.withColumn("_s", F.count(F.lit(1)).over(per_set)).withColumn("_r", F.row_number().over(per_set.orderBy("df", "sig")))
-    shared = cut_lineage(placed.where("_s >= required").select("sid", "n", "scheme", "sig", "required", (F.col("_r") <= F.col("_s") - F.col("required") + 1).alias("kept")))
-    kept = shared.where("kept").select("sig", "sid", "n")
-
-    # groups: each set against the ends of its signatures' range of sets
-    ends = cut_lineage(kept.groupBy("sig").agg(F.min(F.struct("sid", "n")).alias("lo"), F.max(F.struct("sid", "n")).alias("hi")).where("lo.sid <> hi.sid"))
-    star = kept.join(ends, "sig").select("sid", "n", F.explode(F.array("lo", "hi")).alias("to"))
-    star = star.where((F.col("sid") != F.col("to.sid")) & _sizes_fit(F.col("n"), F.col("to.n"), num, den))
+    kept = cut_lineage(placed.where("_s >= required AND _r <= _s - required + 1").select("sig", "sid", "n", "room"))
+    ends = kept.groupBy("sig").agg(F.min("n").alias("_n"), F.max("room").alias("_room"), F.count(F.lit(1)).alias("_c")).where("_c > 1")
+    kept = cut_lineage(kept.join(cut_lineage(ends), "sig").where(_fit(F.col("n"), F.col("room"), F.col("_n"), F.col("_room"), num)).select("sig", "sid", "n", "room"))
+
+    # groups: each set against the two ends of its signatures' sets
+    ends = kept.groupBy("sig").agg(F.max(F.struct("room", "sid", "n")).alias("_hi"), F.min(F.struct("sid", "room", "n")).alias("_lo"))
+    to = F.array(*[F.struct(*[F.col(f"{e}.{c}").alias(c) for c in ("sid", "room", "n")]) for e in ("_hi", "_lo")])
+    star = kept.join(cut_lineage(ends), "sig").select("sid", "n", "room", F.explode(to).alias("to"))
+    star = star.where((F.col("sid") != F.col("to.sid")) & _fit(F.col("n"), F.col("room"), F.col("to.n"), F.col("to.room"), num))
     tried = cut_lineage(star.select(F.least("sid", "to.sid").alias("a"), F.greatest("sid", "to.sid").alias("b")).distinct())
     links = cut_lineage(verified(tried, sets, num, den))
 
     # queries against other groups
-    groups = components(links)
-    grouped = kept.join(groups.select(F.col("node").alias("sid"), "root"), "sid", "left").withColumn("g", F.coalesce("root", "sid")).drop("root")
+    groups = components(links).select(F.col("node").alias("sid"), "root")
+    grouped = kept.join(groups, "sid", "left").withColumn("g", F.coalesce("root", "sid")).drop("root")
     mixed_sigs = grouped.groupBy("sig").agg(F.min("g").alias("_lo"), F.max("g").alias("_hi")).where("_lo <> _hi").select("sig")
     matrix = cut_lineage(grouped.join(cut_lineage(mixed_sigs), "sig"))
-    held = matrix.select("sig", F.col("g").alias("to")).distinct()
-    queries = matrix.join(held, "sig").where("g > to").select("sid", "to").distinct()
-    # the bound: signatures of the query that the group's union holds, over all shared ones
-    union = shared.select("sig", "sid").join(groups.select(F.col("node").alias("sid"), "root"), "sid", "left")
-    union = union.select("sig", F.coalesce("root", "sid").alias("to")).distinct()
-    overlap = queries.join(shared.select("sid", "scheme", "sig", "required"), "sid").join(union, ["sig", "to"])
-    opened = overlap.groupBy("sid", "to", "scheme", "required").agg(F.count(F.lit(1)).alias("_o")).where("_o >= required").select("sid", "to").distinct()
-    inside = matrix.select("sig", F.col("sid").alias("b"), F.col("n").alias("_nb"), F.col("g").alias("to"))
-    asked = matrix.select("sig", "sid", "n").join(opened, "sid").join(inside, ["sig", "to"])
-    asked = asked.where(_sizes_fit(F.col("n"), F.col("_nb"), num, den)).select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b")).distinct()
-    asked = asked.join(tried, ["a", "b"], "left_anti")
+    # the bound against all other groups
+    tokens = written(_token_rows(sets.join(matrix.select("sid", "g").distinct(), "sid")))
+    outside = tokens.groupBy("token").agg(F.min("g").alias("_lo"), F.max("g").alias("_hi")).where("_lo <> _hi").select("token")
+    own = cut_lineage(tokens.join(cut_lineage(outside), "token", "left_anti").groupBy("sid").agg(F.count(F.lit(1)).alias("_own")))
+    c = F.col("n") - F.coalesce("_own", F.lit(0))
+    matrix = matrix.join(own, "sid", "left").withColumn("room", (num + den) * c - num * F.col("n")).drop("_own")
+    ends = matrix.groupBy("sig").agg(F.min("n").alias("_n"), F.max("room").alias("_room"), F.min("g").alias("_lo"), F.max("g").alias("_hi"))
+    ends = cut_lineage(ends.where("_lo <> _hi").select("sig", "_n", "_room"))
+    matrix = cut_lineage(matrix.join(ends, "sig").where(_fit(F.col("n"), F.col("room"), F.col("_n"), F.col("_room"), num)).select("sig", "sid", "n", "room", "g"))
+    held = matrix.groupBy("sig", F.col("g").alias("to")).agg(F.min("n").alias("_n"), F.max("room").alias("_room"))
+    queries = matrix.join(cut_lineage(held), "sig").where((F.col("g") > F.col("to")) & _fit(F.col("n"), F.col("room"), F.col("_n"), F.col("_room"), num))
+    queries = cut_lineage(queries.select("sid", "to").distinct())
+    # the bound against each group of some size, then its members
+    members = cut_lineage(matrix.select("sid", "n", "room", "g").distinct())
+    sizes = members.groupBy(F.col("g").alias("to")).agg(F.count(F.lit(1)).alias("_size"))
+    queries = cut_lineage(queries.join(sizes, "to").join(members.select("sid", "n", "room"), "sid"))
+    large = queries.where(F.col("_size") > AT_ONCE).select("sid", "to")
+    union = tokens.join(large.select(F.col("to").alias("g")).distinct(), "g", "left_semi").select(F.col("g").alias("to"), "token").distinct()
+    common = large.join(tokens.select("sid", "token"), "sid").join(union, ["to", "token"]).groupBy("sid", "to").agg(F.count(F.lit(1)).alias("_o"))
+    bounded_by = common.join(members.select("sid", "n"), "sid").withColumn("room", (num + den) * F.col("_o") - num * F.col("n"))
+    asking = cut_lineage(bounded_by.select("sid", "to", "n", "room").unionByName(queries.where(F.col("_size") <= AT_ONCE).select("sid", "to", "n", "room")))
+    inside = members.select(F.col("g").alias("to"), F.col("sid").alias("b"), F.col("n").alias("_n"), F.col("room").alias("_room"))
+    asked = asking.join(inside, "to").where(_fit(F.col("n"), F.col("room"), F.col("_n"), F.col("_room"), num))
+    asked = asked.select(F.least("sid", "b").alias("a"), F.greatest("sid", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     return links.unionByName(cut_lineage(verified(asked, sets, num, den)))
 
 
@@ -300,13 +401,15 @@ def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), unnamed).alias("_id"), plain_text(text_col).alias("_text"))
     # about a quarter of the tokens are entries, a word has about six characters
     size = docs.agg(F.sum(F.length("_text"))).first()[0] or 0
-    rows = cut_lineage(_map_sets(docs, k, num, den, max(64, 4 * size // (24 * _ENTRIES))))
-    members = rows.where("block IS NULL").select("id", "n", "key", "short")
-    candidates = cut_lineage(_candidates(rows.where("block IS NOT NULL").select("block", "payload")))
-    classes = cut_lineage(members.where("n > 0").groupBy("key", "short").agg(F.min("id").alias("rep")))
-    wanted = classes.join(candidates, F.col("short") == F.col("own"), "left_semi").select("key", "rep")
-    sets = cut_lineage(_with_tokens(docs, wanted, k))
-    roots = components(_links(sets, num, den))
+    blocks = max(64, 4 * size // (24 * _ENTRIES))
+    rows = written(_meet(_map_sets(docs, k, num, den, blocks)))
+    members = rows.where("own IS NULL")
+    hits = rows.where("own IS NOT NULL").groupBy("own").agg(F.sum("found").alias("_found"))
+    classes = written(members.where("n > 0").groupBy("key").agg(F.min("id").alias("rep"), F.min("asks").alias("asks")))
+    asked = classes.select("key", "rep", F.explode("asks").alias("_a")).select("key", "rep", "_a.*")
+    wanted = asked.join(hits, "own").where("_found >= overlap").select("key", "rep").distinct()
+    sets = written(_with_tokens(docs, wanted, k))
+    roots = components(_links(sets, num, den, blocks))
     rooted = cut_lineage(classes.join(roots, F.col("rep") == F.col("node"), "left").select(F.col("key").alias("_key"), F.coalesce("root", "rep").alias("_root")))
     out = members.join(rooted, F.col("key") == F.col("_key"), "left").withColumn("_root", F.coalesce("_root", "id"))
     named = lambda c: F.when(F.col(c) < _UNNAMED, F.col(c))
