@@ -94,10 +94,14 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def arrow_map(df: DataFrame, fn: Callable[..., Sequence[Sequence]], schema: str, arrow: pa.Schema) -> DataFrame:
-    """Map batches: ``fn`` gets one Python list per column of ``df`` and returns one sequence per output column."""
+    """Map batches: ``fn`` gets one Python list per column of ``df`` and returns one sequence per output column.
+
+    Batches are cut by the bytes of the last text column, so that a worker holds few texts at a time.
+    """
+    texts = [i for i, f in enumerate(df.schema.fields) if f.dataType.typeName() == "string"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in bounded(batches, texts[-1]) if texts else batches:
             columns = fn(*[c.to_pylist() for c in batch.columns])
             yield pa.record_batch([pa.array(v, type=f.type) for v, f in zip(columns, arrow)], schema=arrow)
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from llm.common import arrow_map, plain_text
+from llm.common import arrow_map, bounded, plain_text
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -176,7 +176,7 @@ def keep_good(docs: DataFrame, order: Sequence[str] | None = None, text_col: str
 
     def run(batches):
         cascade = [tests[name] for name in order]
-        for batch in batches:
+        for batch in bounded(batches, where):
             keep = []
             for text in batch.column(where).to_pylist():
                 t = measure(text or "")
