@@ -125,29 +125,31 @@ def _any(words) -> str:
 
 _D = rf"(?:{_any(DIGIT_WORDS)})(?![^\W_])"
 _AT, _DOT = rf"(?:{_any(AT_WORDS)}|@|a)", rf"(?:{_any(DOT_WORDS)}|\.)"
-_OPEN, _CLOSE = r"[ \t]*[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
+# a run of blanks is read from its first only, so that long runs stay linear
+_OPEN, _CLOSE = r"(?:(?<![ \t])[ \t]+)?[\[({<][ \t]*", r"[ \t]*[\])}>][ \t]*"
 _ARCS = re.compile(
-    rf"(?P<at>{_OPEN}{_AT}{_CLOSE}|&\#64;|&commat;|%40)"
+    rf"(?=[ \t\[({{<&%])(?:(?P<at>{_OPEN}{_AT}{_CLOSE}|&\#64;|&commat;|%40)"
     rf"|(?P<dot>{_OPEN}{_DOT}{_CLOSE}|&\#46;|(?<=[^\W_])[ \t]+(?:{_any(DOT_WORDS)}|\.)[ \t]+(?=[^\W_]))"
-    rf"|(?P<weak>(?<=[^\W_])[ \t]+(?:{_any(AT_WORDS)}|@)[ \t]+(?=[^\W_]))"
-    rf"|(?P<plus>(?<![^\W_])(?:{_any(PLUS_WORDS)})[ \t]+(?=[0-9(]|{_D}))"
-    rf"|(?P<digit>(?<![^\W_]){_D})(?P<gap>(?:[ \t,-]|(?:dash|hyphen)(?![^\W_]))*(?={_D}|[0-9](?![0-9])))?",
+    rf"|(?P<weak>(?<=[^\W_])[ \t]+(?:{_any(AT_WORDS)}|@)[ \t]+(?=[^\W_])))"
+    rf"|(?<![^\W_])(?:(?P<plus>(?:{_any(PLUS_WORDS)})[ \t]+(?=[0-9(]|{_D}))"
+    rf"|(?P<digit>{_D})(?P<gap>(?:[ \t,-]|(?:dash|hyphen)(?![^\W_]))*(?={_D}|[0-9](?![0-9])))?)",
     re.IGNORECASE,
 )
-_WORDS = re.compile(r"[^\W\d_]+")
-_BRACKETED = re.compile(rf"[\[({{<][ \t]*(?:{_AT}|{_DOT})[ \t]*[\])}}>]|&\#64;|&commat;|&\#46;|%40|[ \t]@[ \t]", re.IGNORECASE)
 
 
 def disguised(text: str) -> bool:
     """Whether any arc of the transducer but bare copies can be taken in a way that matters."""
     if not text.isascii() and not folded().keys().isdisjoint(seen := set(text)) or not text.isascii() and not seen.isdisjoint(INVISIBLE):
         return True
-    if _BRACKETED.search(text):
-        return True
-    words = _WORDS.findall(text.lower())
-    if not set(DOT_WORDS).isdisjoint(words):
-        return True
-    return sum(w in DIGIT_WORDS for w in words) >= 3
+    digits = 0
+    for m in _ARCS.finditer(text):
+        if m.lastgroup in ("digit", "gap"):
+            digits += 1
+            if digits == 3:
+                return True
+        elif m.lastgroup != "weak":
+            return True
+    return False
 
 
 def plain_form(text: str) -> tuple[str, list[int], list[tuple[int, int, str]]]:
@@ -191,7 +193,7 @@ def plain_form(text: str) -> tuple[str, list[int], list[tuple[int, int, str]]]:
         copy(done, start)
         if arc in ("digit", "gap"):
             mid = src(m.end("digit") - 1) + 1
-            put(DIGIT_WORDS[m.group("digit").lower()], start, mid, "digit")
+            put(DIGIT_WORDS[m.group("digit").lower().replace("\u0307", "")], start, mid, "digit")
             if end > mid:
                 put("", mid, end, "gap")
         else:

@@ -48,6 +48,31 @@ def test_disguises_map_to_source_offsets(kind, secret):
     assert (start, start + len(secret)) in every[kind] and set(base[kind]) <= set(every[kind])
 
 
+ALONE = {
+    "email": ["john [at] example.com", "john (a) example.com", "john@example . com", "john@example dot com", "john@example[.]com", "joe&#64;example.org", "joe%40example.org", "joe@example&#46;org"],
+    "ip": ["192 . 168 . 0 . 1", "192 point 168.0.1", "one nine two.168.0.1"],
+    "card": ["4111-1111-1111-one one one one"],
+    "phone": ["plus 44 20 7946 0958", "Más 44 (20) 7946-0958", "+1 five five five 123 4567"],
+}
+
+
+@pytest.mark.parametrize("kind,secret", [(k, s) for k, found in ALONE.items() for s in found])
+def test_each_disguise_alone_in_plain_text(kind, secret):
+    text = f"call {secret}; gone"
+    base, every = pii.spans_of(text)
+    start = text.index(secret)
+    assert (start, start + len(secret)) in every[kind] and (start, start + len(secret)) not in base[kind]
+
+
+def test_the_gate_passes_all_that_the_transducer_finds():
+    rng = random.Random(8)
+    parts = [*pii.DIGIT_WORDS, *pii.AT_WORDS, *pii.DOT_WORDS, *pii.PLUS_WORDS, *"@.+([{<>})]19 \t", "joe", "host", "com", "44 20 7946 0958", "&#64;", "&#46;", "%40", "sİx"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(12))
+        base = {kind: find(text) for kind, find in pii.DETECTORS.items()}
+        assert pii.disguised(text) or not any(pii.hidden(text, base).values()), text
+
+
 CLEAN = [
     "look at example.com today", "meet me @ example.com", "+1 (848) 555-1373 un deux", "the point at issue dot", "un deux trois quatre",
     "à la carte, naïve façade — Straße", "call one two three", "version 1.2.3 at level two dot five", "Привет мир at home",
@@ -72,3 +97,8 @@ def test_rows(spark):
 def test_long_texts_stay_linear():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "a@" * 100_000, "+1" * 100_000, "one " * 50_000, "x at " * 50_000):
         pii.spans_of(text)
+
+
+def test_long_runs_of_blanks_stay_linear():
+    for text in (" " * 300_000, "a" + "\t" * 300_000 + "b", "one" + " " * 300_000 + "one two", "( " * 100_000):
+        pii.spans_of(text)
