@@ -2,7 +2,7 @@
 
 A candidate is a run of 16 or more token characters that holds a digit, or a value assigned to a secret's name. The
 forest sees its length, the transitions between its character classes, how much of it common words of the corpus
-cover, whether it is part of a path or address, and the words around it. Labelled findings train it.
+cover, whether it is part of a path or address, and the words around all its places. Labelled findings train it.
 
 Without labels given, findings label themselves by what is certain: a value with an issuer's fixed prefix and length, or
 one assigned to a secret's name, is a secret; bare numbers, identifiers of a fixed layout (UUIDs, dates), addresses and
@@ -53,18 +53,57 @@ def candidate_list(text: Column) -> Column:
     return F.array_distinct(F.concat(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)), named))
 
 
+def _pieces(text: Column, candidate: Column) -> Column:
+    """What stands before, between and after the places of a candidate."""
+    return F.split(text, F.concat(F.lit(r"\Q"), F.replace(candidate, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")))
+
+
+def contexts(cut: DataFrame) -> DataFrame:
+    """Add ``_contexts``, the (before, after) of every place: 32 characters before it and 16 after it. ``cut`` has (candidate, _pieces).
+
+    A candidate has 8 characters or more, so four pieces more before a place and two more after it reach far enough.
+    """
+    # columns of their own, so that they are made once and not for every place
+    cut = cut.withColumns({"_ends": F.transform("_pieces", lambda p: F.right(p, F.lit(32))), "_heads": F.transform("_pieces", lambda p: F.left(p, F.lit(16)))})
+    n, candidate = F.size("_pieces"), F.col("candidate")
+
+    def at(i: Column) -> Column:
+        earlier = [F.when(i >= k, F.concat(F.get("_ends", i - k), candidate)).otherwise(F.lit("")) for k in (4, 3, 2, 1)]
+        later = [F.when(i + k < n, F.concat(candidate, F.get("_heads", i + k))).otherwise(F.lit("")) for k in (2, 3)]
+        return F.struct(
+            F.right(F.concat(*earlier, F.get("_ends", i)), F.lit(32)).alias("before"),
+            F.left(F.concat(F.get("_heads", i + 1), *later), F.lit(16)).alias("after"),
+        )
+
+    return cut.withColumn("_contexts", F.transform(F.sequence(F.lit(0), n - 2), at))
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(_id, candidate, start, places, before, after): distinct candidates of a row, with the neighbourhood of the first place."""
+    """(_id, candidate, start, places, assigned, secret_word, named, in_address, hash_word): distinct candidates of a row.
+
+    The words around every place are read. One place is enough for an assignment (``assigned``), a secret's name
+    (``secret_word``) or both together (``named``); an address or a hash's name counts only if no place is without it.
+    """
     rows = docs.select(F.col(id_col).alias("_id"), plain_text(text_col).alias("_text"))
     each = rows.select("_id", "_text", F.explode(candidate_list(F.col("_text"))).alias("candidate"))
-    placed = each.withColumn("start", F.instr("_text", F.col("candidate")) - 1)
-    return placed.select(
-        "_id", "candidate", "start",
-        ((F.length("_text") - F.length(F.replace("_text", F.col("candidate"), F.lit("")))) / F.length("candidate")).cast("long").alias("places"),
-        F.substring("_text", F.greatest(F.col("start") - 31, F.lit(1)), F.least(F.col("start"), F.lit(32))).alias("before"),
-        F.substring("_text", F.col("start") + F.length("candidate") + 1, F.lit(16)).alias("after"),
-    ).groupBy("_id", "candidate").agg(
-        F.min("start").alias("start"), F.max("places").alias("places"), F.min("before").alias("before"), F.min("after").alias("after"),
+    cut = each.select("_id", "candidate", _pieces(F.col("_text"), F.col("candidate")).alias("_pieces"))
+    placed = contexts(cut).select(
+        "_id", "candidate", F.length(F.get("_pieces", F.lit(0))).alias("start"), (F.size("_pieces") - 1).cast("long").alias("places"), "_contexts"
+    )
+    fits = lambda place, pattern: F.regexp_like(place, F.lit(pattern))
+    assigned = lambda c: fits(c["before"], r"[=:]\s*[\x22\x27]?$")
+    secret = lambda c: fits(c["before"], "(?i)" + NAMES + r"[a-z_-]{0,12}[\x22\x27]?\s{0,2}[=:]?\s{0,2}[\x22\x27]?$")
+    hashed = lambda c: fits(c["before"], r"(?i)(?:commit|sha\d*|md5|checksum|digest|uuid|hash|version|isbn|order|serial)\S{0,3}\s*[\x22\x27]?$")
+    address = lambda c: fits(c["before"], r"(?:://|@|www\.)\S*$").cast("double") + fits(c["after"], r"^@").cast("double")
+    told = placed.select(
+        "_id", "candidate", "start", "places",
+        F.exists("_contexts", assigned).cast("double").alias("assigned"), F.exists("_contexts", secret).cast("double").alias("secret_word"),
+        F.exists("_contexts", lambda c: assigned(c) & secret(c)).cast("double").alias("named"),
+        F.array_min(F.transform("_contexts", address)).alias("in_address"), F.forall("_contexts", hashed).cast("double").alias("hash_word"),
+    )
+    return told.groupBy("_id", "candidate").agg(
+        F.min("start").alias("start"), *[F.max(c).alias(c) for c in ("places", "assigned", "secret_word", "named")],
+        *[F.min(c).alias(c) for c in ("in_address", "hash_word")],
     )
 
 
@@ -90,10 +129,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
         (_count(c, "[0-9]") / n).alias("digits"), (_count(c, "[A-Z]") / n).alias("uppers"), (_count(c, "[a-z]") / n).alias("lowers"),
         (_count(c, "[^A-Za-z0-9]") / n).alias("signs"), _is("candidate", "^[0-9a-fA-F]+$").alias("hex"),
         (F.coalesce("_letters", F.lit(0)) / n).alias("covered"),
-        (_is("candidate", r"/.*/|^\.{0,2}/|\.[a-z]{2,4}$")).alias("path"), (_is("before", r"(?:://|@|www\.)\S*$") + _is("after", r"^@")).alias("in_address"),
-        _is("candidate", ISSUED).alias("issued"), _is("before", r"[=:]\s*[\x22\x27]?$").alias("assigned"),
-        _is("before", "(?i)" + NAMES + r"[a-z_-]{0,12}[\x22\x27]?\s{0,2}[=:]?\s{0,2}[\x22\x27]?$").alias("secret_word"),
-        _is("before", r"(?i)(?:commit|sha\d*|md5|checksum|digest|uuid|hash|version|isbn|order|serial)\S{0,3}\s*[\x22\x27]?$").alias("hash_word"),
+        (_is("candidate", r"/.*/|^\.{0,2}/|\.[a-z]{2,4}$")).alias("path"), _is("candidate", ISSUED).alias("issued"),
         _is("candidate", LAYOUT).alias("layout"), _is("candidate", PLACEHOLDER).alias("placeholder"),
     )
 
@@ -101,7 +137,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 def self_labels(rows: DataFrame) -> DataFrame:
     """Add ``label``: 1 and 0 for what is certain, else null."""
     no = (F.col("layout") + F.col("placeholder") + F.col("in_address")) > 0
-    yes = (F.col("issued") == 1) | ((F.col("assigned") == 1) & (F.col("secret_word") == 1))
+    yes = (F.col("issued") == 1) | (F.col("named") == 1)
     return rows.withColumn("label", F.when(no, 0.0).when(yes, 1.0))
 
 

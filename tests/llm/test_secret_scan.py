@@ -65,3 +65,45 @@ def test_odd_rows(spark):
     assert clean.count() == len(rows) and not clean.where(clean.text.contains(secret)).count()
     assert secret_scan.scan(documents(spark, [])).collect() == []
     assert secret_scan.redact(documents(spark, []), secret_scan.scan(documents(spark, []))).collect() == []
+
+
+def test_every_place_is_judged(spark):
+    """A value that stands first in a harmless place and is assigned to a secret's name later, near or far."""
+    rng = random.Random(12)
+    rows, secrets = corpus(160)
+    harmless = ["see {} there", "commit {} of", "https://host.example/a/{} and", "{} {} {} "]
+    named = ["password={}", "token: {}", "api_key = \"{}\"", "secret={}"]
+    for k in range(16):
+        value = "".join(rng.choice("0123456789abcdef") for _ in range(24))
+        far = " ".join(words(rng, 3000 if k % 2 else 3))
+        rows.append((200 + k, f"{harmless[k % 4].replace('{}', value)} {far} {named[k // 4].replace('{}', value)}"))
+        secrets[200 + k] = value
+    docs = documents(spark, rows)
+    found = secret_scan.self_labels(secret_scan.features(secret_scan.candidates(docs), secret_scan.dictionary(docs))).collect()
+    label = {(r._id, r.candidate): r.label for r in found}
+    assert {k for k, value in secrets.items() if label[k, value] != 1} == set()
+    texts = {r.doc_id: r.text for r in secret_scan.redact(docs, secret_scan.scan(docs)).collect()}
+    assert [k for k, value in secrets.items() if value in texts[k]] == []
+
+
+def test_contexts_are_those_of_each_place(spark):
+    rng = random.Random(13)
+    rows = []
+    for k in range(60):
+        value = rng.choice(["a1b2c3d4", "\\\\E(1)[2]\\\\", "ä🙂567890"])
+        rows.append((value, value.join(rng.choice(["", " ", "=", "x" * 40, "🙂" * 20, "://a\n"]) for _ in range(rng.randint(2, 9)))))
+    frame = spark.createDataFrame(rows, "candidate string, text string")
+    for r in secret_scan.contexts(frame.withColumn("_pieces", secret_scan._pieces(frame.text, frame.candidate))).collect():
+        want, at = set(), r.text.find(r.candidate)
+        while at >= 0:
+            end = at + len(r.candidate)
+            want.add((r.text[max(0, at - 32) : at], r.text[end : end + 16]))
+            at = r.text.find(r.candidate, end)
+        assert {(c.before, c.after) for c in r._contexts} == want
+
+
+def test_contexts_of_one_place_only(spark):
+    """A secret's name at one place and an assignment at another, also in rows of one id, are no assignment to a secret's name."""
+    value = "k3j4h5g6f7d8s9a0"
+    docs = documents(spark, [(1, f"token {value} and id={value}"), (2, f"token {value}"), (2, f"id={value}"), (3, f"id={value} token={value}")])
+    assert {r._id: (r.assigned, r.secret_word, r.named) for r in secret_scan.candidates(docs).collect()} == {1: (1, 1, 0), 2: (1, 1, 0), 3: (1, 1, 1)}
