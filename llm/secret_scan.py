@@ -5,8 +5,8 @@ forest sees its length, the transitions between its character classes, how much
 cover, whether it is part of a path or address, and the words around all its places. Labelled findings train it.
 
 Without labels given, findings label themselves by what is certain: a value with an issuer's fixed prefix and length, or
-one assigned to a secret's name, is a secret; bare numbers, identifiers of a fixed layout (UUIDs, dates), addresses and
-placeholders are not. The training sample is bounded by ``sample_rows`` (in the order of a hash of the finding);
+one assigned to a secret's name, is a secret, also in an address; bare numbers, identifiers of a fixed layout (UUIDs, dates),
+placeholders and all else in addresses are not. A secret that labels itself keeps score 1: the forest cannot outvote it. The training sample is bounded by ``sample_rows`` (in the order of a hash of the finding);
 candidates and dictionary counts cover every row.
 
 Null and empty texts have no findings. Equal candidates of one id are one finding, so repeated rows add nothing new. Empty
@@ -135,10 +135,10 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def self_labels(rows: DataFrame) -> DataFrame:
-    """Add ``label``: 1 and 0 for what is certain, else null."""
-    no = (F.col("layout") + F.col("placeholder") + F.col("in_address")) > 0
+    """Add ``label``: 1 and 0 for what is certain, else null. An address is no secret, but may hold a certain one."""
+    no = (F.col("layout") + F.col("placeholder")) > 0
     yes = (F.col("issued") == 1) | (F.col("named") == 1)
-    return rows.withColumn("label", F.when(no, 0.0).when(yes, 1.0))
+    return rows.withColumn("label", F.when(no, 0.0).when(yes, 1.0).when(F.col("in_address") > 0, 0.0))
 
 
 def train(labelled: DataFrame, sample_rows: int = 20_000, seed: int = 5):
@@ -165,6 +165,8 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = 20
     else:
         assembler = VectorAssembler(inputCols=FEATURES, outputCol="_features", handleInvalid="keep")
         scored = model.transform(assembler.transform(rows)).withColumn("score", vector_to_array("probability")[1])
+        if labels is None:
+            scored = scored.withColumn("score", F.when(F.col("label") == 1, 1.0).otherwise(F.col("score")))
     return scored.select(F.col("_id").alias(id_col), "candidate", "start", "places", F.round("score", 6).alias("score"), (F.col("score") > 0.5).alias("is_secret"))
 
 

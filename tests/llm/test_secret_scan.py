@@ -107,3 +107,20 @@ def test_contexts_of_one_place_only(spark):
     value = "k3j4h5g6f7d8s9a0"
     docs = documents(spark, [(1, f"token {value} and id={value}"), (2, f"token {value}"), (2, f"id={value}"), (3, f"id={value} token={value}")])
     assert {r._id: (r.assigned, r.secret_word, r.named) for r in secret_scan.candidates(docs).collect()} == {1: (1, 1, 0), 2: (1, 1, 0), 3: (1, 1, 1)}
+
+
+def test_credentials_in_addresses(spark):
+    """Issued and named secrets in URLs are found beside many clean URLs; the rest of an address stays."""
+    rng = random.Random(14)
+    rows, _ = corpus(80)
+    made = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(36))
+    clean = [made() for _ in range(150)]
+    rows += [(300 + k, f"see https://host{k}.example.net/{value} for more") for k, value in enumerate(clean)]
+    forms = ["https://user:ghp_{}@host.net/a", "https://host.net/cb?token={}", "https://host.net/cb?api_key={}#x", "http://www.host.net?x=1 or password={}@"]
+    secrets = {600 + k: made() for k in range(4)}
+    rows += [(600 + k, f"call {forms[k].replace('{}', value)} now") for k, value in enumerate(secrets.values())]
+    docs = documents(spark, rows)
+    found = secret_scan.scan(docs)
+    texts = {r.doc_id: r.text for r in secret_scan.redact(docs, found).collect()}
+    assert [k for k, value in secrets.items() if value in texts[k]] == []
+    assert [k for k, value in enumerate(clean) if value not in texts[300 + k]] == []
