@@ -126,19 +126,21 @@ def _generator(seed: int, *parts) -> random.Random:
 def sample(units: DataFrame, seed: int = 11, block: int = BLOCK) -> DataFrame:
     """Round ``chance`` of (id, source, size, chance, _n) to 0 or 1, balanced within each source of ``_n`` units.
 
-    A level is one shuffle of the open units. Their number falls by about ``block`` / 2 from level to level.
+    A level is one shuffle of the open units. A source of at most ``block`` of them is settled in that level, whatever the
+    others have; the open units of a larger one become two per block.
     """
     columns = ["id", "source", "size", "chance"]
     id_type, source_type = (units.schema[c].dataType.simpleString() for c in ("id", "source"))
     schema = f"id {id_type}, source {source_type}, size long, chance double"
 
-    def level_of(number: int, last: bool):
+    def level_of(number: int):
         def run(frame: pd.DataFrame) -> pd.DataFrame:
             frame = frame.sort_values(["_order", "size"], kind="stable")
             source = frame["source"].iloc[0]
             rng = _generator(seed, number, None if pd.isna(source) else str(source), int(frame["_block"].iloc[0]))
             size = frame["size"].tolist()
             chance = frame["chance"].tolist()
+            last = frame["_n"].iloc[0] <= block
             chance = best_landing(size, chance, rng) if last else flight(size, chance, rng)
             return frame.assign(chance=chance)[columns]
 
@@ -149,8 +151,8 @@ def sample(units: DataFrame, seed: int = 11, block: int = BLOCK) -> DataFrame:
         last = (current.agg(F.max("_n")).first()[0] or 0) <= block
         order = F.xxhash64("id", "source", F.lit(seed + number))
         # blocks by a hash of the unit within its source: about ``block`` rows each, whatever the source's share
-        dealt = current.select(*columns, order.alias("_order"), F.pmod(order, F.ceil(F.col("_n") / block).cast("long")).alias("_block"))
-        done = cut_lineage(dealt.groupBy("source", "_block").applyInPandas(level_of(number, last), schema))
+        dealt = current.select(*columns, "_n", order.alias("_order"), F.pmod(order, F.ceil(F.col("_n") / block).cast("long")).alias("_block"))
+        done = cut_lineage(dealt.groupBy("source", "_block").applyInPandas(level_of(number), schema))
         open_ = done.where(F.col("chance").between(_EPS, 1 - _EPS))
         closed = done.where(~F.col("chance").between(_EPS, 1 - _EPS))
         settled = closed if settled is None else settled.unionByName(closed)

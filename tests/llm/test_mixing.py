@@ -90,3 +90,15 @@ def test_odd_rows(spark):
     assert mixed.columns == docs.columns
     assert mixing.mix(documents(spark, []), (1,)).collect() == [] == mixing.mixed_rows(documents(spark, []), (1,)).collect()
     assert all(r.taken == 0 for r in mixing.mix(documents(spark, [(1, None, "a")]), (1,)).collect())
+
+
+def test_a_small_source_is_settled_alike_beside_a_hot_one(spark):
+    """Whether another source needs more levels does not change a small one; its best draw stays near in words."""
+    schema = "id long, source string, size long, chance double, _n long"
+    small = [(i, "s", 40_000 if i == 7 else 10 + i, 0.4, 30) for i in range(30)]
+    hot = [(1000 + i, "h", 50, 0.3, 500) for i in range(500)]
+    alone = {r.id: r.chance for r in mixing.sample(spark.createDataFrame(small, schema), block=64).collect()}
+    beside = {r.id: r.chance for r in mixing.sample(spark.createDataFrame(small + hot, schema), block=64).collect()}
+    assert {r[0]: beside[r[0]] for r in small} == alone
+    assert set(beside.values()) <= {0.0, 1.0} and len(beside) == 530
+    assert abs(sum(beside[r[0]] for r in hot) - 150) <= 2
