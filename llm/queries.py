@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from llm import jaccard_join, mixing, packing, pii, quality, secret_scan, suffix_dedup, syncmers, token_counts, url_filter
+from llm import jaccard_join, limb_codes, mixing, packing, pii, quality, secret_scan, simplex_kmeans, suffix_dedup, syncmers, token_counts, url_filter, winnowing
 from llm.common import ship, table
 
 QUERIES = {}
@@ -100,6 +100,21 @@ def op6_syncmer_fingerprints(spark, sf):
     return syncmers.with_next(table(spark, sf, "documents"))
 
 
+@query("op11_benchmark_winnowing", winnowing.SQL)
+def op11_benchmark_winnowing(spark, sf):
+    return winnowing.find_benchmark(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op12_simplex_kmeans")
+def op12_simplex_kmeans(spark, sf):
+    return simplex_kmeans.cluster(table(spark, sf, "embeddings"))
+
+
+@query("op13_limb_codes")
+def op13_limb_codes(spark, sf):
+    return limb_codes.compress(table(spark, sf, "embeddings"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
