@@ -109,8 +109,6 @@ def compress(
 
     def store(batches):
         for batch in batches:
-            if any(n != dim for n in batch.column(2).value_lengths().to_pylist()):
-                raise ValueError("vectors differ in length")
             ints = whole_numbers(batch.column(2), scale, dim).astype("<i4")
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in ints], pa.binary())], schema=pa.schema([*own, ("ints", pa.binary())]))
 

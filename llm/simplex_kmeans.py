@@ -37,8 +37,10 @@ def sound(vec: Column) -> Column:
 
 def whole_numbers(vec: pa.Array, scale: int, dim: int) -> np.ndarray:
     """floor(scale * x) of every component, one row per vector."""
-    x = vec.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vec), dim)
-    found = np.floor(x * scale)
+    x = vec.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    if x.size != len(vec) * dim:
+        raise ValueError("vectors differ in length")
+    found = np.floor(x.reshape(len(vec), dim) * scale)
     if found.size and np.abs(found).max() > LARGEST:
         raise ValueError(f"a component exceeds {LARGEST} after scaling")
     return found.astype(np.int64)
