@@ -17,11 +17,12 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tagloom.operators import vector_tree
 from tagloom.operators.ordering import head_per_group
 from tagloom.session import cut_lineage
 
@@ -75,11 +76,7 @@ def negative_symmetric_kl(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _matrix(table: pa.Table) -> np.ndarray:
-    column = table.column("vec").combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    if len(column) and flat.size % len(column):
-        raise ValueError("vectors differ in length")
-    return flat.reshape(len(column), -1)
+    return vector_tree.matrix_of(table.column("vec"))
 
 
 def _ids(table: pa.Table) -> np.ndarray:
@@ -94,8 +91,8 @@ def _stripes(left: pa.Table, right: pa.Table, score: ScoreFn):
         yield at, np.round(score(x[at : at + step], y), _DIGITS)
 
 
-def _layout(left: DataFrame, right: DataFrame, block_rows: int | None, by: str | None = None) -> tuple[int, int]:
-    """Blocks per side. Counts the rows of both sides (a driver-side action that returns a few numbers).
+def _layout(left: DataFrame, right: DataFrame, block_rows: int | None, by: str | None = None) -> tuple[tuple[int, int], int]:
+    """Blocks per side, in the largest group, and rows per block. Counts the rows of both sides (a driver-side action that returns a few numbers).
 
     With blocks of b rows, every left row is sent once per right block and the other way round:
     2 * N * N / b rows for N rows on each side. Blocks are therefore as large as a task can hold.
@@ -109,7 +106,7 @@ def _layout(left: DataFrame, right: DataFrame, block_rows: int | None, by: str |
     n_right = n_left if right is left else found[1]["n"] if 1 in found else 0
     dim = max([1, *[r["dim"] or 1 for r in found.values()]])
     block_rows = block_rows or max(1, BLOCK_BYTES // (8 * dim))
-    return max(1, math.ceil(n_left / block_rows)), max(1, math.ceil(n_right / block_rows))
+    return (max(1, math.ceil(n_left / block_rows)), max(1, math.ceil(n_right / block_rows))), block_rows
 
 
 def _grid(
@@ -240,13 +237,17 @@ def topk_pairs(
     hidden: str | None = None,
     label: str | None = None,
     block_rows: int | None = None,
+    bound: tuple[vector_tree.Directions, Callable[[np.ndarray], np.ndarray], float] | None = None,
+    sent: list[int] | None = None,
 ) -> DataFrame:
     """Exact top ``k`` right rows for each left row: (id, rank, match_id, score).
 
     Ties go to the smaller ``match_id``. ``by`` names a column, such as a model name, that both
     sides must share. A left row's short ``hidden`` list names right ``label`` values that score -1
     for it, so that they rank last. Each task returns at most ``k`` rows per left row, so the merge moves
-    ``k`` rows per left row and right block.
+    ``k`` rows per left row and right block. Sides of one block (in every group) meet directly. For more, ``bound`` names the
+    directions, the best score at an angle and the score without a direction of :func:`tree_topk`; a score without a bound
+    goes through the full grid of blocks.
     """
     x = _side(left, id_col, vec, by, hidden=hidden)
     same = not hidden and right is left and right_id in (None, id_col) and right_vec in (None, vec)
@@ -255,140 +256,89 @@ def topk_pairs(
     schema = T.StructType([*fields, _field(left, id_col, "id"), T.StructField("rank", T.IntegerType()),
                            _field(right, right_id or id_col, "match_id"), T.StructField("score", T.DoubleType())])
 
+    layout, size = _layout(x, y, block_rows, by)
+    if bound and layout != (1, 1):
+        return tree_topk(x, y, k, score, *bound, schema, size, exclude_self, by, sent)
     best = _best_of_block(k, score, exclude_self, by)
-    layout = _layout(x, y, block_rows, by)
     found = _grid(x, y, best, schema, layout, by)
     keys = [*([by] if by else []), "id"]
     merged = found.drop("rank")
     return head_per_group(merged, keys, [F.desc("score"), F.asc("match_id")], k, "rank").select(*[f.name for f in schema])
 
 
-def _unit(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unit rows, and which rows have a direction."""
-    size = np.sqrt((rows * rows).sum(axis=1))
-    return rows / np.where(size > 0, size, 1.0)[:, None], size > 0
+def _hidden_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``left`` with ``hide``: how many right rows a row's ``hidden`` labels name."""
+    labels = right.groupBy(F.col("label").alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    named = left.select("id", F.explode(F.array_distinct("hidden")).alias("_label")).join(labels, "_label")
+    counts = named.groupBy(F.col("id").alias("_id")).agg(F.sum("_n").alias("hide"))
+    return left.join(counts, F.col("id") == F.col("_id"), "left").drop("_id").withColumn("hide", F.coalesce("hide", F.lit(0)))
 
 
-def _near_blocks(side: DataFrame, pivots: np.ndarray, block_rows: int, name: str) -> DataFrame:
-    """Add a block number: rows whose nearest pivot is the same, in parts of about ``block_rows``. Runs jobs.
-
-    Rows without a direction go to blocks of their own. One number per pivot comes to the driver.
-    """
-    sent = side.sparkSession.sparkContext.broadcast(pivots)
-
-    def nearest(batches):
-        for batch in batches:
-            rows, real = _unit(_matrix(pa.Table.from_batches([batch])))
-            found = np.where(real, (rows @ sent.value.T).argmax(axis=1) if len(rows) else 0, len(sent.value))
-            yield batch.append_column("_pivot", pa.array(found, pa.int32()))
-
-    marked = cut_lineage(side.mapInArrow(nearest, T.StructType([*side.schema.fields, T.StructField("_pivot", T.IntegerType())])))
-    counts = sorted((r["_pivot"], r["n"]) for r in marked.groupBy("_pivot").agg(F.count(F.lit(1)).alias("n")).collect())
-    table, first = [], 0
-    for pivot, n in counts:
-        parts = math.ceil(n / block_rows)
-        table.append((pivot, first, parts))
-        first += parts
-    starts = side.sparkSession.createDataFrame(table, "_pivot int, _first int, _parts int")
-    block = F.col("_first") + F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int")
-    return marked.join(F.broadcast(starts), "_pivot").withColumn(name, block).drop("_pivot", "_first", "_parts")
-
-
-def _block_shapes(blocked: DataFrame, name: str) -> list[tuple[int, int, np.ndarray, float]]:
-    """(block, rows, centre, radius) of every block: no row is further from the centre than the radius (an angle)."""
-
-    def shape(block: pa.Table) -> pa.Table:
-        rows, real = _unit(_matrix(block))
-        centre, some = _unit(rows.sum(axis=0, keepdims=True))
-        known = real.all() and some[0]
-        radius = float(np.arccos(np.clip(rows @ centre[0], -1, 1)).max()) if known else math.pi
-        return pa.table({"block": pa.array([block.column(name)[0].as_py()], pa.int32()), "n": pa.array([len(rows)], pa.int64()),
-                         "centre": pa.array([centre[0]], pa.list_(pa.float64())), "radius": [radius]})
-
-    found = blocked.select(name, "vec").groupBy(name).applyInArrow(shape, "block int, n long, centre array<double>, radius double")
-    return [(r["block"], r["n"], np.array(r["centre"]), r["radius"]) for r in found.collect()]
-
-
-def pruned_cosine_topk(
-    left: DataFrame, right: DataFrame, k: int, id_col: str = "id", vec: str = "vec", right_id: str | None = None, right_vec: str | None = None,
-    exclude_self: bool = False, block_rows: int | None = None, sent: list[int] | None = None,
+def tree_topk(
+    left: DataFrame, right: DataFrame, k: int, score: ScoreFn, directions: vector_tree.Directions, best: Callable[[np.ndarray], np.ndarray], worst: float,
+    schema: T.StructType, block_rows: int, exclude_self: bool = False, by: str | None = None, sent: list[int] | None = None,
 ) -> DataFrame:
-    """Exact cosine top ``k`` as :func:`cosine_topk`, for item sets of many blocks that lie in groups. Runs jobs.
+    """Exact top ``k`` of the sides (:func:`topk_pairs`) by two trees (:mod:`vector_tree`). Runs jobs.
 
-    Blocks hold rows near one pivot. A block's centre and radius bound the best cosine of a pair of blocks. Each left
-    block first meets the right blocks with the best bounds that together have ``k`` rows to offer; its worst k-th score is
-    then what a further block's bound has to reach, or the block is not sent. Rows without a direction are met always.
-    Without groups in the data all pairs are sent, as in the full grid. One row per block comes to the driver; the pair
-    table stays distributed. ``sent`` collects the number of block pairs of the two rounds and of the full grid.
+    ``best`` bounds a score by the angle between ``directions``; ``worst`` is the score of a row without a direction. A left
+    row without one gets the least ids at that score. Each left block meets its nearest right blocks first; only blocks whose bound
+    reaches its worst k-th score follow. ``sent`` collects the number of block pairs of both rounds and of the full grid.
     """
-    spark = left.sparkSession
-    x = _side(left, id_col, vec, None)
-    y = _side(right, right_id or id_col, right_vec or vec, None)
-    schema = T.StructType([_field(left, id_col, "id"), T.StructField("rank", T.IntegerType()), _field(right, right_id or id_col, "match_id"), T.StructField("score", T.DoubleType())])
-    sample = y.where(F.exists("vec", lambda v: v != 0))
-    dim, n_right = y.agg(F.max(F.array_size("vec")), F.count(F.lit(1))).first()
-    if not n_right:
-        return spark.createDataFrame([], schema)
-    block_rows = block_rows or max(1, BLOCK_BYTES // (8 * dim))
-    chosen = sample.orderBy(F.xxhash64("id"), "id").limit(math.ceil(n_right / block_rows)).select("vec").collect()
-    pivots = _unit(np.array([r["vec"] for r in chosen], dtype=float).reshape(-1, dim))[0] if chosen else np.eye(1, dim)
-    lb, rb = _near_blocks(x, pivots, block_rows, "lb"), _near_blocks(y, pivots, block_rows, "rb")
-    shapes = spark.sparkContext.broadcast((_block_shapes(lb, "lb"), _block_shapes(rb, "rb")))
-    if not shapes.value[0]:
-        return spark.createDataFrame([], schema)
-    need = k + int(exclude_self)
-
-    def bounds(batches):
-        blocks, others = shapes.value
-        known = {b: (c, r) for b, _, c, r in blocks}
-        ids, sizes = np.array([b for b, *_ in others]), np.array([n for _, n, *_ in others])
-        centres, radii = np.stack([c for *_, c, _ in others]), np.array([r for *_, r in others])
-        for batch in batches:
-            for b in batch.column(0).to_pylist():
-                centre, radius = known[b]
-                apart = np.arccos(np.clip(centres @ centre, -1, 1)) - radius - radii
-                bound = np.cos(np.maximum(apart, 0.0))
-                order = np.argsort(-bound, kind="stable")
-                before = np.cumsum(sizes[order]) - sizes[order]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), b), pa.int32()), pa.array(ids[order], pa.int32()), pa.array(bound[order]), pa.array(before < need)], names=["lb", "rb", "bound", "first"])
-
-    every = spark.createDataFrame([(b,) for b, *_ in shapes.value[0]], "lb int").repartition("lb")
-    pairs = cut_lineage(every.mapInArrow(bounds, "lb int, rb int, bound double, first boolean"))
-    task = _best_of_block(k, cosine_scores, exclude_self, None)
-    arrow_schema = to_arrow_schema(schema)
+    keys = [*([by] if by else []), "id"]
+    x = vector_tree.grow(_hidden_rows(left, right) if "hidden" in left.columns else left, directions, block_rows, by)
+    y = x if right is left else vector_tree.grow(right, directions, block_rows, by)
+    task, arrow_schema = _best_of_block(k, score, exclude_self, by), to_arrow_schema(schema)
+    mine, theirs = x.rows.select(*left.columns, F.col("_node").alias("l")), y.rows.select(*right.columns, F.col("_node").alias("r"))
 
-    def meet(some: DataFrame) -> DataFrame:
-        mine = lb.join(some.select("lb", "rb"), "lb").groupBy("lb", "rb")
-        theirs = rb.withColumnRenamed("rb", "_rb").join(some.select(F.col("lb").alias("_lb"), F.col("rb").alias("_rb")), "_rb").groupBy("_lb", "_rb")
+    def meet(pairs: DataFrame) -> DataFrame:
+        lefts = mine.join(pairs, "l").groupBy("l", "r")
+        others = theirs.join(pairs, "r")
+        others = others.select(*[F.col(c).alias(f"match_{c}") for c in others.columns]).groupBy("match_l", "match_r")
 
         def run(lt: pa.Table, rt: pa.Table) -> pa.Table:
-            return task(lt, rt).cast(arrow_schema) if len(lt) and len(rt) else arrow_schema.empty_table()
+            if not len(lt) or not len(rt):
+                return arrow_schema.empty_table()
+            return task(lt, rt.rename_columns([c.removeprefix("match_") for c in rt.column_names])).cast(arrow_schema)
+
+        return lefts.cogroup(others).applyInArrow(run, schema).drop("rank")
+
+    near = vector_tree.nearest_pairs(x, y, k + int(exclude_self), best, worst)
+    found = cut_lineage(meet(near))
+    order = [F.desc("score"), F.asc("match_id")]
+    kth = head_per_group(found, keys, order, k, "rank").where(F.col("rank") == k).select(*[F.col(c).alias(f"_{c}") for c in keys], F.col("score").alias("_kth"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+    real = mine.join(x.nodes.where("leaf AND real").select(F.col("node").alias("l")), "l", "left_semi")
+    floors = real.select(*keys, "l").join(kth, same, "left").groupBy("l").agg(F.min(F.coalesce("_kth", F.lit(-math.inf))).alias("floor"))
+    later = cut_lineage(vector_tree.reaching_pairs(x, y, floors, best, worst).join(near, ["l", "r"], "left_anti"))
+    if sent is not None:
+        sent += [near.count(), later.count(), x.nodes.where("leaf AND real").count() * y.nodes.where("leaf").count()]
+    group = vector_tree.group_name(by).alias("_by")
+    least = head_per_group(right.select(group, F.col("id").alias("match_id")), "_by", [F.asc("match_id")], k + int(exclude_self))
+    blind = x.rows.where("NOT _real").select(*keys, group).join(least, "_by")
+    if exclude_self:
+        blind = blind.where(F.col("id") != F.col("match_id"))
+    blind = blind.select(*keys, "match_id", F.lit(worst).alias("score"))
+    merged = found.unionByName(meet(later)).unionByName(blind)
+    return head_per_group(merged, keys, order, k, "rank").select(*schema.names)
 
-        return mine.cogroup(theirs).applyInArrow(run, schema)
 
-    found = cut_lineage(meet(pairs.where("first")))
-    kth = head_per_group(found.drop("rank"), "id", [F.desc("score"), F.asc("match_id")], k, "rank").groupBy("id").agg(F.count(F.lit(1)).alias("_n"), F.min("score").alias("_s"))
-    reached = F.when(F.col("_n") >= k, F.col("_s")).otherwise(F.lit(-math.inf))
-    worst = lb.select("id", "lb").join(kth, "id", "left").groupBy("lb").agg(F.min(reached).alias("worst"))
-    later = cut_lineage(pairs.where("NOT first").join(worst, "lb").where(F.col("bound") >= F.col("worst") - 1e-9))
-    if sent is not None:
-        sent += [pairs.where("first").count(), later.count(), pairs.count()]
-    merged = found.drop("rank").unionByName(meet(later).drop("rank"))
-    return head_per_group(merged, "id", [F.desc("score"), F.asc("match_id")], k, "rank").select(*schema.names)
+_COSINE = (vector_tree.unit_rows, vector_tree.best_cosine, -1.0)
+_DIVERGENCE = (vector_tree.root_directions, vector_tree.best_divergence, -math.inf)
 
 
 def cosine_topk(left: DataFrame, right: DataFrame, k: int, **options) -> DataFrame:
     """Exact cosine top ``k`` (R3); see :func:`topk_pairs`."""
-    return topk_pairs(left, right, k, score=cosine_scores, **options)
+    return topk_pairs(left, right, k, score=cosine_scores, bound=_COSINE, **options)
 
 
 def kl_nearest(df: DataFrame, k: int, symmetric: bool = False, **options) -> DataFrame:
     """The ``k`` rows with the smallest divergence from each row, itself left out.
 
-    The vectors are scaled to sum 1. The result has ``divergence`` in place of ``score``.
+    The vectors are not negative and are scaled to sum 1. The result has ``divergence`` in place of ``score``. Blocks whose
+    Bhattacharyya bound exceeds a block's worst k-th divergence are not met.
     """
     score = negative_symmetric_kl if symmetric else negative_kl
-    out = topk_pairs(df, df, k, score=score, exclude_self=True, **options)
+    out = topk_pairs(df, df, k, score=score, exclude_self=True, bound=_DIVERGENCE, **options)
     return out.withColumn("divergence", -F.col("score")).drop("score")
 
 
@@ -441,7 +391,7 @@ def score_histogram(
     Two passes over the blocks: the value range (five numbers reach the driver), then the counts.
     """
     side = _side(df, id_col, vec, None)
-    layout = _layout(side, side, block_rows)
+    layout, _ = _layout(side, side, block_rows)
     span = _binned_pairs(side, side, score, True, layout, -math.inf, math.inf, 1).first()
     lo, hi = (span["lo"], span["hi"]) if span else (0.0, 1.0)
     if lo == hi:
@@ -471,7 +421,7 @@ def score_summary(
     """
     x = cut_lineage(_side(left, left_id, left_vec, None))
     y = cut_lineage(_side(right, right_id, right_vec, None))
-    layout = _layout(x, y, block_rows)
+    layout, _ = _layout(x, y, block_rows)
     schema = "n bigint, mean double, std double, median double"
     if span is None:
         whole = _binned_pairs(x, y, score, False, layout, -math.inf, math.inf, 1).first()

@@ -34,8 +34,7 @@ def cosine_top10_blocked(spark, sf):
 
 @query("cosine_top10_pruned", with_tables(ITEMS, SCORES + " SELECT id, CAST(rank AS INT) AS rank, match_id, round(score, 6) AS score FROM ranked WHERE rank <= 10"))
 def cosine_top10_pruned(spark, sf):
-    items = t.items(spark, sf)
-    recs = similarity.pruned_cosine_topk(items, items, 10, id_col="item", exclude_self=True, block_rows=192)
+    recs = similarity.cosine_topk(items := t.items(spark, sf), items, 10, id_col="item", exclude_self=True, block_rows=48)
     return recs.withColumn("score", F.round("score", 6))
 
 
@@ -52,6 +51,15 @@ def two_model_top5(spark, sf):
     return recommend.content_to_content(both, 5, id_col="item", by="model").withColumn("score", F.round("score", 6))
 
 
+@query("two_model_top5_blocked", ORACLES["two_model_top5"])
+def two_model_top5_blocked(spark, sf):
+    """Both models by their trees, in blocks of 100 rows."""
+    items = t.items(spark, sf)
+    items = items.withColumn("vec", F.col("vec").cast("array<double>"))
+    both = items.withColumn("model", F.lit("first")).unionByName(items.withColumn("vec", t.second_vector()).withColumn("model", F.lit("second")))
+    return recommend.content_to_content(both, 5, id_col="item", by="model", block_rows=100).withColumn("score", F.round("score", 6))
+
+
 @query("type_match", with_tables(ITEMS, SCORES + " SELECT id, round(avg(CAST(query_type = result_type AS INT)), 6) AS type_match FROM ranked WHERE rank <= 15 GROUP BY id"))
 def type_match(spark, sf):
     items = t.items(spark, sf)
@@ -137,8 +145,8 @@ RANKED = """, user_scores AS (SELECT user_id, item, i.content_id AS content, rou
     recs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item) AS rank FROM masked) WHERE rank <= 10)"""
 
 
-def _evaluation(spark, sf):
-    return evaluation.evaluate(t.events(spark, sf), t.items(spark, sf))
+def _evaluation(spark, sf, **options):
+    return evaluation.evaluate(t.events(spark, sf), t.items(spark, sf), **options)
 
 
 def _split(spark, sf):
@@ -166,6 +174,12 @@ def user_topn(spark, sf):
     return _evaluation(spark, sf).recommendations.withColumn("score", F.round("score", 6))
 
 
+@query("user_topn_blocked", ORACLES["user_topn"])
+def user_topn_blocked(spark, sf):
+    """The users' lists by the trees of users and items, in blocks of 100 rows."""
+    return _evaluation(spark, sf, block_rows=100).recommendations.withColumn("score", F.round("score", 6))
+
+
 METRICS = """, hits AS (SELECT user_id, n_test, sum(CAST(rank <= 1 AS INT)) AS h1, sum(CAST(rank <= 5 AS INT)) AS h5, sum(CAST(rank <= 10 AS INT)) AS h10 FROM (
         SELECT t.user_id, n_test, rank FROM (SELECT user_id, count(*) AS n_test FROM test GROUP BY user_id) t
         LEFT JOIN (SELECT r.user_id, rank FROM recs r JOIN test x ON x.user_id = r.user_id AND x.content_id = r.content) r ON r.user_id = t.user_id)
