@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from tagloom.functions.text import (
     KEYWORD_LIMIT, NO_VALUE, TOKEN_LIMIT, default_array, first_tokens, in_dates, offset_window, split_on, strip_to_array, trim_ws,
 )
-from tagloom.functions.vectors import multi_hot
 from tagloom.operators.clusters import SPECIAL_LABELS
-from tagloom.operators.labels import apply_vocab, build_vocab, filter_to_vocab
+from tagloom.operators.labels import filter_to_vocab
 from tagloom.operators.ordering import head_per_group, sample_keys, with_row_id
-from tagloom.operators.recommend import content_to_content, type_match
+from tagloom.operators.recommend import type_match
 from tagloom.operators.relational import distinct_apart, distinct_array, distinct_text, flag_members, join_ci, keep_top_values, remap_values, union_arrays, when_or_null
+from tagloom.operators.tag_index import nearest_by_tags
 from tagloom.session import cut_lineage
 
 # Fixed values of the tag build.
@@ -386,22 +386,13 @@ def tagged_title_keywords(tagged: DataFrame, content_ids: DataFrame) -> DataFram
     return shown.join(ids, F.lower("program_title") == F.col("_name")).select(*keys, "keywords", "content_ordinal_id")
 
 
-def tag_vectors(titles: DataFrame, key: str, tags: str = "tags", vocab: DataFrame | None = None) -> DataFrame:
-    """(key, vec): 0/1 vectors over the tag vocabulary (T5). The vocabulary is counted on the driver."""
-    vocab = build_vocab(titles, tags) if vocab is None else vocab
-    size = vocab.count()
-    indices = apply_vocab(titles, key, tags, vocab, size, out="_indices")
-    return indices.select(key, multi_hot(F.col("_indices"), size).alias("vec"))
-
-
 def tag_recommendations(titles: DataFrame, key: str, title_type: str, n: int = 15, tags: str = "tags", **options) -> DataFrame:
     """(id, rank, match_id, score, type_match): similar titles by tags (Q-RAW-C2C). Runs jobs.
 
-    The titles, their vectors and the ranked lists are stored, as each is read several times.
+    The titles and the ranked lists are stored, as each is read several times.
     """
     titles = cut_lineage(titles.select(key, title_type, tags))
-    vectors = cut_lineage(tag_vectors(titles, key, tags))
-    recs = cut_lineage(content_to_content(vectors, n, id_col=key, **options))
+    recs = cut_lineage(nearest_by_tags(titles, n, key, tags, **options))
     return recs.join(type_match(recs, titles, key, title_type), "id")
 
 
