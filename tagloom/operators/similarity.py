@@ -274,6 +274,20 @@ def _hidden_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(counts, F.col("id") == F.col("_id"), "left").drop("_id").withColumn("hide", F.coalesce("hide", F.lit(0)))
 
 
+def _met(lefts: DataFrame, rights: DataFrame, pairs: DataFrame, task: Callable[[pa.Table, pa.Table], pa.Table], schema: T.StructType) -> DataFrame:
+    """Run ``task`` once for each pair (l, r) of the blocks ``l`` of the left rows and ``r`` of the right rows."""
+    pairs, arrow_schema = pairs.select("l", "r"), to_arrow_schema(schema)
+    others = rights.join(pairs, "r")
+    others = others.select(*[F.col(c).alias(f"match_{c}") for c in others.columns]).groupBy("match_l", "match_r")
+
+    def run(lt: pa.Table, rt: pa.Table) -> pa.Table:
+        if not len(lt) or not len(rt):
+            return arrow_schema.empty_table()
+        return task(lt, rt.rename_columns([c.removeprefix("match_") for c in rt.column_names])).cast(arrow_schema)
+
+    return lefts.join(pairs, "l").groupBy("l", "r").cogroup(others).applyInArrow(run, schema)
+
+
 def tree_topk(
     left: DataFrame, right: DataFrame, k: int, score: ScoreFn, directions: vector_tree.Directions, best: Callable[[np.ndarray], np.ndarray], worst: float,
     schema: T.StructType, block_rows: int, exclude_self: bool = False, by: str | None = None, sent: list[int] | None = None,
@@ -287,20 +301,11 @@ def tree_topk(
     keys = [*([by] if by else []), "id"]
     x = vector_tree.grow(_hidden_rows(left, right) if "hidden" in left.columns else left, directions, block_rows, by)
     y = x if right is left else vector_tree.grow(right, directions, block_rows, by)
-    task, arrow_schema = _best_of_block(k, score, exclude_self, by), to_arrow_schema(schema)
+    task = _best_of_block(k, score, exclude_self, by)
     mine, theirs = x.rows.select(*left.columns, F.col("_node").alias("l")), y.rows.select(*right.columns, F.col("_node").alias("r"))
 
     def meet(pairs: DataFrame) -> DataFrame:
-        lefts = mine.join(pairs, "l").groupBy("l", "r")
-        others = theirs.join(pairs, "r")
-        others = others.select(*[F.col(c).alias(f"match_{c}") for c in others.columns]).groupBy("match_l", "match_r")
-
-        def run(lt: pa.Table, rt: pa.Table) -> pa.Table:
-            if not len(lt) or not len(rt):
-                return arrow_schema.empty_table()
-            return task(lt, rt.rename_columns([c.removeprefix("match_") for c in rt.column_names])).cast(arrow_schema)
-
-        return lefts.cogroup(others).applyInArrow(run, schema).drop("rank")
+        return _met(mine, theirs, pairs, task, schema).drop("rank")
 
     near = vector_tree.nearest_pairs(x, y, k + int(exclude_self), best, worst)
     found = cut_lineage(meet(near))
@@ -363,12 +368,14 @@ def _slots(values: np.ndarray, lo: float, hi: float, bins: int) -> np.ndarray:
     return np.minimum(np.floor((values - lo) / (hi - lo) * bins).astype(np.int64), bins - 1)
 
 
-def _binned_pairs(x, y, score, drop_self, layout, lo: float, hi: float, bins: int) -> DataFrame:
-    """Per bin of the scores in [lo, hi]: number, sum, sum of squares, least and greatest score."""
+def _binned(score: ScoreFn, drop_self: bool, lo: float, hi: float, bins: int, under: bool = False) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The task that counts two blocks' scores in [lo, hi] by bin; ``under`` counts those below as bin -1."""
 
     def count(lt: pa.Table, rt: pa.Table) -> pa.Table:
         found = []
         for v in _pair_values(lt, rt, score, drop_self):
+            if under:
+                found.append([np.array([x]) for x in (-1, int((v < lo).sum()), 0.0, 0.0, lo, lo)])
             v = np.sort(v[(v >= lo) & (v <= hi)])
             slots = _slots(v, lo, hi, bins)
             first = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]])) if len(v) else np.empty(0, dtype=np.int64)
@@ -378,8 +385,16 @@ def _binned_pairs(x, y, score, drop_self, layout, lo: float, hi: float, bins: in
         columns = [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0)] * 6
         return pa.table([pa.array(c, t) for c, t in zip(columns, to_arrow_schema(_BINS).types)], names=_BINS.names)
 
-    merged = _grid(x, y, count, _BINS, layout).groupBy("bin")
-    return merged.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return count
+
+
+def _by_bin(counted: DataFrame) -> DataFrame:
+    return counted.groupBy("bin").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
+def _binned_pairs(x, y, score, drop_self, layout, lo: float, hi: float, bins: int) -> DataFrame:
+    """Per bin of the scores in [lo, hi]: number, sum, sum of squares, least and greatest score."""
+    return _by_bin(_grid(x, y, _binned(score, drop_self, lo, hi, bins), _BINS, layout))
 
 
 def score_histogram(
@@ -407,18 +422,113 @@ def score_histogram(
     )
 
 
+def _narrowed(found: list, places: list[int], again: Callable[[float, float], list]) -> float:
+    """The mean of the values at two neighbouring places, from counts by bin; ``again`` counts one bin's interval in finer bins."""
+    while True:
+        ends = np.cumsum([r["n"] for r in found])
+        spots = [int(np.searchsorted(ends, p, side="right")) for p in places]
+        first, last = (found[i] for i in spots)
+        if first["bin"] != last["bin"]:  # neighbours on both sides of a bin's edge
+            return (first["hi"] + last["lo"]) / 2
+        if first["lo"] == first["hi"]:
+            return first["lo"]
+        places = [p - int(ends[spots[0]] - first["n"]) for p in places]
+        found = again(first["lo"], first["hi"])
+
+
+_GRAM = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("s", T.DoubleType()), T.StructField("row", T.ArrayType(T.DoubleType()))])
+SAMPLE = 512  # rows of each side whose scores give a first interval for the median
+
+
+def _unit_sums(side: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """(number, sum, Gram matrix) of the unit rows with a direction, in one pass. dim x dim numbers reach the driver."""
+    arrow_schema = to_arrow_schema(_GRAM)
+
+    def add(batches):
+        n, total, gram = 0, 0.0, 0.0
+        for batch in batches:
+            units = vector_tree.unit_rows(vector_tree.matrix_of(batch.column("vec")))
+            units = units[np.isfinite(units).all(axis=1) & units.any(axis=1)]
+            n, total, gram = n + len(units), total + units.sum(axis=0), gram + units.T @ units
+        if n:
+            yield pa.record_batch([pa.array(np.arange(len(total)), pa.int32()), pa.array(np.full(len(total), n)), pa.array(total), pa.array(list(gram), pa.list_(pa.float64()))], schema=arrow_schema)
+
+    def merge(rows: pa.Table) -> pa.Table:
+        gram = vector_tree.matrix_of(rows.column("row")).sum(axis=0)
+        return pa.table([[rows.column("i")[0].as_py()], [int(rows.column("n").to_numpy().sum())], [float(rows.column("s").to_numpy().sum())], [gram.tolist()]], schema=arrow_schema)
+
+    with_gaps = side.select(F.transform("vec", lambda v: F.coalesce(v, F.lit(float("nan")))).alias("vec"))
+    found = sorted(with_gaps.mapInArrow(add, _GRAM).groupBy("i").applyInArrow(merge, _GRAM).collect())
+    return (found[0]["n"] if found else 0), np.array([r["s"] for r in found]), np.array([r["row"] for r in found])
+
+
+def cosine_summary(
+    left: DataFrame, right: DataFrame, left_id: str = "id", left_vec: str = "vec", right_id: str = "id", right_vec: str = "vec",
+    block_rows: int | None = None, bins: int = 1 << 16, opened: list[int] | None = None,
+) -> DataFrame:
+    """One row (n, mean, std, median) over the cosines of all pairs of two sets (R13, A18). Runs jobs.
+
+    Mean and deviation follow from the sums and Gram matrices of the unit rows, without any pair. For the median, the scores of
+    ``SAMPLE`` rows of both sides give an interval; pairs of tree nodes whose cosines all lie beside it are counted whole, and only
+    the blocks left are multiplied and counted in ``bins``, at most that many rows to the driver. Where the median is not
+    inside, the search goes on beside the interval, so the result does not depend on the sample. A bin is cut again, from the blocks
+    that can reach it, until it is one value wide. ``opened`` collects how many block pairs were multiplied and how many there are.
+    """
+    x, y = _side(left, left_id, left_vec, None), _side(right, right_id, right_vec, None)
+    spark, schema = left.sparkSession, "n bigint, mean double, std double, median double"
+    _, size = _layout(x, y, block_rows)
+    (nx, sx, gx), (ny, sy, gy) = _unit_sums(x), _unit_sums(y)
+    n = nx * ny
+    if not n:
+        return spark.createDataFrame([(0, None, None, None)], schema)
+    mean = float(sx @ sy) / n
+    std = math.sqrt(max(0.0, float((gx * gy).sum()) / n - mean * mean))
+    a, b = vector_tree.grow(x, vector_tree.unit_rows, size), vector_tree.grow(y, vector_tree.unit_rows, size)
+    some = [np.array([r["vec"] for r in tree.rows.where("_real").orderBy("_h").limit(SAMPLE).select("vec").collect()], dtype=float) for tree in (a, b)]
+    lo, hi = np.quantile(np.round(raw_cosine(*some), _DIGITS), [0.45, 0.55]).tolist()
+    mine, theirs = a.rows.select(*x.columns, F.col("_node").alias("l")), b.rows.select(*y.columns, F.col("_node").alias("r"))
+
+    def counted(pairs: DataFrame, lo: float, hi: float, under: bool = False) -> list:
+        return _by_bin(_met(mine, theirs, pairs, _binned(raw_cosine, False, lo, hi, bins, under), _BINS)).orderBy("bin").collect()
+
+    places = [(n - 1) // 2, n // 2]
+    low_end, high_end = -2.0, 2.0  # no score beyond, whatever the rounding
+    while True:
+        pairs, below, above = vector_tree.open_pairs(a, b, lo, hi)
+        pairs = cut_lineage(pairs)
+        if opened is not None:
+            opened += [pairs.count(), a.nodes.where("leaf AND real").count() * b.nodes.where("leaf AND real").count()]
+        found = counted(pairs, lo, hi, under=True)
+        under = sum(r["n"] for r in found if r["bin"] < 0)
+        found = [r for r in found if r["bin"] >= 0]
+        inside = sum(r["n"] for r in found)
+        first, last = (p - below - under for p in places)
+        if 0 <= first and last < inside:
+            places = [first, last]
+            break
+        if last < 0:
+            lo, hi = low_end, math.nextafter(lo, -math.inf)
+        elif first >= inside:
+            lo, hi = math.nextafter(hi, math.inf), high_end
+        else:  # one on each side of an end
+            lo, hi = low_end, high_end
+    reach = lambda lo, hi: pairs.where((F.col("best") >= lo - 1e-9) & (F.col("least") <= hi + 1e-9))
+    median = _narrowed(found, places, lambda lo, hi: counted(reach(lo, hi), lo, hi))
+    return spark.createDataFrame([(n, mean, std, median)], schema)
+
+
 def score_summary(
-    left: DataFrame, right: DataFrame, left_id: str = "id", left_vec: str = "vec",
-    right_id: str = "id", right_vec: str = "vec", score: ScoreFn = raw_cosine,
-    span: tuple[float, float] | None = (-1.0, 1.0), block_rows: int | None = None, bins: int = 1 << 16,
+    left: DataFrame, right: DataFrame, left_id: str = "id", left_vec: str = "vec", right_id: str = "id", right_vec: str = "vec",
+    score: ScoreFn = raw_cosine, span: tuple[float, float] | None = (-1.0, 1.0), block_rows: int | None = None, bins: int = 1 << 16,
 ) -> DataFrame:
-    """One row (n, mean, std, median) over all finite scores of two sets.
+    """One row (n, mean, std, median) over all finite scores of two sets; cosines go to :func:`cosine_summary`.
 
-    ``span`` holds all scores; without it a pass finds it. Every pass cuts an interval into ``bins`` and brings at most
-    that many rows to the driver. The first gives count, mean and deviation too; the next ones narrow to the bin
-    that holds the median until it is one value wide, so the median is exact. Both sides are written to the
-    checkpoint folder first, as every pass reads them again.
+    Other scores have no bounds and are read from the full grid of blocks. ``span`` holds all scores; without it a pass finds it.
+    Every pass cuts an interval into ``bins`` and brings at most that many rows to the driver. The first gives count, mean and deviation
+    too; the next ones narrow to the bin that holds the median until it is one value wide, so the median is exact.
     """
+    if score is raw_cosine:
+        return cosine_summary(left, right, left_id, left_vec, right_id, right_vec, block_rows, bins)
     x = cut_lineage(_side(left, left_id, left_vec, None))
     y = cut_lineage(_side(right, right_id, right_vec, None))
     layout, _ = _layout(x, y, block_rows)
@@ -432,17 +542,5 @@ def score_summary(
         return left.sparkSession.createDataFrame([(0, None, None, None)], schema)
     mean = math.fsum(r["s"] for r in found) / n
     std = math.sqrt(max(0.0, math.fsum(r["ss"] for r in found) / n - mean * mean))
-    places = [(n - 1) // 2, n // 2]
-    while True:
-        ends = np.cumsum([r["n"] for r in found])
-        first, last = (found[int(np.searchsorted(ends, p, side="right"))] for p in places)
-        if first["bin"] != last["bin"]:  # neighbours on both sides of a bin's edge
-            median = (first["hi"] + last["lo"]) / 2
-            break
-        if first["lo"] == first["hi"]:
-            median = first["lo"]
-            break
-        below = int(ends[int(np.searchsorted(ends, places[0], side="right"))] - first["n"])
-        places = [p - below for p in places]
-        found = _binned_pairs(x, y, score, False, layout, first["lo"], first["hi"], bins).orderBy("bin").collect()
+    median = _narrowed(found, [(n - 1) // 2, n // 2], lambda lo, hi: _binned_pairs(x, y, score, False, layout, lo, hi, bins).orderBy("bin").collect())
     return left.sparkSession.createDataFrame([(n, mean, std, median)], schema)

@@ -190,12 +190,12 @@ def _shapes(rows: DataFrame, directions: Directions, depth: int) -> DataFrame:
 
 
 def _measured(pairs: DataFrame, left: Tree, right: Tree, best: Callable[[np.ndarray], np.ndarray], worst: float) -> DataFrame:
-    """(l, r, n, hide, apart, best) of the pairs (l, r): rows on the right, the angle of the centres, and the best score."""
-    mine = left.nodes.select(F.col("node").alias("l"), F.col("centre").alias("lc"), F.col("radius").alias("lr"), "hide")
+    """(l, r, nl, n, hide, apart, far, best) of the pairs (l, r): rows on both sides, the angle of the centres and the greatest angle, the best score."""
+    mine = left.nodes.select(F.col("node").alias("l"), F.col("centre").alias("lc"), F.col("radius").alias("lr"), F.col("n").alias("nl"), "hide")
     theirs = right.nodes.select(F.col("node").alias("r"), F.col("centre").alias("rc"), F.col("radius").alias("rr"), "n", "real")
-    both = pairs.join(mine, "l").join(theirs, "r").select("l", "r", "n", "hide", "real", "lc", "lr", "rc", "rr")
-    schema = T.StructType([T.StructField("l", T.StringType()), T.StructField("r", T.StringType()), T.StructField("n", T.LongType()), T.StructField("hide", T.LongType()),
-                           T.StructField("apart", T.DoubleType()), T.StructField("best", T.DoubleType())])
+    both = pairs.join(mine, "l").join(theirs, "r").select("l", "r", "nl", "n", "hide", "real", "lc", "lr", "rc", "rr")
+    kinds = {"l": T.StringType(), "r": T.StringType(), "nl": T.LongType(), "n": T.LongType(), "hide": T.LongType()}
+    schema = T.StructType([T.StructField(c, kinds.get(c, T.DoubleType())) for c in (*kinds, "apart", "far", "best")])
     arrow_schema = to_arrow_schema(schema)
 
     def run(batches):
@@ -204,8 +204,9 @@ def _measured(pairs: DataFrame, left: Tree, right: Tree, best: Callable[[np.ndar
                 continue
             real = b.column("real").to_numpy(zero_copy_only=False)
             apart = np.where(real, _angles(matrix_of(b.column("lc")), matrix_of(b.column("rc"))), math.pi)
-            near = np.maximum(apart - b.column("lr").to_numpy() - b.column("rr").to_numpy() - _ANGLE_SLACK, 0.0)
-            yield pa.record_batch([*[b.column(c) for c in ("l", "r", "n", "hide")], pa.array(apart), pa.array(np.where(real, best(near), worst))], schema=arrow_schema)
+            reach = b.column("lr").to_numpy() + b.column("rr").to_numpy() + _ANGLE_SLACK
+            found = np.where(real, best(np.maximum(apart - reach, 0.0)), worst)
+            yield pa.record_batch([*[b.column(c) for c in kinds], pa.array(apart), pa.array(np.minimum(apart + reach, math.pi)), pa.array(found)], schema=arrow_schema)
 
     return both.mapInArrow(run, schema)
 
@@ -249,3 +250,20 @@ def reaching_pairs(left: Tree, right: Tree, floors: DataFrame, best: Callable, w
         kept = cut_lineage(measured.where(F.col("best") >= F.col("floor") - 1e-9).select("l", "r"))
         pairs = _children(kept, left, right)
     return kept
+
+
+def open_pairs(left: Tree, right: Tree, lo: float, hi: float) -> tuple[DataFrame, int, int]:
+    """(leaves (l, r, least, best) with cosines that may lie in [lo, hi], row pairs below, row pairs above). Whole pairs of nodes
+    whose cosines all lie on one side are counted and not opened. Rows without a direction are left out."""
+    pairs = _roots(left, right).where(~F.col("r").endswith("!"))
+    counts = {"below": 0, "above": 0}
+    for _ in range(max(left.depth, right.depth) + 1):
+        measured = _measured(pairs, left, right, best_cosine, -1.0).withColumn("least", F.cos("far"))
+        side = F.when(F.col("best") < lo - 1e-9, "below").when(F.col("least") > hi + 1e-9, "above")
+        sided = cut_lineage(measured.withColumn("side", side))
+        rows = (F.col("nl").cast("decimal(38,0)") * F.col("n")).cast("decimal(38,0)")
+        for r in sided.where("side IS NOT NULL").groupBy("side").agg(F.sum(rows).alias("n")).collect():
+            counts[r["side"]] += int(r["n"])
+        kept = sided.where("side IS NULL").select("l", "r", "least", "best")
+        pairs = _children(kept, left, right)
+    return kept, counts["below"], counts["above"]
