@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.functions.text import hash_slot
 from tagloom.functions.vectors import multi_hot
+from tagloom.operators import coding
 from tagloom.operators.ordering import with_row_id
 from tagloom.operators.relational import distinct_apart
 
+# the lookups travel to the tasks by value, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def build_vocab(df: DataFrame, col: str) -> DataFrame:
     """(token, freq, idx) over all rows (T3), most frequent first, ties by descending token.
@@ -31,28 +40,39 @@ def build_vocab(df: DataFrame, col: str) -> DataFrame:
 def apply_vocab(
     df: DataFrame, key: str, col: str, vocab: DataFrame, size: int | None = None, out: str | None = None, drop_unknown: bool = False
 ) -> DataFrame:
-    """(key, index array) per row with the members' order kept (T4).
+    """(key, index array) per row with the members' order kept (T4). Runs a job.
 
-    Unknown members get the index ``size``, one past the vocabulary. ``key`` is unique per row. Only
-    keys and members are shuffled; join the result back on ``key`` when other columns are needed.
+    Unknown and null members get the index ``size``, one past the vocabulary. A chunk's distinct members meet the
+    vocabulary, not their occurrences (:mod:`coding`); join the result back on ``key`` when other columns are needed.
     """
-    unknown = F.lit(size) if size is not None else vocab.agg(F.count(F.lit(1))).scalar()
-    known = vocab.select(F.col("token").alias("_token"), F.col("idx").alias("_idx"))
-    # the outer form keeps rows without members, so the grouping gives every key its array and nothing is joined back
-    members = df.select(key, F.posexplode_outer(col).alias("_pos", "_member"))
-    found = members.join(known, F.col("_member") == F.col("_token"), "left")
-    index = F.col("_idx") if drop_unknown else F.coalesce(F.col("_idx"), unknown)
-    pair = F.when(F.col("_pos").isNotNull() & index.isNotNull(), F.struct("_pos", index.cast("int").alias("i")))
-    grouped = found.groupBy(key).agg(F.sort_array(F.collect_list(pair)).alias("_pairs"))
-    return grouped.select(key, F.transform("_pairs", lambda p: p["i"]).alias(out or f"{col}_idx"))
+    unknown = size if size is not None else vocab.count()
+    known = vocab.select(F.col("token").alias("_token"), F.col("idx").cast("int").alias("_value"))
+
+    def indices(tokens: pa.Array, values: pa.Array, codes: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        index = np.append(values.fill_null(-1 if drop_unknown else unknown).to_numpy(), -1 if drop_unknown else unknown)  # the last for null members
+        found = index[codes].astype(np.int32)
+        return coding.listed(pa.array(found), found >= 0, offsets)
+
+    rows = df.select(F.col(key).alias("_key"), F.col(col).cast("array<string>").alias("_members"))
+    found = coding.looked_up(rows, known, indices, T.ArrayType(T.IntegerType()))
+    return found.select(F.col("_key").alias(key), F.col("_out").alias(out or f"{col}_idx"))
 
 
 def filter_to_vocab(df: DataFrame, key: str, col: str, vocab: DataFrame, token: str = "token") -> DataFrame:
-    """(key, distinct members that the vocabulary holds, ascending) (T11); rows without any are left out."""
-    allowed = distinct_apart(vocab, F.col(token).alias("_member"))
-    members = df.select(key, F.explode_outer(F.array_distinct(col)).alias("_member")).where(F.col("_member").isNotNull()).distinct()
-    kept = members.join(allowed, "_member", "left_semi")
-    return kept.groupBy(key).agg(F.sort_array(F.collect_list("_member")).alias(col))
+    """(key, distinct members that the vocabulary holds, ascending) (T11); rows without any are left out.
+
+    A row's members are reduced to the held ones in its chunk; only these come together by key.
+    """
+    allowed = distinct_apart(vocab, F.col(token).alias("_token")).withColumn("_value", F.lit(1))
+
+    def held(tokens: pa.Array, values: pa.Array, codes: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        keep = np.append(values.is_valid().to_numpy(zero_copy_only=False), False)[codes]
+        return coding.listed(tokens.take(pa.array(np.maximum(codes, 0))) if len(codes) else tokens.slice(0, 0), keep, offsets)
+
+    rows = df.select(F.col(key).alias("_key"), F.array_distinct(col).alias("_members"))
+    kept = coding.looked_up(rows, allowed, held, T.ArrayType(T.StringType())).where(F.array_size("_out") > 0)
+    together = F.array_sort(F.array_distinct(F.flatten(F.collect_list("_out"))))
+    return kept.groupBy(F.col("_key").alias(key)).agg(together.alias(col))
 
 
 def decode_labels(df: DataFrame, key: str, vector: str, vocab: DataFrame, out: str = "tags") -> DataFrame:

@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tagloom.functions.vectors import multi_hot
-from tagloom.operators import labels, validation
+from tagloom.operators import coding, labels, validation
 
 
 def test_vocab_order_and_unusable_tokens(spark):
@@ -92,3 +94,29 @@ def test_vocabulary_drops_or_marks_unknown_members(spark):
     assert marked == {1: [0, 1, 0], 2: [], 3: [], 4: [1]}
     dropped = {r.id: r.t_idx for r in labels.apply_vocab(df, "id", "t", vocab, drop_unknown=True).collect()}
     assert dropped == {1: [0, 0], 2: [], 3: [], 4: []}
+
+
+def test_occurrences_are_not_shuffled(spark):
+    """Rows cross as arrays of codes; a chunk's distinct members are what meets the vocabulary."""
+    df = spark.createDataFrame([(i, ["the"] * 50 + [f"w{i % 7}", None, "?"]) for i in range(40)], "id long, t array<string>")
+    vocab = spark.createDataFrame([("the", 0), ("w3", 1)], "token string, idx long")
+    out = labels.apply_vocab(df, "id", "t", vocab, 2)
+    assert {r.id: r.t_idx for r in out.collect()} == {i: [0] * 50 + [1 if i % 7 == 3 else 2, 2, 2] for i in range(40)}
+    rows = df.select(F.col("id").alias("_key"), F.col("t").alias("_members")).coalesce(1)
+    chunks = coding.coded(rows, limit=120)
+    assert chunks.where("_tokens IS NOT NULL").count() == 20  # two rows of 53 members in each
+    assert chunks.select(F.explode("_tokens")).count() <= 20 * 5
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1  # the explode of distinct members alone
+
+
+def test_lookup_by_chunk_equals_plain_loop(spark):
+    rng = random.Random(3)
+    data = [(i, None if i % 11 == 0 else [rng.choice(["a", "b", "c", "é", "", None, "zz"]) for _ in range(rng.randint(0, 9))]) for i in range(200)]
+    df = spark.createDataFrame(data, "id long, t array<string>").repartition(5)
+    vocab = spark.createDataFrame([("a", 0), ("é", 1), ("", 2)], "token string, idx long")
+    index = {"a": 0, "é": 1, "": 2}
+    for drop in (False, True):
+        got = {r.id: r.t_idx for r in labels.apply_vocab(df, "id", "t", vocab, drop_unknown=drop).collect()}
+        assert got == {i: [index.get(x, 3) for x in t or [] if not drop or x in index] for i, t in data}
+    kept = {r.id: r.t for r in labels.filter_to_vocab(df, "id", "t", vocab).collect()}
+    assert kept == {i: sorted({x for x in t or [] if x in index}) for i, t in data if any(x in index for x in t or [])}
