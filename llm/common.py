@@ -20,6 +20,9 @@ from tagloom.session import ensure_checkpoint_dir
 #: A word of the contracts: a run of anything but the six ASCII white-space characters. ``bytes.split()`` cuts the same way.
 WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the supplied tables, whole."""
@@ -37,8 +40,13 @@ def n_words(column: str | Column = "text") -> Column:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package and the one it uses to the executors, once per session, wherever the driver found them."""
+    """Send this package and the one it uses to the executors, once per session, wherever the driver found them.
+
+    Batches for Python are cut at ``BATCH_BYTES`` from then on, unless the session asks for less: whole texts would fill 64 MB.
+    """
     context = spark.sparkContext
+    if context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH_CONF)) > BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
     if getattr(context, "_corpus_operators_sent", False):
         return
     import llm
@@ -54,6 +62,14 @@ def ship(spark: SparkSession) -> None:
     context._corpus_operators_sent = True
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name made of ``name`` that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bounded(batches: Iterator[pa.RecordBatch], text: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut where the bytes of their column ``text`` go beyond ``limit`` (a longer text is a batch alone)."""
     for batch in batches:

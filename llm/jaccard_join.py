@@ -25,9 +25,9 @@ partners can have. Every bound below is a bound on the overlap of a query set wi
 Every link is decided on the sets themselves (``den * common >= num * union``). All links between different sets of
 one group need not be looked at: they cannot change the components.
 
-Texts without words, null and empty texts have an empty set and link with nothing. Ids are whole numbers. Rows with one id are
-one document as far as their texts are equal; a null id takes part and gets the least id of its component, null if
-there is none. Empty tables give empty results. Other columns are ignored.
+Texts without words, null and empty texts have an empty set and link with nothing. Texts of any length are one row. Ids are whole
+numbers. Sets are told apart by their digest: rows of one id with unlike texts are documents of their own that happen to be named alike.
+A null id takes part and gets the least id of its component, null if there is none. Empty tables give empty results. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from llm.common import bounded, plain_text, words_of, written
+from llm.common import bounded, plain_text, ship, unused, words_of, written
 from llm.components import components
 from tagloom.session import cut_lineage
 
@@ -157,7 +157,7 @@ def _packed(sig: np.ndarray, own: np.ndarray, shared: np.ndarray) -> np.ndarray:
     return entry
 
 
-_ROW = "id long, n long, key binary, asks array<struct<own: long, overlap: long>>, own long, found long"
+_ROW = "id long, mark long, n long, key binary, asks array<struct<own: long, overlap: long>>, own long, found long"
 _ASKS = pa.list_(pa.struct([("own", pa.int64()), ("overlap", pa.int64())]))
 
 
@@ -201,16 +201,16 @@ def _hits(payloads) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _map_sets(docs: DataFrame, k: int, num: int, den: int, blocks: int) -> DataFrame:
-    """Rows of two kinds: (block, id, n, key, asks) of every document, and (block, payload) with the signature entries of a batch.
+    """Rows of two kinds: (block, id, mark, n, key, asks) of every document (_id, _text, _mark), and (block, payload) with the signature entries of a batch.
 
     ``asks`` has, for each scheme of the set, the hash that stands for it and the overlap that it needs. A payload is an
     array of (signature, that hash, shared) entries, one per signature of the batch; shared says that two classes of the
     batch have it. All but one of those report their hit without meeting others again.
     """
-    arrow = pa.schema([("block", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("asks", _ASKS), ("payload", pa.binary())])
+    arrow = pa.schema([("block", pa.int32()), ("id", pa.int64()), ("mark", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("asks", _ASKS), ("payload", pa.binary())])
 
     def run(batches):
-        for batch in bounded(batches, 1, 5 << 20):
+        for batch in bounded(batches, 1, 3 << 20):
             tokens, ends = shingle_sets(batch.column(1), k)
             n, ids = np.diff(ends), batch.column(0)
             keys = [xxhash.xxh3_128_digest(tokens[a:b].tobytes()) if b > a else None for a, b in zip(ends, ends[1:])]
@@ -224,12 +224,13 @@ def _map_sets(docs: DataFrame, k: int, num: int, den: int, blocks: int) -> DataF
             block, payloads = _entries_by_block(sig, own, blocks)
             rows = len(payloads)
             home = pa.array((ids.to_numpy().view(np.uint64) % np.uint64(blocks)).astype(np.int32))
-            yield pa.record_batch([home, ids, pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(asks, _ASKS), pa.nulls(len(n), pa.binary())], schema=arrow)
+            yield pa.record_batch([home, ids, batch.column(2), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(asks, _ASKS), pa.nulls(len(n), pa.binary())], schema=arrow)
             if rows:
-                none = [pa.nulls(rows, f.type) for f in list(arrow)[1:5]]
+                none = [pa.nulls(rows, f.type) for f in list(arrow)[1:6]]
                 yield pa.record_batch([pa.array(block, pa.int32()), *none, pa.array(payloads, pa.binary())], schema=arrow)
+        pa.default_memory_pool().release_unused()  # the worker waits for the next task
 
-    return docs.mapInArrow(run, "block int, id long, n long, key binary, asks array<struct<own: long, overlap: long>>, payload binary")
+    return docs.mapInArrow(run, "block int, id long, mark long, n long, key binary, asks array<struct<own: long, overlap: long>>, payload binary")
 
 
 def _meet(rows: DataFrame) -> DataFrame:
@@ -242,20 +243,20 @@ def _meet(rows: DataFrame) -> DataFrame:
         is_entry = block.column("payload").is_valid()
         payloads = block.column("payload").filter(is_entry)
         own, found = _hits(payloads)
-        documents = block.filter(pc.invert(is_entry)).select(["id", "n", "key", "asks"])
+        documents = block.filter(pc.invert(is_entry)).select(["id", "mark", "n", "key", "asks"])
         documents = documents.append_column("own", pa.nulls(len(documents), pa.int64())).append_column("found", pa.nulls(len(documents), pa.int64()))
-        none = [pa.nulls(len(own), f.type) for f in list(documents.schema)[:4]]
+        none = [pa.nulls(len(own), f.type) for f in list(documents.schema)[:5]]
         return pa.concat_tables([documents, pa.table([*none, pa.array(own.view(np.int64)), pa.array(found)], names=documents.column_names)])
 
     return rows.groupBy("block").applyInArrow(run, _ROW)
 
 
 def _with_tokens(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """(sid, n, tokens) of the candidate classes' representatives."""
-    found = docs.join(classes, F.col("_id") == F.col("rep")).select("_id", "key", "_text")
+    """(sid, n, tokens) of the candidate classes' (sid, rep, key): a text of the id ``rep`` whose set has the digest ``key``."""
+    found = docs.join(classes, F.col("_id") == F.col("rep")).select("sid", "key", "_text")
 
     def run(batches):
-        for batch in bounded(batches, 2):
+        for batch in bounded(batches, 2, 3 << 20):
             tokens, ends = shingle_sets(batch.column(2), k)
             sets = [tokens[a:b].tobytes() for a, b in zip(ends, ends[1:])]
             right = pa.array([xxhash.xxh3_128_digest(s) == key for s, key in zip(sets, batch.column(1).to_pylist())], pa.bool_())
@@ -393,32 +394,65 @@ def _links(sets: DataFrame, num: int, den: int, blocks: int) -> DataFrame:
 _UNNAMED = 1 << 62  # rows without an id get one from here on, by their text
 
 
-def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of every row. Sets link when den * intersection >= num * union."""
+def _named(id_col: str, text_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(_UNNAMED) + F.xxhash64(F.col(text_col)).bitwiseAND(F.lit(_UNNAMED // 2 - 1)))
+
+
+def _classes(members: DataFrame) -> DataFrame:
+    """(key, rep, asks, sid) of the sets: the least id that has one, and a number. The number is that id, or, for all but one of the
+    sets that share it, a hash of the set below all usual ids."""
+    classes = written(members.where("n > 0").groupBy("key").agg(F.min("id").alias("rep"), F.min("asks").alias("asks")))
+    first = classes.groupBy(F.col("rep").alias("_rep")).agg(F.min("key").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    other = F.lit(-(1 << 62)) - F.xxhash64("key").bitwiseAND(F.lit((1 << 62) - 1))
+    numbered = classes.join(written(first), F.col("rep") == F.col("_rep"), "left")
+    return numbered.select("key", "rep", "asks", F.when(F.col("key") != F.col("_first"), other).otherwise(F.col("rep")).alias("sid"))
+
+
+def _joined(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(id, mark, n, key, root, top) of the rows (_id, _text, _mark): the least id of the component and a key that stands for it."""
     if not num < den <= 2 * num:
         raise ValueError("the threshold must be at least a half and below one")
-    unnamed = F.lit(_UNNAMED) + F.xxhash64(F.col(text_col)).bitwiseAND(F.lit(_UNNAMED // 2 - 1))
-    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), unnamed).alias("_id"), plain_text(text_col).alias("_text"))
+    ship(docs.sparkSession)
     # about a quarter of the tokens are entries, a word has about six characters
     size = docs.agg(F.sum(F.length("_text"))).first()[0] or 0
     blocks = max(64, 4 * size // (24 * _ENTRIES))
     rows = written(_meet(_map_sets(docs, k, num, den, blocks)))
-    members = rows.where("own IS NULL")
+    members = rows.where("own IS NULL").select("id", "mark", "n", "key", "asks")
     hits = rows.where("own IS NOT NULL").groupBy("own").agg(F.sum("found").alias("_found"))
-    classes = written(members.where("n > 0").groupBy("key").agg(F.min("id").alias("rep"), F.min("asks").alias("asks")))
-    asked = classes.select("key", "rep", F.explode("asks").alias("_a")).select("key", "rep", "_a.*")
-    wanted = asked.join(hits, "own").where("_found >= overlap").select("key", "rep").distinct()
+    classes = written(_classes(members))
+    asked = classes.select("key", "rep", "sid", F.explode("asks").alias("_a")).select("key", "rep", "sid", "_a.*")
+    wanted = asked.join(hits, "own").where("_found >= overlap").select("key", "rep", "sid").distinct()
     sets = written(_with_tokens(docs, wanted, k))
-    roots = components(_links(sets, num, den, blocks))
-    rooted = cut_lineage(classes.join(roots, F.col("rep") == F.col("node"), "left").select(F.col("key").alias("_key"), F.coalesce("root", "rep").alias("_root")))
-    out = members.join(rooted, F.col("key") == F.col("_key"), "left").withColumn("_root", F.coalesce("_root", "id"))
+    linked = components(_links(sets, num, den, blocks)).join(classes.select(F.col("sid").alias("node"), "key", "rep"), "node")
+    tops = cut_lineage(linked.groupBy("root").agg(F.min(F.struct("rep", "key")).alias("_top")))
+    rooted = linked.join(tops, "root").select(F.col("key").alias("_key"), "_top")
+    own = classes.join(rooted, F.col("key") == F.col("_key"), "left").withColumn("_top", F.coalesce("_top", F.struct("rep", "key")))
+    own = cut_lineage(own.select(F.col("key").alias("_key"), F.col("_top.rep").alias("_root"), F.col("_top.key").alias("top")))
+    out = members.join(own, F.col("key") == F.col("_key"), "left")
+    return out.select("id", "mark", "n", "key", F.coalesce("_root", "id").alias("root"), "top")
+
+
+def join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) of every row. Sets link when den * intersection >= num * union."""
+    out = _joined(docs.select(_named(id_col, text_col).alias("_id"), plain_text(text_col).alias("_text"), F.lit(0).cast("long").alias("_mark")), k, num, den)
     named = lambda c: F.when(F.col(c) < _UNNAMED, F.col(c))
-    return out.select(named("id").alias(id_col), F.col("n").alias("n_shingles"), named("_root").alias("component_id"))
+    return out.select(named("id").alias(id_col), F.col("n").alias("n_shingles"), named("root").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the document of the least id of each component, all columns. Rows without an id stay."""
-    found = join(docs.where(F.col(id_col).isNotNull()), k, num, den, id_col, text_col)
-    kept = cut_lineage(found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_keep")).distinct())
-    one = docs.join(kept, F.col(id_col) == F.col("_keep")).select(*docs.columns).dropDuplicates([id_col])
-    return one.unionByName(docs.where(F.col(id_col).isNull()))
+    """``docs`` with one document of each component, all columns: the one of the least id, of several texts of that id that with the least hash.
+
+    Rows without an id take part and come after those with one. Of rows with equal id and text one stays. Texts without words link with
+    nothing and stay, one row for each id and text.
+    """
+    mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.col(text_col).isNull())
+    found = _joined(docs.select(_named(id_col, text_col).alias("_id"), plain_text(text_col).alias("_text"), mark.alias("_mark")), k, num, den)
+    rows = found.groupBy("id", "mark", "top").agg(F.count(F.lit(1)).alias("rows"))
+    grouped = rows.where("top IS NOT NULL").groupBy("top").agg(F.min(F.struct("id", "mark", "rows")).alias("_one")).select("_one.*")
+    kept = cut_lineage(grouped.unionByName(rows.where("top IS NULL").select("id", "mark", "rows")))
+    names = [unused(docs, c) for c in ("id", "mark", "rows")]
+    kept = kept.toDF(*names)
+    same = docs.join(kept, (_named(id_col, text_col) == F.col(names[0])) & (mark == F.col(names[1])))
+    once = same.where(F.col(names[2]) == 1).select(*docs.columns)
+    again = same.where(F.col(names[2]) > 1).dropDuplicates(names[:2]).select(*docs.columns)
+    return once.unionByName(again)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import n_words
+from llm.common import n_words, unused
 from tagloom.operators.ordering import with_row_id
 from tagloom.session import cut_lineage
 
@@ -190,7 +190,8 @@ def mix(docs: DataFrame, weights: Sequence[float], budget: float = 1.5, seed: in
 def mixed_rows(docs: DataFrame, weights: Sequence[float], budget: float = 1.5, seed: int = 11, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of the mix: each row of ``docs`` as often as the mix takes it, all columns."""
     chosen = plan(_sized(docs, id_col, text_col, source_col), weights, budget, seed)
-    chosen = chosen.where("copies > 0").select(F.col("id").alias("_cid"), F.col("source").alias("_cs"), F.col("copies").alias("_copies"))
-    joined = docs.join(chosen, F.col(id_col).eqNullSafe(F.col("_cid")) & F.col(source_col).eqNullSafe(F.col("_cs")))
-    repeated = joined.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    names = [unused(docs, c) for c in ("unit", "origin", "copies", "again")]
+    chosen = chosen.where("copies > 0").select("id", "source", "copies").toDF(*names[:3])
+    joined = docs.join(chosen, F.col(id_col).eqNullSafe(F.col(names[0])) & F.col(source_col).eqNullSafe(F.col(names[1])))
+    repeated = joined.withColumn(names[3], F.explode(F.sequence(F.lit(1), F.col(names[2]))))
     return repeated.select(*[F.col(c) for c in docs.columns])

@@ -33,14 +33,15 @@ from tagloom.operators.ordering import running_totals
 from tagloom.session import cut_lineage
 
 CAPACITY = 2048
-KNOWN_LIMIT = 1 << 21  # words a worker remembers the ids of
+KNOWN_LIMIT = 1 << 17  # words a worker remembers the ids of, some 30 MB
 
 
 class WordIds:
     """Token ids of texts by a tokenizer that never joins words across white space; the ids of words are kept.
 
-    Words of printable ASCII go to the tokenizer's merge model directly, in the pieces that its pre-tokenizer makes of
-    them; all others, and those that may hold a special token, go through the whole tokenizer.
+    Words of printable ASCII go to the tokenizer's merge model directly, in lower case and in the pieces of ``PIECE``, where the
+    file's own normalizer and pre-tokenizer do the same with every pair of characters; all others, those that may hold a
+    special token, and all words of a file with other rules go through the whole tokenizer. A file that joins words is refused.
     """
 
     PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+")
@@ -51,8 +52,24 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.direct = self._agrees()
         self._start()
 
+    def _agrees(self) -> bool:
+        """Whether pieces of a word by ``PIECE`` are what the file makes of it."""
+        whole = lambda texts: [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        probes = ["ab", "A1", "x'll", "né"]
+        apart = whole(probes)
+        for gap in " \t\n":
+            if whole([gap + gap.join(probes) + gap * 2])[0] != [i for ids in apart for i in ids]:
+                raise ValueError("the tokenizer joins words across white space, or its tokens hold white space")
+        signs = [chr(c) for c in range(33, 127)]
+        words = [a + b for a in signs for b in signs] + [f"{a}'{b}{c}" for a in "xB1'" for b in ("s", "T", "re", "VE", "m", "ll", "d") for c in ("", "a", "1", "'")]
+        return whole(words) == [self._direct(w) for w in words]
+
+    def _direct(self, word: str) -> list[int]:
+        return [t.id for piece in self.PIECE.findall(word.lower()) for t in self.model.tokenize(piece)]
+
     def _start(self) -> None:
         self.index: dict[str, int] = {}
         self.starts = self.counts = np.empty(0, dtype=np.int64)
@@ -62,8 +79,8 @@ class WordIds:
         ids: list[list[int] | None] = []
         whole = []
         for k, w in enumerate(words):
-            if self.PLAIN.fullmatch(w) and "<|" not in w:
-                ids.append([t.id for piece in self.PIECE.findall(w.lower()) for t in self.model.tokenize(piece)])
+            if self.direct and self.PLAIN.fullmatch(w) and "<|" not in w:
+                ids.append(self._direct(w))
             else:
                 ids.append(None)
                 whole.append(k)
@@ -102,7 +119,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
     def run(batches):
         encoder = load(tokenizer)
-        for batch in bounded(batches, 1):
+        for batch in bounded(batches, 1, 4 << 20):
             rows = []
             flat, ends = encoder.encode(batch.column(1))
             for k, key in enumerate(batch.column(0).to_pylist()):
@@ -112,6 +129,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                     rows.append((key, piece, start, len(part), zlib.crc32(part.tobytes()), *([part.astype(np.int32)] * with_ids)))
             columns = list(zip(*rows)) if rows else [[]] * len(arrow)
             yield pa.record_batch([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        pa.default_memory_pool().release_unused()  # the worker waits for the next task
 
     schema = f"_id {kind.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return docs.select(F.col(id_col).alias("_id"), plain_text(text_col)).mapInArrow(run, schema)

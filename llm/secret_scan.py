@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import plain_text
+from llm.common import plain_text, unused
 from tagloom.session import cut_lineage
 
 RUN = r"(?<![A-Za-z0-9_+/.-])(?=[A-Za-z0-9_+/.-]{0,200}[0-9])[A-Za-z0-9_+/.-]{15,}[A-Za-z0-9_+/-]"
@@ -172,10 +172,11 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int = 20
 
 def redact(docs: DataFrame, findings: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = MARK) -> DataFrame:
     """``docs`` with every secret replaced by ``mark``. Texts without candidates take no part in the join."""
-    secrets = findings.where("is_secret").groupBy(F.col(id_col).alias("_sid")).agg(F.sort_array(F.collect_set("candidate"), asc=False).alias("_secrets"))
+    owner, held = unused(docs, "owner"), unused(docs, "held")
+    secrets = findings.where("is_secret").groupBy(F.col(id_col).alias(owner)).agg(F.sort_array(F.collect_set("candidate"), asc=False).alias(held))
     may = F.size(candidate_list(plain_text(text_col))) > 0
-    longest_first = F.expr("array_sort(_secrets, (a, b) -> CASE WHEN length(a) <> length(b) THEN length(b) - length(a) WHEN a < b THEN -1 WHEN a > b THEN 1 ELSE 0 END)")
+    longest_first = F.expr(f"array_sort({held}, (a, b) -> CASE WHEN length(a) <> length(b) THEN length(b) - length(a) WHEN a < b THEN -1 WHEN a > b THEN 1 ELSE 0 END)")
     clean = F.aggregate(longest_first, F.col(text_col), lambda t, s: F.replace(t, s, F.lit(mark)))
-    joined = docs.where(may).join(secrets, F.col(id_col).eqNullSafe(F.col("_sid")), "left")
-    cleaned = joined.withColumn(text_col, F.when(F.col("_secrets").isNull(), F.col(text_col)).otherwise(clean)).select(*docs.columns)
+    joined = docs.where(may).join(secrets, F.col(id_col).eqNullSafe(F.col(owner)), "left")
+    cleaned = joined.withColumn(text_col, F.when(F.col(held).isNull(), F.col(text_col)).otherwise(clean)).select(*docs.columns)
     return docs.where(~may).unionByName(cleaned)

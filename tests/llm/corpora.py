@@ -4,15 +4,21 @@ import random
 
 #: Columns that operators might use inside; they must not disturb them.
 EXTRA = "_id long, _text string, size long, label double, key string, n long, piece int, hash long, _row long, block int, sid long"
+#: Names that stages give to columns beside those of the documents.
+INSIDE = "_cid long, _cs string, _copies long, _again int, _sid long, _secrets string, _keep long, id long, mark long, rows long, unit long, origin string, copies long, again int, owner long, held string"
 
 
-def documents(spark, rows, extra=True, parts=3):
+def documents(spark, rows, extra=True, parts=3, inside=False):
     """(doc_id, text, lang, source, n_chars) from (doc_id, text[, source]), with clashing extra columns."""
     full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1]) if r[1] is not None else None) for r in rows]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     if extra:
         full = [(*r, -1, "x", -2, 0.5, "k", -3, 9, 4, 5, 6, 7) for r in full]
         schema += ", " + EXTRA
+    if inside:
+        kinds = [name.split()[1] for name in INSIDE.split(", ")]
+        full = [(*r, *("y" if kind == "string" else 8 for kind in kinds)) for r in full]
+        schema += ", " + INSIDE
     return spark.createDataFrame(full, schema).repartition(parts) if full else spark.createDataFrame([], schema)
 
 

@@ -72,6 +72,30 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert jaccard_join.join(documents(spark, [])).collect() == [] == jaccard_join.keep_one(documents(spark, [])).collect()
 
 
+def test_equal_ids_with_unlike_texts(spark):
+    """Texts that share an id keep their own links; none is lost, whichever stands for the id."""
+    rng = random.Random(21)
+    a, b = words(rng, 80, 5000), words(rng, 80, 5000)
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join([*a, "more"])), (3, " ".join([*b, "more"])), (4, " ".join(words(rng, 50, 5000)))]
+    rows += [(None, " ".join(["odd", *b])), (1, " ".join(a)), (6, " ".join(words(rng, 60, 5000))), (6, " ".join(words(rng, 60, 5000))), (7, ""), (7, " ")]
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.join(documents(spark, rows), 4, 85, 100).collect()}
+    assert got == {(1, 77, 1), (2, 78, 1), (3, 78, 1), (4, 47, 4), (None, 78, 1), (6, 57, 6), (7, 0, 7)}
+    kept = sorted((r.doc_id, r.text) for r in jaccard_join.keep_one(documents(spark, rows, inside=True), 4, 85, 100).collect())
+    assert kept == sorted([rows[0], rows[1], rows[4], rows[7], rows[8], rows[9], rows[10]])
+
+
+def test_near_copies_without_ids_and_a_very_long_text(spark):
+    rng = random.Random(22)
+    long = words(rng, 120_000, 50_000)
+    other = list(long)
+    for i in range(0, 120_000, 500):
+        other[i] = "changed"
+    base = words(rng, 100, 5000)
+    rows = [(None, " ".join(base)), (None, " ".join([*base, "end"])), (None, " ".join(base)), (1, " ".join(long)), (2, " ".join(other))]
+    kept = jaccard_join.keep_one(documents(spark, rows, inside=True), 4, 85, 100).collect()
+    assert len(kept) == 2 and sorted(r.doc_id or 0 for r in kept) == [0, 1]
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200)] + [(300, 301), (301, 300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -25,14 +25,16 @@ def corpus():
 
 def test_stages(spark, tmp_path):
     rows = corpus()
-    documents(spark, rows, extra=False).write.parquet(f"{tmp_path}/documents.parquet")
+    documents(spark, rows, inside=True).write.parquet(f"{tmp_path}/documents.parquet")
     docs, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    columns = docs.columns
+    assert columns[:5] == COLUMNS and len(columns) > 30
     for name, stage in corpus_pipeline.STAGES:
         stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
         docs = spark.read.parquet(f"{tmp_path}/{name}")
         seen[name] = docs.collect()
         if name != corpus_pipeline.STAGES[-1][0]:
-            assert docs.columns == COLUMNS
+            assert docs.columns == columns
     kept = [r[0] for r in rows if r[1] and not quality.base_failed(t := quality.measure(r[1])) and not any(test(t) for _, test in quality.RULES)]
     assert sorted(r.doc_id for r in seen["quality_rules"]) == kept
     root = brute([(i, rows[i][1]) for i in kept], 5, 80, 100)
