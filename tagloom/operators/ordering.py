@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -84,8 +85,25 @@ def with_rank(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Column],
 
 
 def tail_per_group(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Column], n: int) -> DataFrame:
-    """All rows after the first ``n`` per key (W4), balanced for hot keys. Runs a job."""
-    return with_rank(df, keys, order, "_rank").where(F.col("_rank") > n).drop("_rank")
+    """All rows after the first ``n`` per key (W4), in ascending order, balanced for hot keys. Runs a job.
+
+    Only keys and order values are ranked, and of these only the first ``n`` per key and task are shuffled: a key's n-th place
+    tells which rows are behind it. Whole rows are sorted and stored for those keys alone whose n-th place is held by more rows than fit.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    place = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order)])
+    narrow = df.select(*keys, place.alias("_place"))
+    head = head_per_group(narrow, keys, [F.col("_place")], n).groupBy(*keys).agg(F.sort_array(F.collect_list("_place")).alias("_head"))
+    last = F.element_at("_head", -1)
+    full = head.where(F.size("_head") == n).select(*[F.col(k).alias(f"_k_{k}") for k in keys], last.alias("_last"), F.size(F.array_remove("_head", last)).alias("_before"))
+    full = cut_lineage(full)
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    held = narrow.join(full, same).where(F.col("_place") == F.col("_last")).groupBy(*full.columns).agg(F.count(F.lit(1)).alias("_held"))
+    tied = held.where(F.col("_before") + F.col("_held") > n).drop("_held")
+    later = df.join(full, same).where(place > F.col("_last")).select(*df.columns)
+    ties = df.join(cut_lineage(tied), same).where(place == F.col("_last"))
+    ranked = with_rank(ties.select(*df.columns, "_before"), keys, order, "_rank")
+    return later.unionByName(ranked.where(F.col("_before") + F.col("_rank") > n).select(*df.columns))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Column]) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.operators.ordering import running_totals
+
 
 def distinct_apart(df: DataFrame, *cols: str | Column) -> DataFrame:
     """Distinct rows for the small side of a join whose other side may have a hot key.
@@ -73,21 +75,49 @@ def array_members(df: DataFrame, keys: Sequence[str], col: str, order: Sequence[
     return df.select(*keys, *order, F.posexplode(col).alias("pos", out))
 
 
+def _copies(df: DataFrame, keys: Sequence[str], col: str, out: str = "_v") -> DataFrame:
+    """(keys, value, _n): the distinct texts of every key with their number. A digest stands for the text in the grouping key."""
+    name = F.sha2(F.col(col).cast("string"), 256)
+    rows = df.select(*keys, F.col(col).alias(out), name.alias("_digest"))
+    return rows.groupBy(*keys, "_digest").agg(F.min(out).alias(out), F.count(F.lit(1)).alias("_n")).drop("_digest")
+
+
+def copies_joined(pairs: Column, sep: str) -> Column:
+    """Join sorted (v, n) structs, each value ``n`` times; NULL for none."""
+    texts = F.transform(pairs, lambda p: F.concat(F.repeat(F.concat(p["v"], F.lit(sep)), (p["n"] - 1).cast("int")), p["v"]))
+    return F.when(F.array_size(pairs) > 0, F.array_join(texts, sep))
+
+
 def string_agg(df: DataFrame, keys: Sequence[str], col: str, sep: str, distinct: bool = False, out: str | None = None) -> DataFrame:
     """Join a group's texts in ascending order, NULLs left out (A4, A5).
 
     Equal texts are counted first, so copies cross the shuffle once per task. A group without any
-    text gives NULL.
+    text gives NULL. The result is one cell per group; :func:`text_chunks` gives the same text in pieces.
     """
-    counted = df.select(*keys, F.col(col).alias("_v")).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    pairs = F.sort_array(F.collect_list(F.when(F.col("_v").isNotNull(), F.struct("_v", "_n"))))
-    grouped = counted.groupBy(*keys).agg(pairs.alias("_pairs"))
-    if distinct:
-        members = F.transform("_pairs", lambda p: p["_v"])
-    else:
-        members = F.flatten(F.transform("_pairs", lambda p: F.array_repeat(p["_v"], p["_n"].cast("int"))))
-    text = F.when(F.array_size("_pairs") > 0, F.array_join(members, sep))
-    return grouped.select(*keys, text.alias(out or col))
+    pairs = F.sort_array(F.collect_list(F.when(F.col("_v").isNotNull(), F.struct(F.col("_v").alias("v"), (F.lit(1) if distinct else F.col("_n")).alias("n")))))
+    grouped = _copies(df, keys, col).groupBy(*keys).agg(pairs.alias("_pairs"))
+    return grouped.select(*keys, copies_joined(F.col("_pairs"), sep).alias(out or col))
+
+
+def text_chunks(df: DataFrame, keys: Sequence[str], col: str, sep: str, distinct: bool = False, out: str | None = None, size: int = 1 << 20) -> DataFrame:
+    """(keys, chunk, text): what :func:`string_agg` joins, in pieces of ``size`` characters, chunk 0 first. Runs a job.
+
+    A group may have any number of texts and characters: running totals over the sorted distinct texts tell where each text's copies
+    begin, and every task cuts only the pieces of its own. The last piece is shorter; a group without any text has no piece.
+    """
+    step = F.col("_length") * (F.lit(1) if distinct else F.col("_n"))
+    rows = _copies(df, keys, col).where(F.col("_v").isNotNull()).withColumn("_length", F.length("_v").cast("long") + len(sep))
+    totals = running_totals(rows, keys, [F.col("_v")], {"_end": step}).withColumn("_begin", F.col("_end") - step)
+    # every copy stands behind a separator; the first one's lies before place 0
+    begin, end = F.col("_begin") - len(sep), F.col("_end") - len(sep)
+    cut = totals.select(*keys, "_v", "_length", begin.alias("_begin"), F.explode(F.sequence(F.floor(F.greatest(begin, F.lit(0)) / size), F.floor((end - 1) / size))).alias("chunk"), end.alias("_end"))
+    first, last = F.greatest(F.col("chunk") * size, F.col("_begin"), F.lit(0)), F.least((F.col("chunk") + 1) * size, F.col("_end"))
+    offset = F.pmod(first - F.col("_begin"), F.col("_length"))
+    unit = F.concat(F.lit(sep), F.col("_v"))
+    piece = F.substring(F.repeat(unit, F.ceil((offset + last - first) / F.col("_length")).cast("int")), (offset + 1).cast("int"), (last - first).cast("int"))
+    pieces = cut.where(last > first).select(*keys, "chunk", F.struct(first.alias("at"), piece.alias("text")).alias("_piece"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list("_piece")), lambda p: p["text"]), "")
+    return pieces.groupBy(*keys, "chunk").agg(text.alias(out or col))
 
 
 def distinct_array(col: str) -> Column:
@@ -110,17 +140,28 @@ def array_histogram(df: DataFrame, keys: Sequence[str], col: str, out: str = "st
     return counted.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("value", "count"))).alias(out))
 
 
+def listed_values(df: DataFrame, keys: Sequence[str], col: str, out: str = "value") -> DataFrame:
+    """(keys, value, n, first): the sorted list of a group's values as rows, equal ones as one row with their number and first place.
+
+    The long form of the lists of :func:`first_and_list`, for groups of any size. Runs a job.
+    """
+    rows = _copies(df, keys, col, out).where(F.col(out).isNotNull()).withColumnRenamed("_n", "n")
+    totals = running_totals(rows, keys, [F.col(out)], {"_upto": F.col("n")})
+    return totals.select(*keys, out, "n", (F.col("_upto") - F.col("n")).alias("first"))
+
+
 def first_and_list(df: DataFrame, keys: Sequence[str], firsts: Sequence[str], lists: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Per key, some columns from its first row and others as sorted lists.
+    """Per key, some columns from its first row and others as sorted lists.
 
-    Equal list values are counted before the group is put together, so copies add counts, not rows.
+    Equal list values are counted before the group is put together, so copies add counts, not rows. A list is one cell per
+    key; :func:`listed_values` gives it as rows.
     """
     head = df.groupBy(*keys).agg(F.min(F.struct(*order, *firsts)).alias("_first"))
     out = head.select(*keys, *[F.col("_first")[c].alias(c) for c in firsts])
     for c in lists:
-        counted = df.where(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).cast("int").alias("_n"))
-        pairs = F.sort_array(F.collect_list(F.struct(F.col(c).alias("v"), "_n")))
-        members = counted.groupBy(*keys).agg(F.flatten(F.transform(pairs, lambda p: F.array_repeat(p["v"], p["_n"]))).alias(c))
+        counted = _copies(df.where(F.col(c).isNotNull()), keys, c, c)
+        pairs = F.sort_array(F.collect_list(F.struct(F.col(c).alias("v"), F.col("_n").cast("int").alias("n"))))
+        members = counted.groupBy(*keys).agg(F.flatten(F.transform(pairs, lambda p: F.array_repeat(p["v"], p["n"]))).alias(c))
         out = out.join(members, list(keys), "left")
     return out
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.operators.ordering import running_totals, topk_per_group
+from tagloom.session import cut_lineage
 from tagloom.sources.spec import Feature, FeatureSpec
 
 _RESULT = "feature string, check string, observed double, limit double, passed boolean"
@@ -32,16 +33,41 @@ def _long(df: DataFrame, features: Sequence[str], by: str | None) -> DataFrame:
     return df.select(*keys, F.inline(pairs))
 
 
+_FEW = 10_000  # values whose digests are sent to all tasks
+
+
+def _digests(value: Column) -> list[Column]:
+    """128 bits that stand for a value in keys: two numbers, so that counting keeps no text."""
+    return [F.xxhash64(value).alias("_h"), F.xxhash64(F.lit(1), value).alias("_i")]
+
+
+def _counted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, _h, _i, n, chars) of the rows (keys, vals): how often each distinct value occurs, without the value."""
+    values = rows.select(*keys, F.explode("vals").alias("_v"))
+    return values.select(*keys, *_digests(F.col("_v")), F.char_length("_v").alias("_c")).groupBy(*keys, "_h", "_i").agg(F.count(F.lit(1)).alias("n"), F.min("_c").alias("chars"))
+
+
+def _shown(rows: DataFrame, keys: Sequence[str], wanted: DataFrame) -> DataFrame:
+    """(keys, value, n) of the counted values ``wanted``: the second pass, in which only their texts leave a task. Runs a job."""
+    wanted = cut_lineage(wanted.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_h").alias("_wh"), F.col("_i").alias("_wi"), "n"))
+    few = wanted.limit(_FEW + 1).count() <= _FEW
+    values = rows.select(*keys, F.explode("vals").alias("_v")).select(*keys, "_v", *_digests(F.col("_v")))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], (F.col("_h") == F.col("_wh")) & (F.col("_i") == F.col("_wi")))
+    met = values.join(F.broadcast(wanted) if few else wanted, same)
+    return met.groupBy(*keys, "_h", "_i", "n").agg(F.min("_v").alias("value")).select(*keys, "value", "n")
+
+
 def value_counts(df: DataFrame, col: str) -> DataFrame:
-    """(value, n) over a feature's values."""
-    return df.select(F.explode(_values(df, col)).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    """(value, n) over a feature's values; a digest is the grouping key, the value crosses once per task."""
+    values = df.select(F.explode(_values(df, col)).alias("value"))
+    return values.groupBy(*_digests(F.col("value"))).agg(F.min("value").alias("value"), F.count(F.lit(1)).alias("n")).select("value", "n")
 
 
 def feature_stats(df: DataFrame, features: Sequence[str], by: str | None = None) -> DataFrame:
     """Per feature, and per split with ``by``: presence, values per row, distinct values, lengths (V1).
 
-    Row figures and value figures each take one pass. Values are counted by (feature, value) first,
-    so a frequent value costs one partial count per task.
+    Row figures and value figures each take one pass. Values are counted by digest first, so a frequent value
+    costs one partial count per task and no text is shuffled; a last pass shows the texts of the most frequent ones. Runs a job.
     """
     keys = [*([by] if by else []), "feature"]
     rows = _long(df, features, by)
@@ -53,31 +79,37 @@ def feature_stats(df: DataFrame, features: Sequence[str], by: str | None = None)
         F.max(F.when(size > 0, size)).alias("max_values"),
         F.avg(F.when(size > 0, size)).alias("mean_values"),
     )
-    counts = rows.select(*keys, F.explode("vals").alias("value")).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    chars = F.char_length("value")
+    counts = cut_lineage(_counted(rows, keys))
     values = counts.groupBy(*keys).agg(
         F.sum("n").alias("num_values"),
         F.count(F.lit(1)).alias("num_distinct"),
-        F.min(F.struct((-F.col("n")).alias("minus"), "value")).alias("_top"),
-        F.min(chars).alias("min_length"),
-        F.max(chars).alias("max_length"),
-        (F.sum(chars * F.col("n")) / F.sum("n")).alias("mean_length"),
+        F.max("n").alias("top_count"),
+        F.min("chars").alias("min_length"),
+        F.max("chars").alias("max_length"),
+        (F.sum(F.col("chars") * F.col("n")) / F.sum("n")).alias("mean_length"),
     )
+    best = values.select(*[F.col(k).alias(f"_b_{k}") for k in keys], "top_count")
+    top = counts.join(best, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys], F.col("n") == F.col("top_count")), "left_semi")
+    shown = _shown(rows, keys, top).groupBy(*keys).agg(F.min("value").alias("top_value"))
+    values = values.join(shown, keys, "left")
     joined = presence.join(values, keys, "left")
     return joined.select(
         *keys, "num_rows", "present", (F.col("num_rows") - F.col("present")).alias("missing"),
         (F.col("present") / F.col("num_rows")).alias("presence"),
         "min_values", "max_values", "mean_values",
         F.coalesce("num_values", F.lit(0)).alias("num_values"), F.coalesce("num_distinct", F.lit(0)).alias("num_distinct"),
-        F.col("_top.value").alias("top_value"), (-F.col("_top.minus")).alias("top_count"),
+        "top_value", "top_count",
         "min_length", "max_length", "mean_length",
     )
 
 
 def top_value_table(df: DataFrame, features: Sequence[str], n: int = 20) -> DataFrame:
     """(feature, rank, value, n): the most frequent values per feature (V1)."""
-    counts = _long(df, features, None).select("feature", F.explode("vals").alias("value"))
-    return topk_per_group(counts.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")), "feature", "n", n, "value")
+    rows = _long(df, features, None)
+    counts = cut_lineage(_counted(rows, ["feature"]))
+    least = topk_per_group(counts, "feature", "n", n, "_h").groupBy(F.col("feature").alias("_f")).agg(F.min("n").alias("_least"))
+    top = counts.join(least, (F.col("feature") == F.col("_f")) & (F.col("n") >= F.col("_least")), "left_semi")
+    return topk_per_group(_shown(rows, ["feature"], top), "feature", "n", n, "value")
 
 
 def numeric_stats(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:

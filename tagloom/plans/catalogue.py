@@ -21,7 +21,7 @@ from tagloom.operators.clusters import SPECIAL_LABELS
 from tagloom.operators.labels import filter_to_vocab
 from tagloom.operators.ordering import head_per_group, sample_keys, with_row_id
 from tagloom.operators.recommend import type_match
-from tagloom.operators.relational import distinct_apart, distinct_array, distinct_text, flag_members, join_ci, keep_top_values, remap_values, union_arrays, when_or_null
+from tagloom.operators.relational import copies_joined, distinct_apart, distinct_array, distinct_text, flag_members, join_ci, keep_top_values, remap_values, text_chunks, union_arrays, when_or_null
 from tagloom.operators.tag_index import nearest_by_tags
 from tagloom.session import cut_lineage
 
@@ -57,12 +57,6 @@ def _digest(*cols: str) -> Column:
     return F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for c in cols]), 256)
 
 
-def _repeat_join(pairs: Column, sep: str) -> Column:
-    """Join sorted (value, n) structs, each value ``n`` times; NULL for none."""
-    texts = F.flatten(F.transform(pairs, lambda p: F.array_repeat(p["v"], p["n"].cast("int"))))
-    return F.when(F.array_size(pairs) > 0, F.array_join(texts, sep))
-
-
 def _title_texts(catalogue: DataFrame, *more: Column) -> DataFrame:
     """One row per (title, type) with its distinct synopses joined, and further aggregates."""
     described = catalogue.where(F.col(SYNOPSIS).isNotNull())
@@ -90,7 +84,7 @@ def training_rows(df: DataFrame, token_limit: int = TOKEN_LIMIT, test_limit: int
     groups = rows.groupBy("_key").agg(F.min("synopsis").alias("synopsis"), F.min("tags").alias("tags"))
     counts = rows.select("_key", F.explode("keywords").alias("v")).groupBy("_key", "v").agg(F.count("v").alias("n"))
     pairs = F.sort_array(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("v", "n"))))
-    keywords = counts.groupBy("_key").agg(_repeat_join(pairs, " ").alias("keywords"))
+    keywords = counts.groupBy("_key").agg(copies_joined(pairs, " ").alias("keywords"))
     out = groups.join(keywords, "_key").select("synopsis", "keywords", "tags")
     # a limit without an order would return other rows from run to run
     return out.orderBy("synopsis", "keywords").limit(test_limit) if test_limit else out
@@ -261,22 +255,34 @@ def users_plays(
     return (plays.where(inside) if restrict_plays else plays).join(chosen, "user_ordinal_id", "left_semi")
 
 
+def _chosen_titles(catalogue: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The rows that Q-CMV-TAGS reads, and the keys that it groups by."""
+    kept = F.col("LANGUAGE").isin(*LANGUAGES) & F.col("TitleType").isin(*CATALOGUE_TYPES) & ~F.col("TitleDetails_title").isin(ON_DEMAND)
+    rows = catalogue.where(kept).withColumn("_title", F.lower("TitleDetails_title")).withColumn("_words", _catalogue_words())
+    return rows, ["_title", "TitleType", "LANGUAGE"]
+
+
+def catalogue_synopses(catalogue: DataFrame, size: int = 1 << 20) -> DataFrame:
+    """(title, type, language, chunk, synopsis): the joined synopses of :func:`catalogue_tags` in pieces of ``size`` characters,
+    for titles whose texts do not fit one cell. The title is lower-cased. Runs a job."""
+    chosen, keys = _chosen_titles(catalogue)
+    chunks = text_chunks(chosen, keys, SYNOPSIS, " ", size=size)
+    return chunks.select(F.col("_title").alias("title"), F.col("TitleType").alias("type"), F.col("LANGUAGE").alias("language"), "chunk", F.col(SYNOPSIS).alias("synopsis"))
+
+
 def catalogue_tags(catalogue: DataFrame, content_ids: DataFrame | None = None) -> DataFrame:
     """(title, type, language, synopsis, tags) per lower-cased title, type and language (Q-CMV-TAGS).
 
     Synopses keep duplicates. With ``content_ids`` a title occurs once per matching id row.
     """
-    keys = ["_title", "TitleType", "LANGUAGE"]
-    chosen = catalogue.where(
-        F.col("LANGUAGE").isin(*LANGUAGES) & F.col("TitleType").isin(*CATALOGUE_TYPES) & ~F.col("TitleDetails_title").isin(ON_DEMAND)
-    ).withColumn("_title", F.lower("TitleDetails_title")).withColumn("_words", _catalogue_words())
-    counted = chosen.groupBy(*keys, F.col(SYNOPSIS).alias("v"), "_words").agg(
-        F.min("TitleDetails_title").alias("title"), F.count(F.lit(1)).alias("n")
+    chosen, keys = _chosen_titles(catalogue)
+    counted = chosen.groupBy(*keys, _digest(SYNOPSIS, "_words").alias("_digest")).agg(
+        F.min(SYNOPSIS).alias("v"), F.min("_words").alias("_words"), F.min("TitleDetails_title").alias("title"), F.count(F.lit(1)).alias("n")
     )
     texts = F.sort_array(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("v", "n"))))
     grouped = counted.groupBy(*keys).agg(F.min("title").alias("title"), texts.alias("_texts"), F.collect_set("_words").alias("_words"))
     out = grouped.select(
-        "title", F.col("TitleType").alias("type"), F.col("LANGUAGE").alias("language"), _repeat_join(F.col("_texts"), " ").alias("synopsis"),
+        "title", F.col("TitleType").alias("type"), F.col("LANGUAGE").alias("language"), copies_joined(F.col("_texts"), " ").alias("synopsis"),
         strip_to_array(F.flatten(F.transform("_words", lambda w: split_on(w, ",")))).alias("tags"),
     )
     if content_ids is None:

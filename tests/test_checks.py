@@ -168,3 +168,22 @@ def test_title_table_and_default(spark):
     assert [(r.row, r.title, r.vec) for r in table.orderBy("row").collect()] == [(0, None, [1.5]), (1, "a", [2.0]), (2, "b", [1.0])]
     asked = spark.createDataFrame([("b",), ("?",)], "title string")
     assert {r.title: r.vec for r in clusters.lookup_title_vectors(asked, table).collect()} == {"b": [1.0], "?": [1.5]}
+
+
+def test_no_text_is_a_shuffle_key(spark):
+    """Values are counted by digest; only the most frequent ones' texts are shown, ties to the smaller text."""
+    data = [(f"text {i % 9}", [f"w{i % 4}", f"w{i}"]) for i in range(60)] + [(None, None)]
+    df = spark.createDataFrame(data, "a string, b array<string>").repartition(3)
+    got = {r.feature: r for r in validation.feature_stats(df, ["a", "b"]).collect()}
+    assert (got["a"].top_value, got["a"].top_count, got["a"].num_distinct) == ("text 0", 7, 9)
+    assert (got["b"].top_value, got["b"].num_values, got["b"].num_distinct) == ("w0", 120, 60)
+    best = validation.top_value_table(df, ["a", "b"], 3).orderBy("feature", "rank").collect()
+    assert [(r.feature, r["rank"], r.value) for r in best] == [("a", 1, "text 0"), ("a", 2, "text 1"), ("a", 3, "text 2"), ("b", 1, "w0"), ("b", 2, "w1"), ("b", 3, "w2")]
+    plan = validation.value_counts(df, "a")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(") == 1 and "hashpartitioning(value" not in plan
+
+
+def test_many_tied_values(spark, monkeypatch):
+    monkeypatch.setattr(validation, "_FEW", 5)
+    df = spark.range(50).selectExpr("cast(id as string) AS a")
+    assert validation.feature_stats(df, ["a"]).first().top_value == "0"

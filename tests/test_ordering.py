@@ -35,6 +35,41 @@ def test_head_and_tail_cover_all_rows(spark, rows):
     assert head.count() == 20
 
 
+def test_tail_with_ties_nulls_and_a_hot_key(spark, rows):
+    data = [("hot" if i % 3 else None, i % 40 if i % 7 else None, i) for i in range(600)] + [("few", 1, 1), ("same", 5, 5)] + [("same", 5, 6)] * 30
+    df = spark.createDataFrame(data, "u string, t int, v int").repartition(6)
+    total = ordering.tail_per_group(df, "u", [F.col("t"), F.col("v")], 10)
+    head = ordering.head_per_group(df, "u", [F.col("t"), F.col("v")], 10)
+    assert rows(head.union(total)) == sorted(data, key=repr)
+    tied = ordering.tail_per_group(df, "u", [F.col("t")], 10).collect()
+    for u in ("hot", None, "few", "same"):
+        mine = sorted((-1 if t is None else t) for k, t, _ in data if k == u)
+        assert sorted((-1 if r.t is None else r.t) for r in tied if r.u == u) == mine[10:]
+
+
+def test_chunks_join_to_the_cell(spark):
+    """Copies, texts longer and shorter than a piece, an empty text, no text, and a third of all rows in one text."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abé🙂") for _ in range(rng.randint(0, 60))) for _ in range(60)] + ["", "long " * 200, None]
+    data = [(f"g{rng.randrange(3)}", rng.choice(texts)) for _ in range(400)] + [("g1", "again")] * 300 + [("none", None)]
+    df = spark.createDataFrame(data, "k string, v string").repartition(5)
+    for distinct in (False, True):
+        for sep in (" ", ", ", ""):
+            cells = {r.k: r.v for r in relational.string_agg(df, ["k"], "v", sep, distinct=distinct).collect()}
+            got = {}
+            for r in relational.text_chunks(df, ["k"], "v", sep, distinct=distinct, size=64).orderBy("k", "chunk").collect():
+                assert len(r.v) <= 64 and r.chunk == len(got.setdefault(r.k, []))
+                got[r.k].append(r.v)
+            assert {k: "".join(v) for k, v in got.items()} == {k: v for k, v in cells.items() if v}
+            plain = {k: sorted({v for x, v in data if x == k and v is not None} if distinct else [v for x, v in data if x == k and v is not None], key=lambda v: v.encode()) for k in cells}
+            assert cells == {k: sep.join(v) if v else None for k, v in plain.items()}
+
+
+def test_listed_values_is_the_long_form(spark, rows):
+    df = spark.createDataFrame([("a", 3), ("a", 1), ("a", 3), ("b", None), ("b", 2)], "k string, v int")
+    assert rows(relational.listed_values(df, ["k"], "v")) == [("a", 1, 1, 0), ("a", 3, 2, 1), ("b", 2, 1, 0)]
+
+
 def test_first_per_key_uses_the_stated_order(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 5)], "k string, t int")
     assert {tuple(r) for r in ordering.first_per_key(df, "k", [F.col("t")]).collect()} == {("a", 1), ("b", 5)}

@@ -153,6 +153,13 @@ def catalogue_tags(spark, sf):
     return plans.catalogue_tags(t.catalogue_view(spark, sf)).withColumn("tags", shown("tags"))
 
 
+@query("catalogue_synopses", with_tables("catalogue", CMV + """
+    SELECT k AS title, type, language, chunk, substr(synopsis, chunk * 1000 + 1, 1000) AS synopsis
+    FROM (SELECT k, type, language, synopsis, unnest(range(CAST(ceil(length(synopsis) / 1000) AS BIGINT))) AS chunk FROM texts)"""))
+def catalogue_synopses(spark, sf):
+    return plans.catalogue_synopses(t.catalogue_view(spark, sf), size=1000)
+
+
 FULL = """,
     good AS (SELECT * FROM program WHERE program_language IN ('eng', 'spa') AND program_longsynopsis IS NOT NULL
              AND program_val IN (SELECT program_id FROM program_tags)),
@@ -309,6 +316,13 @@ def brand_texts(spark, sf):
     return relational.string_agg(t.load(spark, sf, "part"), ["p_brand"], "p_name", ",", out="names")
 
 
+@query("brand_text_chunks", """
+    SELECT p_brand, chunk, substr(names, chunk * 100 + 1, 100) AS names FROM (SELECT *, unnest(range(CAST(ceil(length(names) / 100) AS BIGINT))) AS chunk
+    FROM (SELECT p_brand, string_agg(p_name, ', ' ORDER BY p_name) AS names FROM part GROUP BY p_brand))""")
+def brand_text_chunks(spark, sf):
+    return relational.text_chunks(t.load(spark, sf, "part"), ["p_brand"], "p_name", ", ", out="names", size=100)
+
+
 @query("plays_history_head_tail", with_tables("plays", """,
     ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, content_id) AS rn FROM plays)
     SELECT user_id, content_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS played, CASE WHEN rn <= 10 THEN 'head' ELSE 'tail' END AS part FROM ranked"""))

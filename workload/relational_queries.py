@@ -55,6 +55,13 @@ def first_and_list(spark, sf):
     return out.withColumn("p_size", shown("p_size"))
 
 
+@query("listed_values", """
+    SELECT p_brand, p_size AS size, n, CAST(sum(n) OVER (PARTITION BY p_brand ORDER BY p_size) - n AS BIGINT) AS first
+    FROM (SELECT p_brand, p_size, count(*) AS n FROM part GROUP BY p_brand, p_size)""")
+def listed_values(spark, sf):
+    return relational.listed_values(t.load(spark, sf, "part"), ["p_brand"], "p_size", "size")
+
+
 @query("union_of_arrays", with_tables("training", """
     SELECT program_type, (SELECT string_agg(DISTINCT k, '|' ORDER BY k) FROM (SELECT unnest(keywords) AS k FROM training b WHERE b.program_type = a.program_type)) AS keywords,
            (SELECT string_agg(DISTINCT k, '|' ORDER BY k) FROM (SELECT unnest(tags) AS k FROM training b WHERE b.program_type = a.program_type)) AS tags
