@@ -18,6 +18,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.session import cut_lineage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = ["length", "host_length", "depth", "host_depth", "digit_ratio", "entropy", "n_params", "suffix_urls", "suffix_blocked", "first_blocked"]
 
@@ -64,16 +66,24 @@ def lexical(pages: DataFrame) -> DataFrame:
 
 
 def with_statistics(rows: DataFrame) -> DataFrame:
-    """Add how common a suffix or first folder is and its smoothed share of blocked labels, over all rows."""
-    smoothed = (F.sum("label") + 0.5) / (F.count("label") + 1.0)
-    suffixes = rows.groupBy("_suffix").agg(F.log1p(F.count(F.lit(1))).alias("suffix_urls"), F.coalesce(smoothed, F.lit(0.5)).alias("suffix_blocked"))
-    firsts = rows.groupBy("_first").agg(F.coalesce(smoothed, F.lit(0.5)).alias("first_blocked"))
-    return rows.join(suffixes, "_suffix").join(firsts, "_first")
+    """Add how many URLs share a suffix and the smoothed share of blocked labels among the other URLs of a suffix or first folder.
+
+    Distinct URLs count, and a labelled URL is left out of its own shares, so that no row's features hold its label.
+    """
+    urls = rows.select("_url", "_suffix", "_first", "label").distinct()
+    labels = [F.coalesce(F.sum("label"), F.lit(0.0)), F.count("label")]
+    suffixes = urls.groupBy("_suffix").agg(F.log1p(F.count(F.lit(1))).alias("suffix_urls"), *[c.alias(f"_s{i}") for i, c in enumerate(labels)])
+    firsts = urls.groupBy("_first").agg(*[c.alias(f"_f{i}") for i, c in enumerate(labels)])
+    own = F.coalesce("label", F.lit(0.0))
+    others = lambda k: (F.col(f"{k}0") - own + 0.5) / (F.col(f"{k}1") - F.col("label").isNotNull().cast("int") + 1.0)
+    joined = rows.join(suffixes, "_suffix").join(firsts, "_first")
+    return joined.withColumns({"suffix_blocked": others("_s"), "first_blocked": others("_f")}).drop("_s0", "_s1", "_f0", "_f1")
 
 
 def train(labelled: DataFrame, sample_rows: int = 20_000, seed: int = 7):
-    """Fit the trees on a bounded sample; null if the labels are all alike. Runs jobs."""
-    sample = labelled.orderBy(F.xxhash64("_url"), "_url").limit(sample_rows).select("label", *FEATURES)
+    """Fit the trees on a bounded sample of distinct URLs, stored before the fit; null if the labels are all alike. Runs jobs."""
+    urls = labelled.select("_url", "label", *FEATURES).distinct()
+    sample = cut_lineage(urls.orderBy(F.xxhash64("_url"), "_url").limit(sample_rows).select("label", *FEATURES))
     counts = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return None, next(iter(counts), 0.0)

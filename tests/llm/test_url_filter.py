@@ -54,3 +54,25 @@ def test_held_out_accuracy(spark):
 def test_empty_and_unlabelled(spark):
     assert url_filter.judge(pages(spark, []), URL_RULES).collect() == []
     assert {r.verdict for r in url_filter.judge(pages(spark, ["http://a.org/x", None]), URL_RULES).collect()} == {"allow"}
+
+
+def test_a_row_does_not_see_its_own_label(spark):
+    """Shares are those of the other URLs, and many rows of one URL count once, in the shares and in the sample."""
+    rows = [("http://a.org/x/1", 1.0)] + [("http://b.org/x/2", 0.0)] * 500 + [("http://c.org/x/3", 1.0), ("http://d.org/x/4", None), ("http://e.net/y/5", 1.0)]
+    df = spark.createDataFrame([(u, u.split("/")[2][2:], u.split("/")[3], label) for u, label in rows], "_url string, _suffix string, _first string, label double")
+    got = {r._url: r for r in url_filter.with_statistics(df).collect()}
+    assert got["http://a.org/x/1"].first_blocked == (1 + 0.5) / (2 + 1) and got["http://b.org/x/2"].first_blocked == (2 + 0.5) / (2 + 1)
+    assert got["http://d.org/x/4"].first_blocked == (2 + 0.5) / (3 + 1) and got["http://e.net/y/5"].suffix_blocked == 0.5
+
+
+def test_one_url_does_not_fill_the_sample(spark):
+    rng, urls = random.Random(4), ["http://hot.org/same"] * 400
+    labels = {urls[0]: 0.0}
+    for i in range(120):
+        bad = i % 2
+        url = f"http://h{i}.org/{'0123456789' * 3 if bad else 'news'}/{rng.randrange(99)}{i}"
+        urls.append(url)
+        labels[url] = float(bad)
+    known = spark.createDataFrame(list(labels.items()), "url string, label double")
+    got = url_filter.judge(pages(spark, urls), [], known, sample_rows=121).collect()
+    assert sum((r.verdict == "block") == bool(labels[urls[r.page_id]]) for r in got) >= 0.95 * len(got)
