@@ -474,15 +474,18 @@ def cosine_summary(
     inside, the search goes on beside the interval, so the result does not depend on the sample. A bin is cut again, from the blocks
     that can reach it, until it is one value wide. ``opened`` collects how many block pairs were multiplied and how many there are.
     """
-    x, y = _side(left, left_id, left_vec, None), _side(right, right_id, right_vec, None)
+    x, y = (cut_lineage(_side(*side, None)) for side in ((left, left_id, left_vec), (right, right_id, right_vec)))
     spark, schema = left.sparkSession, "n bigint, mean double, std double, median double"
-    _, size = _layout(x, y, block_rows)
+    layout, size = _layout(x, y, block_rows)
     (nx, sx, gx), (ny, sy, gy) = _unit_sums(x), _unit_sums(y)
     n = nx * ny
     if not n:
         return spark.createDataFrame([(0, None, None, None)], schema)
     mean = float(sx @ sy) / n
     std = math.sqrt(max(0.0, float((gx * gy).sum()) / n - mean * mean))
+    if layout == (1, 1):  # one pair of blocks, nothing to leave out
+        count = lambda lo, hi: _binned_pairs(x, y, raw_cosine, False, layout, lo, hi, bins).orderBy("bin").collect()
+        return spark.createDataFrame([(n, mean, std, _narrowed(count(-2.0, 2.0), [(n - 1) // 2, n // 2], count))], schema)
     a, b = vector_tree.grow(x, vector_tree.unit_rows, size), vector_tree.grow(y, vector_tree.unit_rows, size)
     some = [np.array([r["vec"] for r in tree.rows.where("_real").orderBy("_h").limit(SAMPLE).select("vec").collect()], dtype=float) for tree in (a, b)]
     lo, hi = np.quantile(np.round(raw_cosine(*some), _DIGITS), [0.45, 0.55]).tolist()
