@@ -59,3 +59,38 @@ def test_likeness_tells_edits_from_strangers():
         assert syncmers.likeness(syncmers.fingerprint(a), syncmers.fingerprint(edited)) > 0.3
         assert syncmers.likeness(syncmers.fingerprint(a), syncmers.fingerprint(b)) < 0.1
         assert syncmers.likeness(syncmers.fingerprint(a), syncmers.fingerprint(a)) == 1.0
+
+
+def brute_likeness(a, b):
+    """By definition, from all anchors of both texts."""
+    sides = []
+    for text in (a, b):
+        first = {}
+        for h, p in zip(*map(np.ndarray.tolist, syncmers.anchors(syncmers.code_points(text)))):
+            first.setdefault(h, p)
+        sides.append(first)
+    union = sorted(sides[0].keys() | sides[1].keys())
+    sample = union[: max(syncmers.SIZE, sum(h < syncmers.SHARE for h in union))]
+    both = sorted((h for h in sample if h in sides[0] and h in sides[1]), key=lambda h: sides[0][h])
+    longest = []
+    for k, h in enumerate(both):
+        longest.append(1 + max((longest[i] for i in range(k) if sides[1][both[i]] < sides[1][h]), default=0))
+    return max(longest, default=0) / len(sample)
+
+
+def test_fingerprints_grow_with_the_text_and_keep_whole_places():
+    rng = random.Random(11)
+    for n in (30, 300, 3000):
+        text = words(rng, n, 5000)
+        other = [*words(rng, n // 5, 5000), *text[n // 2 :], *text[: n // 3]]
+        a, b = " ".join(text), " ".join(other)
+        assert syncmers.likeness(syncmers.fingerprint(a), syncmers.fingerprint(b)) == pytest.approx(brute_likeness(a, b))
+    long = words(rng, 20_000, 9000)
+    changed = long[:10_000] + words(rng, 40, 10**6) + long[10_040:]
+    a, b = (syncmers.fingerprint(" ".join(w)) for w in (long, changed))
+    assert 0.97 < syncmers.likeness(a, b) < 1.0
+    passage = long[5000:9000]
+    alone = syncmers.fingerprint(" ".join(passage))
+    assert 0.1 < syncmers.likeness(a, alone) < 0.3  # a fifth of the text
+    far = "ab" * (1 << 24) + " ".join(passage[:200])
+    assert max(syncmers._parsed(syncmers.fingerprint(far))[:, 1]) > 1 << 24
