@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tagloom.operators import metrics, validation
+from tagloom.operators import metrics, stat_store, validation
 from tagloom.sources.spec import Feature, FeatureSpec
 from workload import standins as t
 from workload.registry import query
-from workload.standins import with_tables
+from workload.standins import new_folder, with_tables
 
 
 def _long(spark, sf):
@@ -200,14 +200,30 @@ def linf_drift(spark, sf):
     return out.withColumn("observed", F.round("observed", 6)).withColumn("passed", F.col("passed").cast("int"))
 
 
-@query("anomalies", f"""WITH {ROWS}, {DRIFT}, p AS (SELECT feature, count(*) AS n, count(*) FILTER (len(vals) > 0) AS present FROM long WHERE split = 'train' GROUP BY feature)
+ANOMALIES = f"""WITH {ROWS}, {DRIFT}, p AS (SELECT feature, count(*) AS n, count(*) FILTER (len(vals) > 0) AS present FROM long WHERE split = 'train' GROUP BY feature)
     SELECT 'genre' AS feature, 'exists' AS "check", 0.0 AS observed, 1.0 AS limit
     UNION ALL SELECT 'split', 'expected', 0.0, 1.0
     UNION ALL SELECT feature, 'min_fraction', round(present / n, 6), 0.3 FROM p WHERE feature = 'quality' AND present / n < 0.3
     UNION ALL SELECT 'language', 'domain_mass', round(avg(CAST(language IN ('en', 'es', 'de') AS INT)), 6), 0.95 FROM rows WHERE split = 'train'
               HAVING avg(CAST(language IN ('en', 'es', 'de') AS INT)) < 0.95
-    UNION ALL SELECT 'tags', 'linf_drift', round(max(abs(a - b)), 6), 0.05 FROM shares HAVING max(abs(a - b)) > 0.05""")
+    UNION ALL SELECT 'tags', 'linf_drift', round(max(abs(a - b)), 6), 0.05 FROM shares HAVING max(abs(a - b)) > 0.05"""
+
+
+@query("anomalies", ANOMALIES)
 def anomalies(spark, sf):
     rows = _rows(spark, sf)
     out = validation.validate(rows.where("split = 'train'"), SPEC, rows.where("split = 'eval'"))
     return out.where(~F.col("passed")).select("feature", "check", F.round("observed", 6).alias("observed"), "limit")
+
+
+@query("stored_anomalies", ANOMALIES)
+def stored_anomalies(spark, sf):
+    """V7, V9: the checks of ``anomalies`` from statistics stored in four batches; only the store is read."""
+    rows, path = _rows(spark, sf), new_folder(spark)
+    half = F.pmod(F.xxhash64("synopsis"), F.lit(2))
+    for split in ("train", "eval"):
+        for k in (0, 1):
+            stat_store.append_statistics(rows.where((F.col("split") == split) & (half == k)), f"{split}-{k}", path)
+    stored = [stat_store.read_statistics(spark, path, [f"{split}-{k}" for k in (0, 1)]) for split in ("train", "eval")]
+    out = stat_store.validate_statistics(stored[0], SPEC, stored[1])
+    return out.where(~F.col("passed")).select("feature", "check", F.round("observed", 6).alias("observed"), "limit")

@@ -9,24 +9,17 @@ from pyspark.sql import functions as F
 from tagloom.functions import text
 from tagloom.operators import labels, metrics, recommend, relational, validation
 from tagloom.plans import catalogue as plans
-from tagloom.session import ensure_checkpoint_dir
 from tagloom.sources import tables
 from tagloom.sources.spec import FeatureSpec
 from workload import standins as t
 from workload.registry import query
-from workload.standins import with_tables
-
-
-def _folder(spark) -> str:
-    """A new folder that every executor reaches."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/tables-{uuid.uuid4().hex}"
+from workload.standins import new_folder, with_tables
 
 
 @query("table_roundtrip", "SELECT c_custkey, c_nationkey, c_name FROM customer UNION ALL SELECT c_custkey, c_nationkey, c_name FROM customer WHERE c_nationkey = 3")
 def table_roundtrip(spark, sf):
     """A partitioned table written, extended and read."""
-    path = _folder(spark)
+    path = new_folder(spark)
     rows = t.load(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_name")
     tables.write_table(rows, path, partition_by=["c_nationkey"])
     tables.write_table(rows.where("c_nationkey = 3"), path, mode="append", partition_by=["c_nationkey"])
@@ -36,7 +29,7 @@ def table_roundtrip(spark, sf):
 @query("parquet_roundtrip", "SELECT vec_id, label, len(embedding) AS dim FROM embeddings")
 def parquet_roundtrip(spark, sf):
     """Two Parquet folders read as one, with a given schema."""
-    path, rows = _folder(spark), t.load(spark, sf, "embeddings")
+    path, rows = new_folder(spark), t.load(spark, sf, "embeddings")
     tables.write_parquet(rows.where("vec_id % 2 = 0"), f"{path}/even")
     tables.write_parquet(rows.where("vec_id % 2 = 1"), f"{path}/odd")
     back = tables.read_parquet(spark, f"{path}/even", f"{path}/odd", schema=rows.schema)
@@ -46,7 +39,7 @@ def parquet_roundtrip(spark, sf):
 @query("splits_roundtrip", "SELECT doc_id, CASE WHEN source IN ('src1', 'src2') THEN 'eval' ELSE 'train' END AS split FROM documents")
 def splits_roundtrip(spark, sf):
     """S3: file patterns as one table with a split column."""
-    path, rows = _folder(spark), t.load(spark, sf, "documents").select("doc_id", "source")
+    path, rows = new_folder(spark), t.load(spark, sf, "documents").select("doc_id", "source")
     held = F.col("source").isin("src1", "src2")
     tables.write_parquet(rows.where(~held), f"{path}/train-0")
     tables.write_parquet(rows.where(held & (F.col("source") == "src1")), f"{path}/eval-0")
@@ -57,7 +50,7 @@ def splits_roundtrip(spark, sf):
 @query("csv_roundtrip", "SELECT doc_id, md5(text) AS digest, source FROM documents")
 def csv_roundtrip(spark, sf):
     """Whole texts with quotes and line breaks through CSV."""
-    path, rows = _folder(spark), t.load(spark, sf, "documents").select("doc_id", "text", "source")
+    path, rows = new_folder(spark), t.load(spark, sf, "documents").select("doc_id", "text", "source")
     tables.write_csv(rows, path)
     back = tables.read_csv(spark, path, rows.schema)
     return back.select("doc_id", F.md5("text").alias("digest"), "source")
@@ -67,7 +60,7 @@ def csv_roundtrip(spark, sf):
     SELECT token, idx, 'table' AS kind FROM v UNION ALL SELECT token, idx, 'text' FROM v""")
 def vocab_roundtrip(spark, sf):
     """A vocabulary as a table and as a text file."""
-    path = _folder(spark)
+    path = new_folder(spark)
     tables.write_vocab(labels.build_vocab(t.load(spark, sf, "documents"), "source"), f"{path}/table", f"{path}/text")
     stored = tables.read_vocab(spark, f"{path}/table").withColumn("kind", F.lit("table"))
     return stored.unionByName(tables.read_vocab_text(spark, f"{path}/text").withColumn("kind", F.lit("text")))
@@ -95,7 +88,7 @@ def limited_training_rows(spark, sf):
     UNION ALL SELECT 'b', 'Rows@1', CAST(count(*) AS DOUBLE), 'p', 1 FROM labels""")
 def metrics_appended(spark, sf):
     """Metric rows of two runs in one table, dated in text form."""
-    path = _folder(spark)
+    path = new_folder(spark)
     for model, name in (("a", "documents"), ("b", "labels")):
         row = t.load(spark, sf, name).agg(F.count(F.lit(1)).cast("double").alias("Rows@1"))
         tables.append_metrics(recommend.metrics_long(row, model, "p"), path)
@@ -107,7 +100,7 @@ def metrics_appended(spark, sf):
     UNION ALL SELECT 'source', source, count(*) FROM documents GROUP BY source""")
 def report_series(spark, sf):
     """Named series of a report as JSON tables."""
-    path, docs = _folder(spark), t.load(spark, sf, "documents")
+    path, docs = new_folder(spark), t.load(spark, sf, "documents")
     series = {c: docs.groupBy(F.col(c).alias("name")).agg(F.count(F.lit(1)).alias("n")) for c in ("lang", "source")}
     tables.write_report(series, path)
     back = [spark.read.schema("name string, n bigint").json(f"{path}/{c}").withColumn("series", F.lit(c)) for c in series]
@@ -156,7 +149,7 @@ def keyword_members(spark, sf):
 @query("gated_publishing", """SELECT version, doc_id, quality FROM labels, (SELECT unnest(['good']) AS version)""")
 def gated_publishing(spark, sf):
     """C4: rows are published when the gate lets them pass, and only then."""
-    path, rows = _folder(spark), t.load(spark, sf, "labels").select("doc_id", "quality")
+    path, rows = new_folder(spark), t.load(spark, sf, "labels").select("doc_id", "quality")
     for version, precision in (("good", 0.9), ("poor", 0.1)):
         gate = metrics.threshold_gate(spark.createDataFrame([(precision, 0.9)], "precision double, recall double"))
         metrics.publish_if(gate, rows, path, version)

@@ -5,14 +5,24 @@ Each stand-in reads whole supplied tables. ``SQL`` holds the same derivation for
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.session import ensure_checkpoint_dir
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A new folder that every executor reaches."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/tables-{uuid.uuid4().hex}"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents dealt out by their id, for steps that work hard on each text; the supplied files are one row group each."""
     return load(spark, sf_dir, "documents").repartition("doc_id")
