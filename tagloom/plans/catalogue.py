@@ -348,7 +348,8 @@ def cluster_map(
     keyed = rows.withColumn("_key", _digest(*keys))
     empty = F.array().cast("array<string>")
     pooled = F.array_distinct(F.concat(*[F.coalesce(F.col(a), empty) for a in arrays]))
-    labels = keyed.select("_key", F.explode(pooled).alias("_label")).distinct()
+    # a row's labels are distinct already, and those of its copies meet in the set of centroid words
+    labels = keyed.select("_key", F.explode(pooled).alias("_label"))
     mapped = labels.join(distinct_apart(clusters, F.col(word).alias("_label"), "centroid_word"), "_label")
     tags = mapped.groupBy("_key").agg(distinct_array("centroid_word").alias("_new"))
     shown = keyed.groupBy("_key").agg(*[F.min(c).alias(c) for c in (*keys, *keep)])
