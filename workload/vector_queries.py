@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.functions import vectors
-from tagloom.operators import clusters, labels, models, recommend, similarity
+from tagloom.operators import clusters, labels, latent, models, recommend, similarity
 from tagloom.operators.ordering import with_row_id
 from tagloom.plans import catalogue as plans
 from tagloom.plans import evaluation
@@ -397,6 +397,15 @@ def text_vectors(spark, sf):
     return out.select("doc_id", F.array_size("vec").alias("dim"), norm.isin(0.0, 1.0).cast("int").alias("unit_or_zero"))
 
 
+@query("latent_vectors", "SELECT doc_id, 32 AS dim, 1 AS unit_or_zero FROM documents")
+def latent_vectors(spark, sf):
+    """M1: vectors along the leading directions of all texts' word weights. Directions themselves are tested against numpy."""
+    docs = t.documents(spark, sf).select("doc_id", "text")
+    out = latent.fit_latent_vectors(docs, "text", dim=32).encode(docs, "text")
+    norm = F.round(vectors.l2_norm(F.col("vec")), 9)
+    return out.select("doc_id", F.array_size("vec").alias("dim"), norm.isin(0.0, 1.0).cast("int").alias("unit_or_zero"))
+
+
 def _tagger(spark, sf):
     rows = t.training_table(spark, sf).select(
         "doc_id", F.col("program_longsynopsis").alias("synopsis"), F.concat_ws(" ", "keywords").alias("keywords"), "tags")
