@@ -7,7 +7,7 @@ cover, whether it is part of a path or address, and the words around all its pla
 Without labels given, findings label themselves by what is certain: a value with an issuer's fixed prefix and length, or
 one assigned to a secret's name, is a secret, also in an address; bare numbers, identifiers of a fixed layout (UUIDs, dates),
 placeholders and all else in addresses are not. A secret that labels itself keeps score 1: the forest cannot outvote it. The training sample is bounded by ``sample_rows`` (in the order of a hash of the finding);
-candidates and dictionary counts cover every row.
+candidates and the dictionary's counts of distinct texts cover every row.
 
 Null and empty texts have no findings. Equal candidates of one id are one finding, so repeated rows add nothing new. Empty
 tables give empty results. Without findings of both labels, the labelled ones keep their label and the others are no
@@ -36,7 +36,7 @@ FEATURES = [
     "issued", "assigned", "secret_word", "hash_word", "layout", "placeholder",
 ]
 MARK = "[SECRET]"
-DICTIONARY_ROWS = 20  # a word is in the dictionary if it has so many occurrences
+DICTIONARY_SHARE = 0.001  # a word is in the dictionary if this share of the distinct texts, and two of them, hold it
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -107,10 +107,17 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", least: int = DICTIONARY_ROWS) -> DataFrame:
-    """(word): the lower-case words of four letters or more with ``least`` occurrences in all texts."""
-    words = docs.select(F.explode(F.split(F.lower(plain_text(text_col)), r"[^\p{L}]+")).alias("word")).where(F.length("word") >= 4)
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("word")
+def dictionary(docs: DataFrame, text_col: str = "text", share: float = DICTIONARY_SHARE) -> DataFrame:
+    """(word): the lower-case words of four letters or more in a ``share`` of the distinct texts, and in two at least.
+
+    Texts count by digest, so neither copies of a text nor repeats in it move a word in.
+    """
+    rows = docs.select(F.xxhash64(plain_text(text_col)).alias("_digest"), F.array_distinct(F.split(F.lower(plain_text(text_col)), r"[^\p{L}]+")).alias("_words"))
+    words = rows.select("_digest", F.explode("_words").alias("word")).where(F.length("word") >= 4)
+    # a one-row subquery over the digests
+    texts = docs.agg(F.count_distinct(F.xxhash64(plain_text(text_col))).alias("n")).scalar()
+    counts = words.groupBy("word").agg(F.count_distinct("_digest").alias("n"))
+    return counts.where(F.col("n") >= F.greatest(F.lit(2), F.ceil(F.lit(share) * texts))).select("word")
 
 
 def features(found: DataFrame, words: DataFrame) -> DataFrame:

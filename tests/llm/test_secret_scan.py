@@ -124,3 +124,16 @@ def test_credentials_in_addresses(spark):
     texts = {r.doc_id: r.text for r in secret_scan.redact(docs, found).collect()}
     assert [k for k, value in secrets.items() if value in texts[k]] == []
     assert [k for k, value in enumerate(clean) if value not in texts[300 + k]] == []
+
+
+def test_dictionary_is_a_share_of_distinct_texts(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(["Common", "abc", *(["shared"] if i < 3 else []), *words(rng, 5)]) + f" alone{'x' * (i % 7 + 1)}{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(100)]
+    copies = [(1000 + i, "copied texts " + "repeat " * 50) for i in range(200)]
+    found = lambda some, share: {r.word for r in secret_scan.dictionary(documents(spark, some), share=share).collect()}
+    assert found(rows, 0.03) == found(rows + rows, 0.03) == {"common", "shared"}
+    assert found(rows + copies, 0.025) == {"common", "shared"} == found(rows + [*ODD_ROWS, *ODD_ROWS], 0.001)
+    assert found(rows, 0.05) == {"common"} and found([], 0.5) == set() == found(copies, 0.001)
+
+
+ODD_ROWS = list(enumerate(ODD))
