@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.operators.relational import sum_vectors
-from tagloom.session import cut_lineage
+from tagloom.session import cut_lineage, ensure_checkpoint_dir
 
 BATCH = 50
 DENSE_ROWS = 256  # rows of a dense block in a task
-MOST_WEIGHTS = 50_000_000  # 400 MB of doubles
+BLOCK_WEIGHTS = 1 << 22  # weights of a block of labels; 32 MB of doubles
+SPARSE = 0  # how a vector's type is stored
 Encoder = Callable[[Sequence[str]], np.ndarray]
 
 
@@ -64,21 +67,17 @@ def apply_text_vectors(model: PipelineModel, df: DataFrame, out: str = "vec") ->
     return model.transform(df).select(*df.columns, vector_to_array("_vec").alias(out))
 
 
-def _sparse_rows(df: DataFrame, vector: str = "_features") -> list:
-    """The set positions of a feature vector and their values; hashed text is sparse."""
-    dense = vector_to_array(vector)
-    spots = F.filter(F.transform(dense, lambda x, i: F.when(x != 0, i)), lambda i: i.isNotNull())
-    return [spots.alias("_spots"), F.filter(dense, lambda x: x != 0).alias("_values")]
-
-
-def _dense_batches(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(first row, rows as a dense matrix with a column of ones) of a batch with ``_spots`` and ``_values`` first."""
-    spots, values = (batch.column(i) for i in (0, 1))
-    for start in range(0, len(spots), DENSE_ROWS):
-        at, some = spots.slice(start, DENSE_ROWS), values.slice(start, DENSE_ROWS)
-        rows = np.zeros((len(at), width + 1))
+def _dense_batches(features: pa.StructArray, width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(first row, rows as a dense matrix with a column of ones) of feature vectors as Arrow has them."""
+    for start in range(0, len(features), DENSE_ROWS):
+        part = features.slice(start, DENSE_ROWS)
+        values = part.field("values")
+        counts = values.value_lengths().to_numpy()
+        spots = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        spots[np.repeat(part.field("type").to_numpy() == SPARSE, counts)] = part.field("indices").flatten().to_numpy()
+        rows = np.zeros((len(part), width + 1))
         rows[:, width] = 1.0
-        rows[np.repeat(np.arange(len(at)), at.value_lengths().to_numpy()), at.flatten().to_numpy()] = some.flatten().to_numpy()
+        rows[np.repeat(np.arange(len(part)), counts), spots] = values.flatten().to_numpy()
         yield start, rows
 
 
@@ -86,45 +85,82 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30.0, 30.0)))
 
 
+def _stored_folder(spark: SparkSession, name: str) -> str:
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 @dataclass(frozen=True)
 class Tagger:
-    """Text features and one linear scorer per label; the weights are labels x (features + 1) numbers."""
+    """Text features and one linear scorer per label.
+
+    ``weights`` is a stored table (block, label, weights) with features + 1 numbers per label; ``labels`` labels lie in blocks of
+    ``block``, and only one block at a time is on the driver.
+    """
 
     features: PipelineModel
-    weights: np.ndarray
+    weights: DataFrame
+    labels: int
+    block: int
 
-    def score(self, df: DataFrame, out: str = "scores") -> DataFrame:
-        """Add label probabilities to rows with the raw text columns (M3).
+    def block_weights(self, number: int) -> np.ndarray:
+        """The weights of one block of labels, a row per label."""
+        return np.array([r["weights"] for r in self.weights.where(F.col("block") == number).orderBy("label").collect()])
 
-        The feature steps are the fitted ones, so training and scoring cannot differ. A batch of rows meets the broadcast
-        weights in one matrix product.
-        """
-        weights = df.sparkSession.sparkContext.broadcast(self.weights)
-        kept = [f for f in df.schema.fields if f.name != out]
+    def _block_scores(self, rows: DataFrame, number: int, kept: Sequence[T.StructField], out: str) -> tuple[DataFrame, Broadcast]:
+        """``rows`` (the feature vector and ``kept``) with their probabilities of a block's labels, and the weights sent."""
+        sent = rows.sparkSession.sparkContext.broadcast(self.block_weights(number))
         schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.DoubleType()))])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            w = weights.value.T
+            w = sent.value.T
             for batch in batches:
-                parts = [_sigmoid(rows @ w) for _, rows in _dense_batches(batch, len(w) - 1)]
+                parts = [_sigmoid(x @ w) for _, x in _dense_batches(batch.column(0), len(w) - 1)]
                 flat = np.concatenate(parts).ravel() if parts else np.empty(0)
                 scores = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1) * w.shape[1], pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([*batch.columns[2:], scores], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], scores], names=schema.names)
 
-        rows = self.features.transform(df).select(*_sparse_rows(df), *[f.name for f in kept])
-        return rows.mapInArrow(run, schema)
+        return rows.select("_features", *[f.name for f in kept]).mapInArrow(run, schema), sent
+
+    def score(self, df: DataFrame, out: str = "scores") -> DataFrame:
+        """Add label probabilities to rows with the raw text columns (M3).
+
+        The feature steps are the fitted ones, so training and scoring cannot differ. A batch of rows meets a block's
+        broadcast weights in one matrix product. With more than one block the rows are stored and a job per block
+        stores its scores, which then meet by row in one shuffle.
+        """
+        kept = [f for f in df.schema.fields if f.name != out]
+        rows = self.features.transform(df).select("_features", *[f.name for f in kept])
+        blocks = -(-self.labels // self.block)
+        if blocks == 1:
+            return self._block_scores(rows, 0, kept, out)[0]
+        rows = cut_lineage(rows.withColumn("_row", F.monotonically_increasing_id()))
+        folder = _stored_folder(df.sparkSession, "scores")
+        for number in range(blocks):
+            part, sent = self._block_scores(rows, number, [T.StructField("_row", T.LongType())], "_part")
+            part.write.parquet(f"{folder}/block={number}")
+            sent.destroy()
+        parts = df.sparkSession.read.schema("_row long, _part array<double>, block int").parquet(folder)
+        joined = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("block", "_part"))), lambda p: p["_part"]))
+        scores = parts.groupBy("_row").agg(joined.alias(out))
+        return rows.join(scores, "_row").select(*[f.name for f in kept], out)
 
 
 def train_tagger(
     df: DataFrame, labels: str = "tags_xf", texts: Sequence[str] = ("synopsis", "keywords"),
-    features: int = 1 << 10, max_iter: int = 20, reg: float = 0.01, most_weights: int = MOST_WEIGHTS,
+    features: int = 1 << 10, max_iter: int = 20, reg: float = 0.01, block_weights: int = BLOCK_WEIGHTS,
 ) -> Tagger:
-    """Fit a tagger on text columns and a 0/1 label array (M2). Runs a job per iteration.
+    """Fit a tagger on text columns and a 0/1 label array (M2). Runs a job per iteration and block of labels.
 
-    The texts become hashed word weights, joined to one unit vector; all labels get logistic scorers in one accelerated
-    gradient descent that starts from the constant predictor. A pass multiplies batches of rows with all weights; tasks
-    send sums per label. Weights and sums are labels x features numbers, at most ``most_weights``.
+    The texts become hashed word weights, joined to one unit vector; all labels get logistic scorers by accelerated
+    gradient descent that starts from the constant predictor. A label's scorer does not depend on the others, so
+    labels are fitted in blocks of at most ``block_weights`` numbers (one label at least): a pass multiplies batches of rows with a
+    block's weights, tasks send sums per label, and a finished block is stored. Neither driver nor task holds more
+    than a block, and the weights do not depend on the blocks. A row without a label array counts as one without labels.
     """
+    if df.isEmpty():
+        raise ValueError("there are no rows to learn from")
+    spark = df.sparkSession
     steps = []
     for name in texts:
         steps += _word_weights(name, features, f"_{name}")
@@ -132,31 +168,48 @@ def train_tagger(
     steps.append(Normalizer(inputCol="_joined", outputCol="_features"))
     pipeline = Pipeline(stages=steps).fit(df)
     hits = F.filter(F.transform(labels, lambda y, i: F.when(y > 0, i)), lambda i: i.isNotNull())
-    rows = cut_lineage(pipeline.transform(df).select(*_sparse_rows(df), hits.alias("_hits"), F.array_size(labels).alias("_size")))
+    hits = F.coalesce(hits, F.array().cast("array<int>"))
+    rows = cut_lineage(pipeline.transform(df).select("_features", hits.alias("_hits"), F.array_size(labels).alias("_size")))
     size, n = rows.agg(F.max("_size"), F.count(F.lit(1))).first()
+    if not size:
+        raise ValueError("there are no labels to learn")
     width = features * len(texts)
-    if not n:
-        raise ValueError("there are no rows to learn from")
-    if size * (width + 1) > most_weights:
-        raise ValueError(f"{size} labels x {width} features are more than {most_weights} weights; use fewer features")
-    counts = np.zeros(size)
-    for r in rows.select(F.explode("_hits").alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect():
-        counts[r["i"]] = r["n"]
-    share = np.clip(counts / n, 1e-9, 1 - 1e-9)
+    block = max(1, block_weights // (width + 1))
+    counted = cut_lineage(rows.select(F.explode("_hits").alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("n")))
+    folder = _stored_folder(spark, "tagger")
+    for number in range(-(-size // block)):
+        first = number * block
+        counts = np.zeros(min(block, size - first))
+        for r in counted.where(F.col("i").between(first, first + len(counts) - 1)).collect():
+            counts[r["i"] - first] = r["n"]
+        weights = _fit_block(rows, first, counts / n, n, width, max_iter, reg)
+        table = pa.table({"label": np.arange(first, first + len(counts)), "weights": pa.array(list(weights))})
+        spark.createDataFrame(table).write.parquet(f"{folder}/block={number}")
+    stored = spark.read.schema("label long, weights array<double>, block int").parquet(folder)
+    return Tagger(pipeline, stored, size, block)
+
+
+def _fit_block(rows: DataFrame, first: int, share: np.ndarray, n: int, width: int, max_iter: int, reg: float) -> np.ndarray:
+    """The weights of the labels from ``first`` on, ``share`` of whose rows have them."""
+    size = len(share)
+    share = np.clip(share, 1e-9, 1 - 1e-9)
     weights = np.zeros((size, width + 1))
     weights[:, width] = np.log(share / (1 - share))
 
     def gradient(at: np.ndarray) -> np.ndarray:
-        sent = df.sparkSession.sparkContext.broadcast(at)
+        sent = rows.sparkSession.sparkContext.broadcast(at)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros_like(sent.value)
             for batch in batches:
-                named = batch.column(2)
-                for start, x in _dense_batches(batch, width):
+                named = batch.column(1)
+                for start, x in _dense_batches(batch.column(0), width):
                     error = _sigmoid(x @ sent.value.T)
                     own = named.slice(start, len(x))
-                    error[np.repeat(np.arange(len(x)), own.value_lengths().to_numpy()), own.flatten().to_numpy()] -= 1.0
+                    row = np.repeat(np.arange(len(x)), own.value_lengths().to_numpy())
+                    label = own.flatten().to_numpy() - first
+                    inside = (label >= 0) & (label < size)
+                    error[row[inside], label[inside]] -= 1.0
                     total += error.T @ x
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(list(total))], names=["label", "g"])
 
@@ -177,7 +230,7 @@ def train_tagger(
         grown = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         ahead = after + (momentum - 1) / grown * (after - weights)
         weights, momentum = after, grown
-    return Tagger(pipeline, weights)
+    return weights
 
 
 def log_loss(df: DataFrame, labels: str, scores: str, eps: float = 1e-12) -> DataFrame:

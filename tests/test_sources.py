@@ -1,4 +1,9 @@
+import random
+
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tagloom.functions import text
@@ -82,11 +87,67 @@ def test_tagger_learns_a_plain_rule(spark):
     assert 0 < bounds[0] and bounds[1] < 1
 
 
-def test_tagger_refuses_more_weights_than_allowed(spark):
-    df = spark.createDataFrame([(1, "a", "k", ["x"])], "id int, synopsis string, keywords string, tags array<string>")
-    rows = labels.fit_preprocess(df).transform(df, "id")
-    with pytest.raises(ValueError, match="weights"):
-        models.train_tagger(rows, features=64, most_weights=10)
+def _tagged_rows(spark):
+    rng = random.Random(5)
+    words = "sea storm ship love night war car race city home".split()
+    data = []
+    for i in range(90):
+        chosen = rng.sample(words, rng.randint(0, 4))
+        tags = [f"about {w}" for w in chosen if w in words[:5]] + (["any"] if chosen else ["none"])
+        data.append((i, " ".join(chosen), " ".join(rng.sample(words, 2)), tags))
+    df = spark.createDataFrame(data, "id int, synopsis string, keywords string, tags array<string>")
+    return labels.fit_preprocess(df).transform(df, "id")
+
+
+def test_tagger_blocks_give_the_weights_of_plain_descent(spark):
+    rows = _tagged_rows(spark)
+    features, reg, steps = 32, 0.01, 7
+    one = models.train_tagger(rows, features=features, max_iter=steps, reg=reg)
+    many = models.train_tagger(rows, features=features, max_iter=steps, reg=reg, block_weights=2 * (2 * features + 1))
+    assert one.block >= one.labels == many.labels and many.block == 2
+
+    told = one.features.transform(rows).select("_features", "tags_xf").collect()
+    x = np.array([[*r["_features"].toArray(), 1.0] for r in told])
+    y = np.array([r["tags_xf"] for r in told], float)
+    share = y.mean(axis=0)
+    w = np.zeros((y.shape[1], x.shape[1]))
+    w[:, -1] = np.log(share / (1 - share))
+    ahead, momentum = w, 1.0
+    for _ in range(steps):
+        slope = (1 / (1 + np.exp(-x @ ahead.T)) - y).T @ x / len(x) + reg * np.c_[ahead[:, :-1], np.zeros(len(w))]
+        after = ahead - slope / (0.5 + reg)
+        grown = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        w, ahead, momentum = after, after + (momentum - 1) / grown * (after - w), grown
+    assert np.allclose(one.block_weights(0), w, atol=1e-12)
+    blocks = -(-many.labels // many.block)
+    assert blocks > 2 and np.allclose(np.concatenate([many.block_weights(b) for b in range(blocks)]), w, atol=1e-12)
+
+    extra = rows.withColumn("block", F.lit("kept"))
+    want = {r.id: r.scores for r in one.score(rows).collect()}
+    got = {r.id: (r.scores, r.block) for r in many.score(extra).collect()}
+    assert got.keys() == want.keys()
+    assert all(np.allclose(got[i][0], want[i], atol=1e-12) and got[i][1] == "kept" for i in want)
+
+
+def test_tagger_takes_dense_and_sparse_vectors(spark):
+    vectors = [Vectors.dense([1.0, 0.0, 2.0]), Vectors.sparse(3, [2], [5.0]), Vectors.sparse(3, [], []), Vectors.dense([0.0, 3.0, 0.0])]
+    df = spark.createDataFrame(list(enumerate(vectors)), ["id", "v"])
+
+    def dense(batches):
+        for batch in batches:
+            rows = [x.tolist() for _, part in models._dense_batches(batch.column(1), 3) for x in part]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows)], names=["id", "row"])
+
+    got = {r.id: r.row for r in df.mapInArrow(dense, "id long, row array<double>").collect()}
+    assert got == {i: [*v.toArray().tolist(), 1.0] for i, v in enumerate(vectors)}
+
+
+def test_tagger_names_empty_input(spark):
+    rows = _tagged_rows(spark)
+    with pytest.raises(ValueError, match="no rows"):
+        models.train_tagger(rows.where("id < 0"), features=8)
+    with pytest.raises(ValueError, match="no labels"):
+        models.train_tagger(rows.withColumn("tags_xf", F.lit(None).cast("array<int>")), features=8)
 
 
 def test_tagger_beats_the_constant_from_the_first_step(spark):
