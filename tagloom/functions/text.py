@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 # The letters the text cleaner keeps, the pattern for runs of one-letter words,
 # the token limits, and the defaults for empty lists.
 LETTERS = "äÄöÖüÜßa-zA-Z"
-SHORT_WORDS = r"((^|\s)[%s]{%s})+\s"
+# a run of words is taken whole (++): each ends in white space, so giving one back never helps, and a long run costs no stack
+SHORT_WORDS = r"(?:^|\s)(?:[%s]{%s}\s)++"
 TOKEN_LIMIT = 256
 KEYWORD_LIMIT = 64
 TEXT_LENGTH = 277

@@ -37,6 +37,13 @@ def test_clean_orders_differ_at_edges(spark):
     assert one(spark, "Während, eine ü!", lambda c: text.clean_text(c, False)) == "während eine"
 
 
+def test_a_long_run_of_short_words_is_dropped_whole(spark):
+    # in the executor's own threads, whose stacks are small
+    df = spark.createDataFrame([("a bc " * 100_000 + "word is", 1), ("in\tan  o lot", 2)], "x string, n int").repartition(2, "n")
+    got = {r["n"]: r["y"] for r in df.select("n", text.drop_short_words(F.col("x"), 3).alias("y")).collect()}
+    assert got == {1: " word is", 2: "  lot"}
+
+
 def test_first_tokens_keeps_empty_pieces(spark):
     assert one(spark, "a  b c", lambda c: text.first_tokens(c, 3)) == "a  b"
     assert one(spark, "a.b.c", lambda c: text.split_on(c, ".")) == ["a", "b", "c"]
