@@ -84,20 +84,26 @@ def bounded(batches: Iterator[pa.RecordBatch], text: int, limit: int = 8 << 20)
             yield batch.slice(start)
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """The words of all texts as indices into a list of distinct words, and the offsets where each text's begin.
+def coded_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The words of all texts as indices into an array of distinct words, and the offsets where each text's begin.
 
-    The list may hold an empty string, which white space at a text's ends leaves; it is no word and no index points to it.
+    The array may hold an empty string, which white space at a text's ends leaves; it is no word and no index points to it.
     """
     split = pc.ascii_split_whitespace(texts)
     coded = split.values.dictionary_encode()
-    words = coded.dictionary.to_pylist()
     at, ends = coded.indices.to_numpy(), split.offsets.to_numpy()
-    if "" in words:
-        real = at != words.index("")
+    empty = pc.index(coded.dictionary, "").as_py()
+    if empty >= 0:
+        real = at != empty
         ends = np.concatenate([[0], np.cumsum(real)])[ends]
         at = at[real]
-    return at, words, ends
+    return at, coded.dictionary, ends
+
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """As :func:`coded_words`, the distinct words in a list."""
+    at, words, ends = coded_words(texts)
+    return at, words.to_pylist(), ends
 
 
 def written(df: DataFrame) -> DataFrame:

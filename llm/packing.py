@@ -14,44 +14,49 @@ table gives an empty result. Columns besides the id and the text are ignored.
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from llm.common import bounded, plain_text, words_of
+from llm.common import bounded, coded_words, plain_text
 from tagloom.operators.ordering import running_totals
 from tagloom.session import cut_lineage
 
 CAPACITY = 2048
-KNOWN_LIMIT = 1 << 17  # words a worker remembers the ids of, some 30 MB
+KNOWN_LIMIT = 1 << 17  # pieces and words a worker remembers the ids of, some 30 MB
 
 
 class WordIds:
-    """Token ids of texts by a tokenizer that never joins words across white space; the ids of words are kept.
+    """Token ids of texts by a tokenizer that never joins words across white space; the ids of pieces of words are kept.
 
     Words of printable ASCII go to the tokenizer's merge model directly, in lower case and in the pieces of ``PIECE``, where the
     file's own normalizer and pre-tokenizer do the same with every pair of characters; all others, those that may hold a
     special token, and all words of a file with other rules go through the whole tokenizer. A file that joins words is refused.
     """
 
-    PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+")
-    PLAIN = re.compile(r"[!-~]+")
+    PIECE = r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+"
+    PLAIN = r"^[!-~]+$"
+    GAP = "\x01"  # between the pieces of a plain word, which holds no control character
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self._start()
+        self.direct = True
         self.direct = self._agrees()
         self._start()
 
@@ -65,49 +70,72 @@ class WordIds:
                 raise ValueError("the tokenizer joins words across white space, or its tokens hold white space")
         signs = [chr(c) for c in range(33, 127)]
         words = [a + b for a in signs for b in signs] + [f"{a}'{b}{c}" for a in "xB1'" for b in ("s", "T", "re", "VE", "m", "ll", "d") for c in ("", "a", "1", "'")]
-        return whole(words) == [self._direct(w) for w in words]
-
-    def _direct(self, word: str) -> list[int]:
-        return [t.id for piece in self.PIECE.findall(word.lower()) for t in self.model.tokenize(piece)]
+        words.remove("<|")  # not plain
+        flat, ends = self.encode(pa.array(words))
+        return whole(words) == [x.tolist() for x in np.split(flat, ends[1:-1])]
 
     def _start(self) -> None:
         self.index: dict[str, int] = {}
         self.starts = self.counts = np.empty(0, dtype=np.int64)
         self.flat = np.empty(0, dtype="<u4")
 
-    def _learn(self, words: list[str]) -> None:
-        ids: list[list[int] | None] = []
-        whole = []
-        for k, w in enumerate(words):
-            if self.direct and self.PLAIN.fullmatch(w) and "<|" not in w:
-                ids.append(self._direct(w))
-            else:
-                ids.append(None)
-                whole.append(k)
-        for k, e in zip(whole, self.tokenizer.encode_batch_fast([words[k] for k in whole], add_special_tokens=False)):
-            ids[k] = e.ids
-        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
-        counts = np.array([len(x) for x in ids], dtype=np.int64)
+    def _cut(self, words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, int]:
+        """The pieces of plain words and then all other words, each word's first place there and number of places, and how many are pieces."""
+        plain = pc.and_not(pc.match_substring_regex(words, self.PLAIN), pc.match_substring(words, "<|")) if self.direct else pa.array(np.zeros(len(words), dtype=bool))
+        marked = pc.replace_substring_regex(pc.ascii_lower(words.filter(plain)), f"({self.PIECE})", rf"\1{self.GAP}")
+        cut = pc.split_pattern(pc.ascii_rtrim(marked, self.GAP), self.GAP)
+        ends, chosen = cut.offsets.to_numpy(), plain.to_numpy(zero_copy_only=False)
+        first, number = np.empty(len(words), dtype=np.int64), np.ones(len(words), dtype=np.int64)
+        first[chosen], number[chosen] = ends[:-1], np.diff(ends)
+        first[~chosen] = ends[-1] + np.arange(len(words) - len(cut))
+        return pa.concat_arrays([cut.flatten(), words.filter(pc.invert(plain))]), first, number, int(ends[-1])
+
+    def _learn(self, units: list[str], n_pieces: int) -> None:
+        """Keep the ids of the units; the first ``n_pieces`` are pieces of plain words."""
+        ids = [[t.id for t in self.model.tokenize(u)] for u in units[:n_pieces]]
+        ids += [e.ids for e in self.tokenizer.encode_batch_fast(units[n_pieces:], add_special_tokens=False)]
+        self.index.update(zip(units, range(len(self.index), len(self.index) + len(units))))
+        counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
         self.counts = np.concatenate([self.counts, counts])
-        self.flat = np.concatenate([self.flat, np.array([i for x in ids for i in x], dtype="<u4")])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), dtype="<u4", count=int(counts.sum()))])
+
+    def _keep(self, units: list[str]) -> None:
+        """Forget all but these units, at most half the limit."""
+        units = units[: KNOWN_LIMIT // 2]
+        at = np.fromiter(map(self.index.__getitem__, units), dtype=np.int64, count=len(units))
+        counts = self.counts[at]
+        self.flat = self.flat[_spread(self.starts[at], counts)]
+        self.index = dict(zip(units, range(len(units))))
+        self.starts, self.counts = np.cumsum(counts) - counts, counts
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, unsigned 32-bit, and the offsets where each text's begin."""
-        words_at, words, offsets = words_of(texts)
+        words_at, words, offsets = coded_words(texts)
+        cut, first, number, n_pieces = self._cut(words)
+        coded = cut.dictionary_encode()  # in order of appearance: pieces first, and no other word equals one
+        codes, units = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         if len(self.index) > KNOWN_LIMIT:
-            self._start()
-        self._learn([w for w in words if w not in self.index])
-        known = np.fromiter((self.index[w] for w in words), dtype=np.int64, count=len(words))
-        at = known[words_at]
-        counts = self.counts[at]
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        take = np.repeat(self.starts[at] - ends[:-1], counts) + np.arange(ends[-1])
-        return self.flat[take], ends[offsets]
+            self._keep([u for u in units if u in self.index])
+        n_units = int(codes[:n_pieces].max()) + 1 if n_pieces else 0
+        new = [[u for u in some if u not in self.index] for some in (units[:n_units], units[n_units:])]
+        self._learn(new[0] + new[1], len(new[0]))
+        known = np.fromiter(map(self.index.__getitem__, units), dtype=np.int64, count=len(units))
+        # from texts to words, to units, to ids
+        at = known[codes[_spread(first[words_at], number[words_at])]]
+        word_ends = np.concatenate([[0], np.cumsum(number[words_at])])
+        ends = np.concatenate([[0], np.cumsum(self.counts[at])])
+        return self.flat[_spread(self.starts[at], self.counts[at])], ends[word_ends[offsets]]
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of every run, one after the other."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
 
 
 @lru_cache(maxsize=2)
 def load(path: str) -> WordIds:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads of its own only cost memory
     return WordIds(path)
 
 
@@ -119,7 +147,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
     def run(batches):
         encoder = load(tokenizer)
-        for batch in bounded(batches, 1, 4 << 20):
+        for batch in bounded(batches, 1, 2 << 20):
             rows = []
             flat, ends = encoder.encode(batch.column(1))
             for k, key in enumerate(batch.column(0).to_pylist()):

@@ -23,6 +23,30 @@ def test_ids_as_the_library(texts):
     assert [flat[a:b].tolist() for a, b in zip(ends, ends[1:])] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+class Counted:
+    """A model that notes what it is asked for."""
+
+    def __init__(self, model):
+        self.model, self.asked = model, Counter()
+
+    def tokenize(self, word):
+        self.asked[word] += 1
+        return self.model.tokenize(word)
+
+
+def test_pieces_are_looked_up_once_and_kept_when_others_are_forgotten(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_LIMIT", 20)
+    ids = packing.WordIds(PATH)
+    ids.model = counted = Counted(ids.model)
+    for turn in range(20):
+        texts = ["Word, word. (word) word's"] + ["".join("abcdefghijk"[int(d)] for d in str(turn * 10 + i)) for i in range(100, 110)]
+        flat, ends = ids.encode(pa.array(texts))
+        assert [flat[a:b].tolist() for a, b in zip(ends, ends[1:])] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(ids.index) <= 20 + 20
+    assert counted.asked["word"] == 1
+    assert len(ids.flat) == ids.counts.sum()
+
+
 def used(sequences):
     count = Counter()
     for s in sequences:
