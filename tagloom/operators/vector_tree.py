@@ -33,7 +33,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FANOUT = 16
 _DEEPEST = 24  # below, nodes are cut by hash
-_STEP = "\x1f"  # between the parts of a node's name; JSON escapes it, so no group holds it
+STEP = "\x1f"  # between the parts of a node's name; JSON escapes it, so no group holds it
 _ANGLE_SLACK = 1e-7  # what doubles lose in an arc cosine
 _NEAREST = 3  # nodes that the first descent follows at least
 
@@ -134,7 +134,7 @@ def _dealt(directions: Directions, arrow_schema: pa.Schema, depth: int):
             child = np.char.add("=", digits.astype(str))
         else:
             child = (directions(matrix_of(rows.column("vec"))) @ np.array(apart).T).argmax(axis=1).astype(str)
-        name = rows.column("_node")[0].as_py() + _STEP
+        name = rows.column("_node")[0].as_py() + STEP
         at = rows.schema.get_field_index("_node")
         return rows.set_column(at, "_node", pa.array([name + c for c in child], pa.string())).select(arrow_schema.names).cast(arrow_schema)
 
@@ -148,7 +148,7 @@ _SHAPE = T.StructType([
 
 
 def _parent(node: str | Column) -> Column:
-    return F.regexp_extract(node, f"^(.*){_STEP}[^{_STEP}]*$", 1)
+    return F.regexp_extract(node, f"^(.*){STEP}[^{STEP}]*$", 1)
 
 
 def _angles(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -177,7 +177,7 @@ def _shapes(rows: DataFrame, directions: Directions, depth: int) -> DataFrame:
 
     needed = [c for c in ("_node", "_real", "vec", "hide") if c in rows.columns]
     leaves = cut_lineage(rows.select(*needed).groupBy("_node").applyInArrow(leaf, _SHAPE))
-    steps = F.length("node") - F.length(F.replace("node", F.lit(_STEP), F.lit("")))
+    steps = F.length("node") - F.length(F.replace("node", F.lit(STEP), F.lit("")))
     leaves = leaves.withColumn("depth", steps).withColumn("parent", _parent("node"))
     levels, below = [], None
     for d in range(depth, -1, -1):
@@ -241,8 +241,8 @@ def nearest_pairs(left: Tree, right: Tree, need: int, best: Callable, worst: flo
 
 def reaching_pairs(left: Tree, right: Tree, floors: DataFrame, best: Callable, worst: float) -> DataFrame:
     """The leaves (l, r) whose best score reaches the floor (l, floor) of the left leaf; floors are carried to all nodes above."""
-    parts = F.split("l", _STEP)
-    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), _STEP))
+    parts = F.split("l", STEP)
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), STEP))
     floors = cut_lineage(floors.select(F.explode(above).alias("l"), "floor").groupBy("l").agg(F.min("floor").alias("floor")))
     pairs = _roots(left, right)
     for _ in range(max(left.depth, right.depth) + 1):
