@@ -54,7 +54,7 @@ SYNOPSIS = "TitleDetails_longsynopsis"
 
 def _digest(*cols: str) -> Column:
     """A 256-bit digest that stands for a tuple of texts; NULL and empty differ."""
-    return F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for c in cols]), 256)
+    return F.unhex(F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for c in cols]), 256))
 
 
 def _title_texts(catalogue: DataFrame, *more: Column) -> DataFrame:
@@ -74,18 +74,19 @@ def _with_content_ids(titles: DataFrame, content_ids: DataFrame, ignore_case: bo
 def training_rows(df: DataFrame, token_limit: int = TOKEN_LIMIT, test_limit: int | None = None) -> DataFrame:
     """(synopsis, keywords, tags) per title, type, language and synopsis (Q-INGEST).
 
-    The synopsis keeps its first tokens; keywords keep duplicates. Keywords are counted by
-    (group, keyword) before the group is put together, so copies of a programme add counts, not rows.
+    The synopsis keeps its first tokens; keywords keep duplicates. Equal rows of a group are counted
+    first, so copies of a programme add counts, not rows, and keywords travel as whole arrays, not one by one.
     """
     keys = ["program_title", "program_type", "program_language", "program_longsynopsis"]
     rows = df.where(F.array_size("keywords") > 0).select(
         _digest(*keys).alias("_key"), first_tokens(F.col("program_longsynopsis"), token_limit).alias("synopsis"), "keywords", "tags"
     )
-    groups = rows.groupBy("_key").agg(F.min("synopsis").alias("synopsis"), F.min("tags").alias("tags"))
-    counts = rows.select("_key", F.explode("keywords").alias("v")).groupBy("_key", "v").agg(F.count("v").alias("n"))
-    pairs = F.sort_array(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("v", "n"))))
-    keywords = counts.groupBy("_key").agg(copies_joined(pairs, " ").alias("keywords"))
-    out = groups.join(keywords, "_key").select("synopsis", "keywords", "tags")
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    groups = counted.groupBy("_key").agg(
+        F.min("synopsis").alias("synopsis"), F.min("tags").alias("tags"), F.collect_list(F.struct("keywords", "n")).alias("_lists")
+    )
+    pairs = F.flatten(F.transform("_lists", lambda s: F.transform(F.array_compact(s["keywords"]), lambda v: F.struct(v.alias("v"), s["n"].alias("n")))))
+    out = groups.select("synopsis", copies_joined(F.sort_array(pairs), " ").alias("keywords"), "tags")
     # a limit without an order would return other rows from run to run
     return out.orderBy("synopsis", "keywords").limit(test_limit) if test_limit else out
 

@@ -38,6 +38,13 @@ def test_a_hot_programme_keeps_all_its_keywords(spark):
     assert (len(text), text.count("k0"), text == sorted(text)) == (3000, 1000, True)
 
 
+def test_keywords_travel_as_whole_arrays(spark):
+    df = spark.createDataFrame([("t", "Movie", "eng", "a", ["k2", "k1", "k1"], ["x"])] * 3 + [("t", "Movie", "eng", "a", ["k1", None, "k3"], ["w"])], TRAINING)
+    out = plans.training_rows(df)
+    assert [tuple(r) for r in out.collect()] == [("a", " ".join(["k1"] * 7 + ["k2"] * 3 + ["k3"]), ["w"])]
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_tag_build(spark):
     programs = spark.createDataFrame([
         ("A", "1", "s1", "Movie", "eng", None), ("A", "1", "s1", "Episode", "spa", None), ("B", "2", "s2", "Movie", "eng", None),
