@@ -297,36 +297,33 @@ def full_tags(programs: DataFrame, program_tags: DataFrame, token_vocab: DataFra
     Only programmes with at least one tag row count. Columns: program_type, program_title,
     program_longsynopsis, program_language, [genre,] tags.
     """
-    tagged = distinct_apart(program_tags, "program_id")
-    usable = programs.where(F.col("program_language").isin(*LANGUAGES) & F.col("program_longsynopsis").isNotNull())
-    genre = when_or_null(F.col("tag_type").isin(*GENRE_TYPES) | (F.col("tag_value") == ADULT_TAG), F.col("tag_value"))
-    in_vocab = program_tags.join(distinct_apart(token_vocab, F.col("tokens").alias("tag_value")), "tag_value", "left_semi")
-    # both sides of the tag join are made distinct, or copies of one programme would meet all copies of its tags
-    tag_rows = in_vocab.select("program_id", F.col("tag_value").alias("tag"), genre.alias("genre")).distinct()
-
-    def collect(rows: DataFrame, own_type: Column, key: Column, synopsis: Column) -> DataFrame:
-        rows = rows.withColumn("_key", key)
-        # per group: the descriptive columns once, and its tags by id alone
-        with_tags = rows.join(tagged, F.col("program_val") == F.col("program_id"), "left_semi")
-        shown = with_tags.groupBy("_key").agg(
-            F.min(own_type).alias("program_type"), F.min("program_title").alias("program_title"),
-            synopsis.alias("program_longsynopsis"), F.min("program_language").alias("program_language"),
-        )
-        members = rows.select("_key", "program_val").distinct().join(tag_rows, F.col("program_val") == F.col("program_id")).select("_key", "tag", "genre")
-        words = members.groupBy("_key").agg(distinct_array("tag").alias("_tags"), distinct_array("genre").alias("_genre"))
-        own = F.array("program_type", "program_language")
-        everything = F.sort_array(F.array_distinct(F.concat(F.coalesce("_tags", F.array().cast("array<string>")), own)))
-        genres = F.when(F.array_size("_genre") > 0, F.col("_genre"))
-        return shown.join(words, "_key", "left").select(
-            "program_type", "program_title", "program_longsynopsis", "program_language",
-            *([genres.alias("genre")] if with_genre else []), everything.alias("tags"),
-        )
-
-    movies = usable.where((F.col("program_type") == "Movie") & (F.col("program_title") != ON_DEMAND) & F.col("program_seriesid").isNull())
-    series = usable.where(F.col("program_type").isin(*SERIES_TYPES))
-    movie_key = _digest("program_type", "program_title", "program_longsynopsis", "program_language")
-    return collect(movies, F.col("program_type"), movie_key, F.min("program_longsynopsis")).union(
-        collect(series, F.lit("Episode"), _digest("program_title", "program_language"), distinct_text("program_longsynopsis", " "))
+    is_genre = F.coalesce(F.col("tag_type").isin(*GENRE_TYPES) | (F.col("tag_value") == ADULT_TAG), F.lit(False))
+    movie = (F.col("program_type") == "Movie") & (F.col("program_title") != ON_DEMAND) & F.col("program_seriesid").isNull()
+    series = F.col("program_type").isin(*SERIES_TYPES)
+    usable = programs.where(F.col("program_language").isin(*LANGUAGES) & F.col("program_longsynopsis").isNotNull() & (movie | series))
+    # a movie's synopsis is part of its key, so that both kinds join their distinct synopses in one pass
+    key = F.when(series, _digest("program_title", "program_language"))
+    rows = usable.withColumn("_key", key.otherwise(_digest("program_type", "program_title", "program_longsynopsis", "program_language")))
+    # per group: the descriptive columns once, and its tags by id alone
+    with_tags = rows.join(distinct_apart(program_tags, "program_id"), F.col("program_val") == F.col("program_id"), "left_semi")
+    shown = with_tags.groupBy("_key").agg(
+        F.min(F.when(series, "Episode").otherwise(F.col("program_type"))).alias("program_type"), F.min("program_title").alias("program_title"),
+        distinct_text("program_longsynopsis", " ").alias("program_longsynopsis"), F.min("program_language").alias("program_language"),
+    )
+    # the ids are distinct, or copies of one programme would meet all copies of its tags; tags of other programmes go no
+    # further, and a group's equal tags are one row before they meet the vocabulary
+    members = distinct_apart(rows, "_key", "program_val")
+    tag_rows = program_tags.select("program_id", F.col("tag_value").alias("tag"), *([is_genre.alias("is_genre")] if with_genre else []))
+    kinds = [F.max("is_genre").alias("is_genre")] if with_genre else [F.count(F.lit(1)).alias("n")]
+    own_tags = members.join(tag_rows, F.col("program_val") == F.col("program_id")).groupBy("_key", "tag").agg(*kinds)
+    in_vocab = own_tags.join(distinct_apart(token_vocab, F.col("tokens").alias("tag")), "tag", "left_semi")
+    genre = [F.sort_array(F.collect_list(when_or_null(F.col("is_genre"), F.col("tag")))).alias("_genre")] if with_genre else []
+    words = in_vocab.groupBy("_key").agg(F.collect_list("tag").alias("_tags"), *genre)
+    own = F.array("program_type", "program_language")
+    everything = F.sort_array(F.array_distinct(F.concat(F.coalesce("_tags", F.array().cast("array<string>")), own)))
+    genres = [F.when(F.array_size("_genre") > 0, F.col("_genre")).alias("genre")] if with_genre else []
+    return shown.join(words, "_key", "left").select(
+        "program_type", "program_title", "program_longsynopsis", "program_language", *genres, everything.alias("tags"),
     )
 
 

@@ -149,6 +149,26 @@ def test_full_tags(spark, rows):
     assert with_genre == {"M": ["g1"], "S": ["k"]}
 
 
+def test_full_tags_build_movies_and_series_in_one_pass(spark, rows):
+    programs = spark.createDataFrame([
+        ("A", "1", "s", "Movie", "eng", None), ("A", "1", "s", "Movie", "eng", None), ("A", "2", "t", "Movie", "eng", None), ("A", "3", "s", "Episode", "eng", None),
+        ("A", "4", "q", "Episode", "eng", None), ("A", "5", "s", "Movie", "eng", "x"), ("OnDemand Movie", "6", "s", "Movie", "eng", None), (None, "7", "s", "Movie", "eng", None),
+        (None, "8", "z", "Episode", "spa", None), ("A", "9", "s", None, "eng", None), ("A", None, "s", "Movie", "eng", None),
+    ], PROGRAM)
+    tags = spark.createDataFrame([
+        (str(i), kind, tag) for i in (1, 2, 3, 5, 6, 7, 8, 9) for kind, tag in (("Genre", "g"), ("Other", "g"), (None, "not for kids"), (None, "n"))
+    ] + [("2", "Other", "only"), ("4", "Other", "absent"), (None, "Genre", "lost")], TAGS)
+    vocab = spark.createDataFrame([("g",), ("n",), ("not for kids",), ("only",), ("lost",)], "tokens string")
+    out = plans.full_tags(programs, tags, vocab, with_genre=True)
+    genre, words = ["g", "not for kids"], ["eng", "g", "n", "not for kids"]
+    assert rows(out) == sorted([
+        ("Episode", "A", "q s", "eng", genre, ["Episode", *words]), ("Movie", "A", "s", "eng", genre, ["Movie", *words]),
+        ("Movie", "A", "t", "eng", genre, ["Movie", *words, "only"]), ("Episode", None, "z", "spa", genre, ["Episode", "g", "n", "not for kids", "spa"]),
+    ], key=repr)
+    assert rows(out.drop("genre")) == rows(plans.full_tags(programs, tags, vocab))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 4
+
+
 def test_cluster_map_and_stats(spark, rows):
     training = spark.createDataFrame([
         ("T", "Movie", "eng", "s", ["k1", "k1"], ["t1"]), ("t", "Movie", "eng", "s", ["k2"], []), ("X", "Movie", "eng", "s", ["?"], ["?"]),

@@ -49,12 +49,10 @@ def program_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     age = F.when(F.col("quality") == 1, "little kids (ages 5-7)").when(F.col("quality") == 0, "big kids (ages 8-9)")
     adult = F.when(F.col("toxic") == 1, "not for kids")
-    single = F.array(*[
-        F.struct(F.lit(kind).alias("tag_type"), value.alias("tag_value"))
-        for kind, value in [("Genre", genre), ("Audience", age), ("Audience", adult), ("KidsTheme", F.col("lang"))]
-    ])
-    rows = F.concat(single, F.transform(F.array_distinct(F.split("text", " ")), lambda w: F.struct(F.lit("Genre").alias("tag_type"), w.alias("tag_value"))))
-    return docs.select(F.col("doc_id").cast("string").alias("program_id"), F.inline(rows)).where(F.col("tag_value").isNotNull())
+    single = F.array(genre, age, adult, F.col("lang"))
+    kind = F.when(F.col("_pos").isin(1, 2), "Audience").when(F.col("_pos") == 3, "KidsTheme").otherwise("Genre")
+    rows = docs.select(F.col("doc_id").cast("string").alias("program_id"), F.posexplode(F.concat(single, F.array_distinct(F.split("text", " ")))).alias("_pos", "tag_value"))
+    return rows.where(F.col("tag_value").isNotNull()).select("program_id", kind.alias("tag_type"), "tag_value")
 
 
 def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
