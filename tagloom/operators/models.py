@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.ml import Pipeline, PipelineModel
@@ -31,18 +30,23 @@ def embed_text(df: DataFrame, col: str, load_encoder: Callable[[], Encoder], out
     """Add a vector per text from a given encoder.
 
     ``load_encoder`` runs once per task and returns a function from a list of texts to a matrix. The
-    texts reach it in batches of ``batch``; NULL counts as an empty text.
+    texts reach it in batches of ``batch``; NULL counts as an empty text. A task turns only one such batch
+    into Python texts and gives its rows back before the next.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))])
+    place = df.columns.index(col)
 
-    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load_encoder()
-        for frame in frames:
-            texts = frame[col].fillna("").tolist()
-            rows = [np.asarray(encoder(texts[i : i + batch]), dtype=float) for i in range(0, len(texts), batch)]
-            yield frame.assign(**{out: [row.tolist() for part in rows for row in part]})
-
-    return df.mapInPandas(encode, schema)
+        for whole in batches:
+            for start in range(0, len(whole), batch):
+                part = whole.slice(start, batch)
+                found = np.asarray(encoder([x or "" for x in part.column(place).to_pylist()]), dtype=float)
+                ends = pa.array(np.arange(len(part) + 1) * found.shape[1], pa.int32())
+                vectors = pa.ListArray.from_arrays(ends, pa.array(found.ravel()))
+                yield pa.RecordBatch.from_arrays([*part.columns, vectors], names=schema.names)
+
+    return df.mapInArrow(encode, schema)
 
 
 def _word_weights(col: str, features: int, prefix: str) -> list:
