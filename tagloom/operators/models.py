@@ -162,19 +162,21 @@ def train_tagger(
     block's weights, tasks send sums per label, and a finished block is stored. Neither driver nor task holds more
     than a block, and the weights do not depend on the blocks. A row without a label array counts as one without labels.
     """
-    if df.isEmpty():
-        raise ValueError("there are no rows to learn from")
     spark = df.sparkSession
-    steps = []
-    for name in texts:
-        steps += _word_weights(name, features, f"_{name}")
-    steps.append(VectorAssembler(inputCols=[f"_{name}_weights" for name in texts], outputCol="_joined"))
-    steps.append(Normalizer(inputCol="_joined", outputCol="_features"))
-    pipeline = Pipeline(stages=steps).fit(df)
+    words = [_word_weights(name, features, f"_{name}") for name in texts]
     hits = F.filter(F.transform(labels, lambda y, i: F.when(y > 0, i)), lambda i: i.isNotNull())
     hits = F.coalesce(hits, F.array().cast("array<int>"))
-    rows = cut_lineage(pipeline.transform(df).select("_features", hits.alias("_hits"), F.array_size(labels).alias("_size")))
-    size, n = rows.agg(F.max("_size"), F.count(F.lit(1))).first()
+    # the texts are read once: their hashed counts are stored, and the weights are fitted and applied to those
+    counting = PipelineModel([step for split, count, _ in words for step in (split, count)])
+    counts = [f"_{name}_counts" for name in texts]
+    stored = cut_lineage(counting.transform(df).select(*counts, hits.alias("_hits"), F.array_size(labels).alias("_size")))
+    size, n = stored.agg(F.max("_size"), F.count(F.lit(1))).first()
+    if not n:
+        raise ValueError("there are no rows to learn from")
+    weighing = [weight.fit(stored) for _, _, weight in words]
+    joining = [VectorAssembler(inputCols=[f"_{name}_weights" for name in texts], outputCol="_joined"), Normalizer(inputCol="_joined", outputCol="_features")]
+    pipeline = PipelineModel([*(step for (split, count, _), weight in zip(words, weighing) for step in (split, count, weight)), *joining])
+    rows = cut_lineage(PipelineModel([*weighing, *joining]).transform(stored).select("_features", "_hits"))
     if not size:
         raise ValueError("there are no labels to learn")
     width = features * len(texts)
@@ -189,8 +191,8 @@ def train_tagger(
         weights = _fit_block(rows, first, counts / n, n, width, max_iter, reg)
         table = pa.table({"label": np.arange(first, first + len(counts)), "weights": pa.array(list(weights))})
         spark.createDataFrame(table).write.parquet(f"{folder}/block={number}")
-    stored = spark.read.schema("label long, weights array<double>, block int").parquet(folder)
-    return Tagger(pipeline, stored, size, block)
+    weights = spark.read.schema("label long, weights array<double>, block int").parquet(folder)
+    return Tagger(pipeline, weights, size, block)
 
 
 def _fit_block(rows: DataFrame, first: int, share: np.ndarray, n: int, width: int, max_iter: int, reg: float) -> np.ndarray:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import text
 from tagloom.operators import labels, models
+from tagloom.session import cut_lineage
 from tagloom.sources import tables
 from tagloom.streaming.incremental import process_new_files
 
@@ -74,6 +75,32 @@ def test_encoder_is_loaded_per_task(spark):
     assert got[7] == [7.0] and got[500] == [0.0] and len(got) == 121
 
 
+def test_encoder_gets_small_parts_of_a_batch(spark):
+    def load():
+        import numpy as np
+
+        return lambda texts: np.array([[len(texts), len(x)] for x in texts])
+
+    df = spark.range(0, 95, 1, 1).selectExpr("id", "IF(id % 9 = 0, NULL, repeat('x', CAST(id AS INT))) AS t", "named_struct('a', id, 'b', array(id)) AS more")
+    out = models.embed_text(df, "t", load, batch=40)
+    got = {r.id: r for r in out.collect()}
+    assert all(got[i].vec == [15.0 if i >= 80 else 40.0, 0.0 if i % 9 == 0 else float(i)] and got[i].more.b == [i] for i in range(95))
+    # whole batches of texts as Python objects are what mapInPandas would hold
+    assert "MapInArrow" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tagger_reads_the_rows_once(spark):
+    rows = cut_lineage(_tagged_rows(spark))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        read.add(1)
+        return text
+
+    models.train_tagger(rows.withColumn("synopsis", F.udf(counted)("synopsis")), features=16, max_iter=2)
+    assert read.value == rows.count()
+
+
 def test_tagger_learns_a_plain_rule(spark):
     data = [(i, "alpha story" if i % 2 else "beta tale", "k", ["odd"] if i % 2 else ["even", "rare"] if i == 0 else ["even"]) for i in range(80)]
     df = spark.createDataFrame(data, "id int, synopsis string, keywords string, tags array<string>")

@@ -9,6 +9,7 @@ from tagloom.operators import clusters, labels, latent, models, recommend, simil
 from tagloom.operators.ordering import with_row_id
 from tagloom.plans import catalogue as plans
 from tagloom.plans import evaluation
+from tagloom.session import cut_lineage
 from workload import standins as t
 from workload import catalogue_queries  # noqa: F401  its oracle texts are used here
 from workload.registry import ORACLES, query
@@ -410,7 +411,7 @@ def _tagger(spark, sf):
     rows = t.training_table(spark, sf).select(
         "doc_id", F.col("program_longsynopsis").alias("synopsis"), F.concat_ws(" ", "keywords").alias("keywords"), "tags")
     fitted = labels.fit_preprocess(rows)
-    prepared = fitted.transform(rows, "doc_id")
+    prepared = cut_lineage(fitted.transform(rows, "doc_id"))  # read for fitting and for scoring
     tagger = models.train_tagger(prepared, features=256, max_iter=5)
     return tagger.score(prepared), fitted.vocab
 
