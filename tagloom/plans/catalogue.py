@@ -50,6 +50,7 @@ SAMPLED_USERS = 50_000
 
 TITLE_KEYS = ["TitleDetails_title", "TitleType"]
 SYNOPSIS = "TitleDetails_longsynopsis"
+SPREAD = 16  # parts of a title's rows in a join where a few titles may have all
 
 
 def _digest(*cols: str) -> Column:
@@ -213,11 +214,14 @@ def titles_series_ids(catalogue: DataFrame, content_ids: DataFrame) -> DataFrame
 def training_series_ids(training: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Training rows with their titles' series ids, ``["movie"]`` when there is none (Q-TITLES-IDS).
 
-    Series ids are kept per (title, type), so a title with two types occurs twice.
+    Series ids are kept per (title, type), so a title with two types occurs twice. A title's ids go to ``SPREAD`` parts of its
+    training rows, as few titles may have all rows.
     """
     described = catalogue.where(F.col(SYNOPSIS).isNotNull()).withColumn("_sid", _series_id())
-    ids = described.groupBy(*TITLE_KEYS).agg(distinct_array("_sid").alias("_ids")).select("TitleDetails_title", "_ids")
-    joined = join_ci(training, ids, "program_title", "TitleDetails_title", "left")
+    ids = described.groupBy(*TITLE_KEYS).agg(distinct_array("_sid").alias("_ids")).select(F.lower("TitleDetails_title").alias("_name"), "_ids")
+    parts = ids.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    rows = training.withColumn("_spread", F.pmod(F.xxhash64("program_type", "program_longsynopsis", "tags"), F.lit(SPREAD)))
+    joined = rows.join(parts, (F.lower("program_title") == F.col("_name")) & (F.col("_spread") == F.col("_part")), "left")
     return joined.select(
         "program_title", "program_type", "program_longsynopsis", "tags",
         F.when(F.col("_ids").isNull(), F.array(F.lit("movie"))).otherwise(F.col("_ids")).alias("InSeasonSeries_Id"),

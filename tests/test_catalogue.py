@@ -169,6 +169,22 @@ def test_full_tags_build_movies_and_series_in_one_pass(spark, rows):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 4
 
 
+def test_a_title_with_all_training_rows_is_spread(spark):
+    df = spark.range(400).selectExpr("'The Show' AS program_title", "'Movie' AS program_type", "CAST(id AS string) AS program_longsynopsis", "array('x') AS tags")
+    cat = view(spark, ("the show", "Movie", "s", None, None, None, "eng", "T1", "S2"), ("The show", "Movie", "s", None, None, None, "eng", "T1"), ("Other", "Movie", "s"))
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        found = plans.training_series_ids(df, cat).withColumn("at", F.spark_partition_id()).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted((r.program_longsynopsis, r.InSeasonSeries_Id) for r in found) == sorted((str(i), [sid]) for i in range(400) for sid in ("S2", "T1"))
+    assert len({r.at for r in found}) > 1
+
+
 def test_cluster_map_and_stats(spark, rows):
     training = spark.createDataFrame([
         ("T", "Movie", "eng", "s", ["k1", "k1"], ["t1"]), ("t", "Movie", "eng", "s", ["k2"], []), ("X", "Movie", "eng", "s", ["?"], ["?"]),
