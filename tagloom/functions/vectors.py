@@ -39,8 +39,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 def to_distribution(col: Column) -> Column:
     """Scale members to sum 1."""
-    size = total(col)
-    return F.transform(_doubles(col), lambda x: F.try_divide(x, size))
+    sized = F.transform(F.array(total(col)), lambda size: F.transform(_doubles(col), lambda x: F.try_divide(x, size)))  # the sum is made once, not per member
+    return F.element_at(sized, 1)
 
 
 def kl_distance(p: Column, q: Column, eps: float = 1e-12) -> Column:

@@ -123,11 +123,11 @@ def symmetric_kl_pairs(spark, sf):
     FROM near JOIN p a ON a.item = id JOIN p b ON b.item = match_id JOIN items x ON x.item = id JOIN items y ON y.item = match_id"""))
 def neighbour_distances(spark, sf):
     pairs = similarity.kl_nearest(_positive(spark, sf), 5, id_col="item").select("id", "match_id")
-    share = vectors.to_distribution(F.transform("vec", lambda x: F.exp(x.cast("double"))))
-    rows = t.items(spark, sf).select("item", "vec", share.alias("p"))
-    left = rows.select(F.col("item").alias("id"), "vec", "p")
-    right = rows.select(F.col("item").alias("match_id"), F.col("vec").alias("w"), F.col("p").alias("q"))
-    return pairs.join(left, "id").join(right, "match_id").select(
+    share = lambda vec: vectors.to_distribution(F.transform(vec, lambda x: F.exp(x.cast("double"))))  # noqa: E731  made where both vectors are, they travel as they are stored
+    left = t.items(spark, sf).select(F.col("item").alias("id"), "vec")
+    right = left.select(F.col("id").alias("match_id"), F.col("vec").alias("w"))
+    both = pairs.join(left, "id").join(right, "match_id").withColumn("p", share("vec")).withColumn("q", share("w"))
+    return both.select(
         "id", "match_id", F.round(vectors.kl_distance(F.col("p"), F.col("q")), 6).alias("kl"),
         F.round(vectors.cosine(F.col("vec"), F.col("w")), 6).alias("cosine"))
 
