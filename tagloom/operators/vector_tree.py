@@ -42,8 +42,9 @@ Directions = Callable[[np.ndarray], np.ndarray]
 
 def matrix_of(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """A column of equally long vectors as a matrix of doubles."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    flat = [c.flatten().to_numpy(zero_copy_only=False) for c in chunks]
+    flat = flat[0].astype(np.float64, copy=False) if len(flat) == 1 else np.concatenate(flat, dtype=np.float64)  # one copy at most
     if len(column) and flat.size % len(column):
         raise ValueError("vectors differ in length")
     return flat.reshape(len(column), -1)
@@ -105,10 +106,11 @@ def grow(side: DataFrame, directions: Directions, block_rows: int, by: str | Non
         big = sizes.where(F.col("_n") > block_rows).select("_node", F.ceil(F.col("_n") / block_rows).cast("int").alias("_s"))
         if big.isEmpty():
             break
+        big = F.broadcast(big)  # a row per block of rows at most; without it Spark sends every row to meet its node's size
         done.append(active.join(big, "_node", "left_anti"))
         rows = active.join(big, "_node")
         least = rows.groupBy("_node", F.pmod(F.shiftright("_h", 8), F.lit(FANOUT)).alias("_b")).agg(F.min("_h").alias("_h")).drop("_b")
-        pivots = rows.join(least, ["_node", "_h"]).groupBy("_node").agg(F.collect_list("vec").alias("pivots"))
+        pivots = rows.join(F.broadcast(least), ["_node", "_h"]).groupBy("_node").agg(F.collect_list("vec").alias("pivots"))
         sent = pivots.join(big, "_node").select(F.col("_node").alias("_of"), F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_part"), "pivots")
         salted = rows.withColumn("_salt", F.pmod("_h", "_s").cast("int")).drop("_s")
         active = cut_lineage(salted.groupBy("_node", "_salt").cogroup(sent.groupBy("_of", "_part")).applyInArrow(_dealt(directions, arrow_schema, depth), schema))
